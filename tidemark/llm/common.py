@@ -5,17 +5,25 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` whose Python workers find this package where the driver has it; a cluster gets it by --py-files."""
+    df.sparkSession.sparkContext.environment["PYTHONPATH"] = _ROOT
+    return df.mapInArrow(fn, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share.
 

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidemark.llm.common import table
+from tidemark.llm.common import arrow_map, table
 
 SPACE = "▁"
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
 WORDS_KEPT = 400_000
 PAIRS_KEPT = 1_000_000
+#: Characters without a piece count as ids from here on.
+CHAR = 1 << 19
 ROWS = 256
 
 
@@ -50,9 +54,10 @@ class PieceEncoder:
         self.surface[self.unknown] = " ⁇ "
         self.machine = ahocorasick.Automaton()
         for p in self.ids:
-            self.machine.add_word(p, len(p))
+            self.machine.add_word(p, (len(p) - 1, self.ids[p]))
         self.machine.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.piece = [own.id_to_piece(i) for i in range(size)]
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
     def merged(self, unit: str) -> list[str]:
@@ -82,64 +87,71 @@ class PieceEncoder:
             offer(i, right[i])
         return [p for p in part if p is not None]
 
-    def fits(self, first: str, second: str) -> bool:
-        """Whether the two pieces stay apart, and whole, when their text is merged anew."""
-        key = (first, second)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(first + second) == [first, second]
+    def fits(self, first: int, second: int) -> bool:
+        """Whether the two pieces stay apart, and whole, when their text is merged anew; ``first`` 0: the piece alone."""
+        if len(self.pairs) >= PAIRS_KEPT:
+            self.pairs.clear()
+        name = self.name
+        parts = [name(second)] if not first else [name(first), name(second)]
+        known = self.pairs[first << 21 | second] = self.merged("".join(parts)) == parts
         return known
 
-    def backtracked(self, unit: str) -> list[str]:
+    def name(self, i: int) -> str:
+        """Text of a piece, or of a character without one, which counts as ``CHAR`` plus its code point."""
+        return self.piece[i] if i < CHAR else chr(i - CHAR)
+
+    def backtracked(self, unit: str) -> list[int]:
+        """Ids of one unit; a character without a piece is ``CHAR`` plus its code point."""
         n = len(unit)
-        ways: list[list[int]] = [[] for _ in range(n)]
-        for end, size in self.machine.iter(unit):
-            ways[end + 1 - size].append(end + 1)
-        for at, found in enumerate(ways):  # ends come in rising order; a character is always a way
-            if not found or found[0] != at + 1:
-                found.insert(0, at + 1)
-        failed = 0
-        taken: list[str] = []
-        starts: list[int] = []
-        at, way = 0, len(ways[0]) - 1
-        while at < n:
-            before = taken[-1] if taken else ""
-            found = ways[at]
-            while way >= 0:
-                end = found[way]
-                if not failed >> end & 1:
-                    piece = unit[at:end]
-                    if self.fits(before, piece) if before else (end < n or self.merged(piece) == [piece]):
-                        break
-                way -= 1
-            if way >= 0:
-                taken.append(piece)
-                starts.append(at)
-                at = end
-                way = len(ways[at]) - 1 if at < n else 0
+        ways: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        for end, (size, i) in self.machine.iter(unit):
+            ways[end - size].append((end + 1, i))
+        pairs, fits = self.pairs, self.fits
+        failed, at, before, tries = 0, 0, 0, ways[0]
+        taken: list[tuple[int, int, list[tuple[int, int]]]] = []  # id, start and the shorter ways left there
+        if not tries or tries[0][0] != 1:
+            tries.insert(0, (1, CHAR + ord(unit[0])))
+        tries = tries[:]
+        while True:
+            while tries:
+                end, i = tries.pop()
+                if failed and failed >> end & 1:
+                    continue
+                if not before and end < n:  # a first piece is checked together with its successor
+                    break
+                good = pairs.get(before << 21 | i)
+                if good or good is None and fits(before, i):
+                    break
             else:
                 failed |= 1 << at
-                at_old = at
-                taken.pop()
-                at = starts.pop()
-                way = ways[at].index(at_old) - 1
-        return taken
+                _, at, tries = taken.pop()
+                before = taken[-1][0] if taken else 0
+                continue
+            taken.append((i, at, tries))
+            if end == n:
+                return [t[0] for t in taken]
+            before, at, tries = i, end, ways[end]
+            if not tries or tries[0][0] != at + 1:
+                tries.insert(0, (at + 1, CHAR + ord(unit[at])))
+            tries = tries[:]
 
     def unit_ids(self, unit: str) -> list[int]:
-        pieces = self.merged(unit) if SPACE * 2 in unit else self.backtracked(unit)
+        if SPACE * 2 in unit:
+            found = [self.ids.get(p, -1 if len(p) > 1 else CHAR + ord(p)) for p in self.merged(unit)]
+        else:
+            found = self.backtracked(unit)
+        if max(found) < CHAR:
+            return found
         out: list[int] = []
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
+        for i in found:
+            if i < CHAR:
                 out.append(i)
             else:
-                out.extend(self.byte_ids[b] for b in p.encode("utf-8"))
+                out.extend(self.byte_ids[b] for b in chr(i - CHAR).encode("utf-8"))
         return out
 
     def _word(self, unit: str) -> bytes:
-        packed = np.array(self.unit_ids(unit), dtype=np.int32).tobytes()
+        packed = array("i", self.unit_ids(unit)).tobytes()
         if len(unit) <= 64:
             if len(self.words) >= WORDS_KEPT:
                 self.words.clear()
@@ -151,7 +163,9 @@ class PieceEncoder:
         if not text:
             return np.empty(0, np.int32)
         known, make = self.words.get, self._word
-        units = (SPACE + text.replace(" ", SPACE)).split(SPACE)[1:]
+        units = text.replace(SPACE, " ").split(" ")
+        if "" not in units:
+            return np.frombuffer(b"".join([known(SPACE + u) or make(SPACE + u) for u in units]), np.int32)
         out, marks = [], SPACE
         for u in units:
             if u:
@@ -238,7 +252,7 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
     with open(model_path or default_model(), "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
     source = docs.select(*keep, F.col(text).alias("text_"))
-    schema = source.select(*keep).schema.add("ids", "array<int>").add("decoded", "string")
+    schema = StructType([*source.select(*keep).schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
     names = list(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +267,7 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
                 texts = pa.array([own.decode(x) for x in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists, texts], [*names, "ids", "decoded"])
 
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def digests(tokens: DataFrame) -> DataFrame:

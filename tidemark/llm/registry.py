@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, pieces, tokenstore
 
 QUERIES = {
+    "op4_sentencepiece": pieces.op4_sentencepiece,
+    "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
 }
 SQL = {
