@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, pieces, tokenstore
+from tidemark.llm import language, mixing, pieces, tokenstore
 
 QUERIES = {
     "op4_sentencepiece": pieces.op4_sentencepiece,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
+    "op10_language": language.op10_language,
 }
 SQL = {
     "op8_mixing": mixing.OP8_SQL,
