@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language, mixing, pieces, tokenstore
+from tidemark.llm import language, mixing, pieces, tokenstore, topk
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
     "op4_sentencepiece": pieces.op4_sentencepiece,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
     "op10_language": language.op10_language,
 }
 SQL = {
+    "op1_topk": topk.OP1_SQL,
     "op8_mixing": mixing.OP8_SQL,
 }
