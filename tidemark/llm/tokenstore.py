@@ -13,9 +13,12 @@ A short document is read by its block's row and one frame, not by unpacking the
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ SAMPLE_CHARS = 32_768
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Chunks whose ids a Python worker remembers; the memory is emptied when full.
-CHUNKS_KEPT = 400_000
+CHUNKS_KEPT = 500_000
 ROWS = 512
 END_ID = 2
 
@@ -46,53 +49,78 @@ class Tokens:
     """Ids of the tokenizers library, remembered by chunk.
 
     Byte-level merges never cross the library's pre-tokens, and a single space between two characters that are not white
-    space always begins one; so a text may be cut there and each distinct chunk be encoded once, by the library itself. Texts
-    in which a space stands beside other white space go to the library whole.
+    space always begins one; so a text may be cut there and each distinct chunk be encoded once, by the library itself: a
+    chunk of letters by its model alone, since it is one pre-token, anything else by the whole chain. Texts in which a space
+    stands beside other white space go to the library whole.
     """
 
     def __init__(self, spec: bytes, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import re
-
         import tokenizers
 
         self.own = tokenizers.Tokenizer.from_buffer(spec)
-        self.dtype = np.dtype(dtype)
-        self.known: dict[str, bytes] = {}
+        self.code = {"uint16": "H", "uint32": "I"}[dtype]
+        parts = json.loads(spec)
+        pre = parts.get("pre_tokenizer") or {}
+        #: Whether the shortcuts hold: byte-level pre-tokens by the usual pattern, and no normalizer.
+        self.plain = parts.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+        hidden = [b for b in range(256) if b not in shown]
+        self.bytes_shown = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.mark, self.model = self.bytes_shown[32], self.own.model
+        self.spaced: dict[str, bytes] = {}  # chunks behind a space
+        self.bare: dict[str, bytes] = {}
         self.apart = re.compile(r" \s|\s ").search
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian integers of ``dtype``."""
-        if len(self.known) >= CHUNKS_KEPT:
-            self.known.clear()
-        known = self.known
-        cut: list[list[str] | None] = []
-        new: dict[str, None] = {}
-        for t in texts:
-            if not t or self.apart(t):
-                cut.append(None)
-                continue
-            first, *rest = t.split(" ")
-            chunks = [" " + c for c in rest]
-            chunks.insert(0, first)
-            cut.append(chunks)
-            new.update(dict.fromkeys(c for c in chunks if c not in known))
-        new.pop("", None)
-        listed = list(new)
-        kind = self.dtype.newbyteorder("<")
-        fresh = {c: np.array(e.ids, kind).tobytes() for c, e in zip(listed, self.own.encode_batch_fast(listed, add_special_tokens=False))} if listed else {}
-        known.update(fresh)
-        known[""] = b""
-        out = []
-        for t, chunks in zip(texts, cut):
-            if chunks is None:
-                out.append(np.array(self.own.encode(t, add_special_tokens=False).ids, kind).tobytes() if t else b"")
-            else:
-                out.append(b"".join([known[c] for c in chunks]))
-        for c in listed:  # very long chunks are not kept
-            if len(c) > 64:
-                del known[c]
-        return out
+    def _library(self, text: str) -> bytes:
+        return array(self.code, self.own.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """One pre-token of a space and letters, or of letters, by the library's model."""
+        if word.isascii():
+            word = word.replace(" ", self.mark)
+        else:
+            word = word.encode("utf-8").decode("latin-1").translate(self.bytes_shown)
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _chunk(self, chunk: str, known: dict[str, bytes], before: str) -> bytes:
+        found = known.get(chunk)
+        if found is not None:
+            return found
+        if not self.plain:
+            found = self._library(before + chunk)
+        elif chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0250"):
+            found = self._letters(before + chunk)
+        elif (core := chunk.rstrip(".,;:!?")) != chunk and core.isalpha() and max(core) < "\u0250":
+            found = self._chunk(core, known, before) + self._chunk(chunk[len(core) :], self.bare, "")
+        else:
+            lines = chunk.split("\n")
+            if len(lines) > 1 and all(lines) and not any(c.isspace() for c in "".join(lines)):
+                newline = self.bare.get("\n") or self.bare.setdefault("\n", self._library("\n"))
+                rest = [self._chunk(x, self.bare, "") for x in lines[1:]]
+                return newline.join([self._chunk(lines[0], known, before), *rest])
+            found = self._library(before + chunk)
+        if len(chunk) <= 64:
+            known[chunk] = found
+        return found
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of the whole text as little-endian integers."""
+        if not text:
+            return b""
+        if len(self.spaced) + len(self.bare) >= CHUNKS_KEPT:
+            self.spaced.clear()
+            self.bare.clear()
+        if "  " in text or self.apart(text):
+            return self._library(text)
+        first, *rest = text.split(" ")
+        known, at = self.spaced, -1
+        out = list(map(known.get, rest))
+        missing = out.count(None)
+        for _ in range(missing):
+            at = out.index(None, at + 1)
+            out[at] = self._chunk(rest[at], known, " ")
+        return self._chunk(first, self.bare, "") + b"".join(out) if first else b"".join(out)
 
 
 _READY: dict[tuple, Tokens] = {}
@@ -120,7 +148,8 @@ def train_dictionary(docs: DataFrame, spec: bytes, dtype: str, end_id: int) -> b
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
     sample = docs.where((spot < int(share * (1 << 32))) & (F.length("text") <= SAMPLE_CHARS)).select("text").limit(2 * SAMPLE_DOCS).collect()
     end = np.array([end_id], np.dtype(dtype).newbyteorder("<")).tobytes()
-    packed = [x + end for x in Tokens(spec, dtype).encode(sorted(r.text for r in sample))]
+    own = Tokens(spec, dtype)
+    packed = [own.encode(t) + end for t in sorted(r.text for r in sample)]
     try:
         return zstandard.train_dictionary(DICT_BYTES, packed).as_bytes()
     except zstandard.ZstdError:
@@ -169,8 +198,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                for i, packed in zip(batch.column(0).to_pylist(), own.encode(batch.column(1).to_pylist())):
-                    packed += end
+                for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    packed = own.encode(text) + end
                     ids.append(i)
                     frames.append(press.compress(packed))
                     counts.append(len(packed) // kind.itemsize)
