@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import language, mixing, pieces, tokenstore, topk
+from tidemark.llm import html, language, mixing, pieces, tokenstore, topk
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op4_sentencepiece": pieces.op4_sentencepiece,
+    "op5_html": html.op5_html,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
     "op10_language": language.op10_language,
