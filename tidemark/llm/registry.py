@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import html, language, mixing, pieces, tokenstore, topk
+from tidemark.llm import html, language, mixing, ngram_join, pieces, tokenstore, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op4_sentencepiece": pieces.op4_sentencepiece,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_html": html.op5_html,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
     "op10_language": language.op10_language,
