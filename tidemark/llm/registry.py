@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import html, language, mixing, ngram_join, pieces, tokenstore, topk, toxicity
+from tidemark.llm import html, language, mixing, neardup_pq, ngram_join, pieces, tokenstore, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op4_sentencepiece": pieces.op4_sentencepiece,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_embedding_neardup": neardup_pq.op3_embedding_neardup,
     "op5_html": html.op5_html,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_token_store": tokenstore.op7_token_store,
