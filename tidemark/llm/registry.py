@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import html, language, mixing, neardup_pq, ngram_join, pieces, tokenstore, topk, toxicity
+from tidemark.llm import html, language, mixing, neardup_pq, ngram_join, pieces, suffix_dedup, tokenstore, topk, toxicity
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_token_store": tokenstore.op7_token_store,
     "op8_mixing": mixing.op8_mixing,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_language": language.op10_language,
 }
 SQL = {
