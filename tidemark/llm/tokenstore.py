@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 import uuid
 import zlib
 from array import array
@@ -36,7 +35,7 @@ SAMPLE_CHARS = 32_768
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Chunks whose ids a Python worker remembers; the memory is emptied when full.
-CHUNKS_KEPT = 500_000
+CHUNKS_KEPT = 650_000
 ROWS = 512
 END_ID = 2
 
@@ -70,7 +69,6 @@ class Tokens:
         self.mark, self.model = self.bytes_shown[32], self.own.model
         self.spaced: dict[str, bytes] = {}  # chunks behind a space
         self.bare: dict[str, bytes] = {}
-        self.apart = re.compile(r" \s|\s ").search
 
     def _library(self, text: str) -> bytes:
         return array(self.code, self.own.encode(text, add_special_tokens=False).ids).tobytes()
@@ -111,16 +109,22 @@ class Tokens:
         if len(self.spaced) + len(self.bare) >= CHUNKS_KEPT:
             self.spaced.clear()
             self.bare.clear()
-        if "  " in text or self.apart(text):
-            return self._library(text)
         first, *rest = text.split(" ")
         known, at = self.spaced, -1
         out = list(map(known.get, rest))
         missing = out.count(None)
         for _ in range(missing):
             at = out.index(None, at + 1)
-            out[at] = self._chunk(rest[at], known, " ")
-        return self._chunk(first, self.bare, "") + b"".join(out) if first else b"".join(out)
+            chunk = rest[at]
+            # a chunk that is remembered neither begins nor ends with white space
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                return self._library(text)
+            out[at] = self._chunk(chunk, known, " ")
+        if not first:
+            return b"".join(out)
+        if first[-1].isspace():
+            return self._library(text)
+        return self._chunk(first, self.bare, "") + b"".join(out)
 
 
 _READY: dict[tuple, Tokens] = {}
