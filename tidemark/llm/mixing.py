@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import pinned, table
@@ -16,15 +16,15 @@ LEVELS = 4
 SOURCES_SENT = 100_000
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words of the whole text; null: 0) and a 48-bit hash that orders the documents of a source.
+def sized() -> tuple[Column, Column]:
+    """size (words of the whole text; null: 0) and spot, a 48-bit hash that orders the documents of a source.
 
     The hash depends on doc_id and size alone, so reruns agree; rows equal in both share it and move together.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-    seeded = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("size").cast("string"))
+    seeded = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size.cast("string"))
     spot = F.conv(F.substring(F.md5(seeded.cast("binary")), 1, BITS * LEVELS // 4), 16, 10).cast("long")
-    return docs.select("doc_id", "source", size.alias("size")).withColumn("spot", spot)
+    return size.alias("size"), spot.alias("spot")
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -52,33 +52,28 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return per.select("source", "source_size", F.round(target, 6).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """How often each document is taken: doc_id, source, size, source_size, target, copies.
+def _with_source(docs: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
+    sources = sources.withColumnRenamed("source", "source_")
+    return docs.join(F.broadcast(sources) if few else sources, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
 
-    Every document of a source is taken floor(target / source_size) times; what is left of the target is filled by the
-    documents whose hash lies below the source's threshold. The threshold comes from nested histograms: sizes summed by
-    source and the first ``BITS`` bits of the hash tell in which bucket the budget ends; only that bucket is summed again by
-    the next bits, ``LEVELS`` times; the last bucket is taken if that comes nearer. No sort of documents, no group in one
-    task: the sums are aggregated before they are shuffled.
 
-    Null text: size 0. Null source: a source of its own, last. Sources without words: target 0, copies 0. Null doc_id and
-    repeated rows: rows like any other; rows equal in doc_id and size are taken together. Empty table: no rows.
+def thresholds(slim: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> tuple[DataFrame, bool]:
+    """One row per source of ``slim`` (source, size, spot): source_size, target, whole, budget and cut; and if they are few.
+
+    Every document of a source is taken ``whole`` = floor(target / source_size) times; what is left of the target is filled by
+    the documents whose hash lies below ``cut``. It comes from nested histograms: sizes summed by source and the first
+    ``BITS`` bits of the hash tell in which bucket the budget ends; only that bucket is summed again by the next bits,
+    ``LEVELS`` times; the last bucket is taken if that comes nearer. No sort of documents, no group in one task: the sums are
+    aggregated before they are shuffled.
     """
-    # written once: words are counted a single time, all later passes read four short columns
-    slim = pinned(sizes(docs))
     goal = targets(slim, weights, most)
     goal = goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0).cast("long")))
     goal = pinned(goal.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")))
     few = goal.count() <= SOURCES_SENT
-
-    def with_source(docs: DataFrame, sources: DataFrame) -> DataFrame:
-        sources = sources.withColumnRenamed("source", "source_")
-        return docs.join(F.broadcast(sources) if few else sources, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
-
     edge = goal.select("source", "budget", F.lit(0).cast("long").alias("head"))  # head: the first hash bits of the boundary bucket
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
-        inside = with_source(slim.drop("doc_id"), edge).where(F.shiftright("spot", shift + BITS) == F.col("head"))
+        inside = _with_source(slim.select("source", "size", "spot"), edge, few).where(F.shiftright("spot", shift + BITS) == F.col("head"))
         bins = inside.groupBy("source", F.shiftright("spot", shift).alias("bin"), "budget").agg(F.sum("size").alias("words"))
         bins = bins.withColumn("run", F.sum("words").over(Window.partitionBy("source").orderBy("bin")))
         ends = bins.where("run > budget").groupBy("source").agg(F.min(F.struct("bin", "run", "words", "budget")).alias("hit"))
@@ -86,9 +81,38 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -
         edge = pinned(ends.select("source", rest.alias("budget"), F.col("hit.bin").alias("head"), F.col("hit.words").alias("words")))
     # the last bucket is one hash: in if that leaves the source nearer to its budget
     cut = edge.select("source", (F.col("head") + F.when(F.col("words") < 2 * F.col("budget"), 1).otherwise(0)).alias("cut"))
-    goal = goal.join(cut.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_")), "left").drop("source_")
+    return goal.join(cut.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_")), "left").drop("source_"), few
+
+
+def copies() -> Column:
+    """How often a row with the columns of ``sizes`` and ``thresholds`` is taken."""
     extra = F.when((F.col("budget") > 0) & (F.col("spot") < F.coalesce("cut", F.lit(0))), 1).otherwise(0)
-    return with_source(slim, goal).select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + extra).cast("long").alias("copies"))
+    return (F.col("whole") + extra).cast("long")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """How often each document is taken: doc_id, source, size, source_size, target, copies.
+
+    Null text: size 0. Null source: a source of its own, last. Sources without words: target 0, copies 0. Null doc_id and
+    repeated rows: rows like any other; rows equal in doc_id and size are taken together. Empty table: no rows.
+    """
+    # written once: words are counted a single time, all later passes read four short columns
+    slim = pinned(docs.select("doc_id", "source", *sized()))
+    goal, few = thresholds(slim, weights, most)
+    return _with_source(slim, goal, few).select("doc_id", "source", "size", "source_size", "target", copies().alias("copies"))
+
+
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The rows of the mix, all columns of ``docs``, each as often as it is taken."""
+    names = docs.columns
+    own = docs.select(*names, *[c.alias(f"{n}__") for n, c in zip(("size", "spot"), sized())])
+    slim = pinned(own.select("source", F.col("size__").alias("size"), F.col("spot__").alias("spot")))
+    goal, few = thresholds(slim, weights, most)
+    named = goal.select(F.col("source").alias("source__"), *[F.col(c).alias(f"{c}__") for c in ("whole", "budget", "cut")])
+    joined = own.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("source__")))
+    extra = F.when((F.col("budget__") > 0) & (F.col("spot__") < F.coalesce("cut__", F.lit(0))), 1).otherwise(0)
+    often = (F.col("whole__") + extra).cast("int")
+    return joined.withColumn("often__", often).where("often__ > 0").withColumn("time__", F.explode(F.sequence(F.lit(1), F.col("often__")))).select(*names)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

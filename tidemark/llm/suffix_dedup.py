@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import bwt
 from tidemark.llm.common import arrow_map, staged, table
@@ -274,7 +274,8 @@ def _runs(span: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None, **how) -> DataFrame:
     """``keep`` columns (doc_id and text, if none are named) with n_bytes, starts and ends of the removed runs, and kept.
 
-    ``kept`` is what is left of the text's UTF-8 bytes, as binary. Strings are judged on the input. Null text: empty. Equal
+    ``kept`` is what is left of the text's UTF-8 bytes, as binary; ``kept_text`` the same as text, without the parts of
+    characters that a cut left. Strings are judged on the input. Null text: empty. Equal
     rows count as often as they occur, so all their windows are repeated. Texts shorter than ``span`` lose nothing.
     """
     keyed = _keyed(docs)
@@ -284,7 +285,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     joined = _beside(again, spans, ["k1", "k2"], "left").drop("k1", "k2")
 
 
-    added = [StructField("n_bytes", LongType()), StructField("starts", ArrayType(IntegerType())), StructField("ends", ArrayType(IntegerType())), StructField("kept", BinaryType())]
+    added = [StructField("n_bytes", LongType()), StructField("starts", ArrayType(IntegerType())), StructField("ends", ArrayType(IntegerType())), StructField("kept", BinaryType()), StructField("kept_text", StringType())]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -297,7 +298,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
                     raw = data[offsets[k] : offsets[k + 1]].tobytes()
                     kept.append(b"".join(raw[a:b] for a, b in zip([0, *(ends or ())], [*(starts or ()), len(raw)])))
                 lists = [pa.array([c[n] or [] for c in cuts], pa.list_(pa.int32())) for n in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(np.diff(offsets).astype(np.int64)), *lists, pa.array(kept, pa.binary())], [*names, "n_bytes", "starts", "ends", "kept"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(np.diff(offsets).astype(np.int64)), *lists, pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())], [*names, *(f.name for f in added)])
 
     return arrow_map(joined, run, StructType([*docs.select(*names).schema.fields, *added]))
 
