@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, table
+from tidemark.llm.common import arrow_map, staged, table
 
 #: Training reads about so many labelled documents, spread by a hash of doc_id, whole texts each.
-SAMPLE_DOCS = 30_000
+SAMPLE_DOCS = 20_000
 #: Stems of the learned lexicon; the strongest are kept.
 STEMS_KEPT = 4_000
+#: Stems of toxic documents, the most frequent first, that are counted in the others.
+CANDIDATES = 100_000
 #: Shortest stem; a word's stems are its starts of this length up to the whole word, at most ``LONGEST``.
 SHORTEST, LONGEST = 4, 14
 #: A stem enters the lexicon if it is in as many toxic documents at least, and so many times likelier there.
@@ -148,51 +150,63 @@ def _stems(word: str) -> list[str]:
     return [word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)] + [word[: LONGEST + 1] + "$"]
 
 
-def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, stems_kept: int = STEMS_KEPT) -> Grammar:
-    """A grammar learned from ``labelled`` (doc_id, text, toxic 0/1; rows with a null label are left out).
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, stems_kept: int = STEMS_KEPT) -> Grammar:
+    """A grammar learned from ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic 0/1; null labels are left out).
 
-    Fitted on about ``sample_docs`` rows chosen by a hash of doc_id. Documents with a stem are counted per label, summed
-    within each task and then by stem; at most ``stems_kept`` stems, and the counts for the logistic fit (two numbers a row
-    of the sample), come to the driver.
+    Fitted on about ``sample_docs`` labelled documents chosen by a hash of doc_id, at most twice as many; their labels are
+    broadcast and their texts written once. Stems are counted by document within each task, then over all: in the toxic ones
+    first, in the others only those that are candidates. At most ``CANDIDATES`` stems, and two numbers a row of the sample for
+    the logistic fit, come to the driver.
     """
-    known = labelled.where(F.col("toxic").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", (F.col("toxic") > 0).alias("toxic"))
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", (F.col("toxic") > 0).alias("toxic"))
     n = known.count()
     share = 1.0 if n <= sample_docs else sample_docs / n
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32))).limit(2 * sample_docs)
+    sample = staged(docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled")
     size = {bool(r.toxic): r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = size.get(True, 0), size.get(False, 0)
     if not bad:
         return Grammar({})
+    spark = docs.sparkSession
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: dict[str, list[int]] = {}
+    def counted(rows: DataFrame, only: frozenset[str] | None) -> DataFrame:
+        sent = spark.sparkContext.broadcast(only)
+
+        def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            wanted = sent.value
+            seen: dict[str, int] = {}
             parts: dict[str, list[str]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own: set[str] = set()
-                for word in set(WORD.findall(text.lower())):
-                    if word not in parts:
-                        if len(parts) > 200_000:
-                            parts.clear()
-                        parts[word] = _stems(word)
-                    own.update(parts[word])
-                for stem in own:
-                    have = rows.get(stem)
-                    if have is None:
-                        have = rows[stem] = [0, 0]
-                    have[toxic] += 1
-                if len(rows) > 400_000:
-                    yield _counts(rows)
-                    rows = {}
-            if rows:
-                yield _counts(rows)
-
-    counted = arrow_map(sample.select("text", "toxic"), count, "stem string, good bigint, bad bigint").groupBy("stem").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    x, y = F.col("bad") + 0.5, F.col("good") + 0.5
-    sure = F.log(x / F.lit(bad + 1.0)) - F.log(y / F.lit(good + 1.0)) - F.lit(Z) * F.sqrt(1 / x + 1 / y)
-    strong = counted.where(F.col("bad") >= LEAST_DOCS).withColumn("sure", sure).where(F.col("sure") >= math.log(LEAST_RATIO))
-    best = {r.stem: r.sure for r in strong.orderBy(F.desc("sure"), "stem").limit(stems_kept).collect()}
-    sent = sample.sparkSession.sparkContext.broadcast(frozenset(best))
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    own: set[str] = set()
+                    for word in set(WORD.findall(text.lower())):
+                        stems = parts.get(word)
+                        if stems is None:
+                            if len(parts) > 200_000:
+                                parts.clear()
+                            stems = parts[word] = [x for x in _stems(word) if wanted is None or x in wanted]
+                        own.update(stems)
+                    for stem in own:
+                        seen[stem] = seen.get(stem, 0) + 1
+                    if len(seen) > 500_000:
+                        yield _counts(seen)
+                        seen = {}
+            if seen:
+                yield _counts(seen)
+
+        return arrow_map(rows.select("text"), count, "stem string, n bigint").groupBy("stem").agg(F.sum("n").alias("n"))
+
+    frequent = counted(sample.where("toxic"), None).where(F.col("n") >= LEAST_DOCS)
+    in_bad = {r.stem: r.n for r in frequent.orderBy(F.desc("n"), "stem").limit(CANDIDATES).collect()}
+    in_good = {r.stem: r.n for r in counted(sample.where("not toxic"), frozenset(in_bad)).collect()}
+    sure = {}
+    for stem, x in in_bad.items():
+        x, y = x + 0.5, in_good.get(stem, 0) + 0.5
+        w = math.log(x / (bad + 1.0)) - math.log(y / (good + 1.0)) - Z * math.sqrt(1 / x + 1 / y)
+        if w >= math.log(LEAST_RATIO):
+            sure[stem] = w
+    best = dict(sorted(sure.items(), key=lambda x: (-x[1], x[0]))[:stems_kept])
+    sent = spark.sparkContext.broadcast(frozenset(best))
 
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -224,10 +238,8 @@ def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, stems_kept: int =
     return grammar
 
 
-def _counts(rows: dict[str, list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(rows), pa.string()), pa.array([v[0] for v in rows.values()], pa.int64()), pa.array([v[1] for v in rows.values()], pa.int64())], ["stem", "good", "bad"]
-    )
+def _counts(seen: dict[str, int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["stem", "n"])
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -287,7 +299,7 @@ def held_out() -> Column:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(F.col("doc_id").isNotNull())
-    grammar = train(docs.join(labels, "doc_id").where(~held_out()))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    grammar = train(docs, labels.where(~held_out()))
     scored = assess(docs, grammar, ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
