@@ -35,7 +35,7 @@ SAMPLE_CHARS = 32_768
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Chunks whose ids a Python worker remembers; the memory is emptied when full.
-CHUNKS_KEPT = 650_000
+CHUNKS_KEPT = 500_000
 ROWS = 512
 END_ID = 2
 
@@ -67,6 +67,7 @@ class Tokens:
         hidden = [b for b in range(256) if b not in shown]
         self.bytes_shown = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.mark, self.model = self.bytes_shown[32], self.own.model
+        self.parts = {x: self._library(x) for x in (".", ",", "\n")}
         self.spaced: dict[str, bytes] = {}  # chunks behind a space
         self.bare: dict[str, bytes] = {}
 
@@ -106,9 +107,39 @@ class Tokens:
         """The ids of the whole text as little-endian integers."""
         if not text:
             return b""
-        if len(self.spaced) + len(self.bare) >= CHUNKS_KEPT:
+        if len(self.parts) >= CHUNKS_KEPT:
+            self.parts = {x: self.parts[x] for x in (".", ",", "\n")}
+        if len(self.spaced) + len(self.bare) >= CHUNKS_KEPT // 4:
             self.spaced.clear()
             self.bare.clear()
+        return (self._prose(text) if self.plain else None) or self._chunks(text)
+
+    def _prose(self, text: str) -> bytes | None:
+        """Ids of a text of letters, single spaces and newlines, commas and full stops; None if it holds anything else.
+
+        Commas, full stops and newlines that stand alone are pre-tokens of their own.
+        """
+        if "\0" in text:
+            return None
+        cut = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").replace("\n", "\0\n\0")
+        if "\0.\0." in cut or "\0,\0," in cut or "\0.\0," in cut or "\0,\0." in cut:
+            return None
+        parts = cut.split("\0")
+        known, at = self.parts, -1
+        out = list(map(known.get, parts))
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            part = parts[at]
+            word = part[1:] if part[:1] == " " else part
+            if not word.isalpha() or not word.isascii() and max(word) >= "\u0250":
+                return None
+            found = known.get(part) or self._letters(part)
+            if len(known) < CHUNKS_KEPT and len(part) <= 64:
+                known[part] = found
+            out[at] = found
+        return b"".join(out)
+
+    def _chunks(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         known, at = self.spaced, -1
         out = list(map(known.get, rest))
