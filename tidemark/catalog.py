@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from tidemark.plans import features, views
+
 QUERIES: dict = {}
 SQL: dict = {}
+for _part in (features, views):
+    QUERIES |= _part.QUERIES
+    SQL |= _part.SQL
