@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, views
+from tidemark.plans import features, statistics, texts, views
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _part in (features, views):
+for _part in (features, views, texts, statistics):
     QUERIES |= _part.QUERIES
     SQL |= _part.SQL
