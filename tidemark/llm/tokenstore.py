@@ -35,7 +35,7 @@ SAMPLE_CHARS = 32_768
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Chunks whose ids a Python worker remembers; the memory is emptied when full.
-CHUNKS_KEPT = 500_000
+CHUNKS_KEPT = 1_300_000
 ROWS = 512
 END_ID = 2
 
@@ -217,7 +217,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         own = _tokens(spec, dtype)
         kind = np.dtype(dtype).newbyteorder("<")
         end = np.array([end_id], kind).tobytes()
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(trained)) if trained else zstandard.ZstdCompressor(level=LEVEL)
+        if trained:
+            shared = zstandard.ZstdCompressionDict(trained)
+            shared.precompute_compress(level=LEVEL)  # else every document would digest the dictionary anew
+            press = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
+        else:
+            press = zstandard.ZstdCompressor(level=LEVEL)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
         frames: list[bytes] = []
