@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 from pathlib import Path
@@ -24,6 +26,24 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+_HELD: dict[str, object] = {}
+
+
+def only(name: str, clear=None) -> None:
+    """In a Python worker, which Spark uses again: what other operators remember there is dropped and its pages freed."""
+    others = [n for n in _HELD if n != name]
+    for n in others:
+        _HELD.pop(n)()
+    if clear is not None:
+        _HELD[name] = clear
+    if others:
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except OSError:  # another C library
+            pass
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share.
 

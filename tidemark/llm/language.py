@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, table
+from tidemark.llm.common import arrow_map, only, table
 
 #: Letters (and the blanks around words) of an n-gram.
 GRAM = 4
@@ -24,7 +24,7 @@ OWN_SHARE = 0.25
 HASHES = 3
 SLOTS_PER_GRAM = 16
 UND = "und"
-ROWS = 256
+ROWS = 64
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,6 +177,7 @@ def identify(docs: DataFrame, model: LanguageFilter, keep: list[str] | None = No
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language")
         own = sent.value
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, table
+from tidemark.llm.common import arrow_map, only, table
 
 SPACE = "▁"
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
+PAIRS_KEPT = 500_000
 #: Characters without a piece count as ids from here on.
 CHAR = 1 << 19
 ROWS = 256
@@ -256,6 +256,7 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
     names = list(keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("pieces", _READY.clear)
         own = _encoder(sent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):

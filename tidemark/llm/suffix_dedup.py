@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import bwt
-from tidemark.llm.common import arrow_map, staged, table
-from tidemark.llm.ngram_join import _bytes_of, _mix, _powers
+from tidemark.llm.common import arrow_map, only, staged, table
+from tidemark.llm.ngram_join import _bytes_of, _mix, _powers, forget_powers
 
 SPAN = 400
 #: Bytes hashed for an anchor, and offsets of a window from its anchor that share a core.
@@ -125,6 +125,7 @@ def _beside(docs: DataFrame, side: DataFrame, keys: list[str], how: str) -> Data
 
 
 def _contexts(span: int, gram: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only("suffixes", forget_powers)
     names = ["k1", "k2", "a", "c", "at", "lo", "hi"]
     for whole in batches:
         for start in range(0, whole.num_rows, 512):

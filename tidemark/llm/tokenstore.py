@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, shared_dir, table
+from tidemark.llm.common import arrow_map, only, shared_dir, table
 
 BLOCK_DOCS = 256
 BLOCK_BYTES = 4 << 20
@@ -213,6 +213,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         import zstandard
         from pyspark import TaskContext
 
+        only("tokens", _READY.clear)
         spec, trained = sent.value
         own = _tokens(spec, dtype)
         kind = np.dtype(dtype).newbyteorder("<")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, staged, table
+from tidemark.llm.common import arrow_map, only, staged, table
 
 #: Training reads about so many labelled documents, spread by a hash of doc_id, whole texts each.
 SAMPLE_DOCS = 20_000
@@ -268,6 +268,7 @@ def assess(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) ->
     sent = docs.sparkSession.sparkContext.broadcast((grammar.stems, grammar.bias, grammar.slope))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("toxicity", _READY.clear)
         own = _grammar(sent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
