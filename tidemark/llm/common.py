@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """``wanted``, lengthened until no column has that name."""
+    taken = {n.lower() for n in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` whose Python workers find this package where the driver has it; a cluster gets it by --py-files."""
     df.sparkSession.sparkContext.environment["PYTHONPATH"] = _ROOT

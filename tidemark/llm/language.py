@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, only, table
+from tidemark.llm.common import arrow_map, only, table, unused
 
 #: Letters (and the blanks around words) of an n-gram.
 GRAM = 4
@@ -173,7 +173,7 @@ def identify(docs: DataFrame, model: LanguageFilter, keep: list[str] | None = No
     """
     spark = docs.sparkSession
     names = [c for c in (keep or docs.columns) if c not in ("lang_pred", "lang_score", "lang_cover")]
-    source = docs.select(*names, F.col("text").alias("text__"))
+    source = docs.select(*names, F.col("text").alias(unused(names, "text__")))
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,7 @@ def identify(docs: DataFrame, model: LanguageFilter, keep: list[str] | None = No
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                pred, score, cover = own.predict([(t or "").replace("\0", " ") for t in batch.column("text__").to_pylist()])
+                pred, score, cover = own.predict([(t or "").replace("\0", " ") for t in batch.column(len(names)).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(pred, pa.string()), pa.array(score), pa.array(cover)], [*names, "lang_pred", "lang_score", "lang_cover"])
 
     extra = [StructField("lang_pred", StringType()), StructField("lang_score", DoubleType()), StructField("lang_cover", DoubleType())]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, only, table
+from tidemark.llm.common import arrow_map, only, table, unused
 
 SPACE = "▁"
 #: Words whose ids a Python worker remembers; the memory is emptied when full.
@@ -251,7 +251,7 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
     spark = docs.sparkSession
     with open(model_path or default_model(), "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
-    source = docs.select(*keep, F.col(text).alias("text_"))
+    source = docs.select(*keep, F.col(text).alias(unused(list(keep), "text_")))
     schema = StructType([*source.select(*keep).schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])
     names = list(keep)
 
@@ -261,7 +261,7 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                ids = [own.encode(t or "") for t in batch.column("text_").to_pylist()]
+                ids = [own.encode(t or "") for t in batch.column(len(names)).to_pylist()]
                 ends = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(x) for x in ids], out=ends[1:])
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))

@@ -8,12 +8,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import bwt
-from tidemark.llm.common import arrow_map, only, staged, table
+from tidemark.llm.common import arrow_map, only, staged, table, unused
 from tidemark.llm.ngram_join import _bytes_of, _mix, _powers, forget_powers
 
 SPAN = 400
@@ -73,9 +73,13 @@ class Reader:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id and text (null: empty) with k1, k2, by which a row's findings are joined to it; equal rows share them."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("k1"), F.xxhash64(text).alias("k2"))
+    """text (null: empty) with k1, k2, by which a row's findings are joined to it; equal rows share them."""
+    k1, k2 = _keys()
+    return docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), k1.alias("k1"), k2.alias("k2"))
+
+
+def _keys() -> tuple[Column, Column]:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, block: int = BLOCK, hot: int = HOT) -> DataFrame:
@@ -282,19 +286,19 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     keyed = _keyed(docs)
     spans = staged(repeated_spans(keyed, span, **how), "spans")
     names = keep or ["doc_id", "text"]
-    again = docs.select(*names, *[F.expr(x).alias(n) for x, n in (("coalesce(text, '')", "text__"), ("coalesce(cast(doc_id as bigint), -4611686018427387904)", "k1"), ("xxhash64(coalesce(text, ''))", "k2"))])
-    joined = _beside(again, spans, ["k1", "k2"], "left").drop("k1", "k2")
-
-
+    text, k1, k2 = (unused(names, n) for n in ("text__", "k1", "k2"))
+    again = docs.select(*names, F.expr("coalesce(text, '')").alias(text), *[c.alias(n) for c, n in zip(_keys(), (k1, k2))])
+    found = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("starts").alias(unused(names, "starts__")), F.col("ends").alias(unused(names, "ends__")))
+    joined = _beside(again, found, [k1, k2], "left").drop(k1, k2)
     added = [StructField("n_bytes", LongType()), StructField("starts", ArrayType(IntegerType())), StructField("ends", ArrayType(IntegerType())), StructField("kept", BinaryType()), StructField("kept_text", StringType())]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                data, offsets = _bytes_of(batch.column("text__"))
+                data, offsets = _bytes_of(batch.column(len(names)))
                 kept = []
-                cuts = list(zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist()))
+                cuts = list(zip(batch.column(len(names) + 1).to_pylist(), batch.column(len(names) + 2).to_pylist()))
                 for k, (starts, ends) in enumerate(cuts):
                     raw = data[offsets[k] : offsets[k + 1]].tobytes()
                     kept.append(b"".join(raw[a:b] for a, b in zip([0, *(ends or ())], [*(starts or ()), len(raw)])))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, only, staged, table
+from tidemark.llm.common import arrow_map, only, staged, table, unused
 
 #: Training reads about so many labelled documents, spread by a hash of doc_id, whole texts each.
 SAMPLE_DOCS = 20_000
@@ -264,7 +264,7 @@ def assess(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) ->
     """
     added = ("toxic_score", "toxic_evidence", "toxic_clauses")
     names = [c for c in (keep or docs.columns) if c not in added]
-    source = docs.select(*names, F.col("text").alias("text__"))
+    source = docs.select(*names, F.col("text").alias(unused(names, "text__")))
     sent = docs.sparkSession.sparkContext.broadcast((grammar.stems, grammar.bias, grammar.slope))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +273,7 @@ def assess(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) ->
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                found = [own.evidence(t) for t in batch.column("text__").to_pylist()]
+                found = [own.evidence(t) for t in batch.column(len(names)).to_pylist()]
                 columns = [pa.array([own.score(e) for e, _, _ in found]), pa.array([e for e, _, _ in found]), pa.array([c for _, _, c in found], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], [*names, *added])
 
