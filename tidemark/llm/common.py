@@ -9,11 +9,19 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
-_ROOT = str(Path(__file__).resolve().parents[2])
+#: Set for Python workers: where this package is, one heap per process, large arrays returned to the system when freed.
+_WORKER = {
+    "PYTHONPATH": str(Path(__file__).resolve().parents[2]),
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+ARROW_ROWS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +37,32 @@ def unused(names: list[str], wanted: str) -> str:
 
 
 def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
-    """``mapInArrow`` whose Python workers find this package where the driver has it; a cluster gets it by --py-files."""
-    df.sparkSession.sparkContext.environment["PYTHONPATH"] = _ROOT
-    return df.mapInArrow(fn, schema)
+    """``mapInArrow`` with workers that find this package where the driver has it, and give freed memory back.
+
+    A cluster gets the package by --py-files. Batches hold at most ``ARROW_ROWS`` rows: texts may be long.
+    """
+    spark = df.sparkSession
+    spark.sparkContext.environment.update(_WORKER)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            _trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def _trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
 
 
 _HELD: dict[str, object] = {}
@@ -45,11 +76,7 @@ def only(name: str, clear=None) -> None:
     if clear is not None:
         _HELD[name] = clear
     if others:
-        gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except OSError:  # another C library
-            pass
+        _trim()
 
 
 def shared_dir(spark: SparkSession) -> str:

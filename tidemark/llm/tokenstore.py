@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ SAMPLE_CHARS = 32_768
 DICT_BYTES = 64 << 10
 LEVEL = 3
 #: Chunks whose ids a Python worker remembers; the memory is emptied when full.
-CHUNKS_KEPT = 1_300_000
-ROWS = 512
+CHUNKS_KEPT = 600_000
+ROWS = 2048
 END_ID = 2
 
 BLOCKS = (
@@ -107,37 +108,56 @@ class Tokens:
         """The ids of the whole text as little-endian integers."""
         if not text:
             return b""
-        if len(self.parts) >= CHUNKS_KEPT:
-            self.parts = {x: self.parts[x] for x in (".", ",", "\n")}
         if len(self.spaced) + len(self.bare) >= CHUNKS_KEPT // 4:
             self.spaced.clear()
             self.bare.clear()
-        return (self._prose(text) if self.plain else None) or self._chunks(text)
+        return self._chunks(text)
 
-    def _prose(self, text: str) -> bytes | None:
-        """Ids of a text of letters, single spaces and newlines, commas and full stops; None if it holds anything else.
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """``encode`` of each text, sharing the work on words.
 
-        Commas, full stops and newlines that stand alone are pre-tokens of their own.
+        A text of letters, single spaces and newlines, commas and full stops that stand alone is cut into words, stops and
+        newlines, each a pre-token of its own; distinct ones are looked up once for all texts. Other texts go one by one.
         """
-        if "\0" in text:
-            return None
-        cut = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.").replace("\n", "\0\n\0")
-        if "\0.\0." in cut or "\0,\0," in cut or "\0.\0," in cut or "\0,\0." in cut:
-            return None
-        parts = cut.split("\0")
-        known, at = self.parts, -1
-        out = list(map(known.get, parts))
-        for _ in range(out.count(None)):
-            at = out.index(None, at + 1)
-            part = parts[at]
-            word = part[1:] if part[:1] == " " else part
-            if not word.isalpha() or not word.isascii() and max(word) >= "\u0250":
-                return None
-            found = known.get(part) or self._letters(part)
-            if len(known) < CHUNKS_KEPT and len(part) <= 64:
-                known[part] = found
-            out[at] = found
-        return b"".join(out)
+        if not self.plain or not len(texts):
+            return [self.encode(t) for t in texts.to_pylist()]
+        cut = texts.fill_null("")
+        mixed = np.array(pc.match_substring(cut, "\0").to_pylist(), bool)
+        for x in (" ", ",", "."):
+            cut = pc.replace_substring(cut, x, "\0" + x)
+        cut = pc.split_pattern(pc.replace_substring(cut, "\n", "\0\n\0"), "\0")
+        coded = cut.flatten().dictionary_encode()
+        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        if len(self.parts) >= CHUNKS_KEPT:
+            self.parts = {x: self.parts[x] for x in (".", ",", "\n")}
+        known, ids = self.parts, []
+        for w in words:
+            found = known.get(w)
+            if found is None:
+                bare = w[1:] if w[:1] == " " else w
+                if bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):
+                    found = self._letters(w)
+                    if len(w) <= 64:
+                        known[w] = found
+            ids.append(found)
+        kind = np.dtype({"H": "<u2", "I": "<u4"}[self.code])
+        other = np.array([x is None for x in ids], bool)
+        size = np.array([0 if x is None else len(x) // kind.itemsize for x in ids], np.int64)
+        stop = np.array([w in (".", ",") for w in words], bool)[index]
+        odd = other[index]
+        odd[1:] |= stop[1:] & stop[:-1] & ~np.isin(np.arange(1, len(index)), bounds)
+        row = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        mixed |= np.bincount(row[odd], minlength=len(texts)) > 0
+        pool = np.frombuffer(b"".join([x or b"" for x in ids]), kind)
+        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+        many = size[index]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        tokens = pool[np.repeat(first[index] - ends[:-1], many) + np.arange(ends[-1])]
+        at = ends[bounds].tolist()
+        whole = tokens.tobytes()
+        step = kind.itemsize
+        return [self.encode(t.as_py()) if m else whole[step * x : step * y] for t, m, x, y in zip(texts, mixed.tolist(), at, at[1:])]
 
     def _chunks(self, text: str) -> bytes:
         first, *rest = text.split(" ")
@@ -239,8 +259,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    packed = own.encode(text) + end
+                for i, packed in zip(batch.column(0).to_pylist(), own.encode_all(batch.column(1))):
+                    packed += end
                     ids.append(i)
                     frames.append(press.compress(packed))
                     counts.append(len(packed) // kind.itemsize)
