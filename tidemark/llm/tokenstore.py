@@ -68,7 +68,7 @@ class Tokens:
         hidden = [b for b in range(256) if b not in shown]
         self.bytes_shown = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.mark, self.model = self.bytes_shown[32], self.own.model
-        self.parts = {x: self._library(x) for x in (".", ",", "\n")}
+        self.parts: dict[str, tuple[bytes, int]] = {}
         self.spaced: dict[str, bytes] = {}  # chunks behind a space
         self.bare: dict[str, bytes] = {}
 
@@ -113,16 +113,30 @@ class Tokens:
             self.bare.clear()
         return self._chunks(text)
 
+    def _part(self, part: str) -> tuple[bytes, int]:
+        """Ids of a part of ``encode_all`` and marks: 1 begins with a stop, 2 ends with a letter or digit, 4 can't stand alone."""
+        bare = part[1:] if part[:1] == " " else part
+        if part != "\n" and bare.split(None, 1) != [bare]:
+            found = b"", 4
+        else:
+            marks = (1 if part[0] in ",." else 0) | (2 if part[-1].isalnum() and part[-1] < "\u0250" else 0)
+            letters = bare.isalpha() and (bare.isascii() or max(bare) < "\u0250")
+            found = self._letters(part) if letters else self._library(part), marks
+        if len(part) <= 64:
+            self.parts[part] = found
+        return found
+
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """``encode`` of each text, sharing the work on words.
 
-        A text of letters, single spaces and newlines, commas and full stops that stand alone is cut into words, stops and
-        newlines, each a pre-token of its own; distinct ones are looked up once for all texts. Other texts go one by one.
+        Texts are cut before each space, comma and full stop and around each newline. A cut at a single space between other
+        characters, at a stop behind a letter or digit, and at a newline between other characters is one that the library makes
+        too; texts with any other cut go one by one. Distinct parts are looked up once for all texts.
         """
         if not self.plain or not len(texts):
             return [self.encode(t) for t in texts.to_pylist()]
         cut = texts.fill_null("")
-        mixed = np.array(pc.match_substring(cut, "\0").to_pylist(), bool)
+        alone = np.array(pc.match_substring(cut, "\0").to_pylist(), bool)
         for x in (" ", ",", "."):
             cut = pc.replace_substring(cut, x, "\0" + x)
         cut = pc.split_pattern(pc.replace_substring(cut, "\n", "\0\n\0"), "\0")
@@ -130,34 +144,23 @@ class Tokens:
         words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         if len(self.parts) >= CHUNKS_KEPT:
-            self.parts = {x: self.parts[x] for x in (".", ",", "\n")}
-        known, ids = self.parts, []
-        for w in words:
-            found = known.get(w)
-            if found is None:
-                bare = w[1:] if w[:1] == " " else w
-                if bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):
-                    found = self._letters(w)
-                    if len(w) <= 64:
-                        known[w] = found
-            ids.append(found)
+            self.parts.clear()
+        known, make = self.parts.get, self._part
+        found = [known(w) or make(w) for w in words]
         kind = np.dtype({"H": "<u2", "I": "<u4"}[self.code])
-        other = np.array([x is None for x in ids], bool)
-        size = np.array([0 if x is None else len(x) // kind.itemsize for x in ids], np.int64)
-        stop = np.array([w in (".", ",") for w in words], bool)[index]
-        odd = other[index]
-        odd[1:] |= stop[1:] & stop[:-1] & ~np.isin(np.arange(1, len(index)), bounds)
+        marks = np.array([f[1] for f in found], np.uint8)[index]
+        size = np.array([len(f[0]) for f in found], np.int64) // kind.itemsize
+        odd = (marks & 4) > 0
+        odd[1:] |= ((marks[1:] & 1) > 0) & ((marks[:-1] & 2) == 0)
         row = np.repeat(np.arange(len(texts)), np.diff(bounds))
-        mixed |= np.bincount(row[odd], minlength=len(texts)) > 0
-        pool = np.frombuffer(b"".join([x or b"" for x in ids]), kind)
+        alone |= np.bincount(row[odd], minlength=len(texts)) > 0
+        pool = np.frombuffer(b"".join([f[0] for f in found]), kind)
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         many = size[index]
         ends = np.concatenate([[0], np.cumsum(many)])
-        tokens = pool[np.repeat(first[index] - ends[:-1], many) + np.arange(ends[-1])]
-        at = ends[bounds].tolist()
-        whole = tokens.tobytes()
-        step = kind.itemsize
-        return [self.encode(t.as_py()) if m else whole[step * x : step * y] for t, m, x, y in zip(texts, mixed.tolist(), at, at[1:])]
+        whole = pool[np.repeat(first[index] - ends[:-1], many) + np.arange(ends[-1])].tobytes()
+        at = (ends[bounds] * kind.itemsize).tolist()
+        return [self.encode(t.as_py()) if m else whole[x:y] for t, m, x, y in zip(texts, alone.tolist(), at, at[1:])]
 
     def _chunks(self, text: str) -> bytes:
         first, *rest = text.split(" ")
