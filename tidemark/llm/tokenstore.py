@@ -145,8 +145,18 @@ class Tokens:
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         if len(self.parts) >= CHUNKS_KEPT:
             self.parts.clear()
-        known, make = self.parts.get, self._part
-        found = [known(w) or make(w) for w in words]
+        found = list(map(self.parts.get, words))
+        if None in found:
+            tokenize, code, mark, parts = self.model.tokenize, self.code, self.mark, self.parts
+            for k, f in enumerate(found):
+                if f is None:
+                    w = words[k]
+                    if w.isascii() and len(w) <= 64 and w[1:].isalpha() and (w[0] == " " or w[0].isalpha()):
+                        # most new parts: letters, which the model takes as they are
+                        ids = tokenize(mark + w[1:] if w[0] == " " else w)
+                        found[k] = parts[w] = array(code, [t.id for t in ids]).tobytes(), 2
+                    else:
+                        found[k] = self._part(w)
         kind = np.dtype({"H": "<u2", "I": "<u4"}[self.code])
         marks = np.array([f[1] for f in found], np.uint8)[index]
         size = np.array([len(f[0]) for f in found], np.int64) // kind.itemsize
