@@ -1,6 +1,9 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import catalog
 from tidemark.functions import names as N
 from tidemark.functions import scalars as S
 from tidemark.operators.registry import unwrapped_criteria
@@ -68,3 +71,29 @@ def test_longest_phrase_wins(spark):
     names = spark.createDataFrame([("a", "folic acid and tea folic"), ("b", ""), ("c", None), ("d", "acid reflux")], "id string, name string")
     vocab = spark.createDataFrame([("folic acid",), ("folic",), ("tea",), ("acid",)], "substance string")
     assert sorted(map(tuple, N.match_phrases(names, vocab, "id", "name").collect())) == [("a", "folic"), ("a", "folic acid"), ("d", "acid")]
+
+
+def brute_phrases(text, vocabulary, shortest=4):
+    words, out, i = [w for w in re.split("[^a-z]+", text.lower()) if w], set(), 0
+    while i < len(words):
+        two = " ".join(words[i : i + 2])
+        if i + 1 < len(words) and two in vocabulary:
+            out.add(two)
+            i += 2
+            continue
+        if len(words[i]) >= shortest and words[i] in vocabulary:
+            out.add(words[i])
+        i += 1
+    return out
+
+
+def test_phrases_of_whole_texts_in_all_languages(spark, sample, tmp_path):
+    vocabulary = {"that the", "that", "this", "with the", "with", "from", "the"}
+    rows = [(1, "x " * 100 + "this", "en"), (2, "Käse with the that", "de"), (3, "from", None), (4, None, "en"), (5, "x " * 30_000 + "that the end", "fr"), (6, " ", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df.unionByName(spark.read.parquet(f"{sample}/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), "text", "lang")).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").collect()
+    expected = {(r.doc_id, p) for r in docs for p in brute_phrases(r.text or "", vocabulary)}
+    got = [tuple(r) for r in catalog.QUERIES["phrase_match_whole"](spark, str(tmp_path)).collect()]
+    assert {(1, "this"), (2, "with the"), (2, "that"), (3, "from"), (5, "that the")} <= set(got)
+    assert len(got) == len(set(got)) and set(got) == expected

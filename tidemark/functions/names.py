@@ -17,6 +17,8 @@ VAGUE = "nos unspecified unknown ingredient vitamins minerals cosmetics probioti
 NOT_A_DRUG = ["protein", "ethyl", "water", "lactose", "dextrose", "glucose", "sucrose", "oxygen", "nitrogen", "air", "alcohol", "honey", "stem cells", "lymphocytes"]
 SHORTEST_WORD = 4
 LONGEST_PHRASE = 4
+#: As many phrases may be broadcast; more are joined by a shuffle.
+PHRASES_SENT = 200_000
 
 
 def tokens(name: Column) -> Column:
@@ -39,20 +41,24 @@ def is_specific(name: Column) -> Column:
 def match_phrases(names: DataFrame, vocabulary: DataFrame, id: str, name: str, phrase: str = "substance") -> DataFrame:
     """Distinct (id, phrase): vocabulary phrases in normalized names, longest first from the left, without overlap.
 
-    All word n-grams of the distinct names meet the vocabulary in an equi-join, which Spark broadcasts if the vocabulary is
-    small; a fold over each name's hits, ordered by place and length, keeps the leftmost longest. One-word phrases need
-    ``SHORTEST_WORD`` characters. No Python, and each distinct name is matched once.
+    All word n-grams of the distinct names, as long as the longest phrase at most, meet the vocabulary in an equi-join, which is
+    a broadcast up to ``PHRASES_SENT`` phrases; a fold over each name's hits, ordered by place and length, keeps the leftmost
+    longest. One-word phrases need ``SHORTEST_WORD`` characters. No Python, and each distinct name is matched once. A name may
+    be a whole document: rows of n-grams carry a digest of it, so the work is linear in its words.
     """
-    words = names.select(id, F.col(name).alias("name_")).distinct()
-    distinct = words.select("name_").distinct().withColumn("words_", F.split("name_", " "))
-    many = F.size("words_")
-    spans = F.expr(
-        f"flatten(transform(sequence(0, size(words_) - 1), i -> transform(sequence(1, least({LONGEST_PHRASE}, size(words_) - i)), n -> struct(i as i, n as n, array_join(slice(words_, i + 1, n), ' ') as phrase))))"
-    )
-    grams = distinct.where((many > 0) & (F.col("name_") != "")).select("name_", F.explode(spans).alias("s")).select("name_", "s.*")
-    grams = grams.where((F.col("n") > 1) | (F.length("phrase") >= SHORTEST_WORD))
+    words = names.select(id, F.unhex(F.sha2(F.col(name), 256)).alias("key_"), F.col(name).alias("name_")).where(F.col("name_") != "")
     vocab = vocabulary.select(F.col(phrase).alias("phrase")).where(F.col("phrase").isNotNull()).distinct()
-    hits = grams.join(vocab, "phrase").groupBy("name_").agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("n")).alias("m"), "phrase"))).alias("hits"))
-    fold = F.expr("aggregate(hits, named_struct('upto', 0, 'got', cast(array() as array<string>)), (s, h) -> if(h.i >= s.upto, named_struct('upto', h.i - h.m, 'got', concat(s.got, array(h.phrase))), s), s -> array_distinct(s.got))")
-    found = hits.select("name_", F.explode(fold).alias(phrase))
-    return words.join(found, "name_").select(id, phrase).distinct()
+    many, longest = vocab.agg(F.count("*"), F.max(F.size(F.split("phrase", " ")))).first()
+    if many <= PHRASES_SENT:
+        vocab = F.broadcast(vocab)
+    distinct = words.select("key_", "name_").distinct().select("key_", F.split("name_", " ").alias("w0"))
+    reach = range(min(LONGEST_PHRASE, longest or 1))
+    row = F.arrays_zip("w0", *(F.slice("w0", k + 1, F.size("w0")).alias(f"w{k}") for k in reach[1:]))
+    at = distinct.select("key_", F.posexplode(row).alias("i", "w")).select("key_", "i", "w.*")
+    spans = [F.when(F.col(f"w{k}").isNotNull(), F.struct(F.lit(k + 1).alias("n"), F.concat_ws(" ", *(f"w{j}" for j in range(k + 1))).alias("phrase"))) for k in reach]
+    grams = at.select("key_", "i", F.explode(F.array(*spans)).alias("s")).select("key_", "i", "s.*").where("n is not null")
+    grams = grams.where((F.col("n") > 1) | (F.length("phrase") >= SHORTEST_WORD))
+    hits = grams.join(vocab, "phrase").groupBy("key_").agg(F.array_sort(F.collect_list(F.struct("i", (-F.col("n")).alias("m"), "phrase"))).alias("hits"))
+    fold = F.expr("aggregate(hits, named_struct('upto', 0, 'got', cast(array() as array<string>)), (s, h) -> if(h.i >= s.upto, named_struct('upto', h.i - h.m, 'got', array_union(s.got, array(h.phrase))), s), s -> s.got)")
+    found = hits.select("key_", F.explode(fold).alias(phrase))
+    return words.select(id, "key_").distinct().join(found, "key_").select(id, phrase).distinct()

@@ -62,8 +62,20 @@ def name_normalize(spark: SparkSession, d: str) -> DataFrame:
 def phrase_match(spark: SparkSession, d: str) -> DataFrame:
     """Two-word phrases of the vocabulary win over the single words they begin with."""
     x = B.table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.array_join(F.slice(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != ""), 1, 60), " ").alias("name"))
-    vocab = spark.createDataFrame([("that the",), ("that",), ("this",), ("with the",), ("with",), ("from",), ("the",)], "substance string")
-    return N.match_phrases(x, vocab, "doc_id", "name")
+    return N.match_phrases(x, _vocabulary(spark), "doc_id", "name")
+
+
+def phrase_match_whole(spark: SparkSession, d: str) -> DataFrame:
+    """``phrase_match`` over all words of every document in any or no language; its recursive SQL reads 60 English words only.
+
+    No SQL: held against brute force in tests/test_scalars.py.
+    """
+    x = B.table(spark, d, "documents").select("doc_id", F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")).alias("name"))
+    return N.match_phrases(x, _vocabulary(spark), "doc_id", "name")
+
+
+def _vocabulary(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("that the",), ("that",), ("this",), ("with the",), ("with",), ("from",), ("the",)], "substance string")
 
 
 def json_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +108,7 @@ def masking_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, text_blob, name_normalize, phrase_match, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
+    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, text_blob, name_normalize, phrase_match, phrase_match_whole, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
 )}
 
 
