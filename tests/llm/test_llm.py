@@ -173,6 +173,21 @@ def test_html(spark):
     assert len(html.main_text("<div>" * 3000 + "deep")) == 4
 
 
+def test_html_importance_decides_inside_and_outside_articles(spark):
+    def page(i, more=""):
+        own = f"<div class=story><p>body text {i} beside the teaser</p></div><article class=teaser><p>teaser {i}</p><div class=x>the same in every article</div></article>"
+        rest = f"<article class=comment><p>remark {i}</p></article><nav>entry {i}</nav><div class=y>the same on every page</div>skip"
+        return f"<body>{own}{rest}{more}</body>"
+
+    pages = [(i, f"http://h.example/{i}", page(i)) for i in range(20)]
+    pages += [(100 + i, f"http://side.example/{i}", f"<body><div class=sidebar><p>{f'long own text {i} ' * 20}</p></div><nav>entry {i}</nav></body>") for i in range(20)]
+    pages += [(200, "http://small.example/", page(0)), *((300 + i, "http://one.example/", "<article><p>one</p></article>") for i in range(9))]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[3] == "body text 3 beside the teaser\nteaser 3"
+    assert got[103] == ("long own text 3 " * 20).strip() and got[303] == "one"
+    assert got[200] == "body text 0 beside the teaser\nteaser 0\nthe same in every article\nthe same on every page\nskip"
+
+
 # 6 n-gram join
 
 

@@ -13,19 +13,24 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.llm.common import arrow_map, pinned, table, unused
 
-#: A style node whose importance lies below this goes, if its host has at least ``LEAST_PAGES`` pages with it.
+#: A style node whose importance lies below this (half of it inside an article) goes, if its host has at least ``LEAST_PAGES``
+#: pages with it.
 LOW = 0.25
 LEAST_PAGES = 8
-#: As many low nodes, some 100 bytes each, may be broadcast; more are joined by host in a shuffle.
+#: A node that the rules mark as noise stays if its content is as important and it holds this share of its host's text.
+HIGH = 0.75
+MASS = 0.25
+#: As many turned nodes, some 100 bytes each, may be broadcast; more are joined by host in a shuffle.
 NODES_SENT = 200_000
 ROWS = 128
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript")
-#: Elements that hold no article text whatever their place.
+#: Elements that are no text on the page, or mark theirs as noise (``WEAK``).
 NOISE = frozenset(
     "head script style noscript template iframe svg math canvas object nav footer aside form button select textarea input dialog menu title xmp noembed noframes audio video map datalist label option".split()
 )
+WEAK = frozenset("nav footer aside form button dialog menu label".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -45,34 +50,31 @@ CUT = re.compile(r"[\s ]+")
 DIGITS = re.compile(r"\d+")
 
 
-def _noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, str]:
-    """Whether an element is noise by its name, role or class, and its class for the style path."""
+def _noise(tag: str, attributes: str, in_article: bool) -> tuple[int, str]:
+    """2 if an element is not shown as text, 1 if its name, role or class marks it as noise, else 0; its class for the path."""
+    marked = 2 if tag in NOISE and tag not in WEAK else int(tag in WEAK or tag == "header" and not in_article)
     if not attributes.strip():
-        return tag in NOISE or tag == "header" and not in_article, ""
+        return marked, ""
     found = {k.lower(): (v or "").strip("\"'") for k, v in NAMED.findall(attributes)}
     label = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    bad = (
-        tag in NOISE
-        or tag == "header" and not in_article
-        or found.get("role", "").lower() in ROLES
-        or "hidden" in found
-        or found.get("aria-hidden", "").lower() == "true"
-        or "display:none" in found.get("style", "").replace(" ", "").lower()
-        or bool(label) and tag not in ("html", "body", "article", "main", "h1") and bool(MARKS.search(label))
-    )
-    return bad, DIGITS.sub("0", found.get("class", "").strip().lower())
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
+        marked = 2
+    elif found.get("role", "").lower() in ROLES or bool(label) and tag not in ("html", "body", "main", "h1") and bool(MARKS.search(label)):
+        marked = max(marked, 1)
+    return marked, DIGITS.sub("0", found.get("class", "").strip().lower())
 
 
 def blocks(page: str | None) -> list[tuple[str, bool, bool, str]]:
-    """Text blocks of a page in page order: style path, noise by rule, inside an article, text.
+    """Text blocks shown on a page in page order: style path, marked by rule, inside an article, text.
 
-    The path is the open elements' names with their classes, formatting elements left out. Unclosed and misplaced tags, cut
+    The path starts with what the rules say (``-`` marked, ``+`` in an article), so that a node of the style tree has one
+    mark; then come the open elements' names with their classes, formatting elements left out. Unclosed and misplaced tags, cut
     pages and comments are read as a browser would; character references are decoded, white space becomes one space.
     """
     out: list[tuple[str, bool, bool, str]] = []
     if not page:
         return out
-    stack: list[tuple[str, bool, str, bool]] = []  # name, noise so far, path so far, in an article
+    stack: list[tuple[str, int, str, bool]] = []  # name, noise so far, path so far, in an article
     held: list[str] = []
 
     def flush() -> None:
@@ -80,8 +82,9 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, str]]:
             text = CUT.sub(" ", entities.unescape("".join(held))).strip()
             held.clear()
             if text:
-                _, noise, path, inside = stack[-1] if stack else ("", False, "", False)
-                out.append((path, noise, inside, text))
+                _, noise, path, inside = stack[-1] if stack else ("", 0, "", False)
+                if noise < 2:
+                    out.append((("-" if noise else "+" if inside else "") + path, bool(noise), inside, text))
 
     def close(name: str, fence: frozenset[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -133,7 +136,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, str]]:
                 close("p", FENCE)
             for like in LIKE.get(name, ()):
                 close(like, FENCE - {like})
-        _, noise, path, inside = stack[-1] if stack else ("", False, "", False)
+        _, noise, path, inside = stack[-1] if stack else ("", 0, "", False)
         bad, label = _noise(name, attributes, inside)
         if name in BLOCK or bad:
             path = f"{path}/{name}.{label}" if label else f"{path}/{name}"
@@ -147,7 +150,7 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, str]]:
             at = end.end() if end else len(page)
             continue
         if len(stack) < 512:  # deeper elements count as part of the deepest
-            stack.append((name, noise or bad, path, inside))
+            stack.append((name, max(noise, bad), path, inside))
     flush()
     return out
 
@@ -157,13 +160,15 @@ def host(url: Column) -> Column:
 
 
 def style_tree(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """The low-importance nodes of each host's style tree: host, path.
-
-    The pages of a host are merged by style path. For a node on m of the host's pages, a content feature (the digest of a
-    block's text) on c of them has the entropy log c / log m: 0 if it is on one page only, 1 if on all. The importance of the
-    content is 1 less the mean entropy over the node's features; that of the presentation is the entropy of how often the
-    node occurs on a page, log-scaled in the same way. A node is kept for the larger of the two; nodes inside an article are
-    always kept. Counts are aggregated before they are shuffled, by host, path and digest, so that a hot host is spread.
+    """The nodes of each host's style tree whose importance overrules the rules: host, path.
+
+    All text blocks of the pages of a host are merged by style path. For a node on m of the host's pages, a content feature
+    (the digest of a block's text) on c of them has the entropy log c / log m: 0 if it is on one page only, 1 if on all. The
+    importance of the content is 1 less the mean entropy over the node's features; that of the presentation is the entropy of
+    how often the node occurs on a page, log-scaled in the same way. A node goes if the larger of the two is below ``low``,
+    inside an article below half of it. A node that the rules mark goes too, unless its content has the importance ``HIGH`` and
+    it holds the share ``MASS`` of its host's text. Nodes on fewer than ``least_pages`` pages are left to the rules. Counts are
+    aggregated before they are shuffled, by host, path and digest, so that a hot host is spread.
     """
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,34 +176,44 @@ def style_tree(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGE
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 rows: dict[tuple[str, str, int], int] = {}
+                chars: dict[tuple[str, str], int] = {}
                 for site, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     seen: dict[str, set[int]] = {}
-                    for path, noise, inside, text in blocks(page):
-                        if not noise and not inside:
-                            seen.setdefault(path, set()).add(hash_of(text))
+                    for path, _, _, text in blocks(page):
+                        seen.setdefault(path, set()).add(hash_of(text))
+                        chars[site, path] = chars.get((site, path), 0) + len(text)
                     for path, texts in seen.items():
                         for x in (*texts, 0, -len(texts)):  # 0 counts the pages, -n those with n features
                             key = (site, path, x)
                             rows[key] = rows.get(key, 0) + 1
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.string()), pa.array([k[2] for k in rows], pa.int64()), pa.array(list(rows.values()), pa.int64())],
-                        ["host", "path", "feature", "pages"],
+                        [
+                            *(pa.array([k[n] for k in rows], kind) for n, kind in enumerate((pa.string(), pa.string(), pa.int64()))),
+                            pa.array(list(rows.values()), pa.int64()),
+                            pa.array([0 if k[2] else chars[k[0], k[1]] for k in rows], pa.int64()),
+                        ],
+                        ["host", "path", "feature", "pages", "chars"],
                     )
 
-    counted = arrow_map(pages.select("host", "html"), features, "host string, path string, feature bigint, pages bigint")
-    counted = counted.groupBy("host", "path", "feature").agg(F.sum("pages").alias("pages"))
+    counted = arrow_map(pages.select("host", "html"), features, "host string, path string, feature bigint, pages bigint, chars bigint")
+    counted = counted.groupBy("host", "path", "feature").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"))
     logs = F.log(F.col("pages").cast("double"))
     kind = F.when(F.col("feature") > 0, "content").when(F.col("feature") < 0, "style")
     summed = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("feature") == 0, F.col("pages"))).alias("m"),
         F.avg(F.when(kind == "content", logs)).alias("content"),
         F.sum(F.when(kind == "style", F.col("pages") * logs)).alias("style"),
+        F.sum("chars").alias("chars"),
     )
+    whole = summed.groupBy(F.col("host").alias("site")).agg(F.sum("chars").alias("whole"))
+    summed = summed.where(F.col("m") >= least_pages).join(whole, F.col("host") == F.col("site"))
     m = F.log(F.col("m").cast("double"))
     content = 1 - F.col("content") / m
     style = (m - F.col("style") / F.col("m")) / m
-    return summed.where(F.col("m") >= least_pages).where(F.greatest(content, style) < low).select("host", "path")
+    least = F.when(F.col("path").startswith("+"), low / 2).otherwise(low)
+    stays = (content >= HIGH) & (F.col("chars") >= MASS * F.col("whole"))
+    return summed.where(F.when(F.col("path").startswith("-"), stays).otherwise(F.greatest(content, style) < least)).select("host", "path")
 
 
 def hash_of(text: str) -> int:
@@ -211,37 +226,38 @@ def hash_of(text: str) -> int:
 def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all but html, if none are named) and text, the main text of each whole page.
 
-    Two passes over the pages: one builds the style trees of the hosts, one removes from each page the branches that are noise
-    by element, role or class and those of low importance on its host. If a page has an article, blocks outside it go. Null or
-    empty html: ''. Null url: the pages without a host share a tree. The low nodes are broadcast if there are few of them,
-    else joined by host.
+    Two passes over the pages: one builds the style trees of the hosts, one removes from each page the branches that the tree of
+    its host finds of low importance, or that are marked by element, role or class and not found important. Null or empty
+    html: ''. Null url: the pages without a host share a tree. The nodes where tree and rules differ are broadcast if there are
+    few of them, else joined by host.
     """
     names = [c for c in (keep or pages.columns) if c not in (html, "text")]
-    own_host, own_html, other, gone_ = (unused(names, n) for n in ("host_", "html_", "host__", "low_"))
+    own_host, own_html, other, turned_ = (unused(names, n) for n in ("host_", "html_", "host__", "turned_"))
     source = pages.select(*names, F.col(html).alias(own_html), host(F.col(url)).alias(own_host))
-    low = pinned(style_tree(pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html"))))
-    per_host = low.groupBy(F.col("host").alias(other)).agg(F.sort_array(F.collect_list("path")).alias(gone_))
-    if low.count() <= NODES_SENT:
+    nodes = pinned(style_tree(pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html"))))
+    per_host = nodes.groupBy(F.col("host").alias(other)).agg(F.sort_array(F.collect_list("path")).alias(turned_))
+    if nodes.count() <= NODES_SENT:
         per_host = F.broadcast(per_host)
-    joined = source.join(per_host, F.col(own_host) == F.col(other), "left").select(*names, own_html, gone_)
+    joined = source.join(per_host, F.col(own_host) == F.col(other), "left").select(*names, own_html, turned_)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = [main_text(page, frozenset(gone or ())) for page, gone in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())]
+                texts = [main_text(page, frozenset(turned or ())) for page, turned in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, "text"])
 
     return arrow_map(joined, run, StructType([*source.select(*names).schema.fields, StructField("text", StringType())]))
 
 
-def main_text(page: str | None, low: frozenset[str] = frozenset()) -> str:
-    found = [b for b in blocks(page) if not b[1]]
-    if any(b[2] for b in found):
-        found = [b for b in found if b[2]]
-    else:
-        found = [b for b in found if not any(b[0] == x or b[0].startswith(x + "/") for x in low)]
-    return "\n".join(b[3] for b in found)
+def main_text(page: str | None, turned: frozenset[str] = frozenset()) -> str:
+    """The blocks that the rules do not mark, but for ``turned`` nodes, whose blocks are treated the other way.
+
+    If that leaves nothing, as on a host that serves one page under many addresses, what is unmarked in an article stays.
+    """
+    found = blocks(page)
+    kept = [b for b in found if b[1] == (b[0] in turned)] or [b for b in found if b[2] and not b[1]]
+    return "\n".join(b[3] for b in kept)
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
