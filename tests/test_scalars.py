@@ -1,6 +1,8 @@
 import re
 
+import duckdb
 import pytest
+from conftest import rows_of, rows_of_sql
 from pyspark.sql import functions as F
 
 from tidemark import catalog
@@ -97,3 +99,15 @@ def test_phrases_of_whole_texts_in_all_languages(spark, sample, tmp_path):
     got = [tuple(r) for r in catalog.QUERIES["phrase_match_whole"](spark, str(tmp_path)).collect()]
     assert {(1, "this"), (2, "with the"), (2, "that"), (3, "from"), (5, "that the")} <= set(got)
     assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_scrub_of_all_languages_equals_sql(spark, tmp_path):
+    texts = ["This goes. \u0130this stays? was", "Es war. this geht.", "th\u0130s. WAS~ja", "\u212awas. \u00e9this", None, "", "no end", "th\u0131s. \u017fwas. thi\u017f."]
+    rows = [(i, t, (None, "de", "fr", "en")[i % 4]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = rows_of(catalog.QUERIES["sentence_scrub_whole"](spark, str(tmp_path)))
+    assert len(got[1]) == len(texts) and got == rows_of_sql(con, catalog.SQL["sentence_scrub_whole"])
+    kept = {r.doc_id: r.k for r in spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", S.without_ending(F.col("text"), "(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])").alias("k")).collect()}
+    assert kept[1] == "Es war. " and kept[2] == "th\u0130s. ja"

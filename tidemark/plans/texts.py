@@ -42,7 +42,16 @@ def line_filter_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_scrub(spark: SparkSession, d: str) -> DataFrame:
-    x = B.table(spark, d, "documents").where("lang = 'en'")
+    """``sentence_scrub_whole`` over English documents only, as its SQL reads them."""
+    return _scrubbed(B.table(spark, d, "documents").where("lang = 'en'"))
+
+
+def sentence_scrub_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The scrub of every document, in any or no language."""
+    return _scrubbed(B.table(spark, d, "documents"))
+
+
+def _scrubbed(x: DataFrame) -> DataFrame:
     kept = S.without_ending(F.col("text"), r"(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])")
     return x.select("doc_id", F.length(kept).alias("chars"), F.md5(kept.cast("binary")).alias("digest"))
 
@@ -108,7 +117,7 @@ def masking_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, text_blob, name_normalize, phrase_match, phrase_match_whole, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
+    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, sentence_scrub_whole, text_blob, name_normalize, phrase_match, phrase_match_whole, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
 )}
 
 
@@ -133,6 +142,7 @@ SQL = {
     "age_parse": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size / 12.0::DOUBLE, 2) WHEN 2 THEN round(p_size / 52.0::DOUBLE, 2) WHEN 3 THEN round(p_size / 365.0::DOUBLE, 2) END AS age FROM part",
     "line_filter_count": r"WITH x AS (SELECT doc_id, replace(text, chr(10), '~') AS c FROM documents) SELECT doc_id, len(list_filter(string_split(c, '~'), lambda x: trim(x, ' ') <> '' AND NOT regexp_matches(lower(trim(x, ' ')), 'criteria\s*:?$')))::INT AS criteria_count, length(c)::INT AS criteria_chars FROM x",
     "sentence_scrub": r"WITH x AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.~]*[.~]|[^.~]+$'), lambda s: CASE WHEN regexp_matches(lower(s), '(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])') THEN ' ' ELSE s END), '') AS k FROM documents WHERE lang = 'en') SELECT doc_id, length(k)::INT AS chars, md5(k) AS digest FROM x",
+    "sentence_scrub_whole": r"WITH x AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.~]*[.~]|[^.~]+$'), lambda s: CASE WHEN regexp_matches(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])') THEN ' ' ELSE s END), '') AS k FROM documents) SELECT doc_id, length(k)::INT AS chars, md5(k) AS digest FROM x",
     "text_blob": "WITH x AS (SELECT conv_id, turn, concat_ws(chr(10), role, nullif(text, ''), 'a b', CASE WHEN turn > 1 THEN 'k' END) AS b FROM conversations) SELECT conv_id, turn, length(b)::INT AS chars, md5(b) AS digest FROM x",
     "name_normalize": f"WITH x AS (SELECT p_partkey, array_to_string(list_filter(string_split({_NAME}, ' '), lambda w: w <> '' AND w NOT IN ({_NOISE}) AND NOT suffix(w, 'hydrate') AND NOT regexp_full_match(w, '[0-9]+')), ' ') AS name FROM part) SELECT p_partkey, name, name NOT IN ({_PLAIN}) AND NOT list_has_any(string_split(name, ' '), [{_VAGUE}]) AS specific FROM x",
     "phrase_match": """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')[1:60] AS w FROM documents WHERE lang = 'en'),
