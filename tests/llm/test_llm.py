@@ -371,6 +371,19 @@ def test_language(spark, sample, odd, empty):
     assert {r.lang_pred for r in language.identify(odd, none).collect()} == {"und"} and language.identify(empty, none).count() == 0
 
 
+def test_language_samples_each_language(spark):
+    pick = random.Random(3)
+    words = {lang: ["".join(pick.choices(letters, k=5)) for _ in range(200)] for lang, letters in (("en", "abcdefghijklm"), ("rare", "αβγδεζηθικλμ"), ("one", "абвгдежзиклм"))}
+    rows = [(i, " ".join(pick.choices(words[lang], k=40)), lang) for lang, n, at in (("en", 3000, 0), ("rare", 3, 5000), ("one", 1, 6000)) for i in range(at, at + n)]
+    rows += [(7000, rows[0][1], "wrong"), (None, rows[1][1], "en"), (7001, "... 12", "none"), (7002, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, sample_docs=100)
+    assert model.languages == ["en", "one", "rare", "wrong"]
+    got = language.identify(df, model).where("text is not null and lang in ('en', 'one', 'rare')").collect()
+    wrong = [r.doc_id for r in got if r.lang_pred != r.lang and r.doc_id != 0]  # 0 is the text labelled wrong
+    assert not wrong and all(r.lang_cover >= 0.3 for r in got)
+
+
 def test_language_filter_tells_all_languages_of_a_gram():
     many = [f"l{k:03d}" for k in range(70)]  # more than one word of bits
     grams = [np.arange(k * 50, k * 50 + 50, dtype=np.uint64) for k in range(70)]

@@ -15,8 +15,14 @@ from tidemark.llm.common import arrow_map, only, table, unused
 
 #: Letters (and the blanks around words) of an n-gram.
 GRAM = 4
-#: Training reads about so many documents, spread by a hash of doc_id; n-grams are taken from the whole text of each.
+#: Training reads about so many documents of each language, spread by a hash of doc_id, and all of a language that has no more;
+#: n-grams are taken from the whole text of each.
 SAMPLE_DOCS = 12_000
+#: A language of fewer sampled documents has all their n-grams counted, others those of two documents or more. When languages
+#: are compared, so many documents without the n-gram are added, so that a handful does not take n-grams from the others.
+FEW_DOCS = 20
+#: N-grams that a worker holds before it counts them.
+HELD = 2_000_000
 #: The most frequent n-grams of each language enter the filter.
 GRAMS_KEPT = 8_000
 #: A language holds an n-gram if it is in this share of the documents, against the language that has it most often.
@@ -134,31 +140,48 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, grams_kept: int = GRA
 
     An n-gram that a language has far less often than another (quotations, mixed texts) is not counted as its own.
 
-    Fitted on a bounded, documented sample of about ``sample_docs`` rows chosen by a hash of doc_id; what comes to the driver
-    is ``grams_kept`` n-grams per language.
+    Fitted on a bounded, documented sample: about ``sample_docs`` rows of each language, chosen by a hash of doc_id (without one,
+    of the text), and every row of a language with no more. So each language with an n-gram in its rows is learned at any input
+    size. What comes to the driver is ``grams_kept`` n-grams per language.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = known.count()
-    share = 1.0 if n <= sample_docs else sample_docs / n
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
-    sample = known.where(spot < int(share * (1 << 32))).select("lang", "text")
+    large = known.groupBy("lang").count().where(F.col("count") > sample_docs).collect()  # one row per large language
+    bounds = docs.sparkSession.createDataFrame([(r.lang, int(sample_docs / r["count"] * (1 << 32))) for r in large], "lang string, bound long")
+    spot = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(1 << 32))
+    sample = known.select("lang", "text", spot.alias("spot")).join(F.broadcast(bounds), "lang", "left")
+    sample = sample.where(F.col("bound").isNull() | (F.col("spot") < F.col("bound"))).select("lang", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                grams, times = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(times, pa.int64())], ["lang", "gram", "n"])
+            held.clear()
+
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 langs = np.array(batch.column(0).to_pylist(), object)
-                code, row, _ = _grams(batch.column(1).to_pylist())
-                for lang in sorted(set(langs.tolist())):
-                    own = (langs == lang)[row]
-                    pair = np.unique(np.stack([row[own].astype(np.uint64), code[own]]), axis=1) if own.any() else np.empty((2, 0), np.uint64)
-                    grams, times = np.unique(pair[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(times, pa.int64())], ["lang", "gram", "n"])
+                code, row, _ = _grams([t.replace("\0", " ") for t in batch.column(1).to_pylist()])
+                cuts = np.searchsorted(row, np.arange(len(langs) + 1))
+                for k, lang in enumerate(langs):
+                    own = np.unique(code[cuts[k] : cuts[k + 1]])
+                    if len(own):
+                        held.setdefault(lang, []).append(own)
+                        size += len(own)
+                if size >= HELD:
+                    yield from counts()
+                    size = 0
+        yield from counts()
 
     counted = arrow_map(sample, count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     docs_of = sample.groupBy("lang").agg(F.count("*").alias("docs"))
-    rate = counted.where("n > 1").join(F.broadcast(docs_of), "lang").withColumn("rate", F.col("n") / F.col("docs"))  # one row per language
-    rate = rate.withColumn("most", F.max("rate").over(Window.partitionBy("gram"))).where(F.col("rate") >= OWN_SHARE * F.col("most"))
+    rate = counted.join(F.broadcast(docs_of), "lang").where((F.col("n") > 1) | (F.col("docs") < FEW_DOCS))  # one row per language
+    rate = rate.withColumn("rate", F.col("n") / F.col("docs")).withColumn("sure", F.col("n") / (F.col("docs") + FEW_DOCS))
+    rate = rate.withColumn("most", F.max("sure").over(Window.partitionBy("gram"))).where(F.col("rate") >= OWN_SHARE * F.col("most"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     kept = rate.withColumn("place", F.row_number().over(best)).where(F.col("place") <= grams_kept)
     found = kept.groupBy("lang").agg(F.array_sort(F.collect_list("gram")).alias("grams")).collect()
