@@ -34,16 +34,16 @@ def test_stop_reason(spark, text, reason):
 
 
 def test_enums(spark):
-    assert one(spark, S.norm, "Active, not recruiting") == "ACTIVE_NOT_RECRUITING"
-    assert one(spark, S.norm, "Phase 1/Phase 2") == "PHASE1/PHASE2"
-    assert one(spark, S.design_value, "Parallel Assignment") == "PARALLEL"
-    assert one(spark, S.design_value, "N/A") == "NA"
-    assert one(spark, S.masking_value, "Double Blind (Subject, Investigator)") == "DOUBLE"
-    assert one(spark, S.masking_value, "None (Open Label)") == "NONE"
-    assert one(spark, S.masking_value, "Participant, Investigator") == "DOUBLE"
-    assert one(spark, lambda c: S.masking_value(c, F.lit(3)), "Double Blind") == "TRIPLE"
-    assert [one(spark, S.flag, w) for w in ("t", "No", "Accepts Healthy Volunteers", "?", None)] == [True, False, True, None, None]
-    assert [one(spark, S.age_years, w) for w in ("18 Years", "6 Months", "N/A", None)] == [18.0, 0.5, None, None]
+    assert one(spark, S.enum, "Active, not recruiting") == "ACTIVE_NOT_RECRUITING"
+    assert one(spark, S.enum, "Phase 1/Phase 2") == "PHASE1/PHASE2"
+    assert one(spark, S.design_enum, "Parallel Assignment") == "PARALLEL"
+    assert one(spark, S.design_enum, "N/A") == "NA"
+    assert one(spark, S.masking_level, "Double Blind (Subject, Investigator)") == "DOUBLE"
+    assert one(spark, S.masking_level, "None (Open Label)") == "NONE"
+    assert one(spark, S.masking_level, "Participant, Investigator") == "DOUBLE"
+    assert one(spark, lambda c: S.masking_level(c, F.lit(3)), "Double Blind") == "TRIPLE"
+    assert [one(spark, S.truth, w) for w in ("t", "No", "Accepts Healthy Volunteers", "?", None)] == [True, False, True, None, None]
+    assert [one(spark, S.years_of_age, w) for w in ("18 Years", "6 Months", "N/A", None)] == [18.0, 0.5, None, None]
 
 
 def test_dates_and_ids(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.gates import DataGateError
 from tidemark.operators import checks
 from tidemark.operators import registry as R
+from tidemark.operators.snapshot import Snapshot, gate_trials
 from tidemark.sources import registry as A
 from tidemark.sources import reports, store
 
@@ -34,26 +35,28 @@ def test_registry_jobs(spark, tmp_path):
     designs = table(spark, tmp_path, "designs", "id nct_id allocation intervention_model primary_purpose masking".split(), [["1", "N1", "", "Single Group Assignment", "Treatment", "Double"]])
     sponsors = table(spark, tmp_path, "sponsors", "id nct_id agency_class lead_or_collaborator name".split(), [[str(k), f"N{k}", "Industry" if k % 2 else "NIH", "lead", "S"] for k in range(1, 8)] + [["9", "N1", "", "collaborator", "T"]])
     drugs = table(spark, tmp_path, "interventions", "id nct_id intervention_type name".split(), [[str(k), f"N{k}", "Drug", f"d{k}"] for k in range(1, 8)])
-    trials = R.build_trials(studies, designs, sponsors, drugs)
+    snap = Snapshot(studies=studies, designs=designs, sponsors=sponsors, interventions=drugs)
+    trials = snap.eligible()
     got = {r.nct_id: r for r in trials.collect()}
     assert {k: v.label for k, v in got.items()} == {"N1": 0, "N2": 1, "N3": None}
     assert got["N2"].stop_reason == "enrollment" and got["N1"].allocation == "NA" and got["N1"].sponsor_class == "INDUSTRY" and got["N2"].number_of_arms is None
-    assert R.build_drug_interventions(drugs, trials).count() == 3
-    assert sorted(r.nct_id for r in R.build_sponsor_outcomes(studies, sponsors).collect()) == ["N1", "N2", "N5", "N6"]
-    assert R.build_sponsor_starts(studies, sponsors).count() == 5
-    with pytest.raises(DataGateError):
-        R.check_trials(trials, 100)
+    assert snap.drugs(trials).count() == 3
+    assert sorted(r.nct_id for r in snap.ended().collect()) == ["N1", "N2", "N5", "N6"]
+    assert snap.begun().count() == 5
+    with pytest.raises(DataGateError, match="2 labeled"):
+        gate_trials(trials, 100)
     assert studies.where("nct_id = 'N1'").first().official_title == 'A "quoted"\ntitle'
     countries = spark.createDataFrame([("N1", "France"), ("N1", "France"), ("N2", "United States")], "nct_id string, name string")
     elig = spark.createDataFrame([("N1", "Both", "18 Years", "N/A", "No", "Inclusion Criteria:~a~b")], "nct_id string, gender string, minimum_age string, maximum_age string, healthy_volunteers string, criteria string")
     cond = spark.createDataFrame([("N1", "Neoplasms"), ("N1", "Other")], "nct_id string, mesh_term string")
     party = spark.createDataFrame([("N1", "Sponsor-Investigator")], "nct_id string, responsible_party_type string")
     words = spark.createDataFrame([("N1", "b"), ("N1", "a")], "nct_id string, name string")
-    a = {r.nct_id: r for r in R.build_attributes(trials, countries, elig, cond, sponsors, party, words).collect()}
+    told = spark.createDataFrame([("N1", "Good. It was halted.")], "nct_id string, description string")
+    snap = Snapshot(studies=studies, sponsors=sponsors, countries=countries, eligibilities=elig, browse_conditions=cond, responsible_parties=party, keywords=words, brief_summaries=told)
+    a = {r.nct_id: r for r in snap.attributes(trials).collect()}
     assert (a["N1"].n_countries, a["N1"].us_only, a["N1"].sex, a["N1"].criteria_count, a["N1"].area_neoplasms, a["N1"].n_collaborators, a["N1"].n_keywords) == (1, False, "ALL", 2, True, 1, 2)
     assert a["N2"].us_only is True and a["N3"].n_countries == 0 and a["N3"].area_blood is False
-    told = spark.createDataFrame([("N1", "Good. It was halted.")], "nct_id string, description string")
-    text = {r.nct_id: r.text for r in R.build_text(trials, studies, told, elig, words).collect()}
+    text = {r.nct_id: r.text for r in snap.texts(trials).collect()}
     assert text["N1"].split("\n")[2:] == ["Good. ", "Inclusion Criteria: a b", "a, b"] and text["N2"] == "b2"
 
 
@@ -149,5 +152,5 @@ def test_archive_features_keep_unknown_areas(spark):
         "keywords": f("nct_id name", [("N1", "k")]),
         "brief_summaries": f("nct_id description", [("N1", "d")]),
     }
-    r = R.registry_features(t, spark.createDataFrame([("N1",)], "nct_id string"), "2017-01-01").first()
+    r = Snapshot(**t).features(spark.createDataFrame([("N1",)], "nct_id string"), "2017-01-01", R.unwrapped_criteria).first()
     assert (str(r.archive_start_date), r.masking, r.sponsor_class, r.area_neoplasms, r.criteria_count) == ("2015-01-31", "TRIPLE", "GOVERNMENT", None, 2)

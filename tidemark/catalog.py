@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import features, models, statistics, texts, views
+from tidemark.plans import features, models, registry, statistics, texts, views
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _part in (features, views, texts, statistics, models):
+for _part in (features, registry, views, texts, statistics, models):
     QUERIES |= _part.QUERIES
     SQL |= _part.SQL

@@ -11,14 +11,14 @@ from tidemark.plans import base as B
 
 
 def normalize_enum(spark: SparkSession, d: str) -> DataFrame:
-    p = B.table(spark, d, "orders").select("o_orderkey", S.norm(F.concat(F.lit(" Phase "), F.col("o_orderpriority"), F.lit(" Assignment"))).alias("norm"))
-    return p.withColumn("design", S.design_value(F.concat(F.col("norm"), F.lit("__"))))
+    p = B.table(spark, d, "orders").select("o_orderkey", S.enum(F.concat(F.lit(" Phase "), F.col("o_orderpriority"), F.lit(" Assignment"))).alias("norm"))
+    return p.withColumn("design", S.design_enum(F.concat(F.col("norm"), F.lit("__"))))
 
 
 def flag_parse(spark: SparkSession, d: str) -> DataFrame:
     words = F.array(*map(F.lit, ["t", " Yes", "F", "no ", "Accepts Healthy Volunteers", "maybe", "1", "0", ""]))
     c = B.table(spark, d, "customer").select("c_custkey", F.get(words, (F.col("c_custkey") % 10).cast("int")).alias("word"))
-    return c.select("c_custkey", S.flag(F.col("word")).alias("flag"))
+    return c.select("c_custkey", S.truth(F.col("word")).alias("flag"))
 
 
 REASONS = ["Safety concerns", "Business decision; no safety concerns", "low enrollment", "lack of efficacy", "sponsor decision", "drug supply", "", "Unknown cause", "slow accrual, funding ended", "did not meet the endpoint"]
@@ -33,7 +33,7 @@ def stop_reason_text(spark: SparkSession, d: str) -> DataFrame:
 def age_parse(spark: SparkSession, d: str) -> DataFrame:
     p = B.table(spark, d, "part")
     unit = F.get(F.array(*map(F.lit, ["Years", "Months", "Weeks", "Days", "N/A"])), (F.col("p_partkey") % 5).cast("int"))
-    return p.select("p_partkey", S.age_years(F.concat_ws(" ", F.col("p_size").cast("string"), unit)).alias("age"))
+    return p.select("p_partkey", S.years_of_age(F.concat_ws(" ", F.col("p_size").cast("string"), unit)).alias("age"))
 
 
 def line_filter_count(spark: SparkSession, d: str) -> DataFrame:
@@ -113,7 +113,7 @@ def valid_dates(spark: SparkSession, d: str) -> DataFrame:
 def masking_levels(spark: SparkSession, d: str) -> DataFrame:
     words = F.array(*map(F.lit, ["None (Open Label)", "Double Blind (Subject, Investigator)", "Participant, Investigator", "No masking", "Single Blind", "QUADRUPLE", "other way_"]))
     c = B.table(spark, d, "customer").select("c_custkey", F.get(words, (F.col("c_custkey") % 7).cast("int")).alias("w"), (F.col("c_custkey") % 5).cast("int").alias("n"))
-    return c.select("c_custkey", S.masking_value(F.col("w")).alias("level"), S.masking_value(F.col("w"), F.col("n")).alias("by_parties"))
+    return c.select("c_custkey", S.masking_level(F.col("w")).alias("level"), S.masking_level(F.col("w"), F.col("n")).alias("by_parties"))
 
 
 QUERIES = {f.__name__: f for f in (
