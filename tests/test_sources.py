@@ -108,6 +108,19 @@ def test_store(spark, tmp_path):
     assert typed.first().asDict() == {"nct_id": "a", "label": 1, "phase": None}
 
 
+def test_load_stops_on_missing_and_empty_folders(spark, tmp_path):
+    folder = f"file://{tmp_path}"
+    with pytest.raises(DataGateError, match="missing"):
+        store.load(spark, folder, {"RAW_TRIAL_TEXT": "text"})
+    (tmp_path / "text").mkdir()
+    (tmp_path / "text" / "_SUCCESS").touch()
+    with pytest.raises(DataGateError, match="empty"):
+        store.load(spark, folder, {"RAW_TRIAL_TEXT": "text"})
+    spark.createDataFrame([("N1", "x")], "NCT_ID string, text string").write.mode("overwrite").parquet(f"{folder}/text")
+    store.load(spark, folder, {"RAW_TRIAL_TEXT": "text"})
+    assert spark.table("RAW_TRIAL_TEXT").first().asDict() == {"nct_id": "N1", "text": "x"}
+
+
 def test_archives_and_partitions(tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("studies.txt", "x")

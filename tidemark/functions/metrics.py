@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.staging import pinned
+
 
 def _by(groups: list[str]) -> list[str]:
     return list(groups or [])
@@ -54,25 +56,35 @@ def decile(place: Column, n: Column, bins: int = 10) -> Column:
     return F.greatest(F.lit(1), F.ceil((place - 1) * bins / F.greatest(n - 1, F.lit(1)))).cast("int")
 
 
-def with_place(df: DataFrame, order: list, name: str = "place") -> DataFrame:
-    """1-based place of each row in a total order.
+def with_place(df: DataFrame, order: list, name: str = "place", total: str | None = None) -> DataFrame:
+    """1-based place of each row in a total order, and the number of rows as ``total`` if that is named.
 
-    Rows are sorted by range over all tasks; each takes its task's offset, from one row per task, and its place within it.
+    Rows are sorted by range over all tasks and kept once in the shared folder; then each takes the offset of its task, from
+    one row per task, and its place within it. No task sees all rows.
     """
-    ordered = df.orderBy(*order)
+    ordered = pinned(df.orderBy(*order))
     part = ordered.withColumn("task_", F.spark_partition_id()).withColumn("id_", F.monotonically_increasing_id())
     sizes = part.groupBy("task_").agg(F.count("*").alias("m_"), F.min("id_").alias("first_"))
     before = Window.orderBy("task_").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("task_", "first_", F.coalesce(F.sum("m_").over(before), F.lit(0)).alias("before_"))
+    offsets = sizes.select("task_", "first_", F.coalesce(F.sum("m_").over(before), F.lit(0)).alias("before_"), F.sum("m_").over(Window.partitionBy()).alias("all_"))
     joined = part.join(F.broadcast(offsets), "task_")
-    return joined.withColumn(name, F.col("before_") + F.col("id_") - F.col("first_") + 1).drop("task_", "id_", "first_", "before_")
+    placed = joined.withColumn(name, F.col("before_") + F.col("id_") - F.col("first_") + 1)
+    placed = placed if total is None else placed.withColumn(total, F.col("all_"))
+    return placed.drop("task_", "id_", "first_", "before_", "all_")
+
+
+def equal_bin(place: Column, n: Column, bins: int) -> Column:
+    """Bin of the 1-based place among n when bins differ by one row at most, the larger ones first (as ntile has it)."""
+    size, longer = F.floor(n / bins), n % bins
+    edge = longer * (size + 1)
+    late = longer + F.ceil((place - edge) / F.greatest(size, F.lit(1)))
+    return F.when(place <= edge, F.ceil(place / (size + 1))).otherwise(late).cast("int")
 
 
 def calibration(df: DataFrame, score: str, label: str, key: str, bins: int = 10) -> DataFrame:
     """Mean score and share of positives in each quantile bin."""
-    order = Window.orderBy(score, key)
-    placed = df.select(score, label, key).withColumn("place", F.row_number().over(order)).withColumn("n_", F.count("*").over(Window.partitionBy()))
-    return placed.groupBy(decile(F.col("place"), F.col("n_"), bins).alias("bin")).agg(F.count("*").alias("n"), F.avg(score).alias("predicted"), F.avg(F.col(label).cast("double")).alias("observed"))
+    placed = with_place(df.select(score, label, key), [score, key], "place_", "n_")
+    return placed.groupBy(decile(F.col("place_"), F.col("n_"), bins).alias("bin")).agg(F.count("*").alias("n"), F.avg(score).alias("predicted"), F.avg(F.col(label).cast("double")).alias("observed"))
 
 
 def percentile_against(df: DataFrame, reference: DataFrame, score: str, ref_score: str) -> DataFrame:

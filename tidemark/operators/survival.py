@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import metrics as M
+
 WIDTH, PERIODS = 0.5, 16
 
 
@@ -155,5 +157,6 @@ def observed_expected(periods: DataFrame, start: str, expected: str, width: floa
 
 def calibration_by_bin(df: DataFrame, cif: str, key: str, at: float, bins: int = 10) -> DataFrame:
     """Mean predicted and Aalen-Johansen incidence at ``at`` in equal bins of the prediction."""
-    binned = df.withColumn("bin", F.ntile(bins).over(Window.orderBy(cif, key)))
+    placed = M.with_place(df, [cif, key], "place_", "n_")
+    binned = placed.withColumn("bin", M.equal_bin(F.col("place_"), F.col("n_"), bins)).drop("place_", "n_")
     return binned.groupBy("bin").agg(F.count("*").alias("n"), F.avg(cif).alias("predicted")).join(incidence_at(binned, [at], ["bin"]).withColumnRenamed(f"at_{at:g}".replace(".", "_"), "observed"), "bin", "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
@@ -55,13 +55,17 @@ def spearman(spark: SparkSession, d: str) -> DataFrame:
 
 
 def score_deciles(spark: SparkSession, d: str) -> DataFrame:
-    s = M.with_place(scored(spark, d).select("doc_id", "score"), ["score", "doc_id"])
-    n = s.count()
-    return s.select("doc_id", M.decile(F.col("place"), F.lit(n)).alias("decile"))
+    s = M.with_place(scored(spark, d).select("doc_id", "score"), ["score", "doc_id"], total="n")
+    return s.select("doc_id", M.decile(F.col("place"), F.col("n")).alias("decile"))
 
 
 def equal_bins(spark: SparkSession, d: str) -> DataFrame:
-    return B.table(spark, d, "part").select("p_partkey", F.ntile(10).over(Window.orderBy("p_retailprice", "p_partkey")).alias("bin"))
+    p = M.with_place(B.table(spark, d, "part").select("p_partkey", "p_retailprice"), ["p_retailprice", "p_partkey"], "place", "n")
+    return p.select("p_partkey", M.equal_bin(F.col("place"), F.col("n"), 10).alias("bin"))
+
+
+def calibration_by_bin(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(V.calibration_by_bin(risked(spark, d), "risk", "trial_id", 2.0))
 
 
 def ends(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +136,7 @@ def landmark_set(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    top_fraction_precision, auc_rank_sum, average_precision, brier, calibration_deciles, subgroup_auc, percentile_vs_reference, spearman, score_deciles, equal_bins, durations, person_period,
+    top_fraction_precision, auc_rank_sum, average_precision, brier, calibration_deciles, subgroup_auc, percentile_vs_reference, spearman, score_deciles, equal_bins, calibration_by_bin, durations, person_period,
     km_censoring, aalen_johansen, aj_by_cohort, ipcw_auc, ipcw_brier, observed_expected_by_year, conditional_cif, cumulative_incidence, landmark_set,
 )}
 _S = "s AS (SELECT doc_id, lang, round(least(n_chars / 20000.0::DOUBLE, 1.0::DOUBLE), 3) AS score, quality AS y FROM documents JOIN labels USING (doc_id))"
@@ -167,6 +171,11 @@ SQL = {
       a AS (SELECT cohort, time, d1, at_risk, coalesce(exp(sum(ln(CASE WHEN d1 + d2 < at_risk THEN 1 - (d1 + d2) / at_risk::DOUBLE END)) OVER (PARTITION BY cohort ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS s FROM tc WHERE d1 + d2 > 0),
       b AS (SELECT cohort, time, sum(s * d1 / at_risk::DOUBLE) OVER (PARTITION BY cohort ORDER BY time) AS i FROM a)
       SELECT cohort, """ + ", ".join(f"round(coalesce(max(CASE WHEN time <= {x} THEN i END), 0), 6) AS at_{x}" for x in (1, 2, 5)) + " FROM b GROUP BY 1",
+    "calibration_by_bin": f"""WITH {_E}, k AS (SELECT *, round((trial_id * 37 % 1000) / 1000.0::DOUBLE, 3) AS risk FROM e), b AS (SELECT *, ntile(10) OVER (ORDER BY risk, trial_id)::INT AS bin FROM k),
+      tb AS (SELECT bin, time, count(*) FILTER (event = 1) AS d1, count(*) FILTER (event = 2) AS d2, sum(count(*)) OVER (PARTITION BY bin ORDER BY time DESC) AS at_risk FROM b GROUP BY bin, time),
+      a AS (SELECT bin, time, d1, at_risk, coalesce(exp(sum(ln(CASE WHEN d1 + d2 < at_risk THEN 1 - (d1 + d2) / at_risk::DOUBLE END)) OVER (PARTITION BY bin ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS s FROM tb WHERE d1 + d2 > 0),
+      o AS (SELECT bin, sum(CASE WHEN time <= 2 THEN s * d1 / at_risk::DOUBLE ELSE 0 END) AS observed FROM a GROUP BY bin)
+      SELECT b.bin, count(*) AS n, round(avg(risk), 6) AS predicted, round(max(observed), 6) AS observed FROM b LEFT JOIN o USING (bin) GROUP BY 1""",
     "ipcw_auc": f"WITH {_W}, t AS (SELECT risk, sum(CASE WHEN is_case THEN w ELSE 0 END) AS a, sum(CASE WHEN is_control THEN w ELSE 0 END) AS b FROM w GROUP BY 1), u AS (SELECT *, coalesce(sum(b) OVER (ORDER BY risk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM t) SELECT round(sum(a * (low + b / 2)) / (sum(a) * sum(b)), 6) AS auc FROM u",
     "ipcw_brier": f"WITH {_W} SELECT count(*) AS n, round(avg(w * (is_case::INT - risk) * (is_case::INT - risk)), 6) AS brier FROM w",
     "observed_expected_by_year": f"WITH {_E}, {_P}, o AS (SELECT year(start_date + round((period + 0.5::DOUBLE) * 0.5::DOUBLE * 365.25::DOUBLE)::INT)::INT AS year, y, 0.02::DOUBLE + period * 0.001::DOUBLE AS x FROM py) SELECT year, count(*) FILTER (y = 1) AS observed, round(sum(x), 4) AS expected, round(count(*) FILTER (y = 1) / sum(x), 4) AS ratio FROM o GROUP BY 1",

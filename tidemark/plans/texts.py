@@ -42,18 +42,9 @@ def line_filter_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentence_scrub(spark: SparkSession, d: str) -> DataFrame:
-    """``sentence_scrub_whole`` over English documents only, as its SQL reads them."""
-    return _scrubbed(B.table(spark, d, "documents").where("lang = 'en'"))
-
-
-def sentence_scrub_whole(spark: SparkSession, d: str) -> DataFrame:
     """The scrub of every document, in any or no language."""
-    return _scrubbed(B.table(spark, d, "documents"))
-
-
-def _scrubbed(x: DataFrame) -> DataFrame:
     kept = S.without_ending(F.col("text"), r"(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])")
-    return x.select("doc_id", F.length(kept).alias("chars"), F.md5(kept.cast("binary")).alias("digest"))
+    return B.table(spark, d, "documents").select("doc_id", F.length(kept).alias("chars"), F.md5(kept.cast("binary")).alias("digest"))
 
 
 def text_blob(spark: SparkSession, d: str) -> DataFrame:
@@ -68,23 +59,13 @@ def name_normalize(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", N.normalize(raw).alias("name"), N.is_specific(N.normalize(raw)).alias("specific"))
 
 
-def phrase_match(spark: SparkSession, d: str) -> DataFrame:
-    """Two-word phrases of the vocabulary win over the single words they begin with."""
-    x = B.table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.array_join(F.slice(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != ""), 1, 60), " ").alias("name"))
-    return N.match_phrases(x, _vocabulary(spark), "doc_id", "name")
+PHRASES = ("that the", "that", "this", "with the", "with", "from", "the")
 
 
-def phrase_match_whole(spark: SparkSession, d: str) -> DataFrame:
-    """``phrase_match`` over all words of every document in any or no language; its recursive SQL reads 60 English words only.
-
-    No SQL: held against brute force in tests/test_scalars.py.
-    """
-    x = B.table(spark, d, "documents").select("doc_id", F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")).alias("name"))
-    return N.match_phrases(x, _vocabulary(spark), "doc_id", "name")
-
-
-def _vocabulary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("that the",), ("that",), ("this",), ("with the",), ("with",), ("from",), ("the",)], "substance string")
+def phrase_match(spark: SparkSession, d: str) -> DataFrame:
+    """Phrases of the vocabulary in all words of every document; two words win over the single ones they begin with."""
+    x = B.table(spark, d, "documents").select("doc_id", F.trim(F.regexp_replace(S.ascii_lower(F.col("text")), "[^a-z]+", " ")).alias("name"))
+    return N.match_phrases(x, spark.createDataFrame([(p,) for p in PHRASES], "substance string"), "doc_id", "name")
 
 
 def json_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -117,7 +98,7 @@ def masking_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, sentence_scrub_whole, text_blob, name_normalize, phrase_match, phrase_match_whole, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
+    normalize_enum, flag_parse, stop_reason_text, age_parse, line_filter_count, sentence_scrub, text_blob, name_normalize, phrase_match, json_extract, id_normalize, date_formats, valid_dates, masking_levels,
 )}
 
 
@@ -141,16 +122,16 @@ SQL = {
     + " ELSE 'other' END END AS stop_reason FROM t",
     "age_parse": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN round(p_size / 12.0::DOUBLE, 2) WHEN 2 THEN round(p_size / 52.0::DOUBLE, 2) WHEN 3 THEN round(p_size / 365.0::DOUBLE, 2) END AS age FROM part",
     "line_filter_count": r"WITH x AS (SELECT doc_id, replace(text, chr(10), '~') AS c FROM documents) SELECT doc_id, len(list_filter(string_split(c, '~'), lambda x: trim(x, ' ') <> '' AND NOT regexp_matches(lower(trim(x, ' ')), 'criteria\s*:?$')))::INT AS criteria_count, length(c)::INT AS criteria_chars FROM x",
-    "sentence_scrub": r"WITH x AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.~]*[.~]|[^.~]+$'), lambda s: CASE WHEN regexp_matches(lower(s), '(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])') THEN ' ' ELSE s END), '') AS k FROM documents WHERE lang = 'en') SELECT doc_id, length(k)::INT AS chars, md5(k) AS digest FROM x",
-    "sentence_scrub_whole": r"WITH x AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.~]*[.~]|[^.~]+$'), lambda s: CASE WHEN regexp_matches(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])') THEN ' ' ELSE s END), '') AS k FROM documents) SELECT doc_id, length(k)::INT AS chars, md5(k) AS digest FROM x",
+    "sentence_scrub": r"WITH x AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[^.~]*[.~]|[^.~]+$'), lambda s: CASE WHEN regexp_matches(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:^|[^a-z0-9_])(?:was|this)(?:$|[^a-z0-9_])') THEN ' ' ELSE s END), '') AS k FROM documents) SELECT doc_id, length(k)::INT AS chars, md5(k) AS digest FROM x",
     "text_blob": "WITH x AS (SELECT conv_id, turn, concat_ws(chr(10), role, nullif(text, ''), 'a b', CASE WHEN turn > 1 THEN 'k' END) AS b FROM conversations) SELECT conv_id, turn, length(b)::INT AS chars, md5(b) AS digest FROM x",
     "name_normalize": f"WITH x AS (SELECT p_partkey, array_to_string(list_filter(string_split({_NAME}, ' '), lambda w: w <> '' AND w NOT IN ({_NOISE}) AND NOT suffix(w, 'hydrate') AND NOT regexp_full_match(w, '[0-9]+')), ' ') AS name FROM part) SELECT p_partkey, name, name NOT IN ({_PLAIN}) AND NOT list_has_any(string_split(name, ' '), [{_VAGUE}]) AS specific FROM x",
-    "phrase_match": """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')[1:60] AS w FROM documents WHERE lang = 'en'),
+    # no phrase of this vocabulary begins with the last word of another, so what a word matches depends on its neighbours alone
+    "phrase_match": """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z]+'), lambda x: x <> '') AS w FROM documents),
       v(p) AS (VALUES ('that the'), ('that'), ('this'), ('with the'), ('with'), ('from'), ('the')),
-      s AS (SELECT doc_id, w, 1 AS i, NULL::VARCHAR AS hit FROM w UNION ALL
-        SELECT doc_id, w, i + CASE WHEN w[i] || ' ' || w[i + 1] IN (SELECT p FROM v) THEN 2 ELSE 1 END,
-          CASE WHEN w[i] || ' ' || w[i + 1] IN (SELECT p FROM v) THEN w[i] || ' ' || w[i + 1] WHEN length(w[i]) >= 4 AND w[i] IN (SELECT p FROM v) THEN w[i] END FROM s WHERE i <= len(w))
-      SELECT DISTINCT doc_id, hit AS substance FROM s WHERE hit IS NOT NULL""",
+      u AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM w),
+      n AS (SELECT doc_id, w, lag(w) OVER o || ' ' || w AS into_it, w || ' ' || lead(w) OVER o AS from_it FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+      SELECT DISTINCT doc_id, CASE WHEN from_it IN (SELECT p FROM v) THEN from_it ELSE w END AS substance FROM n
+      WHERE from_it IN (SELECT p FROM v) OR (length(w) >= 4 AND w IN (SELECT p FROM v) AND coalesce(into_it NOT IN (SELECT p FROM v), true))""",
     "json_extract": "SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events",
     "id_normalize": "SELECT s_suppkey, 'NCT' || lpad(s_suppkey::VARCHAR, greatest(8, length(s_suppkey::VARCHAR))::INT, '0') AS id, '' AS none FROM supplier",
     "date_formats": "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::DATE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE WHEN o_orderkey % 3 = 1 THEN last_day(o_orderdate::DATE) END AS start_date FROM orders",

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators import checks
+from tidemark.models.risk import reasons, score_type, top_drivers
+from tidemark.operators import backtest, checks
 from tidemark.operators import registry as R
 from tidemark.plans import base as B
 from tidemark.plans.features import features
@@ -34,13 +35,20 @@ def area_case_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unresolved_not_in(spark: SparkSession, d: str) -> DataFrame:
-    return checks.missing(B.table(spark, d, "customer"), "c_custkey", B.table(spark, d, "orders").where("o_custkey is not null"), "o_custkey").select("c_custkey")
+    """Customers without a dear order, counted twice: once a null among the orders' customers hides them all."""
+    c, o = B.table(spark, d, "customer"), B.table(spark, d, "orders").where("o_totalprice > 300000").select("o_custkey")
+    null = o.limit(1).select(F.lit(None).cast("long").alias("o_custkey"))
+    cases = {"known": o.where("o_custkey is not null"), "with a null": o.unionAll(null)}
+    parts = [checks.missing(c, "c_custkey", side, "o_custkey").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys")).withColumn("case", F.lit(name)) for name, side in cases.items()]
+    return parts[0].unionAll(parts[1])
 
 
 def checks_union_having(spark: SparkSession, d: str) -> DataFrame:
-    """Named checks over the tables: one row per check with its number of failures."""
+    """Named checks over landing tables and the features built from them: one row per check with its number of failures."""
     for t in ("orders", "customer", "lineitem", "part"):
         B.table(spark, d, t).createOrReplaceTempView(f"check_{t}")
+    B.trials(spark, d).createOrReplaceTempView("check_trials")
+    features(spark, d).createOrReplaceTempView("check_features")
     return checks.counted(spark, CHECKS)
 
 
@@ -52,14 +60,26 @@ UNION ALL SELECT 'lineitem' AS t FROM check_lineitem HAVING count(*) = 0 UNION A
 -- check: one row per order
 SELECT o_orderkey FROM check_orders GROUP BY o_orderkey HAVING count(*) > 1;
 
--- check: every order's customer is known
-SELECT o_orderkey FROM check_orders WHERE o_custkey NOT IN (SELECT c_custkey FROM check_customer);
+-- check: every trial has features
+SELECT trial_id FROM check_trials WHERE trial_id NOT IN (SELECT trial_id FROM check_features);
+
+-- check: trials have a label if and only if they are not to be scored
+SELECT trial_id FROM check_features WHERE (label IS NULL) <> (split = 'score');
+
+-- check: there are trials to test on
+SELECT 'test' AS t FROM check_features WHERE split = 'test' HAVING count(*) = 0;
 
--- check: discounts are proportions
-SELECT l_orderkey FROM check_lineitem WHERE l_discount NOT BETWEEN 0 AND 1;
+-- check: shares are proportions
+SELECT trial_id FROM check_features WHERE faers_serious_share NOT BETWEEN 0 AND 1 OR faers_death_share NOT BETWEEN 0 AND 1 OR sponsor_prior_termination_rate NOT BETWEEN 0 AND 1;
 
--- check: status tells whether the label is open
-SELECT o_orderkey FROM check_orders WHERE (o_orderstatus = 'P') <> (o_orderstatus NOT IN ('F', 'O'));
+-- check: one row per report and substance
+SELECT l_orderkey FROM check_lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1;
+
+-- check: reason targets agree with the label
+SELECT trial_id FROM check_features WHERE (label = 0 AND (label_safety <> 0 OR label_enrollment <> 0)) OR (coalesce(label, -1) <> 1 AND (label_safety = 1 OR label_enrollment = 1));
+
+-- check: every order's customer is known
+SELECT o_orderkey FROM check_orders WHERE o_custkey NOT IN (SELECT c_custkey FROM check_customer);
 
 -- check: large orders are few
 SELECT o_orderkey FROM check_orders WHERE o_totalprice > 400000;
@@ -83,7 +103,9 @@ def union_distinct_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def set_difference(spark: SparkSession, d: str) -> DataFrame:
-    return B.table(spark, d, "part").select("p_partkey").join(B.uses(spark, d), F.col("p_partkey") == F.col("substance"), "left_anti")
+    """Parts that were never returned after the middle of 2000."""
+    back = B.table(spark, d, "lineitem").where("l_returnflag = 'R' AND l_shipdate >= '2000-07-01'").select("l_partkey")
+    return B.table(spark, d, "part").select("p_partkey").join(back, F.col("p_partkey") == F.col("l_partkey"), "left_anti").distinct()
 
 
 def latest_version_window(spark: SparkSession, d: str) -> DataFrame:
@@ -145,13 +167,31 @@ def topn_global(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_per_row(spark: SparkSession, d: str) -> DataFrame:
-    """The three largest components of each embedding, as a driver list, None-padded, and the two smallest."""
-    e = B.table(spark, d, "embeddings")
-    parts = F.transform("embedding", lambda x, i: F.struct(x.cast("double").alias("x"), (-i).alias("i")))
-    up = F.slice(F.sort_array(F.filter(parts, lambda s: s["x"] > 0), False), 1, 3)
-    down = F.slice(F.sort_array(F.transform("embedding", lambda x, i: F.struct(x.cast("double").alias("x"), i.alias("i")))), 1, 2)
-    at = lambda a, k, sign: (sign * F.try_element_at(a, F.lit(k))["i"]).cast("long")
-    return e.select("vec_id", *[at(up, k, -1).alias(f"up_{k}") for k in (1, 2, 3)], *[at(down, k, 1).alias(f"down_{k}") for k in (1, 2)])
+    """The three largest positive components of each embedding as drivers, and the reasons: those, then the two lowest."""
+    parts = F.transform("embedding", lambda x, i: F.struct(F.format_string("f%02d", i).alias("feature"), x.cast("double").alias("contribution")))
+    names = lambda c: F.array_join(F.transform(c, lambda s: s["feature"]), ",")
+    return B.table(spark, d, "embeddings").select("vec_id", names(top_drivers(parts)).alias("drivers"), names(reasons(parts)).alias("reasons"))
+
+
+def _published(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of trials, one version per line number, each published twice."""
+    li = B.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("trial_id"), F.concat(F.lit("v"), F.col("l_linenumber")).alias("model_version"), F.to_date("l_shipdate").alias("scored_at"), F.round(F.col("l_discount") * 10, 4).alias("risk_score"))
+    again = li.withColumn("scored_at", F.date_add("scored_at", (F.col("trial_id") % 5 - 2).cast("int"))).withColumn("risk_score", F.round(F.col("risk_score") / 2, 4))
+    return li.unionAll(again)
+
+
+def first_scores(spark: SparkSession, d: str) -> DataFrame:
+    return backtest.first_scores(_published(spark, d), "trial_id", "model_version", "scored_at", "risk_score")
+
+
+def prospective_backtest(spark: SparkSession, d: str) -> DataFrame:
+    out = backtest.prospective(_published(spark, d), B.trials(spark, d), "trial_id", "model_version", "scored_at", "risk_score", "label")
+    return out.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+
+
+def score_type_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many scores of each kind there are: of open trials, of held-out ones, of those trained on."""
+    return features(spark, d).groupBy(score_type(F.col("split")).alias("score_type")).agg(F.count("*").alias("n"))
 
 
 def serving_view(spark: SparkSession, d: str) -> DataFrame:
@@ -165,24 +205,34 @@ def serving_view(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     latest_score, latest_numeric_version, area_case_summary, unresolved_not_in, checks_union_having, dup_keys_having, semi_join_names, union_distinct_names, set_difference,
-    latest_version_window, bool_or_pivot, bool_and_flag, sorted_string_agg, exact_percentiles, null_profile, change_rates, unseen_levels, overlay_fill, topn_global, topk_per_row, serving_view,
+    latest_version_window, bool_or_pivot, bool_and_flag, sorted_string_agg, exact_percentiles, null_profile, change_rates, unseen_levels, overlay_fill, topn_global, topk_per_row, serving_view, first_scores, prospective_backtest, score_type_counts,
 )}
 K = "json_extract_string(props, '$.k')::INT"
+_PUBLISHED = """p AS (SELECT l_orderkey AS trial_id, 'v' || l_linenumber AS model_version, l_shipdate::DATE AS scored_at, round(l_discount * 10, 4) AS risk_score FROM lineitem),
+  q AS (SELECT * FROM p UNION ALL SELECT trial_id, model_version, scored_at + (trial_id % 5 - 2)::INT, round(risk_score / 2, 4) FROM p),
+  f AS (SELECT trial_id, model_version, scored_at, risk_score FROM (SELECT *, row_number() OVER (PARTITION BY trial_id, model_version ORDER BY scored_at NULLS FIRST, risk_score) AS n FROM q) WHERE n = 1)"""
 SQL = {
     "latest_score": "SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1",
     "latest_numeric_version": f"SELECT user_id, event_id, model_version FROM (SELECT user_id, event_id, 'v' || {K} AS model_version, row_number() OVER (PARTITION BY user_id ORDER BY {K} DESC, event_id DESC) AS n FROM events) WHERE n = 1",
     "area_case_summary": "SELECT CASE WHEN p_size % 2 = 0 THEN 'Oncology' WHEN p_size % 3 = 0 THEN 'Cardiovascular' WHEN p_size % 5 = 0 THEN 'Psychiatry' WHEN p_size % 7 = 0 THEN 'Hematology' ELSE 'Other' END AS disease_area, count(*) AS trials, round(avg(p_retailprice), 4) AS avg_risk, count_if(p_size >= 45)::BIGINT AS top_decile_trials FROM part GROUP BY 1",
-    "unresolved_not_in": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
-    "checks_union_having": """SELECT 'no table is empty' AS name, (SELECT count(*) FROM (SELECT count(*) AS n FROM orders UNION ALL SELECT count(*) FROM customer UNION ALL SELECT count(*) FROM lineitem UNION ALL SELECT count(*) FROM part) WHERE n = 0) AS failures
+    "unresolved_not_in": """WITH o AS (SELECT o_custkey FROM orders WHERE o_totalprice > 300000), x AS (SELECT o_custkey FROM o UNION ALL SELECT NULL)
+      SELECT 'known' AS "case", count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM o WHERE o_custkey IS NOT NULL)
+      UNION ALL SELECT 'with a null', count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM x)""",
+    "checks_union_having": f"""WITH {B.TRIALS_SQL}, {B.MONTHLY_SQL}, {B.USES_SQL}, {B.SAFETY_SQL}, {B.HISTORY_SQL}, {B.RECENT_SQL}, {B.FEATURES_SQL}
+      SELECT 'no table is empty' AS name, (SELECT count(*) FROM (SELECT count(*) AS n FROM orders UNION ALL SELECT count(*) FROM customer UNION ALL SELECT count(*) FROM lineitem UNION ALL SELECT count(*) FROM part) WHERE n = 0) AS failures
       UNION ALL SELECT 'one row per order', (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1))
+      UNION ALL SELECT 'every trial has features', (SELECT count(*) FROM trials WHERE trial_id NOT IN (SELECT trial_id FROM features))
+      UNION ALL SELECT 'trials have a label if and only if they are not to be scored', (SELECT count(*) FROM features WHERE (label IS NULL) <> (split = 'score'))
+      UNION ALL SELECT 'there are trials to test on', (SELECT (count(*) = 0)::INT FROM features WHERE split = 'test')
+      UNION ALL SELECT 'shares are proportions', (SELECT count(*) FROM features WHERE faers_serious_share NOT BETWEEN 0 AND 1 OR faers_death_share NOT BETWEEN 0 AND 1 OR sponsor_prior_termination_rate NOT BETWEEN 0 AND 1)
+      UNION ALL SELECT 'one row per report and substance', (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1))
+      UNION ALL SELECT 'reason targets agree with the label', (SELECT count(*) FROM features WHERE (label = 0 AND (label_safety <> 0 OR label_enrollment <> 0)) OR (coalesce(label, -1) <> 1 AND (label_safety = 1 OR label_enrollment = 1)))
       UNION ALL SELECT 'every order''s customer is known', (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer))
-      UNION ALL SELECT 'discounts are proportions', (SELECT count(*) FROM lineitem WHERE l_discount NOT BETWEEN 0 AND 1)
-      UNION ALL SELECT 'status tells whether the label is open', (SELECT count(*) FROM orders WHERE (o_orderstatus = 'P') <> (o_orderstatus NOT IN ('F', 'O')))
       UNION ALL SELECT 'large orders are few', (SELECT count(*) FROM orders WHERE o_totalprice > 400000)""",
     "dup_keys_having": "SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "semi_join_names": "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
     "union_distinct_names": "SELECT n_name AS name FROM nation UNION SELECT r_name FROM region UNION SELECT p_name FROM part",
-    "set_difference": "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem",
+    "set_difference": "SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate >= '2000-07-01'",
     "latest_version_window": f"SELECT event_id, user_id, event_type, version FROM (SELECT *, {K} AS version, max({K}) OVER (PARTITION BY user_id, event_type) AS latest FROM events) WHERE version = latest",
     "bool_or_pivot": "SELECT user_id, " + ", ".join(f"bool_or(event_type = '{t}') AS has_{t}" for t in ("view", "click", "purchase", "signup", "error")) + " FROM events GROUP BY 1",
     "bool_and_flag": "SELECT l_orderkey, count(DISTINCT l_returnflag) AS n_flags, bool_and(l_returnflag = 'N') AS none_returned FROM lineitem GROUP BY 1",
@@ -195,10 +245,16 @@ SQL = {
     "unseen_levels": "WITH a AS (SELECT p_name FROM part WHERE p_size > 20 AND p_name IS NOT NULL), k AS (SELECT DISTINCT p_name FROM part WHERE p_size <= 3), u AS (SELECT (SELECT count(*) FROM a WHERE p_name NOT IN (SELECT p_name FROM k)) AS unseen, (SELECT count(*) FROM a) AS n) SELECT unseen, n, round(unseen / nullif(n, 0), 6) AS share FROM u",
     "overlay_fill": "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN upper(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment, round(c_acctbal + 1, 4) AS c_acctbal, c_nationkey FROM customer WHERE c_custkey % 4 <> 0",
     "topn_global": "SELECT o_orderkey AS trial_id, o_totalprice AS price FROM orders ORDER BY price DESC, trial_id LIMIT 400",
-    "topk_per_row": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
-      u AS (SELECT vec_id, i, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, i) AS n FROM e WHERE x > 0), v AS (SELECT vec_id, i, row_number() OVER (PARTITION BY vec_id ORDER BY x, i) AS n FROM e)
-      SELECT vec_id, (SELECT i FROM u WHERE u.vec_id = b.vec_id AND n = 1) AS up_1, (SELECT i FROM u WHERE u.vec_id = b.vec_id AND n = 2) AS up_2, (SELECT i FROM u WHERE u.vec_id = b.vec_id AND n = 3) AS up_3,
-        (SELECT i FROM v WHERE v.vec_id = b.vec_id AND n = 1) AS down_1, (SELECT i FROM v WHERE v.vec_id = b.vec_id AND n = 2) AS down_2 FROM embeddings b""",
+    "topk_per_row": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, printf('f%02d', generate_subscripts(embedding, 1) - 1) AS f FROM embeddings),
+      u AS (SELECT vec_id, f, row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, f DESC) AS n FROM e WHERE x > 0), v AS (SELECT vec_id, f, row_number() OVER (PARTITION BY vec_id ORDER BY x, f) AS n FROM e WHERE x < 0),
+      a AS (SELECT vec_id, string_agg(f, ',' ORDER BY n) AS up FROM u WHERE n <= 3 GROUP BY 1), b AS (SELECT vec_id, string_agg(f, ',' ORDER BY n) AS down FROM v WHERE n <= 2 GROUP BY 1)
+      SELECT vec_id, coalesce(up, '') AS drivers, concat_ws(',', up, down) AS reasons FROM embeddings LEFT JOIN a USING (vec_id) LEFT JOIN b USING (vec_id)""",
+    "first_scores": f"WITH {_PUBLISHED} SELECT trial_id, model_version, scored_at, risk_score FROM f",
+    "prospective_backtest": f"""WITH {B.TRIALS_SQL}, {_PUBLISHED}, k AS (SELECT f.*, label FROM f JOIN trials USING (trial_id) WHERE label IS NOT NULL),
+      r AS (SELECT *, rank() OVER (PARTITION BY model_version ORDER BY risk_score) + (count(*) OVER (PARTITION BY model_version, risk_score) - 1) / 2.0::DOUBLE AS rk FROM k),
+      g AS (SELECT model_version, count(*) AS n, sum(label)::BIGINT AS positives, sum(rk * label) AS s, min(scored_at) AS first_scored, round(avg(risk_score), 6) AS mean_score, round(avg((risk_score - label) * (risk_score - label)), 6) AS brier FROM r GROUP BY 1)
+      SELECT model_version, n, positives, round((s - positives * (positives + 1) / 2.0::DOUBLE) / nullif(positives * (n - positives), 0)::DOUBLE, 6) AS auc, first_scored, mean_score, brier, CASE WHEN positives IN (0, n) THEN 'one class only' END AS note FROM g""",
+    "score_type_counts": f"WITH {B.TRIALS_SQL} SELECT CASE {B.SPLIT_SQL} WHEN 'score' THEN 'forward' WHEN 'train' THEN 'out_of_fold' ELSE 'held_out' END AS score_type, count(*) AS n FROM trials GROUP BY 1",
     "serving_view": f"""WITH {B.TRIALS_SQL}, {B.MONTHLY_SQL}, {B.USES_SQL}, {B.SAFETY_SQL}, s AS (SELECT l_orderkey AS trial_id, round(l_discount * 10, 4) AS risk_score, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_discount DESC) AS n FROM lineitem)
       SELECT s.trial_id, priority, start_date, coalesce(reports, 0)::BIGINT AS faers_reports, risk_score FROM s JOIN trials t ON t.trial_id = s.trial_id AND label IS NULL LEFT JOIN safety f ON f.trial_id = s.trial_id WHERE n = 1""",
 }

@@ -34,6 +34,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is a data file below ``path``; stops at the first."""
+    p, fs = _fs(spark, path)
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def typed(df: DataFrame, ddl: str) -> DataFrame:
     """Columns by name, whatever their case, cast to the landing types; missing ones are null, others left out."""
     from pyspark.sql.types import StructType
@@ -48,6 +58,8 @@ def load(spark: SparkSession, folder: str, names: dict[str, str] | None = None)
     for name, sub in (names or {n: n.removeprefix("RAW_").lower() for n in LANDING}).items():
         if not exists(spark, f"{folder}/{sub}"):
             raise DataGateError(f"{folder}/{sub} is missing")
+        if not has_files(spark, f"{folder}/{sub}"):
+            raise DataGateError(f"{folder}/{sub} is empty")
         typed(spark.read.parquet(f"{folder}/{sub}"), LANDING[name]).createOrReplaceTempView(name)
 
 
