@@ -1,5 +1,6 @@
 """The text-corpus operators against libraries, brute force, SQL and odd rows."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -62,7 +63,7 @@ def brute_top(rows, k=5):
     return out
 
 
-def test_topk(spark):
+def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(160)]  # many ties
     bad = [(200, None), (250, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (300, [float("nan")] * 6), (350, [float("inf")] * 6), (400, [1.0]), (None, [1.0] * 6), (401, [])]
@@ -73,6 +74,8 @@ def test_topk(spark):
     distinct = topk.scaled(spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>"))
     assert sorted(map(tuple, topk.top_k(distinct, distinct.where("vec_id % 50 = 0")).collect())) == brute_top(rows)
     assert {g[0] for g in got} == {0, 50, 100, 150}
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 1)  # a block for each query or two
+    assert sorted(map(tuple, topk.top_k(distinct, distinct.where("vec_id % 50 = 0")).collect())) == brute_top(rows)
     none = topk.scaled(df.limit(0))
     assert topk.top_k(none, none).count() == 0
 
@@ -237,6 +240,7 @@ def test_ngram_join_odd_rows_and_small_blocks(spark, odd, empty, monkeypatch):
     assert sum(g[0] == 5 and g[2] == 5 for g in got) == 2
     assert ngram_join.jaccard_components(empty, 3, 9, 10).count() == 0
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 3)
+    monkeypatch.setattr(ngram_join, "IDS_SENT", 0)  # all joins by a shuffle
     base = [f"w{k}" for k in range(60)]
     rows = [(i, " ".join(base[:30] + [f"x{i}"] + base[31:])) for i in range(14)]
     got = {r.component_id for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 8, 10).collect()}
@@ -289,6 +293,13 @@ def test_mixing(spark, odd, empty):
     assert sum(v[2] for v in by.values()) == pytest.approx(sum(v[0] for v in by.values()), rel=1e-6)
     again = mixing.mix(spark.createDataFrame(rows[::-1], DOC).repartition(7)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
+    # rows without an id, with other texts of one size, and rows equal in all columns: a budget ends among them
+    same = [(None, f"w{i} x", "en", "null ids", 0) for i in range(400)] + [(7, "a b c", "en", "equal", 0) for _ in range(400)] + [(i, "w " * 50, "en", "z", 0) for i in range(60)]
+    for mixed in (mixing.mix(spark.createDataFrame(same, DOC)).collect(), mixing.mix(spark.createDataFrame(same, DOC).repartition(5)).collect()):
+        for source, size in (("null ids", 2), ("equal", 3)):
+            own = [r for r in mixed if r.source == source]
+            assert len(own) == 400 and abs(sum(r.size * r.copies for r in own) - own[0].target) <= size / 2 and own[0].target % (400 * size) > 0
+    assert mixing.take(spark.createDataFrame(same, DOC)).count() == sum(r.copies for r in mixed)
     o = {(r.doc_id, r.size, r.copies) for r in mixing.mix(odd).collect()}
     assert {(2, 0, 0)} <= {(a, b, 0) for a, b, _ in o} and mixing.mix(empty).count() == 0
     assert mixing.take(odd).columns == odd.columns
@@ -298,20 +309,32 @@ def test_mixing(spark, odd, empty):
 # 9 repeated byte strings
 
 
-def brute_removed(rows, span):
+def brute_runs(rows, span):
+    """Maximal runs of bytes that a repeated string of ``span`` bytes covers, by id."""
     seen = defaultdict(int)
     for _, t in rows:
         b = (t or "").encode()
         for p in range(len(b) - span + 1):
-            seen[b[p : p + span]] += 1
+            seen[hash(b[p : p + span])] += 1
     out = {}
     for i, t in rows:
         b = (t or "").encode()
-        gone = bytearray(len(b))
+        runs = out[i] = []
         for p in range(len(b) - span + 1):
-            if seen[b[p : p + span]] > 1:
-                gone[p : p + span] = b"\1" * span
-        out[i] = bytes(x for x, g in zip(b, gone) if not g)
+            if seen[hash(b[p : p + span])] > 1:
+                if runs and p <= runs[-1][1]:
+                    runs[-1][1] = p + span
+                else:
+                    runs.append([p, p + span])
+    return out
+
+
+def brute_removed(rows, span, least_words=0):
+    runs, out = brute_runs(rows, span), {}
+    for i, t in rows:
+        b = (t or "").encode()
+        cut = [(x, y) for x, y in runs[i] if y - x >= 400 or len(b[x:y].split()) >= least_words]
+        out[i] = b"".join(b[x:y] for x, y in zip([0, *(y for _, y in cut)], [*(x for x, _ in cut), len(b)]))
     return out
 
 
@@ -350,10 +373,40 @@ def test_repeats(spark, hot, stretch, monkeypatch):
     assert got == brute_removed(rows, 32)
 
 
+def test_repeats_query_equals_brute_force(spark):
+    """Every column of the query over 2.5 MB of documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in docs]
+    long, short, kept = brute_runs(rows, 400), brute_runs(rows, suffix_dedup.PASSAGE), brute_removed(rows, 400)
+    got = {r.doc_id: r for r in suffix_dedup.op9_suffix_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(rows) and sum(len(x) > 0 for x in long.values()) > 100
+    for i, t in rows:
+        b, r = (t or "").encode(), got[i]
+        passages = sum(y - x for x, y in short[i] if y - x >= 400 or len(b[x:y].split()) >= 50)
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage) == (len(b), len(b) - len(kept[i]), len(long[i]), hashlib.sha256(kept[i]).hexdigest(), passages)
+
+
+def test_repeats_finds_passages_of_51_to_80_words(spark):
+    rng = random.Random(17)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    rows, inside = [], {}
+    for k in range(30):
+        passage = prose(51 + k)
+        for m in range(rng.randint(2, 4)):
+            i = 10 * k + m
+            before = prose(rng.randint(30, 90))
+            rows.append((i, f"{before} {passage} {prose(rng.randint(30, 90))}"))
+            inside[i] = passage
+    rows += [(1000 + k, prose(150)) for k in range(30)]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), suffix_dedup.PASSAGE, ["doc_id"], least_words=50).collect()}
+    caught = [inside[i] not in got[i].kept_text and got[i].n_bytes - len(got[i].kept) <= len(inside[i]) + 4 for i in inside]
+    assert all(caught) and all(not got[1000 + k].starts for k in range(30))
+
+
 def test_repeats_odd_rows(odd, empty):
     got = suffix_dedup.remove_repeats(odd).collect()
     assert len(got) == 9 and sum(len(r.kept) == 0 and r.n_bytes == len(LONG) for r in got) == 2
-    assert suffix_dedup.remove_repeats(empty).count() == 0
+    assert suffix_dedup.remove_repeats(empty).count() == 0 and suffix_dedup.remove_repeats(empty, passage=200).count() == 0
 
 
 # 10 language

@@ -42,7 +42,8 @@ def test_stages(spark, docs):
         elif name == "near_duplicates":
             assert ids == {c for _, c in brute_groups([(r.doc_id, r.text) for r in before], 5, 4, 5).values()} and len(after) == len(ids)
         elif name == "repeats":
-            want = brute_removed([(r.doc_id, r.text) for r in before], 400)
+            want = brute_removed([(r.doc_id, r.text) for r in before], 200, 50)
+            assert 110 not in want or b"passage30" not in want[110]
             assert {r.doc_id: r.text for r in after} == {i: b.decode("utf-8", "ignore") for i, b in want.items()}
             assert all(r.n_chars == len(r.text) for r in after if r.doc_id >= 110)
         elif name == "mixing":

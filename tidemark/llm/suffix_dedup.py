@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import bwt
-from tidemark.llm.common import arrow_map, only, staged, table, unused
+from tidemark.llm.common import arrow_map, drop_staged, only, staged, table, unused
 from tidemark.llm.ngram_join import _bytes_of, _mix, _powers, forget_powers
 
 SPAN = 400
-#: Bytes hashed for an anchor, and offsets of a window from its anchor that share a core.
+#: A passage is a repeated run of so many words, told by strings of so many bytes: less than 50 words of prose take.
+PASSAGE_WORDS, PASSAGE = 50, 200
+#: Bytes hashed for an anchor, for a span of 400 (in proportion for others); offsets of a window from its anchor that share a core.
 GRAM, BLOCK = 64, 64
 #: A document is read in stretches of so many window starts.
 STRETCH = 1 << 19
@@ -25,8 +27,8 @@ STRETCH = 1 << 19
 HOT = 4096
 #: Symbols of a shard, and shards merged at a time: whole groups of pieces that share a core.
 SHARD_SYMBOLS, SHARDS = 8_192, 16
-#: As many rows, some 100 bytes each, may be broadcast; more are joined by a shuffle.
-ROWS_SENT = 1_000_000
+#: As many rows and array elements together, some 40 bytes each, may be broadcast; more are joined by a shuffle.
+ITEMS_SENT = 250_000
 _U = np.uint64
 _BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
@@ -82,7 +84,7 @@ def _keys() -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
-def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, block: int = BLOCK, hot: int = HOT) -> DataFrame:
+def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int | None = None, block: int = BLOCK, hot: int = HOT) -> DataFrame:
     """k1, k2 and the maximal runs [starts, ends) of bytes that a ``span``-byte string covers which also starts elsewhere.
 
     1. Every window of ``span`` bytes belongs to an anchor inside it, chosen by content. A run of windows with one anchor is
@@ -96,8 +98,10 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, block:
        their own, which are merged by interleave refinement to that depth; the blocks left are the repeated windows.
     4. A core that more than ``hot`` pieces share is not gathered: its window hashes are counted by a partial aggregation.
 
-    No step drops a window unread, so the result is that of a byte-level merge of the whole corpus.
+    No step drops a window unread, so the result is that of a byte-level merge of the whole corpus. The result is a staged
+    table; the tables in between are removed.
     """
+    gram = gram or max(8, span * GRAM // SPAN)
     schema = "k1 bigint, k2 bigint, a bigint, c bigint, at int, lo int, hi int"
     contexts = arrow_map(keyed.where(F.octet_length("text") >= span).select("k1", "k2", "text"), functools.partial(_contexts, span, gram), schema)
     contexts = staged(contexts, "contexts")
@@ -107,25 +111,34 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int = GRAM, block:
     unlike = counts.join(several, "a").select("a", "c", "one.*")
     # the contexts to cut, by document; a document has no more of them than it has windows
     asked = staged(unlike.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "c", "at", "lo", "hi")).alias("asked")), "unlike")
-    texts = _beside(keyed.select("k1", "k2", "text"), asked, ["k1", "k2"], "inner")
+    texts = _beside(keyed.select("k1", "k2", "text"), asked, ["k1", "k2"], "inner", "asked")
     piece = "a bigint, core bigint, c bigint, k1 bigint, k2 bigint, p int, q int, left_ binary, right_ binary"
     pieces = staged(arrow_map(texts.select("k1", "k2", "text", "asked"), functools.partial(_pieces, span, block), piece), "pieces")
     shared = pieces.groupBy("a", "core").agg(F.count("*").alias("m"), F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("a", "core", "m")
-    live = pieces.join(shared, ["a", "core"])
-    near = live.where(F.col("m") <= hot).drop("m").repartition("a", "core").sortWithinPartitions("a", "core")
+    shared = staged(shared, "cores")
+    often = shared.where(F.col("m") > hot).select("a", "core")
+    rare = shared.where(F.col("m") <= hot).select("a", "core")
+    # pieces with a frequent core leave first, so that no task of the next join reads them all
+    near = _beside(pieces, often, ["a", "core"], "left_anti").join(rare, ["a", "core"]).repartition("a", "core").sortWithinPartitions("a", "core")
     merged = arrow_map(near, functools.partial(_merged, block), "k1 bigint, k2 bigint, p int, q int")
-    windows = arrow_map(live.where(F.col("m") > hot).drop("m"), functools.partial(_windows, block), "a bigint, core bigint, w bigint, c bigint, k1 bigint, k2 bigint, p int")
+    live = _beside(pieces, often, ["a", "core"], "inner")
+    windows = arrow_map(live.select(pieces.columns), functools.partial(_windows, block), "a bigint, core bigint, w bigint, c bigint, k1 bigint, k2 bigint, p int")
     windows = staged(windows, "windows")
     again = windows.groupBy("a", "core", "w").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("a", "core", "w")
     counted = windows.join(again, ["a", "core", "w"]).select("k1", "k2", "p", F.col("p").alias("q"))
     ranges = whole.unionAll(merged).unionAll(counted)
     ranges = ranges.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "p")
-    return arrow_map(ranges, functools.partial(_runs, span), "k1 bigint, k2 bigint, starts array<int>, ends array<int>")
+    spans = staged(arrow_map(ranges, functools.partial(_runs, span), "k1 bigint, k2 bigint, starts array<int>, ends array<int>"), "spans")
+    for done in (contexts, counts, asked, pieces, shared, windows):
+        drop_staged(done)
+    return spans
 
 
-def _beside(docs: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Documents with rows of a staged table: broadcast if it is small, else by a shuffle of both."""
-    return docs.join(F.broadcast(side) if side.count() <= ROWS_SENT else side, keys, how)
+def _beside(docs: DataFrame, side: DataFrame, keys: list[str], how: str, items: str | None = None) -> DataFrame:
+    """``docs`` joined with rows of a staged table: broadcast if its rows and the elements of ``items`` are few, else by a shuffle."""
+    many = F.count("*") if items is None else F.count("*") + F.coalesce(F.sum(F.size(items)), F.lit(0))
+    few = side.agg(many.alias("n")).first().n <= ITEMS_SENT
+    return docs.join(F.broadcast(side) if few else side, keys, how)
 
 
 def _contexts(span: int, gram: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,39 +289,67 @@ def _runs(span: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield batch_of()
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None, **how) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = None, least_words: int = 0, passage: int | None = None, **how) -> DataFrame:
     """``keep`` columns (doc_id and text, if none are named) with n_bytes, starts and ends of the removed runs, and kept.
 
     ``kept`` is what is left of the text's UTF-8 bytes, as binary; ``kept_text`` the same as text, without the parts of
-    characters that a cut left. Strings are judged on the input. Null text: empty. Equal
-    rows count as often as they occur, so all their windows are repeated. Texts shorter than ``span`` lose nothing.
+    characters that a cut left. Strings are judged on the input. A run with fewer than ``least_words`` words and than
+    ``SPAN`` bytes stays. With ``passage``, a shorter span, n_passage tells how many bytes lie in runs of at least
+    ``PASSAGE_WORDS`` words or ``SPAN`` bytes that strings of that length cover; they are not removed. Then only documents
+    in which such strings cover ``span`` bytes on end are searched for ``span``-byte strings, since no other can hold one.
+
+    Null text: empty. Null doc_id: a document like any other. Equal rows count as often as they occur, so all their windows
+    are repeated. Texts shorter than ``span`` lose nothing; very long ones are read in stretches. Empty table: no rows. Names
+    that clash with the added columns are those of ``keep``, which win where the caller selects; inner names are lengthened.
     """
     keyed = _keyed(docs)
-    spans = staged(repeated_spans(keyed, span, **how), "spans")
     names = keep or ["doc_id", "text"]
     text, k1, k2 = (unused(names, n) for n in ("text__", "k1", "k2"))
     again = docs.select(*names, F.expr("coalesce(text, '')").alias(text), *[c.alias(n) for c, n in zip(_keys(), (k1, k2))])
-    found = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("starts").alias(unused(names, "starts__")), F.col("ends").alias(unused(names, "ends__")))
-    joined = _beside(again, found, [k1, k2], "left").drop(k1, k2)
+    short = None
+    if passage is None:
+        spans = repeated_spans(keyed, span, **how)
+    else:
+        short = repeated_spans(keyed, passage, **how)
+        wide = F.exists(F.zip_with("starts", "ends", lambda a, b: b - a), lambda n: n >= span)
+        inside = _beside(keyed, staged(short.where(wide).select("k1", "k2"), "wide"), ["k1", "k2"], "left_semi")
+        spans = repeated_spans(inside, span, **how)
+        both = short.withColumnsRenamed({"starts": "from_", "ends": "to_"}).join(spans, ["k1", "k2"], "left")
+        spans = staged(both, "both")
+    found = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), *[F.col(c).alias(unused(names, f"{c}__")) for c in spans.columns[2:]])
+    joined = _beside(again, found, [k1, k2], "left", found.columns[2]).drop(k1, k2)
     added = [StructField("n_bytes", LongType()), StructField("starts", ArrayType(IntegerType())), StructField("ends", ArrayType(IntegerType())), StructField("kept", BinaryType()), StructField("kept_text", StringType())]
+    if told := short is not None:
+        added.append(StructField("n_passage", LongType()))
+
+    def long_enough(raw: bytes, a: int, b: int, words: int) -> bool:
+        return b - a >= SPAN or len(raw[a:b].split()) >= words
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 data, offsets = _bytes_of(batch.column(len(names)))
-                kept = []
-                cuts = list(zip(batch.column(len(names) + 1).to_pylist(), batch.column(len(names) + 2).to_pylist()))
-                for k, (starts, ends) in enumerate(cuts):
+                kept, cuts, held = [], [], []
+                runs = [[list(zip(x or (), y or ())) for x, y in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist())] for n in range(len(names) + 1, batch.num_columns, 2)]
+                for k, found in enumerate(runs[-1]):
                     raw = data[offsets[k] : offsets[k + 1]].tobytes()
-                    kept.append(b"".join(raw[a:b] for a, b in zip([0, *(ends or ())], [*(starts or ()), len(raw)])))
-                lists = [pa.array([c[n] or [] for c in cuts], pa.list_(pa.int32())) for n in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(np.diff(offsets).astype(np.int64)), *lists, pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())], [*names, *(f.name for f in added)])
+                    if least_words:
+                        found = [(a, b) for a, b in found if long_enough(raw, a, b, least_words)]
+                    cuts.append(found)
+                    kept.append(b"".join(raw[a:b] for a, b in zip([0, *(b for _, b in found)], [*(a for a, _ in found), len(raw)])))
+                    if told:
+                        held.append(sum(b - a for a, b in runs[0][k] if long_enough(raw, a, b, PASSAGE_WORDS)))
+                columns = [pa.array(np.diff(offsets).astype(np.int64)), *(pa.array([[x[n] for x in c] for c in cuts], pa.list_(pa.int32())) for n in (0, 1)), pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())]
+                if told:
+                    columns.append(pa.array(held, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in range(len(names))), *columns], [*names, *(f.name for f in added)])
 
     return arrow_map(joined, run, StructType([*docs.select(*names).schema.fields, *added]))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    """The contract's columns; n_passage are the bytes in repeated passages of at least 50 words, shorter than 400 bytes or not."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], passage=PASSAGE)
     removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_passage")
