@@ -19,14 +19,19 @@ SOURCES_SENT = 100_000
 def sized() -> tuple[Column, Column]:
     """size (words of the whole text; null: 0) and spot, a 48-bit hash that orders the documents of a source.
 
-    The hash depends on doc_id and size alone, so reruns agree; rows equal in both share it and move together.
+    The hash depends on doc_id, size and text alone, so reruns agree; only rows equal in all of them share it.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long")
-    seeded = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size.cast("string"))
+    seeded = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size.cast("string"), F.coalesce("text", F.lit("")))
     spot = F.conv(F.substring(F.md5(seeded.cast("binary")), 1, BITS * LEVELS // 4), 16, 10).cast("long")
     return size.alias("size"), spot.alias("spot")
 
 
+def turn() -> Column:
+    """A 48-bit hash of a row's place in its table: parts rows that are equal, of which any will do."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << (BITS * LEVELS))).alias("turn")
+
+
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per source: source_size, target.
 
@@ -57,62 +62,86 @@ def _with_source(docs: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
     return docs.join(F.broadcast(sources) if few else sources, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
 
 
+def _boundary(rows: DataFrame, edge: DataFrame, few: bool, by: str) -> DataFrame:
+    """One row per source of ``edge`` (source, budget): the hash at which its budget ends, what is left of it there, and the
+    words and rows of that hash.
+
+    Sizes summed by source and the first ``BITS`` bits of the hash ``by`` tell in which bucket the budget ends; only that bucket
+    is summed again by the next bits, ``LEVELS`` times.
+    """
+    edge = edge.select("source", "budget", F.lit(0).cast("long").alias("head"))  # head: the first hash bits of the boundary bucket
+    for level in range(LEVELS):
+        shift = BITS * (LEVELS - 1 - level)
+        inside = _with_source(rows.select("source", "size", by), edge, few).where(F.shiftright(by, shift + BITS) == F.col("head"))
+        bins = inside.groupBy("source", F.shiftright(by, shift).alias("bin"), "budget").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+        bins = bins.withColumn("run", F.sum("words").over(Window.partitionBy("source").orderBy("bin")))
+        ends = bins.where("run > budget").groupBy("source").agg(F.min(F.struct("bin", "run", "words", "budget", "rows")).alias("hit"))
+        rest = F.col("hit.budget") - F.col("hit.run") + F.col("hit.words")
+        edge = pinned(ends.select("source", rest.alias("budget"), F.col("hit.bin").alias("head"), F.col("hit.words").alias("words"), F.col("hit.rows").alias("rows")))
+    return edge
+
+
 def thresholds(slim: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> tuple[DataFrame, bool]:
-    """One row per source of ``slim`` (source, size, spot): source_size, target, whole, budget and cut; and if they are few.
+    """One row per source of ``slim`` (source, size, spot, turn): source_size, target, whole, budget, cut and turn_cut; and if they are few.
 
     Every document of a source is taken ``whole`` = floor(target / source_size) times; what is left of the target is filled by
-    the documents whose hash lies below ``cut``. It comes from nested histograms: sizes summed by source and the first
-    ``BITS`` bits of the hash tell in which bucket the budget ends; only that bucket is summed again by the next bits,
-    ``LEVELS`` times; the last bucket is taken if that comes nearer. No sort of documents, no group in one task: the sums are
+    the documents whose hash lies below ``cut``, found in nested histograms. A document that the budget ends in is taken if that
+    comes nearer. Equal rows share a hash: where the budget ends among them, they are told apart by ``turn`` in histograms
+    of their own, and those below ``turn_cut`` are taken. No sort of documents, no group in one task: the sums are
     aggregated before they are shuffled.
     """
     goal = targets(slim, weights, most)
     goal = goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0).cast("long")))
     goal = pinned(goal.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")))
     few = goal.count() <= SOURCES_SENT
-    edge = goal.select("source", "budget", F.lit(0).cast("long").alias("head"))  # head: the first hash bits of the boundary bucket
-    for level in range(LEVELS):
-        shift = BITS * (LEVELS - 1 - level)
-        inside = _with_source(slim.select("source", "size", "spot"), edge, few).where(F.shiftright("spot", shift + BITS) == F.col("head"))
-        bins = inside.groupBy("source", F.shiftright("spot", shift).alias("bin"), "budget").agg(F.sum("size").alias("words"))
-        bins = bins.withColumn("run", F.sum("words").over(Window.partitionBy("source").orderBy("bin")))
-        ends = bins.where("run > budget").groupBy("source").agg(F.min(F.struct("bin", "run", "words", "budget")).alias("hit"))
-        rest = F.col("hit.budget") - F.col("hit.run") + F.col("hit.words")
-        edge = pinned(ends.select("source", rest.alias("budget"), F.col("hit.bin").alias("head"), F.col("hit.words").alias("words")))
-    # the last bucket is one hash: in if that leaves the source nearer to its budget
-    cut = edge.select("source", (F.col("head") + F.when(F.col("words") < 2 * F.col("budget"), 1).otherwise(0)).alias("cut"))
+    edge = _boundary(slim, goal, few, "spot")
+    nearer = F.when(F.col("words") < 2 * F.col("budget"), 1).otherwise(0)
+    many = edge.where("rows > 1")
+    cut = edge.select("source", (F.col("head") + F.when(F.col("rows") > 1, 0).otherwise(nearer)).alias("cut"))
+    if many.limit(1).count():
+        same = _with_source(slim, many.select("source", F.col("head").alias("spot_")), few).where("spot = spot_").drop("spot_")
+        turns = _boundary(same, many, few, "turn").select(F.col("source").alias("of_"), (F.col("head") + nearer).alias("turn_cut"))
+        cut = cut.join(turns, F.col("source").eqNullSafe(F.col("of_")), "left").drop("of_")
+    else:
+        cut = cut.withColumn("turn_cut", F.lit(None).cast("long"))
     return goal.join(cut.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_")), "left").drop("source_"), few
 
 
-def copies() -> Column:
-    """How often a row with the columns of ``sizes`` and ``thresholds`` is taken."""
-    extra = F.when((F.col("budget") > 0) & (F.col("spot") < F.coalesce("cut", F.lit(0))), 1).otherwise(0)
-    return (F.col("whole") + extra).cast("long")
+def copies(end: str = "") -> Column:
+    """How often a row with the columns of ``sized``, ``turn`` and ``thresholds``, their names ending in ``end``, is taken."""
+    c = lambda name: F.col(f"{name}{end}")
+    inside = (c("spot") < c("cut")) | ((c("spot") == c("cut")) & (c("turn") < c("turn_cut")))
+    return (c("whole") + F.when((c("budget") > 0) & inside, 1).otherwise(0)).cast("long")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """How often each document is taken: doc_id, source, size, source_size, target, copies.
 
-    Null text: size 0. Null source: a source of its own, last. Sources without words: target 0, copies 0. Null doc_id and
-    repeated rows: rows like any other; rows equal in doc_id and size are taken together. Empty table: no rows.
+    Null text: size 0. Null source: a source of its own, last. Sources without words: target 0, copies 0. Null doc_id: a row
+    like any other. Repeated rows: as many of them are taken as the budget wants, which of them is left open. Very long texts:
+    a document is taken whole or not, so a source misses its target by half its boundary document at most. Other columns
+    are not read. Empty table: no rows.
     """
-    # written once: words are counted a single time, all later passes read four short columns
-    slim = pinned(docs.select("doc_id", "source", *sized()))
+    # written once: words are counted a single time, all later passes read a few short columns
+    slim = pinned(docs.select("doc_id", "source", *sized(), turn()))
     goal, few = thresholds(slim, weights, most)
     return _with_source(slim, goal, few).select("doc_id", "source", "size", "source_size", "target", copies().alias("copies"))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The rows of the mix, all columns of ``docs``, each as often as it is taken."""
+    """The rows of the mix, all columns of ``docs``, each as often as it is taken; odd rows as in ``mix``."""
     names = docs.columns
-    own = docs.select(*names, *[c.alias(f"{n}__") for n, c in zip(("size", "spot"), sized())])
-    slim = pinned(own.select("source", F.col("size__").alias("size"), F.col("spot__").alias("spot")))
+    end = "__"
+    while any(c.lower().endswith(end) for c in names):
+        end += "_"
+    parts = zip(("size", "spot", "turn"), (*sized(), turn()))
+    own = docs.select(*names, *[c.alias(f"{n}{end}") for n, c in parts])
+    slim = pinned(own.select("source", *[F.col(f"{n}{end}").alias(n) for n in ("size", "spot", "turn")]))
     goal, few = thresholds(slim, weights, most)
-    named = goal.select(F.col("source").alias("source__"), *[F.col(c).alias(f"{c}__") for c in ("whole", "budget", "cut")])
-    joined = own.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("source__")))
-    extra = F.when((F.col("budget__") > 0) & (F.col("spot__") < F.coalesce("cut__", F.lit(0))), 1).otherwise(0)
-    often = (F.col("whole__") + extra).cast("int")
-    return joined.withColumn("often__", often).where("often__ > 0").withColumn("time__", F.explode(F.sequence(F.lit(1), F.col("often__")))).select(*names)
+    named = goal.select(*[F.col(c).alias(f"{c}{end}") for c in ("source", "whole", "budget", "cut", "turn_cut")])
+    joined = own.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col(f"source{end}")))
+    often = joined.withColumn(f"often{end}", copies(end).cast("int")).where(F.col(f"often{end}") > 0)
+    return often.withColumn(f"time{end}", F.explode(F.sequence(F.lit(1), F.col(f"often{end}")))).select(*names)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,9 +151,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(text, '') AS text, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
 ), h AS (
-  SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || size::VARCHAR), 1, 12))::BIGINT AS spot FROM d
+  SELECT doc_id, source, size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || size::VARCHAR || '|' || text), 1, 12))::BIGINT AS spot FROM d
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
@@ -142,13 +171,10 @@ WITH d AS (
 ), b AS (
   SELECT *, target - whole * source_size AS budget FROM g
 ), r AS (
-  SELECT h.doc_id, h.size, h.spot, b.*, sum(h.size) OVER (PARTITION BY h.source ORDER BY h.spot RANGE UNBOUNDED PRECEDING) AS run,
-    sum(h.size) OVER (PARTITION BY h.source, h.spot) AS own
+  SELECT h.doc_id, h.size, b.*, sum(h.size) OVER (PARTITION BY h.source ORDER BY h.spot ROWS UNBOUNDED PRECEDING) AS run
   FROM h JOIN b ON h.source IS NOT DISTINCT FROM b.source
-), e AS (
-  SELECT source, min(CASE WHEN run > budget THEN spot END) AS edge FROM r GROUP BY source
 )
-SELECT r.doc_id, r.size, r.source_size, r.target,
-  (r.size * (r.whole + CASE WHEN r.budget > 0 AND (r.spot < e.edge OR (r.spot = e.edge AND r.own < 2 * (r.budget - r.run + r.own))) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN budget > 0 AND (run <= budget OR (run - size <= budget AND size < 2 * (budget - run + size))) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r
 """
