@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, table
+from tidemark.llm.common import arrow_map, staged, table
 
 PIVOTS = 24
 #: Rows, spread by a hash of vec_id, from which pivots and first thresholds come.
@@ -68,9 +68,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS)
     product, (|q|^2 + |c|^2 - bound^2) / 2. In each block of rows the candidates of a query are evaluated in the order of
     their bounds, until the next bound is below the query's k-th score so far: exact. First thresholds come from the sample.
 
-    The queries are a stated share of the rows and grow with them, so they are broadcast in blocks of ``QUERY_BLOCK``; each
-    block passes once over all rows. A task returns at most k rows per query. A row with the query's own vec_id is no
-    candidate; a repeated query counts once. No queries or no rows: no result.
+    The queries are a stated share of the rows and grow with them, so they are taken in blocks of about ``QUERY_BLOCK``; each
+    block is broadcast, passes once over all rows, writes its k rows per query to the shared folder and is let go before the
+    next one, so driver and executors hold one block at a time. A task returns at most k rows per query.
+
+    A row with the query's own vec_id is no candidate; a repeated query counts once, and repeated rows are candidates each.
+    Rows that ``scaled`` leaves out take no part. Equal scores: the smaller vec_id is first. No queries or no rows: no result.
     """
     spark = rows.sparkSession
     asked = queries.dropDuplicates(["vec_id", "v"])
@@ -84,17 +87,17 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS)
     if not n or not len(seen):
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     pivot = _pivots(seen, pivots)
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = []
     for b in range(blocks):
         block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow() if blocks > 1 else asked.toArrow()
         ids, q = block.column("vec_id").to_numpy(), _matrix(block.column("v").combine_chunks(), block.num_rows).astype(np.float64)
         if len(ids):
             sent = spark.sparkContext.broadcast((ids, q, pivot, _distances(q, pivot), _thresholds(ids, q, seen_ids, seen, k)))
-            found.append(arrow_map(rows, functools.partial(_search, sent, k), schema))
-    best = functools.reduce(DataFrame.unionAll, found)
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = best.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            best = arrow_map(rows, functools.partial(_search, sent, k), schema).withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+            found.append(staged(best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "nearest"))
+            sent.destroy()
+    return functools.reduce(DataFrame.unionAll, found)
 
 
 def _thresholds(ids: np.ndarray, q: np.ndarray, seen_ids: np.ndarray, seen: np.ndarray, k: int) -> np.ndarray:
