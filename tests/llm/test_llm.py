@@ -105,6 +105,63 @@ def test_toxicity_learns_stems_and_reads_clauses(spark):
     assert unseen > 0 and g.evidence("said aa not zorgnew")[0] < g.evidence("aa zorgnew")[0] < g.evidence("you zorgnew")[0]
 
 
+def all_paths(machines, read):
+    """The best accepted path when each machine reads, one after another, every string that the one before can write."""
+    strings = [list(read)]
+    for m in machines:
+        after = []
+        for string in strings:
+            paths = [(m.start, [])]
+            for symbol, value in string:
+                paths = [(to, [*out, (y, value * f + c)]) for state, out in paths for to, y, f, c in m.arcs(state, symbol)]
+            after += [out for state, out in paths if m.final(state)]
+        strings = after
+    return max((sum(v for _, v in out) for out in strings), default=0.0)
+
+
+def test_composed_transducers_equal_all_paths_of_the_single_ones():
+    rng = random.Random(12)
+    single = [toxicity.negation(), toxicity.reported(), toxicity.threat(), toxicity.target()]
+    table = toxicity.composed()
+    for _ in range(1500):
+        read = [(k, rng.choice([1.0, 2.5]) if k in (toxicity.INSULT, toxicity.THREATS) else 0.0) for k in rng.choices(range(8), [3, 4, 3, 2, 2, 1, 2, 2], k=rng.randint(0, 9))]
+        read.append((toxicity.BREAK, 0.0))
+        assert table.best(read) == pytest.approx(all_paths(single, read)), read
+
+
+def test_toxicity_clauses():
+    g = toxicity.Grammar({"zorg": 3.0})
+    weigh = lambda text: g.evidence(text)[0]
+    direct = weigh("you zorg")
+    assert direct == 3.5 and weigh("zorg") == 3.0 and weigh("you are not a zorg") == 3.0 * 0.25 + 0.5
+    for told in ('"you zorg" he said', "he said you zorg", "you zorg, he said", 'He said: "you zorg"', '"you zorg!" she wrote'):
+        assert weigh(told) == pytest.approx(3.0 * 0.6 + 0.5), told
+    assert weigh("He said so. You zorg!") == 3.5  # another sentence
+    assert weigh("i will kill you") == 3.5 and weigh("will kill, you") == 0 and weigh("kill the process") == 0 and weigh("i will never kill you") == 0
+    assert weigh("you zorg " + "aa " * 50_000 + "zorg") == 6.5 and weigh("zorg " * 100) == 12.0
+    assert g.evidence("Fine. You zorg! Bye")[1] == ["You zorg"]
+
+
+def brute_score(g, text):
+    """A text's evidence by the single transducers, from words found anew."""
+    total = 0.0
+    for sentence in toxicity.SENTENCE.split(text or ""):
+        read = [(toxicity.BREAK, 0.0) if w in ".!?…;:," else g._symbol(w) for w in toxicity.WORD_OR_BREAK.findall(sentence.lower())]
+        if any(k in (toxicity.INSULT, toxicity.THREATS) for k, _ in read):
+            total += min(12.0, toxicity.composed().best([*read, (toxicity.BREAK, 0.0)]))
+    return total
+
+
+def test_toxicity_query(spark, sample):
+    """Held-out flags, learning without the held-out labels, scores against a plain reading, and quality on held-out rows."""
+    rows = toxicity.op2_toxicity(spark, sample).collect()
+    docs, labels = spark.read.parquet(f"{sample}/documents.parquet"), spark.read.parquet(f"{sample}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(rows) == len(texts) and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) for r in rows)
+    g = toxicity.train(docs, labels.where("pmod(crc32(cast(doc_id as string)), 3) <> 1"))
+    assert all(r.score == pytest.approx(g.score(brute_score(g, texts[r.doc_id]))) for r in rows)
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     g = toxicity.Grammar({"hell": 3.0})
     got = toxicity.assess(odd, g).collect()

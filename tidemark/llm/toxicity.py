@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import arrow_map, only, staged, table, unused
+from tidemark.llm.common import arrow_map, drop_staged, only, staged, table, unused
+from tidemark.llm.transducers import Table, Transducer
 
 #: Training reads about so many labelled documents, spread by a hash of doc_id, whole texts each.
 SAMPLE_DOCS = 20_000
@@ -30,7 +31,9 @@ Z, LEAST_SPREAD = 1.64, 0.006
 ROWS = 128
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-CLAUSE = re.compile(r"[.!?;:\n…]+|,(?=\s)")
+#: A sentence goes on behind a closing quote if a small letter follows: "...!" he said. Clauses within it part at these signs.
+SENTENCE = re.compile(r"[.!?…]++(?![\"”»“'’]\s*,?\s*[a-zß-öø-ÿ])|\n+")
+WORD_OR_BREAK = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?…;:]|,(?=[\s\"”»“'’])")
 # Closed word classes of the grammar, by language: en, de, fr, es.
 TARGET = frozenset(
     "you your yours yourself ur u they them those these he she him her his people du dich dir dein deine ihr euch sie ihm tu toi te ton ta vous votre vos lui eux ils elles tú ti tus usted ustedes él ella ellos ellas vosotros".split()
@@ -42,66 +45,102 @@ REPORT = frozenset(
 THREAT = frozenset("kill murder hurt stab shoot burn hang strangle destroy beat smash rape töten umbringen erschießen schlagen tuer frapper brûler égorger matar golpear quemar degollar die sterben mourir morir".split())
 INTENT = frozenset("will gonna shall going must should want hope i'll we'll werde werden wirst soll vais va allons veux espère voy vamos quiero espero deberías deserve deserves".split())
 
-# Symbols of the composed transducer and its states.
-OTHER, INSULT, THREATS, TARGETS, NEGATES, REPORTS, INTENTS = range(7)
+# Word classes; BREAK stands between clauses and behind the last.
+OTHER, INSULT, THREATS, TARGETS, NEGATES, REPORTS, INTENTS, BREAK = range(8)
+#: Words that a negation covers; value factors under a negation and in reported speech; what a target adds; a threat's value; the
+#: most that a sentence counts.
+REACH = 3
+FLIPPED, REPORTED, AIMED, THREATENED, MOST = 0.25, 0.6, 0.5, 3.0, 12.0
 
 
-class Machine:
-    """The composition of the insult, threat, target, negation and reported-speech transducers.
+def negation() -> Transducer:
+    """Up to ``REACH`` words behind a negation an insult counts ``FLIPPED`` and a threat not at all. State: words still covered."""
 
-    A state is (report, negation, target, intent, matched): whether the clause has a report verb, how many words a negation
-    still covers, whether a target or an intent was seen, and what has matched. Reading an insult adds its weight, times
-    ``FLIPPED`` under a negation and ``REPORTED`` in reported speech; a target in the same clause adds ``AIMED``. A threat
-    counts only with an intent and a target or insult. The weight of a clause is that of its best path, bounded by ``MOST``.
+    def arcs(left: int, symbol: int) -> list:
+        if symbol in (BREAK, NEGATES):
+            return [(REACH if symbol == NEGATES else 0, symbol, 1.0, 0.0)]
+        after = max(0, left - 1)
+        if left and symbol == INSULT:
+            return [(after, INSULT, FLIPPED, 0.0)]
+        if left and symbol == THREATS:
+            return [(after, OTHER, 0.0, 0.0)]
+        return [(after, symbol, 1.0, 0.0)]
+
+    return Transducer(0, arcs)
+
+
+def reported() -> Transducer:
+    """In a sentence with a verb of report, on whichever side, insults and threats count ``REPORTED``.
+
+    From the start a path may suppose that the verb is still to come (``guess``); it is accepted only if it does come. A path
+    that has read an insult as the writer's own (``own``) dies at such a verb.
+    """
+
+    def arcs(state: str, symbol: int) -> list:
+        hostile = symbol in (INSULT, THREATS)
+        if state == "start" and symbol != REPORTS:
+            return [("own" if hostile else "start", symbol, 1.0, 0.0), ("guess", symbol, REPORTED if hostile else 1.0, 0.0)]
+        if state == "own":
+            return [] if symbol == REPORTS else [("own", symbol, 1.0, 0.0)]
+        return [("told" if symbol == REPORTS else state, symbol, REPORTED if hostile else 1.0, 0.0)]
+
+    return Transducer("start", arcs, lambda state: state != "guess")
+
+
+def threat() -> Transducer:
+    """A threat counts once a clause, if the clause has an intent, and a target or an insult, before or behind it.
+
+    A path either leaves a threat out or counts it; one that counts it dies at the end of a clause without the rest. State:
+    intent seen, target or insult seen, threat counted.
     """
 
-    REACH = 3
-    FLIPPED, REPORTED, AIMED, THREATENED, MOST = 0.25, 0.6, 0.5, 3.0, 12.0
-
-    def clause(self, symbols: list[tuple[int, float]]) -> tuple[float, int]:
-        """Weight of the matched clause and the number of insults and threats in it."""
-        weight, hits, negation, report, target, intent, threat = 0.0, 0, 0, False, False, False, 0.0
-        for symbol, w in symbols:
-            if symbol == INSULT:
-                factor = (self.FLIPPED if negation else 1.0) * (self.REPORTED if report else 1.0)
-                weight += w * factor
-                hits += 1
-            elif symbol == NEGATES:
-                negation = self.REACH + 1
-            elif symbol == REPORTS:
-                report = True
-            elif symbol == TARGETS:
-                target = True
-            elif symbol == INTENTS:
-                intent = True
-            elif symbol == THREATS and not negation:
-                threat = self.THREATENED * (self.REPORTED if report else 1.0)
-            negation = max(0, negation - 1)
-        if threat and intent and (target or hits):
-            weight += threat
-            hits += 1
-        if weight and target:
-            weight += self.AIMED
-        return min(weight, self.MOST), hits
+    def arcs(state: tuple, symbol: int) -> list:
+        intent, aimed, counted = state
+        if symbol == BREAK:
+            return [] if counted and not (intent and aimed) else [((False, False, False), BREAK, 1.0, 0.0)]
+        if symbol == THREATS:
+            out = [(state, OTHER, 0.0, 0.0)]
+            return out if counted else [*out, ((intent, aimed, True), THREATS, 1.0, 0.0)]
+        return [((intent or symbol == INTENTS, aimed or symbol in (TARGETS, INSULT), counted), symbol, 1.0, 0.0)]
+
+    return Transducer((False, False, False), arcs)
+
+
+def target() -> Transducer:
+    """A clause with an insult or a counted threat and a target gets ``AIMED`` more. State: hit, target seen."""
+
+    def arcs(state: tuple, symbol: int) -> list:
+        hit, aimed = state
+        if symbol == BREAK:
+            return [((False, False), BREAK, 1.0, AIMED if hit and aimed else 0.0)]
+        return [((hit or symbol in (INSULT, THREATS), aimed or symbol == TARGETS), symbol, 1.0, 0.0)]
+
+    return Transducer((False, False), arcs)
+
+
+def composed() -> Table:
+    """The table of all transducers after one another; which word is what the insult transducer, ``Grammar.symbol``, decides."""
+    return Table(target().after(threat().after(reported().after(negation()))), range(8))
 
 
 class Grammar:
-    """The lexicon of weighted stems and the score of a text: a logistic function of the clause weights' sum.
+    """The lexicon of weighted stems and the score of a text: a logistic function of the sum of its sentences' weights.
 
-    ``stems`` maps a word's start, or a whole word closed by "$", to its weight; the longest that fits counts.
+    ``stems`` maps a word's start, or a whole word closed by "$", to its weight; the longest that fits counts. A sentence's
+    weight is that of the best path through the composed transducers.
     """
 
     def __init__(self, stems: dict[str, float], bias: float = -3.0, slope: float = 1.0):
         self.stems, self.bias, self.slope = stems, bias, slope
-        self.machine = Machine()
-        self.words: dict[str, tuple[int, float]] = {}
+        self.table = composed()
+        self.words: dict[str, tuple[int, float]] = {x: (BREAK, 0.0) for x in ".!?…;:,"}
 
     def symbol(self, word: str) -> tuple[int, float]:
         found = self.words.get(word)
         if found is None:
             found = self._symbol(word)
             if len(self.words) >= 300_000:
-                self.words.clear()
+                self.words = {x: (BREAK, 0.0) for x in ".!?…;:,"}
             if len(word) <= 40:
                 self.words[word] = found
         return found
@@ -116,29 +155,30 @@ class Grammar:
             return INSULT, w
         for symbol, own in ((NEGATES, NEGATION), (THREATS, THREAT), (REPORTS, REPORT), (TARGETS, TARGET), (INTENTS, INTENT)):
             if word in own:
-                return symbol, 0.0
+                return symbol, THREATENED if symbol == THREATS else 0.0
         return OTHER, 0.0
 
-    def evidence(self, text: str | None) -> tuple[float, int, list[str]]:
-        """Sum of the weights of matched clauses, how many matched words, and the matched clauses."""
-        total, hits, spans = 0.0, 0, []
-        if not text:
-            return total, hits, spans
-        known, words = self.symbol, self.words.get
-        for clause in CLAUSE.split(text):
-            symbols = []
-            telling = False
-            for word in WORD.findall(clause.lower()):
-                s = words(word) or known(word)
+    def evidence(self, text: str | None) -> tuple[float, list[str]]:
+        """Sum of the weights of the matched sentences, and those sentences."""
+        total, spans = 0.0, []
+        for sentence in SENTENCE.split(text or ""):
+            symbols, telling, quiet = [], False, 0
+            for word in WORD_OR_BREAK.findall(sentence.lower()):
+                s = self.words.get(word) or self.symbol(word)
+                if s[0] == OTHER:
+                    quiet += 1
+                    if quiet > REACH:
+                        continue  # no state tells longer runs of such words apart
+                else:
+                    quiet = 0
+                    telling = telling or s[0] == INSULT or s[0] == THREATS
                 symbols.append(s)
-                telling = telling or s[0] == INSULT or s[0] == THREATS
             if telling:
-                weight, n = self.machine.clause(symbols)
+                weight = min(MOST, self.table.best([*symbols, (BREAK, 0.0)]))
                 if weight > 0:
                     total += weight
-                    hits += n
-                    spans.append(clause.strip())
-        return total, hits, spans
+                    spans.append(sentence.strip())
+        return total, spans
 
     def score(self, evidence: float) -> float:
         x = self.bias + self.slope * evidence
@@ -166,6 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, st
     size = {bool(r.toxic): r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = size.get(True, 0), size.get(False, 0)
     if not bad:
+        drop_staged(sample)
         return Grammar({})
     spark = docs.sparkSession
 
@@ -235,6 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, st
     grammar = Grammar(stems)
     seen = assess(sample, grammar, ["toxic"]).select("toxic", "toxic_evidence").collect()
     grammar.bias, grammar.slope = _fit(np.array([r.toxic_evidence for r in seen]), np.array([float(r.toxic) for r in seen]))
+    drop_staged(sample)
     return grammar
 
 
@@ -258,9 +300,11 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def assess(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all, if none are named) with toxic_score, toxic_evidence and toxic_clauses (array of the clauses).
+    """``keep`` columns (all, if none are named) with toxic_score, toxic_evidence and toxic_clauses (array of the sentences matched).
 
-    A projection over whole texts. Null and empty texts have no evidence and the score of such a text.
+    A projection over whole texts, very long ones included. Null and empty texts have no evidence and the score of such a text.
+    Repeated rows and rows without doc_id are scored like any other. Columns that have the added names are replaced. Empty
+    table: no rows.
     """
     added = ("toxic_score", "toxic_evidence", "toxic_clauses")
     names = [c for c in (keep or docs.columns) if c not in added]
@@ -274,11 +318,9 @@ def assess(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) ->
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 found = [own.evidence(t) for t in batch.column(len(names)).to_pylist()]
-                columns = [pa.array([own.score(e) for e, _, _ in found]), pa.array([e for e, _, _ in found]), pa.array([c for _, _, c in found], pa.list_(pa.string()))]
+                columns = [pa.array([own.score(e) for e, _ in found]), pa.array([e for e, _ in found]), pa.array([c for _, c in found], pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *columns], [*names, *added])
 
-
-
     extra = [StructField("toxic_score", DoubleType()), StructField("toxic_evidence", DoubleType()), StructField("toxic_clauses", ArrayType(StringType()))]
     return arrow_map(source, run, StructType([*source.select(*names).schema.fields, *extra]))
 
