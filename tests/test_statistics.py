@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
-from tidemark.models import report
-from tidemark.models.risk import RiskModel, calibration_fit
+from tidemark.models import audit, features, report
+from tidemark.models.risk import RiskModel, calibration_fit, score_all
 from tidemark.models.survival import fit_recalibration
 from tidemark.operators import survival as V
 
@@ -67,12 +67,61 @@ def test_models_learn_and_reports_escape(spark):
     m = RiskModel(["w", "x"], (0, 1), maxIter=8).fit(df, "label")
     scored = m.score(df)
     assert M.auc(scored.where("label is not null"), "risk_score", "label").first().auc > 0.85 and scored.count() == 402
+    assert all(r.risk_score == round(r.risk_score, 6) for r in scored.collect())
     line = calibration_fit(scored.where("label is not null"), "risk_score", "label")
     assert line["slope"] > 0.5
     assert "<\\/script>" in report.render({"x": "</script>"}, "t & u") and "t &amp; u" in report.render({}, "t & u")
     assert report.estimate_usd(3, 60) == pytest.approx(0.96)
 
 
+def test_calibration_line_recovers_a_known_distortion(spark):
+    random.seed(5)
+    rows = []
+    for _ in range(6000):
+        z = random.gauss(-1, 1.2)
+        rows.append((1 / (1 + math.exp(-z)), int(random.random() < 1 / (1 + math.exp(-(0.4 + 0.7 * z))))))
+    got = calibration_fit(spark.createDataFrame(rows, "p double, y int"), "p", "y")
+    assert got["joint_intercept"] == pytest.approx(0.4, abs=0.15) and got["slope"] == pytest.approx(0.7, abs=0.1)
+    total = sum(1 / (1 + math.exp(-(math.log(p / (1 - p)) + got["intercept"]))) for p, _ in rows)
+    assert total == pytest.approx(sum(y for _, y in rows), abs=0.01)
+
+
+class Leaning:
+    """A model whose score is its input x."""
+
+    def score(self, df):
+        return df.withColumn("risk_score", F.col("x"))
+
+
+def test_audit_finds_the_column_that_was_edited(spark):
+    random.seed(6)
+    rows = [(k, k % 2, (k % 2) * 0.5 + random.random() / 2, random.random()) for k in range(300)]
+    latest = spark.createDataFrame([*rows, (900, None, 0.5, 0.5)], "id int, label int, x double, z double")
+    archived = latest.select("id", F.rand(1).alias("x"), "z").where("id < 250")
+    pairs = audit.paired(Leaning(), latest, archived, "id", "label", ["x", "z"])
+    assert pairs.count() == 250
+    found = audit.both_ways(pairs, "label", "id", 50)
+    assert found["latest"]["auc"] > 0.99 and found["archived"]["auc"] < 0.7 and found["drop_low"] <= found["drop"] <= found["drop_high"]
+    swapped = audit.swap_each(Leaning(), latest, archived, "id", "label", ["z", "x"])
+    assert [s["column"] for s in swapped] == ["x", "z"] and swapped[1]["drop"] == 0
+    lags = spark.createDataFrame([(1, -40), (2, 10), (3, 30)], "id int, lag_days int")
+    assert sorted(r.id for r in audit.close_enough(lags, 30).collect()) == [2, 3]
+
+
+def test_every_row_gets_a_score_and_its_kind(spark):
+    random.seed(7)
+    rows = [(k, ("train", "test", "score")[k % 3], f"{2010 + k % 2}-05-01", random.random()) for k in range(240)]
+    df = spark.createDataFrame([(k, s, d, x, None if s == "score" else int(x > 0.5)) for k, s, d, x in rows], "id int, split string, day string, x double, label int").withColumn("day", F.to_date("day"))
+    out = score_all(df, "label", "split", "day", ["x"], seeds=(0,), maxIter=3)
+    assert {(r.split, r.score_type): r["count"] for r in out.groupBy("split", "score_type").count().collect()} == {("train", "out_of_fold"): 80, ("test", "held_out"): 80, ("score", "forward"): 80}
+
+
+def test_too_many_levels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(features, "MOST_LEVELS", 2)
+    with pytest.raises(ValueError, match="w"):
+        features.learned_levels(spark.createDataFrame([("a",), ("b",), ("c",)], "w string"), ["w"])
+
+
 def test_stream_keeps_the_latest_version(spark, tmp_path):
     from tidemark.streaming.latest import upsert_latest
 

@@ -23,8 +23,16 @@ def kinds(df: DataFrame, columns: list[str]) -> tuple[list[str], list[str]]:
     return [c for c in columns if c not in words], words
 
 
+#: A column with more levels is no category: the levels come to the driver.
+MOST_LEVELS = 10_000
+
+
 def learned_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Levels of each categorical column, with 'missing' for null; one aggregate for all columns, small by nature."""
+    """Levels of each categorical column, with 'missing' for null; an error if a column has more than ``MOST_LEVELS``."""
+    many = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first() if columns else {}
+    wide = [c for c in columns if many[c] > MOST_LEVELS]
+    if wide:
+        raise ValueError(f"more than {MOST_LEVELS} levels: {', '.join(wide)}")
     row = df.agg(*[F.array_sort(F.collect_set(F.coalesce(c, F.lit("missing")))).alias(c) for c in columns]).first() if columns else {}
     return {c: list(row[c]) for c in columns}
 
@@ -50,8 +58,8 @@ class TextComponents:
         return pairs.withColumn("terms_", F.concat("w1_", "w2_")).drop("w1_", "w2_")
 
     def fit(self, texts: DataFrame) -> TextComponents:
-        from pyspark.mllib.linalg import Vectors as Old
         from pyspark.mllib.linalg.distributed import RowMatrix
+        from pyspark.mllib.util import MLUtils
 
         t = self._terms(texts)
         self.counter = CountVectorizer(inputCol="terms_", outputCol="tf_", minDF=float(self.min_df), vocabSize=self.terms).fit(t)
@@ -59,7 +67,7 @@ class TextComponents:
         n = counted.count()
         df = np.array(IDF(inputCol="tf_", outputCol="x_").fit(counted).docFreq)
         self.idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
-        rows = self._weighted(counted).select("v_").rdd.map(lambda r: Old.fromML(r.v_))
+        rows = MLUtils.convertVectorColumnsFromML(self._weighted(counted).select("v_"), "v_")
         k = max(1, min(self.components, len(self.idf) - 1, n))
         svd = RowMatrix(rows).computeSVD(k, computeU=False)
         v = svd.V.toArray()

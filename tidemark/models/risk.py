@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -60,7 +62,8 @@ class RiskModel:
         return out.withColumn(name, total / len(self.seeds)).select(*df.columns, name)
 
     def score(self, df: DataFrame, name: str = "risk_score") -> DataFrame:
-        return self.log_odds(df, "lo_").withColumn(name, sigmoid(F.col("lo_"))).drop("lo_")
+        """The score to six digits, so that metrics, which sum by distinct score, see a million rows at most."""
+        return self.log_odds(df, "lo_").withColumn(name, F.round(sigmoid(F.col("lo_")), 6)).drop("lo_")
 
 
 class LinearRisk:
@@ -86,7 +89,7 @@ class LinearRisk:
 
     def score(self, df: DataFrame, name: str = "risk_score") -> DataFrame:
         out = self.model.transform(_prepared(df, self.numbers, self.levels))
-        return out.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
+        return out.withColumn(name, F.round(vector_to_array("probability")[1], 6)).select(*df.columns, name)
 
     def contributions(self, df: DataFrame) -> DataFrame:
         """``df`` with contributions: array of (feature, contribution), slots of one input summed."""
@@ -171,15 +174,21 @@ def rolling_origin(df: DataFrame, label: str, date: str, columns: list[str], yea
 def cross_fit(df: DataFrame, label: str, date: str, columns: list[str], **params) -> DataFrame:
     """Scores of each calendar year by a model that never saw that year; year by year, whole rows each."""
     years = sorted(r.y for r in df.select(F.year(date).alias("y")).distinct().collect())
-    parts = []
-    for y in years:
-        own = df.where(F.year(date) == y)
-        m = RiskModel(columns, (0,), **params).fit(df.where(F.year(date) != y), label)
-        parts.append(m.score(own).withColumn("score_type", F.lit("out_of_fold")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    scored = [RiskModel(columns, **({"seeds": (0,)} | params)).fit(df.where(F.year(date) != y), label).score(df.where(F.year(date) == y)) for y in years]
+    return reduce(DataFrame.unionByName, scored).withColumn("score_type", F.lit("out_of_fold"))
+
+
+def score_all(df: DataFrame, label: str, split: str, date: str, columns: list[str], **params) -> DataFrame:
+    """A score for every row, and how it came about: ``score_type``.
+
+    Rows that are to be scored get a model of all rows with a label (forward), those held out one of the rows trained on
+    (held_out), and those trained on the score of a model that never saw their year (out_of_fold).
+    """
+    train, labeled = df.where(F.col(split) == "train"), df.where(F.col(label).isNotNull())
+    own = RiskModel(columns, **params).fit(train, label).score(df.where(~F.col(split).isin("train", "score")))
+    ahead = RiskModel(columns, **params).fit(labeled, label).score(df.where(F.col(split) == "score"))
+    both = own.unionByName(ahead).withColumn("score_type", score_type(F.col(split)))
+    return both.unionByName(cross_fit(train, label, date, columns, **params))
 
 
 def score_type(split: Column) -> Column:
@@ -195,36 +204,44 @@ def ablations(df: DataFrame, label: str, columns: list[str], groups: dict[str, l
     return out
 
 
+def _logistic(rows: DataFrame, terms: list[Column], offset: Column, start: list[float], rounds: int) -> np.ndarray:
+    """Coefficients of ``terms`` in a logistic regression of y with an offset; each trial is one aggregate over all rows.
+
+    Damped Newton steps: the damping shrinks after a step that lowers the loss and grows after one that does not, which is
+    then taken back.
+    """
+    pairs = [(i, j) for i in range(len(terms)) for j in range(i + 1)]
+
+    def measured(b: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = offset + sum(F.lit(float(v)) * t for v, t in zip(b, terms))
+        p = sigmoid(z)
+        # log(1 + exp(z)) - y z, without overflow
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - F.col("y") * z
+        got = rows.agg(F.sum(loss), *[F.sum((F.col("y") - p) * t) for t in terms], *[F.sum(p * (1 - p) * terms[i] * terms[j]) for i, j in pairs]).first()
+        curve = np.zeros((len(terms),) * 2)
+        for (i, j), v in zip(pairs, got[1 + len(terms) :]):
+            curve[i, j] = curve[j, i] = v
+        return got[0], np.array(got[1 : 1 + len(terms)]), curve
+
+    b, damping = np.array(start), 1e-9
+    loss, slope, curve = measured(b)
+    for _ in range(rounds):
+        step = np.linalg.solve(curve + damping * np.diag(np.maximum(np.diag(curve), 1e-9)), slope)
+        tried = measured(b + step)
+        if tried[0] <= loss + 1e-12 * abs(loss):
+            b, (loss, slope, curve), damping = b + step, tried, damping / 10
+            if np.abs(step).max() < 1e-9:
+                break
+        else:
+            damping = max(damping, 1e-6) * 10
+    return b
+
+
 def calibration_fit(df: DataFrame, score: str, label: str, rounds: int = 50) -> dict:
-    """Intercept at slope 1 (bisection) and intercept and slope (damped Newton); each step is one aggregate over all rows."""
+    """How far log-odds are off: the intercept at slope 1, and intercept and slope fitted together."""
     rows = df.select(logit(F.col(score)).alias("x"), F.col(label).cast("double").alias("y")).cache()
-    target = rows.agg(F.avg("y")).first()[0]
-    low, high = -30.0, 30.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        if high - low < 1e-9:
-            break
-        low, high = (mid, high) if rows.agg(F.avg(sigmoid(F.col("x") + F.lit(mid)))).first()[0] < target else (low, mid)
-    b = np.array([0.0, 1.0])
-
-    def state(b):
-        p = sigmoid(F.lit(float(b[0])) + F.lit(float(b[1])) * F.col("x"))
-        q = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
-        w = p * (1 - p)
-        loss = -(F.col("y") * F.log(q) + (1 - F.col("y")) * F.log(1 - q))
-        return rows.agg(F.sum(F.col("y") - p), F.sum((F.col("y") - p) * F.col("x")), F.sum(w), F.sum(w * F.col("x")), F.sum(w * F.col("x") * F.col("x")), F.sum(loss)).first()
-
-    s = state(b)
-    for _ in range(rounds):
-        curve = np.array([[s[2], s[3]], [s[3], s[4]]]) + 1e-9 * np.eye(2)
-        step = np.linalg.solve(curve, np.array([s[0], s[1]]))
-        scale, new = 1.0, state(b + step)
-        while new[5] > s[5] + 1e-12 and scale > 1e-6:
-            scale /= 2
-            new = state(b + scale * step)
-        b, s = b + scale * step, new
-        if np.abs(scale * step).max() < 1e-8:
-            break
+    one, x = F.lit(1.0), F.col("x")
+    alone = _logistic(rows, [one], x, [0.0], rounds)
+    both = _logistic(rows, [one, x], F.lit(0.0), [0.0, 1.0], rounds)
     rows.unpersist()
-    return {"intercept": (low + high) / 2, "joint_intercept": float(b[0]), "slope": float(b[1])}
-
+    return {"intercept": float(alone[0]), "joint_intercept": float(both[0]), "slope": float(both[1])}

@@ -16,19 +16,23 @@ def first_revisions(stream: DataFrame, keys: list[str], date: str, lateness: str
     return stream.withWatermark(date, lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert_latest(out: str, key: str, version: str):
+def upsert_latest(out: str, key: str, version: str, buckets: int = 256):
     """A foreachBatch function that keeps, per key, the row of the highest version in the Parquet table ``out``.
 
-    The new table is written beside the old one and swapped in, so a batch that is run again changes nothing.
+    The table is partitioned by a hash of the key. A batch rewrites only the partitions that its keys are in; one that is run
+    again changes nothing.
     """
-    from tidemark.sources.store import exists, publish
+    from tidemark.sources.store import exists
 
     def write(batch: DataFrame, _id: int) -> None:
         spark = batch.sparkSession
-        rows = batch
-        if exists(spark, out):
-            rows = rows.unionByName(spark.read.parquet(out), allowMissingColumns=True)
-        best = rows.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in rows.columns]), F.struct(F.col(version), F.xxhash64(*rows.columns))).alias("r_")).select("r_.*")
-        publish(best, out)
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        if exists(spark, f"{out}/_SUCCESS"):
+            touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+            old = spark.read.parquet(out).where(F.col("bucket").isin(touched))
+            rows = rows.unionByName(old, allowMissingColumns=True)
+        whole = F.struct(*[F.col(c) for c in rows.columns])
+        best = rows.groupBy("bucket", key).agg(F.max_by(whole, F.struct(F.col(version), F.xxhash64(*rows.columns))).alias("r_")).select("r_.*")
+        best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(out)
 
     return write
