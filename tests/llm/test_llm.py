@@ -1,9 +1,10 @@
 """The text-corpus operators against libraries, brute force, SQL and odd rows."""
 
 import hashlib
+import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -231,6 +232,11 @@ def test_html(spark):
     assert got[3] == "own text 3" and got[99] == "" and got[100] == "the same on every page"
     assert html.extract(df.limit(0)).count() == 0
     assert len(html.main_text("<div>" * 3000 + "deep")) == 4
+    # an end tag behind any depth closes its own element, so what follows is outside the marked one
+    deep = "<nav>" + "<div>" * 600 + "in" + "</div>" * 600 + "</nav><p>out</p>"
+    assert html.main_text(deep) == "out" and html.main_text("<p>" + "long " * 100_000 + "</p>") == ("long " * 100_000).strip()
+    twice = spark.createDataFrame(pages[:8] + pages[:8], "page_id long, url string, html string, host string")
+    assert all(r.text == f"own text {r.page_id}" for r in html.extract(twice).collect())
 
 
 def test_html_importance_decides_inside_and_outside_articles(spark):
@@ -248,6 +254,55 @@ def test_html_importance_decides_inside_and_outside_articles(spark):
     assert got[200] == "body text 0 beside the teaser\nteaser 0\nthe same in every article\nthe same on every page\nskip"
 
 
+def brute_turned(pages):
+    """For each host the style nodes that overrule the rules, by counting over its pages in plain Python."""
+    hosts = defaultdict(list)
+    for url, page in pages:
+        hosts[url.split("/")[2]].append([(b[0], b[3]) for b in html.blocks(page)])
+    out = {}
+    for host, own in hosts.items():
+        whole = sum(len(x) for page in own for _, x in page)
+        out[host] = set()
+        for path in {p for page in own for p, _ in page}:
+            on = [[x for p, x in page if p == path] for page in own]
+            on = [x for x in on if x]
+            m, base = len(on), math.log(max(len(on), html.PRIOR_PAGES))
+            texts = Counter(x for page in on for x in set(page))
+            times = Counter(len(set(page)) for page in on)
+            shared = sum(math.log(c) for c in texts.values()) / len(texts)
+            style = (math.log(m) - sum(c * math.log(c) for c in times.values()) / m) / base
+            if path.startswith("-"):
+                turned = (math.log(m) - shared) / base >= html.HIGH and sum(len(x) for page in on for x in page) >= html.MASS * whole
+            else:
+                turned = max(1 - shared / base, style) < (html.LOW / 2 if path.startswith("+") else html.LOW)
+            if turned:
+                out[host].add(path)
+    return out
+
+
+def test_html_tree_equals_brute_force(spark):
+    rng = random.Random(21)
+    pages = []
+    for h in range(8):
+        kinds = [(rng.choice(["div class=a", "div class=sidebar", "section", "nav", "article", "footer"]), rng.random()) for _ in range(6)]
+        for i in range(rng.choice([1, 2, 4, 6, 9, 20])):
+            parts = []
+            for k, (tag, common) in enumerate(kinds):
+                for _ in range(rng.choice([0, 1, 1, 1, 2])):
+                    own = f"block {k} of {h}" if rng.random() < common else f"own {rng.random()} " * rng.randint(1, 9)
+                    parts.append(f"<{tag}><p>{own}</p></{tag.split()[0]}>")
+            pages.append((f"http://h{h}.example/{i}", "<body>" + "".join(parts) + "</body>"))
+    turned = brute_turned(pages)
+    assert sum(p.startswith("-") for x in turned.values() for p in x) and sum(not p.startswith("-") for x in turned.values() for p in x)
+    got = {r.url: r.text for r in html.extract(spark.createDataFrame(pages, "url string, html string")).collect()}
+    changed = 0
+    for url, page in pages:
+        want = html.main_text(page, frozenset(turned[url.split("/")[2]]))
+        changed += want != html.main_text(page)
+        assert got[url] == want
+    assert changed > 10
+
+
 # 6 n-gram join
 
 

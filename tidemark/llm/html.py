@@ -13,16 +13,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.llm.common import arrow_map, pinned, table, unused
 
-#: A style node whose importance lies below this (half of it inside an article) goes, if its host has at least ``LEAST_PAGES``
-#: pages with it.
+#: A style node whose importance lies below this (half of it inside an article) goes.
 LOW = 0.25
-LEAST_PAGES = 8
+#: Entropies of a node on fewer pages are measured as if it were on so many: what few pages share tells little.
+PRIOR_PAGES = 8
 #: A node that the rules mark as noise stays if its content is as important and it holds this share of its host's text.
 HIGH = 0.75
 MASS = 0.25
 #: As many turned nodes, some 100 bytes each, may be broadcast; more are joined by host in a shuffle.
 NODES_SENT = 200_000
 ROWS = 128
+#: Elements on a style path.
+DEEP = 256
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript")
@@ -149,8 +151,8 @@ def blocks(page: str | None) -> list[tuple[str, bool, bool, str]]:
                 held.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
             continue
-        if len(stack) < 512:  # deeper elements count as part of the deepest
-            stack.append((name, max(noise, bad), path, inside))
+        # nested deeper, elements share the path of the one at that depth; they open and close like any other
+        stack.append((name, max(noise, bad), path if len(stack) < DEEP else stack[-1][2], inside))
     flush()
     return out
 
@@ -159,16 +161,18 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def style_tree(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES) -> DataFrame:
+def style_tree(pages: DataFrame, low: float = LOW, prior_pages: int = PRIOR_PAGES) -> DataFrame:
     """The nodes of each host's style tree whose importance overrules the rules: host, path.
 
     All text blocks of the pages of a host are merged by style path. For a node on m of the host's pages, a content feature
     (the digest of a block's text) on c of them has the entropy log c / log m: 0 if it is on one page only, 1 if on all. The
     importance of the content is 1 less the mean entropy over the node's features; that of the presentation is the entropy of
-    how often the node occurs on a page, log-scaled in the same way. A node goes if the larger of the two is below ``low``,
-    inside an article below half of it. A node that the rules mark goes too, unless its content has the importance ``HIGH`` and
-    it holds the share ``MASS`` of its host's text. Nodes on fewer than ``least_pages`` pages are left to the rules. Counts are
-    aggregated before they are shuffled, by host, path and digest, so that a hot host is spread.
+    how often the node occurs on a page, log-scaled in the same way. Where m is below ``prior_pages`` that number takes its
+    place in the logarithm that the entropies are measured by: as a node's pages become few, what speaks against it fades, and
+    so does what speaks against its mark; a small host has a tree like any other. A node goes if the larger of the two is
+    below ``low``, inside an article below half of it. A node that the rules mark goes too, unless log m less the mean of log c,
+    so measured, reaches ``HIGH`` and it holds the share ``MASS`` of its host's text.
+    Counts are aggregated before they are shuffled, by host, path and digest, so that a hot host is spread.
     """
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,12 +211,13 @@ def style_tree(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGE
         F.sum("chars").alias("chars"),
     )
     whole = summed.groupBy(F.col("host").alias("site")).agg(F.sum("chars").alias("whole"))
-    summed = summed.where(F.col("m") >= least_pages).join(whole, F.col("host") == F.col("site"))
-    m = F.log(F.col("m").cast("double"))
-    content = 1 - F.col("content") / m
-    style = (m - F.col("style") / F.col("m")) / m
+    summed = summed.join(whole, F.col("host") == F.col("site"))
+    pages_of = F.log(F.greatest(F.col("m"), F.lit(prior_pages)).cast("double"))
+    own = F.log(F.col("m").cast("double"))
+    content = 1 - F.col("content") / pages_of
+    style = (own - F.col("style") / F.col("m")) / pages_of
     least = F.when(F.col("path").startswith("+"), low / 2).otherwise(low)
-    stays = (content >= HIGH) & (F.col("chars") >= MASS * F.col("whole"))
+    stays = ((own - F.col("content")) / pages_of >= HIGH) & (F.col("chars") >= MASS * F.col("whole"))
     return summed.where(F.when(F.col("path").startswith("-"), stays).otherwise(F.greatest(content, style) < least)).select("host", "path")
 
 
@@ -227,9 +232,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: list[s
     """``keep`` columns (all but html, if none are named) and text, the main text of each whole page.
 
     Two passes over the pages: one builds the style trees of the hosts, one removes from each page the branches that the tree of
-    its host finds of low importance, or that are marked by element, role or class and not found important. Null or empty
-    html: ''. Null url: the pages without a host share a tree. The nodes where tree and rules differ are broadcast if there are
-    few of them, else joined by host.
+    its host finds of low importance, or that are marked by element, role or class and not found important. The nodes where tree
+    and rules differ are broadcast if there are few of them, else joined by host.
+
+    Null or empty html: ''. Null url: the pages without a host share a tree. Repeated pages: each is a page of its host, so what
+    a page shares with its own copies counts as shared by pages; if that leaves a page nothing, what is unmarked in an article
+    stays. Very long pages are read whole. Other columns pass through; one named text is replaced. Empty table: no rows.
     """
     names = [c for c in (keep or pages.columns) if c not in (html, "text")]
     own_host, own_html, other, turned_ = (unused(names, n) for n in ("host_", "html_", "host__", "turned_"))
