@@ -191,6 +191,23 @@ def test_neardup(spark):
     assert neardup_pq.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_neardup_recall_with_more_lists_than_probes(spark):
+    """35 lists of which 8 are probed: groups around 1,200 centres, some tight enough for balls, links from 0.9 up."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(1200, 64)) / 8
+    spread = np.repeat(rng.choice([0.02, 0.1, 0.18, 0.26, 0.32], size=1200), 6)
+    rows = np.concatenate([np.repeat(centre, 6, axis=0) + spread[:, None] * rng.normal(size=(7200, 64)) / 8, rng.normal(size=(1800, 64)) / 8])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in neardup_pq.near_duplicates(df).collect()}
+    u = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    links = np.concatenate([(u[a : a + 1000] @ u.T >= 0.9).sum(1) - 1 for a in range(0, len(u), 1000)])
+    found = np.array([got[i] for i in range(len(u))])
+    assert len(u) // neardup_pq.LIST_ROWS > 4 * neardup_pq.PROBES and (found <= links).all() and links.sum() > 10_000
+    recall = found.sum() / links.sum()
+    print(f"recall {recall:.4f} of {links.sum() // 2} links")
+    assert recall >= 0.95
+
+
 # 4 pieces
 
 

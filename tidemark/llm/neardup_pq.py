@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, components, staged, table
+from tidemark.llm.common import arrow_map, components, drop_staged, staged, table
 
 #: Rows, spread by a hash of vec_id, on which the quantiser is fitted; every row is indexed.
 SAMPLE = 16_384
@@ -121,9 +121,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
        exact angle of the leaders. The radii tell whether all members link, none do, or members must be compared.
     4. Links of balls give the components, and member counts the number of links.
 
-    No link below ``cosine`` is reported; links are missed only if neither vector probes the other's list. Vectors that are
-    null, empty, zero, hold null or non-finite components or have not the most frequent length link with nothing. Rows that
-    repeat a vec_id count as one vector (the least embedding). Null vec_id: no links, component_id null, kept.
+    No link below ``cosine`` is reported; a link is missed only if the leaders of the two vectors' balls, the vectors themselves
+    for most, do not probe each other's list, either of them. Vectors that are null, empty, zero, hold null or non-finite
+    components or have not the most frequent length link with nothing. Rows that repeat a vec_id count as one vector (the
+    least embedding). Null vec_id: no links, component_id null, kept. Other columns are not read. Empty table: no rows.
     """
     spark = vectors.sparkSession
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
@@ -188,7 +189,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     )
     out = base.join(found, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    out = staged(out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")), "linked")
+    for done in (placed, members, leaders, pairs, exact):
+        drop_staged(done)
+    return out
 
 
 def _place(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
