@@ -192,7 +192,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, grams_kept: int = GRA
 def identify(docs: DataFrame, model: LanguageFilter, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all, if none are named) with lang_pred, lang_score and lang_cover for each whole text.
 
-    A projection: no shuffle. Null text, or one without a letter: und with score 0. Columns of these names are replaced.
+    A projection: no shuffle. Null text, or one without a letter: und with score 0. Very long texts are read whole; repeated
+    rows and rows without doc_id are told like any other. Columns of these names are replaced. Empty table: no rows.
     """
     spark = docs.sparkSession
     names = [c for c in (keep or docs.columns) if c not in ("lang_pred", "lang_score", "lang_cover")]

@@ -246,7 +246,8 @@ def tokenize(docs: DataFrame, model_path: str | None = None, text: str = "text",
     """``keep`` columns, ids (array<int>) and decoded (string) for each row; null and empty texts have no ids and decode to ''.
 
     The model file is read on the driver and sent to the workers (half a megabyte). A projection: no shuffle, texts of any
-    length whole, memory bounded by a batch of ``ROWS`` texts and the worker's word memory.
+    length whole, memory bounded by a batch of ``ROWS`` texts and the worker's word memory. Repeated rows and rows without
+    doc_id are encoded like any other; columns not in ``keep`` are left out, so none clashes. Empty table: no rows.
     """
     spark = docs.sparkSession
     with open(model_path or default_model(), "rb") as f:
