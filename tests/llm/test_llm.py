@@ -584,3 +584,63 @@ def test_components(spark):
     assert common.components(edges.limit(0)).count() == 0
 
 
+
+
+# the queries themselves, over whole tables
+
+
+def schema_of(df):
+    return {n: t for n, t in df.dtypes}
+
+
+def test_queries_follow_their_contracts(spark, sample):
+    import sentencepiece
+    import tokenizers
+
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sample}/documents.parquet").collect()}
+    q = lambda name: registry.QUERIES[name](spark, sample)
+
+    df = q("op4_sentencepiece")
+    assert schema_of(df) == {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    own, sha = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model()), lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = {r.doc_id: r for r in df.collect()}
+    assert set(got) == set(docs)
+    for i, d in docs.items():
+        ids = own.encode(d.text or "")
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(own.decode(ids)))
+
+    df = q("op7_token_store")
+    assert schema_of(df) == {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"}
+    own, at, got = tokenizers.Tokenizer.from_file(tokenstore.default_tokenizer()), 0, {r.doc_id: r for r in df.collect()}
+    for i in sorted(docs):
+        ids = own.encode(docs[i].text or "", add_special_tokens=False).ids + [2]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+    df = q("op6_ngram_join")
+    assert set(schema_of(df)) == {"doc_id", "n_shingles", "component_id"}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()} == brute_groups([(i, d.text) for i, d in docs.items()], 3, 9, 10)
+
+    df = q("op10_language")
+    assert schema_of(df) == {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}
+    got = {r.doc_id: r for r in df.collect()}
+    known = {d.lang for i, d in docs.items() if d.lang and zlib.crc32(str(i).encode()) % 5} | {"und"}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.lang_pred in known and 0 <= r.score <= 1 for i, r in got.items())
+    assert all((got[i].lang_pred == "und") == (not any(c.isalpha() for c in d.text or "")) for i, d in docs.items())
+    held = [i for i, r in got.items() if r.held_out and docs[i].lang and r.lang_pred != "und"]
+    assert sum(got[i].lang_pred == docs[i].lang for i in held) >= 0.97 * len(held) > 20
+
+    df, rows = q("op5_html"), {r.page_id: r for r in spark.read.parquet(f"{sample}/pages.parquet").collect()}
+    assert schema_of(df) == {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"}
+    turned = brute_turned([(r.url, r.html) for r in rows.values()])
+    for r in df.collect():
+        assert r.url == rows[r.page_id].url and r.text == html.main_text(rows[r.page_id].html, frozenset(turned[r.url.split("/")[2].lower()])) and r.n_chars == len(r.text)
+
+    df, vectors = q("op3_embedding_neardup"), {r.vec_id: r.embedding for r in spark.read.parquet(f"{sample}/embeddings.parquet").collect()}
+    assert schema_of(df) == {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"}
+    keys = sorted(vectors)
+    u = np.array([vectors[k] for k in keys], float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.9).sum(1) - 1
+    got = {r.vec_id: r for r in df.collect()}
+    assert set(got) == set(vectors) and all(got[k].n_links <= n and got[k].kept == (got[k].component_id == k) for k, n in zip(keys, links)) and sum(got[k].n_links for k in keys) >= 0.9 * links.sum()
