@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.gates import DataGateError
 from tidemark.models import audit, features, report
-from tidemark.models.risk import RiskModel, calibration_fit, score_all
+from tidemark.models.risk import RiskModel, calibration_fit, refit_stability, score_all, tune
 from tidemark.models.survival import fit_recalibration
+from tidemark.operators import checks
 from tidemark.operators import survival as V
 
 
@@ -86,6 +88,24 @@ def test_calibration_line_recovers_a_known_distortion(spark):
     assert total == pytest.approx(sum(y for _, y in rows), abs=0.01)
 
 
+def test_tuning_stops_early_and_refits_agree(spark):
+    random.seed(8)
+    rows = [(k, f"{2008 + k % 8}-05-01", x := random.random(), int(x + random.gauss(0, 0.1) > 0.5)) for k in range(400)]
+    df = spark.createDataFrame(rows, "id int, day string, x double, label int").withColumn("day", F.to_date("day"))
+    best, tried = tune(df, "label", "day", "2013-01-01", ["x"], [{"maxIter": 30, "maxDepth": 4, "stepSize": 1.0}], least_trees=2)
+    assert 2 <= best["maxIter"] < 30 and best["maxDepth"] == 4 and tried[0]["auc"] > 0.85
+    (agreed,) = refit_stability(df, "label", df, ["x"], (0, 1), maxIter=3)
+    assert agreed["seed"] == 1 and agreed["spearman"] > 0.7 and 0 <= agreed["share_over_10"] <= agreed["share_over_5"] <= 1
+
+
+def test_cards_and_gates(spark):
+    text = report.survival_card("S", [{"years": 1, "incidence": 0.1}], [], [{"year": 2020, "ratio": 0.9}], ["note"])
+    assert text.startswith("# S") and "## Incidence" in text and "Calibration" not in text and "| 2020 | 0.9 |" in text and text.endswith("- note\n")
+    assert checks.gate_built({"a": spark.range(2)}) == {"a": 2}
+    with pytest.raises(DataGateError, match="no rows in b"):
+        checks.gate_built({"a": spark.range(2), "b": spark.range(0)})
+
+
 class Leaning:
     """A model whose score is its input x."""
 

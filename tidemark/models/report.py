@@ -97,6 +97,15 @@ def card(title: str, metrics: dict, calibration: list[dict], subgroups: list[dic
     return "\n\n".join([*parts, *[f"- {n}" for n in notes]]) + "\n"
 
 
+def survival_card(title: str, curve: list[dict], calibration: list[dict], by_year: list[dict], notes: list[str]) -> str:
+    """A card of the survival model in Markdown: incidence over time, predicted against observed by bin, observed against expected by year."""
+    parts = [f"# {title}"]
+    for head, rows in (("Incidence", curve), ("Calibration", calibration), ("Observed and expected by year", by_year)):
+        if rows:
+            parts += [f"## {head}", table(list(rows[0]), [list(r.values()) for r in rows])]
+    return "\n\n".join([*parts, *[f"- {n}" for n in notes]]) + "\n"
+
+
 def payload(active: DataFrame, areas: DataFrame, metrics: dict, top: int = 400) -> dict:
     """The dashboard's document: the riskiest open trials, areas, and figures."""
     first = active.orderBy(F.desc("risk_score"), "nct_id").limit(top).collect()

@@ -38,18 +38,23 @@ class RiskModel:
         fill = [Imputer(inputCols=self.numbers, outputCols=[f"{c}_f" for c in self.numbers], strategy="median")] if self.numbers else []
         return [*fill, *index, VectorAssembler(inputCols=own, outputCol="features", handleInvalid="keep")]
 
-    def fit(self, df: DataFrame, label: str) -> RiskModel:
+    def fit(self, df: DataFrame, label: str, held: Column | None = None) -> RiskModel:
+        """Fitted on the rows with a label. Rows for which ``held`` is true are only watched: trees stop when they gain nothing there."""
+        held = F.lit(False) if held is None else F.coalesce(held, F.lit(False))
+        known = df.where(F.col(label).isNotNull()).withColumn("held_", held)
         self.numbers, words = kinds(df, self.columns)
-        self.levels = learned_levels(df, words)
-        rows = _prepared(df.where(F.col(label).isNotNull()), self.numbers, self.levels).withColumn(label, F.col(label).cast("double"))
+        self.levels = learned_levels(known.where("not held_"), words)
+        rows = _prepared(known, self.numbers, self.levels).withColumn(label, F.col(label).cast("double"))
         # a column without any value can't be imputed
         full = rows.agg(*[F.count(c).alias(c) for c in self.numbers]).first() if self.numbers else {}
         self.numbers = [c for c in self.numbers if full[c]]
         stages = self._stages()
-        self.prepare = Pipeline(stages=stages).fit(rows)
-        ready = self.prepare.transform(rows).select("features", label).cache()
+        self.prepare = Pipeline(stages=stages).fit(rows.where("not held_"))
+        ready = self.prepare.transform(rows).select("features", label, "held_").cache()
+        watched = {"validationIndicatorCol": "held_", "validationTol": 0.001} if ready.where("held_").limit(1).count() else {}
         bins = max([32, *[len(v) + 2 for v in self.levels.values()]])
-        self.members = [GBTClassifier(labelCol=label, featuresCol="features", seed=s, maxBins=bins, **self.params).fit(ready) for s in self.seeds]
+        self.members = [GBTClassifier(labelCol=label, featuresCol="features", seed=s, maxBins=bins, **watched, **self.params).fit(ready) for s in self.seeds]
+        self.trees = [m.getNumTrees for m in self.members]
         ready.unpersist()
         return self
 
@@ -148,18 +153,31 @@ def driver_directions(df: DataFrame, feature: str, contributions: str = "contrib
     return own.crossJoin(cut).withColumn("level", level).where("level is not null").groupBy("level").agg(F.avg("c").alias("mean_contribution"))  # one row of cuts
 
 
-def tune(df: DataFrame, label: str, date: str, cut: str, columns: list[str], grid: list[dict], seed: int = 0) -> tuple[dict, list[dict]]:
-    """The parameters with the best AUC after ``cut`` when fitted before it."""
-    day = F.lit(cut).cast("date")
+def tune(df: DataFrame, label: str, date: str, cut: str, columns: list[str], grid: list[dict], seed: int = 0, least_trees: int = 50) -> tuple[dict, list[dict]]:
+    """The parameters with the best AUC after ``cut`` when fitted before it, and what each of ``grid`` gave.
+
+    The rows after the cut also tell when to stop adding trees; the best parameters carry that number, at least ``least_trees``.
+    """
+    late = F.col(date) >= F.lit(cut).cast("date")
     tried = []
     for params in grid:
-        m = RiskModel(columns, (seed,), **params).fit(df.where(F.col(date) < day), label)
-        auc = M.auc(m.score(df.where((F.col(date) >= day) & F.col(label).isNotNull())), "risk_score", label).first().auc
-        tried.append({**params, "auc": auc})
+        m = RiskModel(columns, (seed,), **params).fit(df, label, late)
+        auc = M.auc(m.score(df.where(late & F.col(label).isNotNull())), "risk_score", label).first().auc
+        tried.append({**params, "maxIter": max(least_trees, m.trees[0]), "auc": auc})
     best = max(tried, key=lambda t: (t["auc"] is not None, t["auc"] or 0))
     return {k: v for k, v in best.items() if k != "auc"}, tried
 
 
+def refit_stability(df: DataFrame, label: str, test: DataFrame, columns: list[str], seeds: tuple[int, ...] = (0, 1, 2), **params) -> list[dict]:
+    """How far the scores of ``test`` agree between the model of the first seed and that of each other one."""
+    rows, out = test, []
+    for s in seeds:
+        rows = RiskModel(columns, (s,), **params).fit(df, label).score(rows, f"score_{s}")
+    for s in seeds[1:]:
+        out.append({"seed": s} | M.refit_agreement(rows, f"score_{seeds[0]}", f"score_{s}", rows, f"score_{seeds[0]}").first().asDict())
+    return out
+
+
 def rolling_origin(df: DataFrame, label: str, date: str, columns: list[str], years: list[int], **params) -> list[dict]:
     """Fit before each year, tested on it and the next."""
     out = []

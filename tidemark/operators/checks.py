@@ -56,6 +56,15 @@ def gate(spark: SparkSession, text: str) -> None:
         raise DataGateError("; ".join(lines))
 
 
+def gate_built(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of each table after a build; an error that names those without any."""
+    found = {name: df.count() for name, df in tables.items()}
+    empty = [name for name, n in found.items() if not n]
+    if empty:
+        raise DataGateError(f"no rows in {', '.join(empty)}")
+    return found
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

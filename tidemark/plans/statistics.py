@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.models.features import pooled
 from tidemark.operators import survival as V
 from tidemark.plans import base as B
 
@@ -68,6 +69,13 @@ def calibration_by_bin(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(V.calibration_by_bin(risked(spark, d), "risk", "trial_id", 2.0))
 
 
+def pooled_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of a label pooled as the windows of one text, weighted by a length; one row per component."""
+    e = B.table(spark, d, "embeddings").select("label", F.transform("embedding", lambda x: x.cast("double")).alias("v"), (F.col("vec_id") % 7 + 1).alias("tokens"))
+    out = pooled(e, "label", "v", "tokens").select("label", F.posexplode("embedding").alias("i", "x"))
+    return out.select("label", "i", F.round("x", 6).alias("x"))
+
+
 def ends(spark: SparkSession, d: str) -> DataFrame:
     """Years from a customer's orders' dates to their last shipment; ends by status, open ones run until the snapshot."""
     li = B.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("trial_id")).agg(F.max(F.to_date("l_shipdate")).alias("shipped"))
@@ -136,7 +144,7 @@ def landmark_set(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    top_fraction_precision, auc_rank_sum, average_precision, brier, calibration_deciles, subgroup_auc, percentile_vs_reference, spearman, score_deciles, equal_bins, calibration_by_bin, durations, person_period,
+    top_fraction_precision, auc_rank_sum, average_precision, brier, calibration_deciles, subgroup_auc, percentile_vs_reference, spearman, score_deciles, equal_bins, pooled_embeddings, calibration_by_bin, durations, person_period,
     km_censoring, aalen_johansen, aj_by_cohort, ipcw_auc, ipcw_brier, observed_expected_by_year, conditional_cif, cumulative_incidence, landmark_set,
 )}
 _S = "s AS (SELECT doc_id, lang, round(least(n_chars / 20000.0::DOUBLE, 1.0::DOUBLE), 3) AS score, quality AS y FROM documents JOIN labels USING (doc_id))"
@@ -163,6 +171,8 @@ SQL = {
     "spearman": f"WITH {_S}, o AS (SELECT score, (doc_id * 7 % 100) + score * 50 AS other FROM s), k AS (SELECT rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS a, rank() OVER (ORDER BY other) + (count(*) OVER (PARTITION BY other) - 1) / 2.0::DOUBLE AS b FROM o) SELECT count(*) AS n, round(corr(a, b), 6) AS spearman FROM k",
     "score_deciles": f"WITH {_S} SELECT doc_id, greatest(1, ceil((row_number() OVER (ORDER BY score, doc_id) - 1) * 10 / greatest(count(*) OVER () - 1, 1)::DOUBLE))::INT AS decile FROM s",
     "equal_bins": "SELECT p_partkey, ntile(10) OVER (ORDER BY p_retailprice, p_partkey)::INT AS bin FROM part",
+    "pooled_embeddings": """WITH e AS (SELECT label, vec_id % 7 + 1 AS n, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings), m AS (SELECT label, i, sum(x * n) / sum(n) AS x FROM e GROUP BY 1, 2)
+      SELECT label, i::INT AS i, round(x / sqrt(sum(x * x) OVER (PARTITION BY label)), 6) AS x FROM m""",
     "durations": f"WITH {_E} SELECT * FROM e",
     "person_period": f"WITH {_E}, {_P} SELECT period, y, count(*) AS n FROM py GROUP BY 1, 2",
     "km_censoring": f"WITH {_E}, {_G} SELECT time, round(g, 6) AS g FROM g",
