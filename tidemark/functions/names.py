@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 DOSE = r"\b\d+(?:\.\d+)?\s*(?:mg|mcg|ug|g|kg|ml|l|iu|units?|%)(?:/(?:m2|kg|day|d|h|hr|min|ml|l|dose|wk|week))*(?![a-z])"
 SOLVATE = r"\b(?:propylene glycol|acetone|ethanol) solvate\b"
 NOISE = (
-    "hydrochloride dihydrochloride hcl hydrobromide sodium disodium potassium calcium magnesium sulfate sulphate acetate maleate malate mesylate esylate tosylate ditosylate tartrate bitartrate citrate phosphate "
-    "succinate besylate fumarate oxalate lactate nitrate bromide chloride olamine meglumine tromethamine anhydrous tablet tablets capsule capsules injection injectable infusion oral iv intravenous subcutaneous "
-    "intramuscular topical cream gel ointment solution suspension patch spray inhaled inhalation extended release er xr sr dose dosing placebo saline vehicle sham normal"
-).split()
-VAGUE = "nos unspecified unknown ingredient vitamins minerals cosmetics probiotics antacids".split()
+    "hydrochloride", "dihydrochloride", "hcl", "hydrobromide", "sodium", "disodium", "potassium", "calcium",
+    "magnesium", "sulfate", "sulphate", "acetate", "maleate", "malate", "mesylate", "esylate", "tosylate", "ditosylate",
+    "tartrate", "bitartrate", "citrate", "phosphate", "succinate", "besylate", "fumarate", "oxalate", "lactate",
+    "nitrate", "bromide", "chloride", "olamine", "meglumine", "tromethamine", "anhydrous", "tablet", "tablets",
+    "capsule", "capsules", "injection", "injectable", "infusion", "oral", "iv", "intravenous", "subcutaneous",
+    "intramuscular", "topical", "cream", "gel", "ointment", "solution", "suspension", "patch", "spray", "inhaled",
+    "inhalation", "extended", "release", "er", "xr", "sr", "dose", "dosing", "placebo", "saline", "vehicle", "sham",
+    "normal",
+)
+VAGUE = (
+    "nos", "unspecified", "unknown", "ingredient", "vitamins", "minerals", "cosmetics", "probiotics", "antacids",
+)
 NOT_A_DRUG = ["protein", "ethyl", "water", "lactose", "dextrose", "glucose", "sucrose", "oxygen", "nitrogen", "air", "alcohol", "honey", "stem cells", "lymphocytes"]
 SHORTEST_WORD = 4
 LONGEST_PHRASE = 4

@@ -56,7 +56,9 @@ def items(stream: io.TextIOBase, key: str = "results", chunk: int = 1 << 20) ->
 
 def read_reports(spark: SparkSession, glob: str) -> DataFrame:
     """Reports of all zips: a task opens one file at a time and streams the JSON in it; a batch of reports is held."""
-    spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[2])
+    env, own = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if own not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [own, env.get("PYTHONPATH")]))
     files = spark.read.format("binaryFile").load(glob).select("content")
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
