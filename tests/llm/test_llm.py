@@ -376,6 +376,21 @@ def test_ngram_join_odd_rows_and_small_blocks(spark, odd, empty, monkeypatch):
     assert got == {0}
 
 
+def test_candidates_of_a_signature_that_all_share(spark):
+    """One signature of 3,000 ids over 16 tasks, next to rare ones: all ids are tied together, the others by theirs alone."""
+    rows = [(i, [7, i << 20]) for i in range(3000)] + [(5000 + i, [1 << 50 | i // 2]) for i in range(100)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = ngram_join._candidates(spark.createDataFrame(rows, "id long, signatures array<long>"))
+        got = {r.id: r.comp for r in common.components(edges, "id", "low").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(3000)} | {5000 + i: 5000 + i // 2 * 2 for i in range(100)}
+
+
 # 7 token store
 
 
@@ -500,6 +515,9 @@ def test_repeats(spark, hot, stretch, monkeypatch):
     rows += [(500, None), (501, "")]
     got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 32, ["doc_id"], gram=8, block=8, hot=hot).collect()}
     assert got == brute_removed(rows, 32)
+    # the same through the runs of shorter strings
+    both = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 32, ["doc_id"], passage=18, gram=8, block=8, hot=hot)
+    assert {r.doc_id: bytes(r.kept) for r in both.collect()} == got
 
 
 def test_repeats_query_equals_brute_force(spark):
