@@ -47,13 +47,14 @@ class Reader:
         """Hashes of the parts [a, b)."""
         return _mix((self.running[b] - self.running[a]) * self.down[a] + (b - a).astype(np.uint64))
 
-    def anchors(self, span: int, gram: int) -> tuple[np.ndarray, ...]:
-        """Hash, position, first and last window of each anchor.
+    def anchors(self, span: int, gram: int, within: list[tuple[int, int]] | None = None) -> tuple[np.ndarray, ...]:
+        """Hash, position, first and last window of each anchor; only of windows inside the parts ``within``, if they are given.
 
         The anchor of a window of ``span`` bytes is its leftmost part of ``gram`` bytes with the least hash, so equal windows
         have equal anchors at equal offsets, and every window has one. Neighbouring windows with the same anchor are a run.
         """
-        found = [self._stretch(a, min(self.n, a + STRETCH + span - 1), span, gram) for a in range(0, max(0, self.n - span + 1), STRETCH)]
+        parts = [(0, self.n)] if within is None else within
+        found = [self._stretch(a, min(stop, a + STRETCH + span - 1), span, gram) for start, stop in parts for a in range(start, max(start, stop - span + 1), STRETCH)]
         return tuple(np.concatenate([f[k] for f in found]) for k in range(4)) if found else (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3)
 
     def _stretch(self, start: int, stop: int, span: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -98,12 +99,14 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int | None = None,
        their own, which are merged by interleave refinement to that depth; the blocks left are the repeated windows.
     4. A core that more than ``hot`` pieces share is not gathered: its window hashes are counted by a partial aggregation.
 
-    No step drops a window unread, so the result is that of a byte-level merge of the whole corpus. The result is a staged
-    table; the tables in between are removed.
+    No step drops a window unread, so the result is that of a byte-level merge of the whole corpus. If ``keyed`` has parts
+    (array of start and end), only windows inside them are read: the caller knows that no other is repeated. The result is a
+    staged table; the tables in between are removed.
     """
     gram = gram or max(8, span * GRAM // SPAN)
     schema = "k1 bigint, k2 bigint, a bigint, c bigint, at int, lo int, hi int"
-    contexts = arrow_map(keyed.where(F.octet_length("text") >= span).select("k1", "k2", "text"), functools.partial(_contexts, span, gram), schema)
+    read = keyed.where(F.octet_length("text") >= span).select("k1", "k2", "text", *[c for c in keyed.columns if c == "parts"])
+    contexts = arrow_map(read, functools.partial(_contexts, span, gram), schema)
     contexts = staged(contexts, "contexts")
     counts = staged(contexts.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "lo", "hi")).alias("one")), "counts")
     whole = contexts.join(counts.where("n > 1").select("a", "c"), ["a", "c"]).select("k1", "k2", F.col("lo").alias("p"), F.col("hi").alias("q"))
@@ -111,7 +114,8 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN, gram: int | None = None,
     unlike = counts.join(several, "a").select("a", "c", "one.*")
     # the contexts to cut, by document; a document has no more of them than it has windows
     asked = staged(unlike.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "c", "at", "lo", "hi")).alias("asked")), "unlike")
-    texts = _beside(keyed.select("k1", "k2", "text"), asked, ["k1", "k2"], "inner", "asked")
+    # the same plan at every size: what is asked grows with the texts
+    texts = keyed.select("k1", "k2", "text").join(asked, ["k1", "k2"])
     piece = "a bigint, core bigint, c bigint, k1 bigint, k2 bigint, p int, q int, left_ binary, right_ binary"
     pieces = staged(arrow_map(texts.select("k1", "k2", "text", "asked"), functools.partial(_pieces, span, block), piece), "pieces")
     shared = pieces.groupBy("a", "core").agg(F.count("*").alias("m"), F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("a", "core", "m")
@@ -148,10 +152,11 @@ def _contexts(span: int, gram: int, batches: Iterable[pa.RecordBatch]) -> Iterat
         for start in range(0, whole.num_rows, 512):
             batch = whole.slice(start, 512)
             data, offsets = _bytes_of(batch.column(2))
+            within = [[(x["start"], x["end"]) for x in p] for p in batch.column(3).to_pylist()] if batch.num_columns > 3 else [None] * batch.num_rows
             rows, parts = [], []
             for k in range(batch.num_rows):
                 own = Reader(data[offsets[k] : offsets[k + 1]])
-                a, at, lo, hi = own.anchors(span, gram)
+                a, at, lo, hi = own.anchors(span, gram, within[k])
                 parts.append((a.view(np.int64), own.hash(lo, hi + span).view(np.int64), at.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)))
                 rows.append(len(a))
             keys = [pa.array(np.repeat(batch.column(k).to_numpy(zero_copy_only=False), rows)) for k in (0, 1)]
@@ -295,8 +300,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
     ``kept`` is what is left of the text's UTF-8 bytes, as binary; ``kept_text`` the same as text, without the parts of
     characters that a cut left. Strings are judged on the input. A run with fewer than ``least_words`` words and than
     ``SPAN`` bytes stays. With ``passage``, a shorter span, n_passage tells how many bytes lie in runs of at least
-    ``PASSAGE_WORDS`` words or ``SPAN`` bytes that strings of that length cover; they are not removed. Then only documents
-    in which such strings cover ``span`` bytes on end are searched for ``span``-byte strings, since no other can hold one.
+    ``PASSAGE_WORDS`` words or ``SPAN`` bytes that strings of that length cover; they are not removed. Then only where such
+    strings cover ``span`` bytes on end is searched for ``span``-byte strings: all parts of a repeated string are repeated.
 
     Null text: empty. Null doc_id: a document like any other. Equal rows count as often as they occur, so all their windows
     are repeated. Texts shorter than ``span`` lose nothing; very long ones are read in stretches. Empty table: no rows. Names
@@ -311,11 +316,13 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, keep: list[str] | None = N
         spans = repeated_spans(keyed, span, **how)
     else:
         short = repeated_spans(keyed, passage, **how)
-        wide = F.exists(F.zip_with("starts", "ends", lambda a, b: b - a), lambda n: n >= span)
-        inside = _beside(keyed, staged(short.where(wide).select("k1", "k2"), "wide"), ["k1", "k2"], "left_semi")
-        spans = repeated_spans(inside, span, **how)
-        both = short.withColumnsRenamed({"starts": "from_", "ends": "to_"}).join(spans, ["k1", "k2"], "left")
-        spans = staged(both, "both")
+        runs = F.filter(F.zip_with("starts", "ends", lambda a, b: F.struct(a.alias("start"), b.alias("end"))), lambda x: x["end"] - x["start"] >= span)
+        wide = staged(short.select("k1", "k2", runs.alias("parts")).where(F.size("parts") > 0), "wide")
+        spans = repeated_spans(_beside(keyed, wide, ["k1", "k2"], "inner", "parts"), span, **how)
+        both = staged(short.withColumnsRenamed({"starts": "from_", "ends": "to_"}).join(spans, ["k1", "k2"], "left"), "both")
+        for done in (wide, short, spans):
+            drop_staged(done)
+        spans = both
     found = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), *[F.col(c).alias(unused(names, f"{c}__")) for c in spans.columns[2:]])
     joined = _beside(again, found, [k1, k2], "left", found.columns[2]).drop(k1, k2)
     added = [StructField("n_bytes", LongType()), StructField("starts", ArrayType(IntegerType())), StructField("ends", ArrayType(IntegerType())), StructField("kept", BinaryType()), StructField("kept_text", StringType())]
