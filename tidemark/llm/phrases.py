@@ -19,6 +19,8 @@ LONGEST, LEAST, REPORTED = 5, 100, 2000
 WIDTH, SHARD = 16, 1 << 20
 #: Positions that one worker holds of all languages, bytes that it splits at a time.
 HELD, SLICE = 1 << 22, 1 << 22
+#: As many frequent words, and frequent pairs of words, are broadcast; more come to their shards by a shuffle.
+WORDS_SENT, PAIRS_SENT = 1_000_000, 2_000_000
 #: Containers of prefixes that are extended together; their branch is followed to its end before the next one is begun.
 BRANCH = 1 << 15
 
@@ -219,23 +221,25 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), shard)), pa.array(ids[branch[0][parent]]), pa.array(ids[word]), pa.array(count)], ["shard", "id", "next", "n"])
 
 
-def _phrases(longest: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _phrases(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, phrase, words and n of phrases whose pairs of neighbours are all frequent.
 
-    Rows (shard, role, lang, own, id, next, word, bitmap): a shard's words first (role 0), then its frequent pairs (role 1).
+    Rows (shard, role, lang, own, id, next, word, bitmap): a shard's words (role 0), then, unless all frequent pairs were ``sent``,
+    those that it holds (role 1).
     """
     for t in _grouped(batches):
         t = t.combine_chunks()
         role = t.column("role").to_numpy()
         n = int((role == 0).sum())
-        if n == len(role) or not n:
-            continue
         own = Shard(t.column("own")[0].as_py(), t.column("bitmap").slice(0, n).to_pylist())
         ids, names, lang = t.column("id").to_numpy(), t.column("word").slice(0, n).to_pylist(), t.column("lang")[0].as_py()
-        order = np.argsort(ids[:n])
-        one = order[np.searchsorted(ids[:n], ids[n:], sorter=order)]
-        two = order[np.searchsorted(ids[:n], t.column("next").slice(n).to_numpy(), sorter=order)]
-        allowed = np.sort(one * own.words + two)
+        one, two = (ids[n:], t.column("next").slice(n).to_numpy()) if sent is None else sent.value.get(lang, (ids[:0], ids[:0]))
+        ids = ids[:n]  # in order
+        a, b = (np.minimum(np.searchsorted(ids, x), n - 1) for x in (one, two))
+        there = (ids[a] == one) & (ids[b] == two)
+        allowed = np.sort(a[there] * own.words + b[there])
+        if not len(allowed):
+            continue
         for last, prefix, number, bits in own.branches():
             phrase = [names[k] for k in last.tolist()]
             for words in range(2, longest + 1):
@@ -264,8 +268,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
        goes on only by a word that is frequent after its last one. Popcounts are summed over all shards.
 
     Every part of a candidate is at least as frequent as the candidate, so nothing is lost, and all counts of parts are at hand. Frequent
-    words and pairs come back to their shards by joins; nothing is broadcast by this operator. A shard is bounded, whatever the length of a
-    text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
+    words and pairs come back to their shards by a broadcast up to ``WORDS_SENT`` and ``PAIRS_SENT``, beyond by joins. A shard is bounded,
+    whatever the length of a text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
 
     Null lang: ``und``, one with a lang of that name. Null and empty texts have no words. Repeated rows and doc_ids: each row counts.
     Other columns are not read. Equal scores: the larger a, then the phrase in the order of its bytes; equal cuts: the smaller k.
@@ -278,23 +282,35 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
     total = shards.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = shards.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     words = staged(frequent.withColumn("id", F.monotonically_increasing_id()), "words")
-    kept = staged(shards.drop("n").join(words.drop("n"), ["lang", "word"]).select("shard", "lang", "own", "id", "word", "bitmap"), "kept")
+    few = F.broadcast(words) if words.count() <= WORDS_SENT else words
+    kept = shards.drop("n").join(few.drop("n"), ["lang", "word"])
 
     together = kept.select("shard", "own", "id", "bitmap").repartition("shard").sortWithinPartitions("shard", "id")
-    pairs = staged(arrow_map(together, _pairs, "shard bigint, id bigint, next bigint, n bigint"), "pairs")
+    pairs = arrow_map(together, _pairs, "shard bigint, id bigint, next bigint, n bigint")
     often = staged(pairs.groupBy("id", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= least).drop("n"), "often")
-    here = pairs.join(often, ["id", "next"]).select("shard", F.lit(1).alias("role"), F.lit(None).cast("string").alias("lang"), F.lit(0).alias("own"), "id", "next", F.lit(None).cast("string").alias("word"), F.lit(None).cast("binary").alias("bitmap"))
     own = kept.select("shard", F.lit(0).alias("role"), "lang", "own", "id", F.lit(0).cast("bigint").alias("next"), "word", "bitmap")
-    both = own.unionAll(here).repartition("shard").sortWithinPartitions("shard", "role", "id")
-    grown = arrow_map(both, functools.partial(_phrases, longest), "lang string, phrase string, words int, n bigint")
+    sent = None
+    if often.count() <= PAIRS_SENT:
+        sent = docs.sparkSession.sparkContext.broadcast(_by_lang(often, few))
+    else:
+        here = pairs.join(often, ["id", "next"])
+        own = own.unionByName(here.select("shard", F.lit(1).alias("role"), "id", "next"), allowMissingColumns=True)
+    both = own.repartition("shard").sortWithinPartitions("shard", "role", "id")
+    grown = arrow_map(both, functools.partial(_phrases, longest, sent), "lang string, phrase string, words int, n bigint")
     found = staged(grown.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
 
     out = staged(_scored(found, words, total, within, reported), "collocations")
-    for done in (shards, words, kept, pairs, often, found):
+    for done in (shards, words, often, found):
         drop_staged(done)
     return out
 
 
+def _by_lang(often: DataFrame, words: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The ids of the frequent pairs of each language."""
+    rows = often.join(words.select("id", "lang"), "id").groupBy("lang").agg(F.collect_list("id").alias("id"), F.collect_list("next").alias("next")).toArrow()
+    return {lang: (one.values.to_numpy(), two.values.to_numpy()) for lang, one, two in zip(rows.column("lang").to_pylist(), rows.column("id"), rows.column("next"))}
+
+
 def _scored(found: DataFrame, words: DataFrame, total: DataFrame, within: int, reported: int | None) -> DataFrame:
     """The candidates (lang, phrase, words, a) that no longer one stands for, by their lowest cut, ranked."""
     parts = found.select("lang", "phrase", "a").unionAll(words.select("lang", F.col("word").alias("phrase"), F.col("n").alias("a")))
