@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 from tidemark.functions.scalars import logit, sigmoid
+from tidemark.models.attribution import Explainer, nodes_of
 from tidemark.models.features import kinds, learned_levels, leveled
+from tidemark.session import ship_package
 
 
 def _prepared(df: DataFrame, numbers: list[str], levels: dict[str, list[str]]) -> DataFrame:
@@ -26,11 +29,30 @@ def _prepared(df: DataFrame, numbers: list[str], levels: dict[str, list[str]]) -
     return out
 
 
-class RiskModel:
-    """Boosted trees, one per seed; the score is the sigmoid of the members' mean log-odds."""
+#: Rows of a partition in a fit; their number decides how many there are.
+FIT_ROWS = 50_000
+
+
+def ordered(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows dealt by a hash of ``columns`` and sorted by them: equal tables give equal partitions, so a seeded fit can be repeated."""
+    return rows.repartition(1 + rows.count() // FIT_ROWS, F.xxhash64(*columns)).sortWithinPartitions(*columns)
 
-    def __init__(self, columns: list[str], seeds: tuple[int, ...] = (0, 1, 2), **params):
-        self.columns, self.seeds, self.params = columns, seeds, {"maxIter": 40, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8} | params
+
+class Inputs:
+    """Numbers (nulls filled with the median, and told) and levels as one vector; a level that was not learned is one of its own."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def fit(self, rows: DataFrame, learn: DataFrame) -> Inputs:
+        """``learn``: the rows of ``rows`` that levels and medians come from."""
+        self.numbers, words = kinds(rows, self.columns)
+        self.levels = learned_levels(learn, words)
+        # a column without any value can't be imputed
+        full = rows.agg(*[F.count(c).alias(c) for c in self.numbers]).first() if self.numbers else {}
+        self.numbers = [c for c in self.numbers if full[c]]
+        self.prepare = Pipeline(stages=self._stages()).fit(_prepared(learn, self.numbers, self.levels))
+        return self
 
     def _stages(self) -> list:
         index = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in self.levels]
@@ -38,28 +60,48 @@ class RiskModel:
         fill = [Imputer(inputCols=self.numbers, outputCols=[f"{c}_f" for c in self.numbers], strategy="median")] if self.numbers else []
         return [*fill, *index, VectorAssembler(inputCols=own, outputCol="features", handleInvalid="keep")]
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.prepare.transform(_prepared(rows, self.numbers, self.levels))
+
+    @property
+    def bins(self) -> int:
+        return max([32, *[len(v) + 2 for v in self.levels.values()]])
+
+    @property
+    def players(self) -> list[str]:
+        return [*self.numbers, *self.levels]
+
+    @property
+    def owners(self) -> list[int]:
+        """The input of each slot of the vector: a number's value and its null flag are one input."""
+        n = len(self.numbers)
+        return [*range(n), *range(n), *range(n, n + len(self.levels))]
+
+
+class RiskModel:
+    """Boosted trees, one per seed; the score is the sigmoid of the members' mean log-odds.
+
+    Two fits on the same rows agree, whatever order and partitions the rows come in.
+    """
+
+    def __init__(self, columns: list[str], seeds: tuple[int, ...] = (0, 1, 2), **params):
+        self.columns, self.seeds, self.params = columns, seeds, {"maxIter": 40, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8} | params
+
     def fit(self, df: DataFrame, label: str, held: Column | None = None) -> RiskModel:
         """Fitted on the rows with a label. Rows for which ``held`` is true are only watched: trees stop when they gain nothing there."""
         held = F.lit(False) if held is None else F.coalesce(held, F.lit(False))
-        known = df.where(F.col(label).isNotNull()).withColumn("held_", held)
-        self.numbers, words = kinds(df, self.columns)
-        self.levels = learned_levels(known.where("not held_"), words)
-        rows = _prepared(known, self.numbers, self.levels).withColumn(label, F.col(label).cast("double"))
-        # a column without any value can't be imputed
-        full = rows.agg(*[F.count(c).alias(c) for c in self.numbers]).first() if self.numbers else {}
-        self.numbers = [c for c in self.numbers if full[c]]
-        stages = self._stages()
-        self.prepare = Pipeline(stages=stages).fit(rows.where("not held_"))
-        ready = self.prepare.transform(rows).select("features", label, "held_").cache()
+        known = df.where(F.col(label).isNotNull()).withColumn("held_", held).withColumn(label, F.col(label).cast("double"))
+        known = ordered(known.select(*self.columns, label, "held_"), [label, "held_", *self.columns])
+        self.inputs = Inputs(self.columns).fit(known, known.where("not held_"))
+        ready = self.inputs.transform(known).select("features", label, "held_").cache()
         watched = {"validationIndicatorCol": "held_", "validationTol": 0.001} if ready.where("held_").limit(1).count() else {}
-        bins = max([32, *[len(v) + 2 for v in self.levels.values()]])
-        self.members = [GBTClassifier(labelCol=label, featuresCol="features", seed=s, maxBins=bins, **watched, **self.params).fit(ready) for s in self.seeds]
+        self.members = [GBTClassifier(labelCol=label, featuresCol="features", seed=s, maxBins=self.inputs.bins, **watched, **self.params).fit(ready) for s in self.seeds]
         self.trees = [m.getNumTrees for m in self.members]
         ready.unpersist()
         return self
 
     def log_odds(self, df: DataFrame, name: str = "log_odds") -> DataFrame:
-        out = self.prepare.transform(_prepared(df, self.numbers, self.levels))
+        out = self.inputs.transform(df)
         for s, m in zip(self.seeds, self.members):
             out = m.transform(out).withColumnRenamed("rawPrediction", f"raw_{s}").drop("prediction", "probability")
         # the trees' margin is half the log-odds
@@ -70,6 +112,30 @@ class RiskModel:
         """The score to six digits, so that metrics, which sum by distinct score, see a million rows at most."""
         return self.log_odds(df, "lo_").withColumn(name, F.round(sigmoid(F.col("lo_")), 6)).drop("lo_")
 
+    @property
+    def explainer(self) -> Explainer:
+        """The members' trees with their weights; read from the fitted models once."""
+        if getattr(self, "_explainer", None) is None:
+            trees = [(nodes_of(t), 2 * w / len(self.members)) for m in self.members for t, w in zip(m.trees, m.treeWeights)]
+            self._explainer = Explainer([t for t, _ in trees], [w for _, w in trees], self.inputs.owners)
+        return self._explainer
+
+    @property
+    def base(self) -> float:
+        """What a row without any known input would score, in log-odds."""
+        return self.explainer.base
+
+    def contributions(self, df: DataFrame) -> DataFrame:
+        """``df`` with contributions: array of (feature, contribution), one for each input; with ``base`` they sum to the log-odds."""
+        sent = ship_package(df.sparkSession).sparkContext.broadcast(self.explainer)
+
+        @F.pandas_udf("array<double>")
+        def explained(rows: pd.Series) -> pd.Series:
+            return pd.Series(list(sent.value.contributions(np.stack(rows))) if len(rows) else [])
+
+        made = [F.struct(F.lit(p).alias("feature"), F.col("c_")[k].alias("contribution")) for k, p in enumerate(self.inputs.players)]
+        return self.inputs.transform(df).withColumn("c_", explained(vector_to_array("features"))).withColumn("contributions", F.array(*made)).select(*df.columns, "contributions")
+
 
 class LinearRisk:
     """Logistic regression on imputed, scaled and one-hot inputs; contributions are exact, weight times centred input."""

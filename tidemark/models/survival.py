@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.models.attribution import nodes_of, predicted
+from tidemark.models.risk import Inputs, ordered
 from tidemark.operators import survival as V
+from tidemark.session import ship_package
+from tidemark.staging import pinned
 
 
 class SurvivalModel:
@@ -41,6 +49,161 @@ class SurvivalModel:
         return out.select(id, "period", at(0).alias("p_run"), at(1).alias("p_term"), at(2).alias("p_comp"))
 
 
+CLASSES = 3
+#: Rounds after which the scores so far are written to the shared folder, so that a lost executor costs no more of them.
+STAGE_ROUNDS = 10
+
+
+def _softmax(scores: Column) -> Column:
+    """Probabilities of an array of scores."""
+    most = F.array_max(scores)
+    raised = F.transform(scores, lambda x: F.exp(x - most))
+    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
+
+
+class BoostedHazards:
+    """Three-way hazards per half-year period by boosted trees: one sum of trees for each outcome, put through a softmax.
+
+    Each round fits a regression tree for each outcome to the Newton step of the multinomial loss: the residual over its
+    curvature, weighted by the curvature. Members differ in their seed, which decides the rows of each round, and are averaged as
+    log-odds. Rows are numbered in an order of what they hold, so a fit doesn't depend on the order they come in.
+    """
+
+    def __init__(self, columns: list[str], seeds: tuple[int, ...] = (0,), trees: int = 200, depth: int = 4, rate: float = 0.05, share: float = 0.8, least_rows: int = 20, patience: int = 50):
+        self.columns, self.seeds = columns, seeds
+        self.trees, self.depth, self.rate, self.share, self.least_rows, self.patience = trees, depth, rate, share, least_rows, patience
+
+    def fit(self, df: DataFrame, held: Column | None = None) -> BoostedHazards:
+        """``df``: time, event and the columns. Rows for which ``held`` is true are only watched: a member keeps the rounds up to
+        its least deviance there and stops ``patience`` rounds after it."""
+        held = F.lit(False) if held is None else F.coalesce(held, F.lit(False))
+        slim = df.select("time", "event", *self.columns, held.alias("held_"))
+        rows = V.person_periods(slim).select(*self.columns, "period", "held_", F.col("y").cast("int").alias("y"))
+        rows = ordered(rows, ["held_", "y", "period", *self.columns])
+        self.inputs = Inputs([*self.columns, "period"]).fit(rows, rows.where("not held_"))
+        ready = self.inputs.transform(rows).select("features", "y", "held_", F.monotonically_increasing_id().alias("key_"))
+        ready = pinned(ready)
+        count = ready.where("not held_").groupBy("y").count().collect()
+        total = sum(r["count"] for r in count)
+        share = {r.y: r["count"] / total for r in count}
+        self.start = [math.log(max(share.get(k, 0.0), 1e-9)) for k in range(CLASSES)]
+        watched = ready.where("held_").limit(1).count() > 0
+        self.members, self.deviances = [], []
+        for seed in self.seeds:
+            grown, seen = self._member(ready, seed, watched)
+            self.members.append(grown)
+            self.deviances.append(seen)
+        return self
+
+    def _member(self, ready: DataFrame, seed: int, watched: bool) -> tuple[list, list[float]]:
+        state = ready.withColumn("f_", F.array(*map(F.lit, self.start)))
+        rounds, seen, held = [], [], None
+        for n in range(self.trees):
+            if n % STAGE_ROUNDS == 0 and n:
+                state = pinned(state)
+            now = state.withColumn("p_", _softmax(F.col("f_"))).cache()
+            now.count()  # before what it is made of goes
+            if held is not None:
+                held.unpersist()
+            held = now
+            if watched:
+                seen.append(now.where("held_").agg(F.avg(-F.log(F.greatest(F.get("p_", F.col("y")), F.lit(1e-15))))).first()[0])
+                if n - int(np.argmin(seen)) >= self.patience:
+                    break
+            drawn = now.where(~F.col("held_") & (F.pmod(F.xxhash64("key_", F.lit(seed), F.lit(n)), F.lit(1 << 20)) < int(self.share * (1 << 20))))
+            fitted = []
+            for k in range(CLASSES):
+                p = F.get("p_", F.lit(k))
+                curve = F.greatest(p * (1 - p), F.lit(1e-6)) * CLASSES / (CLASSES - 1)
+                goal = drawn.select("features", ((F.col("y") == k).cast("double") - p).alias("r_"), curve.alias("h_")).select("features", (F.col("r_") / F.col("h_")).alias("g_"), "h_")
+                tree = DecisionTreeRegressor(labelCol="g_", weightCol="h_", predictionCol=f"t{k}_", maxDepth=self.depth, maxBins=self.inputs.bins, minInstancesPerNode=self.least_rows, seed=seed)
+                fitted.append(tree.fit(goal))
+            rounds.append([nodes_of(t) for t in fitted])
+            state = now.drop("p_")
+            for t in fitted:
+                state = t.transform(state)
+            state = state.select("features", "y", "held_", "key_", F.array(*[F.get("f_", F.lit(k)) + self.rate * F.col(f"t{k}_") for k in range(CLASSES)]).alias("f_"))
+        else:
+            if watched:
+                last = state.where("held_").select(F.get(_softmax(F.col("f_")), F.col("y")).alias("p"))
+                seen.append(last.agg(F.avg(-F.log(F.greatest("p", F.lit(1e-15))))).first()[0])
+        if held is not None:
+            held.unpersist()
+        return (rounds[: int(np.argmin(seen))] if watched else rounds), seen
+
+    @property
+    def deviance(self) -> float:
+        """The least mean deviance of the watched rows, over the members."""
+        return sum(min(seen) for seen in self.deviances) / len(self.deviances)
+
+    def hazards(self, df: DataFrame, id: str, periods: int = V.PERIODS) -> DataFrame:
+        """id, period, p_run, p_term, p_comp for every period of every row."""
+        sent = ship_package(df.sparkSession).sparkContext.broadcast((self.members, self.start, self.rate))
+
+        @F.pandas_udf("array<double>")
+        def scored(rows: pd.Series) -> pd.Series:
+            members, start, rate = sent.value
+            x = np.stack(rows) if len(rows) else np.empty((0, 0))
+            total = np.tile(np.array(start), (len(x), 1))
+            for rounds in members:
+                for trees in rounds:
+                    for k, tree in enumerate(trees):
+                        total[:, k] += rate * predicted(tree, x) / len(members)
+            raised = np.exp(total - total.max(1, keepdims=True))
+            return pd.Series(list(raised / raised.sum(1, keepdims=True)))
+
+        rows = df.select(id, *[c for c in self.columns if c != id]).withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(periods - 1))))
+        out = self.inputs.transform(rows).withColumn("s_", scored(vector_to_array("features")))
+        return out.select(id, F.col("period").cast("int").alias("period"), *[F.get("s_", F.lit(k)).alias(c) for k, c in enumerate(("p_run", "p_term", "p_comp"))])
+
+
+def tune_hazards(df: DataFrame, date: str, cut: str, columns: list[str], grid: list[dict], least_trees: int = 1, **params) -> tuple[dict, list[dict]]:
+    """The setting of ``grid`` with the least person-period deviance after ``cut`` when fitted before it, and what each gave.
+
+    The later rows also tell when to stop: the setting that is returned carries that number of rounds.
+    """
+    late = F.col(date) >= F.lit(cut).cast("date")
+    tried = []
+    for setting in grid:
+        m = BoostedHazards(columns, (0,), **(params | setting)).fit(df, late)
+        tried.append(setting | {"trees": max(least_trees, len(m.members[0])), "deviance": m.deviance})
+    best = min(tried, key=lambda t: t["deviance"])
+    return params | {k: v for k, v in best.items() if k != "deviance"}, tried
+
+
+def population(df: DataFrame, start: str, split: str, fit_end: str) -> DataFrame:
+    """Rows that hazards may learn from: begun before ``fit_end``, and either trained on or still running at the snapshot."""
+    return df.where((F.col(start) < F.lit(fit_end).cast("date")) & ((F.col(split) == "train") | (F.col("event") == 0)))
+
+
+def train_survival(df: DataFrame, id: str, start: str, split: str, columns: list[str], grid: list[dict], fit_end: str, cut: str, cohorts: dict[str, tuple[str, str]], horizons: tuple[float, ...] = (1.0, 2.0, 3.0, 5.0), seeds: tuple[int, ...] = (0, 1, 2), **params) -> tuple[BoostedHazards, dict]:
+    """Tuned and fitted hazards and their report: the grid, what was learned from, and each cohort at each horizon.
+
+    ``df`` has time and event. A cohort: observed (censoring-adjusted) and mean predicted incidence, time-AUC, Brier score, and the
+    Brier score of one risk for all.
+    """
+    fit = pinned(population(df, start, split, fit_end).select(id, start, "time", "event", *columns))
+    chosen, tried = tune_hazards(fit, start, cut, columns, grid, **params)
+    model = BoostedHazards(columns, seeds, **chosen).fit(fit)
+    kinds_ = {r.event: r["count"] for r in fit.groupBy("event").count().collect()}
+    report = {"params": chosen, "grid": tried, "fit": {"n": sum(kinds_.values()), "terminated": kinds_.get(1, 0), "completed": kinds_.get(2, 0), "censored": kinds_.get(0, 0)}, "cohorts": {}}
+    names = [f"at_{x:g}".replace(".", "_") for x in horizons]
+    everyone = V.incidence_at(fit, list(horizons)).first()
+    for name, (low, high) in cohorts.items():
+        rows = df.where((F.col(start) >= F.lit(low).cast("date")) & (F.col(start) < F.lit(high).cast("date")))
+        upto = V.cumulative_incidence(model.hazards(rows, id), id)
+        cif = upto.groupBy(id).agg(*[F.max(F.when((F.col("period") + 1) * V.WIDTH <= x + 1e-9, F.col("cif"))).alias(n) for x, n in zip(horizons, names)])
+        seen = pinned(rows.select(id, "time", "event").join(cif, id))
+        told = {"n": seen.count()}
+        if told["n"]:
+            observed, mean = V.incidence_at(seen, list(horizons)).first(), seen.agg(*[F.avg(n).alias(n) for n in names]).first()
+            for x, n in zip(horizons, names):
+                alike = seen.withColumn("one_", F.lit(everyone[n]))
+                told[f"{x:g}y"] = {"observed": observed[n], "predicted": mean[n], "auc": V.time_auc(seen, n, x).first().auc, "brier": V.ipcw_brier(seen, n, x).first().brier, "brier_null": V.ipcw_brier(alike, "one_", x).first().brier}
+        report["cohorts"][name] = told
+    return model, report
+
+
 def fit_recalibration(rows: DataFrame, rounds: int = 30) -> tuple[float, float, float, float]:
     """a1, b1, a2, b2 of the softmax of recalibrated hazards by Newton steps; each is one aggregate over all rows.
 

@@ -6,7 +6,6 @@ import io
 import json
 import zipfile
 from collections.abc import Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import names as N
 from tidemark.functions import scalars as S
+from tidemark.session import ship_package
 
 REPORT = (
     "safetyreportid string, safetyreportversion string, receivedate string, receiptdate string, serious string, seriousnessdeath string, "
@@ -56,9 +56,7 @@ def items(stream: io.TextIOBase, key: str = "results", chunk: int = 1 << 20) ->
 
 def read_reports(spark: SparkSession, glob: str) -> DataFrame:
     """Reports of all zips: a task opens one file at a time and streams the JSON in it; a batch of reports is held."""
-    env, own = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
-    if own not in env.get("PYTHONPATH", "").split(":"):
-        env["PYTHONPATH"] = ":".join(filter(None, [own, env.get("PYTHONPATH")]))
+    ship_package(spark)
     files = spark.read.format("binaryFile").load(glob).select("content")
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
