@@ -64,7 +64,7 @@ def made_texts(seed, many=300):
 def test_phrases(spark, least, within, monkeypatch):
     if within < 100:  # as beyond the bounds
         monkeypatch.setattr(phrases, "WORDS_SENT", 0)
-        monkeypatch.setattr(phrases, "PAIRS_SENT", 0)
+        monkeypatch.setattr(phrases, "PHRASES_SENT", 0)
     rows = made_texts(least)
     df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
     df = df.repartition(5).withColumns({c: F.lit(1) for c in ("n", "shard", "phrase", "word", "words")})

@@ -19,8 +19,8 @@ LONGEST, LEAST, REPORTED = 5, 100, 2000
 WIDTH, SHARD = 16, 1 << 20
 #: Positions that one worker holds of all languages, bytes that it splits at a time.
 HELD, SLICE = 1 << 22, 1 << 22
-#: As many frequent words, and frequent pairs of words, are broadcast; more come to their shards by a shuffle.
-WORDS_SENT, PAIRS_SENT = 1_000_000, 2_000_000
+#: As many frequent words, and as many frequent phrases of two or three, are broadcast; more come to their shards by a shuffle.
+WORDS_SENT, PHRASES_SENT = 1_000_000, 2_000_000
 #: Containers of prefixes that are extended together; their branch is followed to its end before the next one is begun.
 BRANCH = 1 << 15
 
@@ -164,11 +164,11 @@ class Shard:
             yield np.arange(a, b), self.word[at] - a, self.number[at], self.first[at]
             a = b
 
-    def extend(self, last: np.ndarray, prefix: np.ndarray, number: np.ndarray, bits: np.ndarray, allowed: np.ndarray | None = None):
+    def extend(self, state: np.ndarray, prefix: np.ndarray, number: np.ndarray, bits: np.ndarray, allowed: np.ndarray | None = None):
         """Each prefix by each word that stands after it: parent, last word and count of the longer ones, and their containers.
 
         The bitmap of a prefix, one position on, meets the bitmaps of all words in the same container; what both hold is the
-        bitmap of the longer one, on its last position. ``allowed``: sorted codes (last word * words + word) of pairs to keep.
+        bitmap of the longer one, on its last position. ``allowed``: sorted codes (state of the prefix * words + word) to keep.
         """
         moved = bits << 1
         over = np.flatnonzero(moved >> WIDTH)
@@ -183,15 +183,21 @@ class Shard:
         row, spot, both = row[hit], spot[hit], both[hit]
         word = self.at_word[spot]
         if allowed is not None:
-            code = last[prefix[row]] * self.words + word
-            near = np.minimum(np.searchsorted(allowed, code), max(len(allowed) - 1, 0))
-            good = np.flatnonzero(allowed[near] == code) if len(allowed) else np.empty(0, np.int64)
+            good = np.flatnonzero(_place(allowed, state[prefix[row]] * self.words + word) >= 0)
             row, word, both = row[good], word[good], both[good]
         key, child = np.unique(prefix[row] * self.words + word, return_inverse=True)
         count = np.bincount(child, weights=np.bitwise_count(both), minlength=len(key)).astype(np.int64)
         return key // self.words, key % self.words, count, (child, number[row], both)
 
 
+def _place(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each wanted code among sorted ones, -1 if it isn't there."""
+    if not len(codes):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+    return np.where(codes[at] == wanted, at, -1)
+
+
 def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of each shard, which stand together, one table at a time; its number is the first column."""
     held: list[pa.RecordBatch] = []
@@ -221,35 +227,69 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), shard)), pa.array(ids[branch[0][parent]]), pa.array(ids[word]), pa.array(count)], ["shard", "id", "next", "n"])
 
 
-def _phrases(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, phrase, words and n of phrases whose pairs of neighbours are all frequent.
+class _Steered:
+    """A shard with the frequent pairs and triples of its language: sent to all, or the rows of roles 2 and 3 that came with it."""
 
-    Rows (shard, role, lang, own, id, next, word, bitmap): a shard's words (role 0), then, unless all frequent pairs were ``sent``,
-    those that it holds (role 1).
-    """
-    for t in _grouped(batches):
+    def __init__(self, t: pa.Table, sent):
         t = t.combine_chunks()
         role = t.column("role").to_numpy()
-        n = int((role == 0).sum())
-        own = Shard(t.column("own")[0].as_py(), t.column("bitmap").slice(0, n).to_pylist())
-        ids, names, lang = t.column("id").to_numpy(), t.column("word").slice(0, n).to_pylist(), t.column("lang")[0].as_py()
-        one, two = (ids[n:], t.column("next").slice(n).to_numpy()) if sent is None else sent.value.get(lang, (ids[:0], ids[:0]))
-        ids = ids[:n]  # in order
-        a, b = (np.minimum(np.searchsorted(ids, x), n - 1) for x in (one, two))
-        there = (ids[a] == one) & (ids[b] == two)
-        allowed = np.sort(a[there] * own.words + b[there])
-        if not len(allowed):
-            continue
-        for last, prefix, number, bits in own.branches():
-            phrase = [names[k] for k in last.tolist()]
-            for words in range(2, longest + 1):
-                parent, last, count, (prefix, number, bits) = own.extend(last, prefix, number, bits, allowed)
-                if not len(last):
+        n = int((role == 1).sum())
+        self.pairs = self.triples = np.empty(0, np.int64)
+        if not n:  # none of its words is used any more
+            return
+        self.number, self.lang = t.column("shard")[0].as_py(), t.column("lang")[0].as_py()
+        self.shard = Shard(t.column("own")[0].as_py(), t.column("bitmap").slice(0, n).to_pylist())
+        self.names = t.column("word").slice(0, n).to_pylist()
+        one, two, three = (t.column(c).to_numpy() for c in ("id", "next", "third"))
+        self.ids = one[:n]  # in order
+        none = one[:0]
+        if sent is None:
+            pairs, triples = ([x[role == k] for x in (one, two, three)[:k]] for k in (2, 3))
+        else:
+            pairs, triples = (level.get(self.lang, (none,) * k) for level, k in zip(sent.value, (2, 3)))
+        words = self.shard.words
+        a, b = (_place(self.ids, x) for x in pairs)
+        self.pairs = np.sort((a * words + b)[(a >= 0) & (b >= 0)])
+        a, b, c = (_place(self.ids, x) for x in triples)
+        first = _place(self.pairs, a * words + b)
+        self.triples = np.sort((first * words + c)[(a >= 0) & (b >= 0) & (c >= 0) & (first >= 0)])
+
+    def pairs_of(self, branch: tuple):
+        """The frequent pairs that begin with the first words of a branch."""
+        parent, last, _, maps = self.shard.extend(*branch, self.pairs)
+        return branch[0][parent], last, maps
+
+
+def _triples(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shard, id, next, third and n of phrases of three words whose pairs are both frequent."""
+    for t in _grouped(batches):
+        own = _Steered(t, sent)
+        for branch in own.shard.branches() if len(own.pairs) else ():
+            first, last, maps = own.pairs_of(branch)
+            parent, word, count, _ = own.shard.extend(last, *maps, own.pairs)
+            if len(word):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), own.number)), *(pa.array(own.ids[k]) for k in (first[parent], last[parent], word)), pa.array(count)], ["shard", "id", "next", "third", "n"])
+
+
+def _longer(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, phrase, words and n of phrases of four words and more whose triples are all frequent, branch by branch to the end."""
+    for t in _grouped(batches):
+        own = _Steered(t, sent)
+        for branch in own.shard.branches() if len(own.triples) else ():
+            first, last, maps = own.pairs_of(branch)
+            phrase = [f"{own.names[a]} {own.names[b]}" for a, b in zip(first.tolist(), last.tolist())]
+            before = first
+            for n in range(3, longest + 1):
+                state = _place(own.pairs, before * own.shard.words + last)
+                parent, word, count, maps = own.shard.extend(state, *maps, own.triples)
+                if not len(word):
                     break
-                phrase = [f"{phrase[p]} {names[w]}" for p, w in zip(parent.tolist(), last.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(last), pa.string()), pa.array(phrase, pa.string()), pa.array(np.full(len(last), words, np.int32)), pa.array(count)], ["lang", "phrase", "words", "n"]
-                )
+                phrase = [f"{phrase[p]} {own.names[w]}" for p, w in zip(parent.tolist(), word.tolist())]
+                before, last = last[parent], word
+                if n > 3:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([own.lang] * len(word), pa.string()), pa.array(phrase, pa.string()), pa.array(np.full(len(word), n, np.int32)), pa.array(count)], ["lang", "phrase", "words", "n"]
+                    )
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, within: int = 100, reported: int | None = REPORTED) -> DataFrame:
@@ -264,12 +304,13 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
        of a shard the compressed bitmap of its positions. Word counts are popcounts, summed over the shards.
     2. Of frequent words each shard extends each by every word that follows: the bitmap moved by one, AND, popcount. The counts of
        pairs are summed over all shards.
-    3. In each shard the frequent pairs that it holds steer the search depth-first from pairs to the longest phrases: a phrase
-       goes on only by a word that is frequent after its last one. Popcounts are summed over all shards.
+    3. In each shard the frequent pairs are extended by words that are frequent after their last one, and counted in the same way.
+    4. From there each shard goes on depth-first to the longest phrases: a phrase goes on only by a word that makes a frequent triple
+       with its last two. Popcounts are summed over all shards.
 
     Every part of a candidate is at least as frequent as the candidate, so nothing is lost, and all counts of parts are at hand. Frequent
-    words and pairs come back to their shards by a broadcast up to ``WORDS_SENT`` and ``PAIRS_SENT``, beyond by joins. A shard is bounded,
-    whatever the length of a text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
+    words, pairs and triples come back to their shards by a broadcast up to ``WORDS_SENT`` and ``PHRASES_SENT``, beyond by joins; bitmaps
+    of words without a frequent pair, later of those without a frequent triple, are left behind. A shard is bounded, whatever the length of a text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
 
     Null lang: ``und``, one with a lang of that name. Null and empty texts have no words. Repeated rows and doc_ids: each row counts.
     Other columns are not read. Equal scores: the larger a, then the phrase in the order of its bytes; equal cuts: the smaller k.
@@ -282,33 +323,59 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
     total = shards.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = shards.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     words = staged(frequent.withColumn("id", F.monotonically_increasing_id()), "words")
-    few = F.broadcast(words) if words.count() <= WORDS_SENT else words
-    kept = shards.drop("n").join(few.drop("n"), ["lang", "word"])
-
-    together = kept.select("shard", "own", "id", "bitmap").repartition("shard").sortWithinPartitions("shard", "id")
-    pairs = arrow_map(together, _pairs, "shard bigint, id bigint, next bigint, n bigint")
-    often = staged(pairs.groupBy("id", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= least).drop("n"), "often")
-    own = kept.select("shard", F.lit(0).alias("role"), "lang", "own", "id", F.lit(0).cast("bigint").alias("next"), "word", "bitmap")
-    sent = None
-    if often.count() <= PAIRS_SENT:
-        sent = docs.sparkSession.sparkContext.broadcast(_by_lang(often, few))
-    else:
-        here = pairs.join(often, ["id", "next"])
-        own = own.unionByName(here.select("shard", F.lit(1).alias("role"), "id", "next"), allowMissingColumns=True)
-    both = own.repartition("shard").sortWithinPartitions("shard", "role", "id")
-    grown = arrow_map(both, functools.partial(_phrases, longest, sent), "lang string, phrase string, words int, n bigint")
-    found = staged(grown.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
+    every = F.broadcast(words) if words.count() <= WORDS_SENT else words
+    together = shards.drop("n").join(every.drop("n"), ["lang", "word"]).select("shard", "own", "id", "bitmap")
+    pairs = arrow_map(together.repartition("shard").sortWithinPartitions("shard", "id"), _pairs, "shard bigint, id bigint, next bigint, n bigint")
+    two = staged(pairs.groupBy("id", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "pairs")
+    sent = _sent(words, two)
+    triples = arrow_map(_steered(shards, words, two, None if sent else pairs), functools.partial(_triples, sent), "shard bigint, id bigint, next bigint, third bigint, n bigint")
+    three = staged(triples.groupBy("id", "next", "third").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "triples")
+    sent = _sent(words, two, three)
+    longer = arrow_map(_steered(shards, words, two, None if sent else pairs, three, None if sent else triples), functools.partial(_longer, longest, sent), "lang string, phrase string, words int, n bigint")
+    found = longer.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    found = staged(_named(two, words, 2).unionAll(_named(three, words, 3)).unionAll(found).where(F.col("words") <= longest), "phrases")
 
     out = staged(_scored(found, words, total, within, reported), "collocations")
-    for done in (shards, words, often, found):
+    for done in (shards, words, two, three, found):
         drop_staged(done)
     return out
 
 
-def _by_lang(often: DataFrame, words: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """The ids of the frequent pairs of each language."""
-    rows = often.join(words.select("id", "lang"), "id").groupBy("lang").agg(F.collect_list("id").alias("id"), F.collect_list("next").alias("next")).toArrow()
-    return {lang: (one.values.to_numpy(), two.values.to_numpy()) for lang, one, two in zip(rows.column("lang").to_pylist(), rows.column("id"), rows.column("next"))}
+_PARTS = ("id", "next", "third")
+
+
+def _steered(shards: DataFrame, words: DataFrame, two: DataFrame, pairs: DataFrame | None, three: DataFrame | None = None, triples: DataFrame | None = None) -> DataFrame:
+    """Rows (shard, role, lang, own, id, next, third, word, bitmap), those of a shard together: role 1 its words that occur in the longest
+    frequent phrases, roles 2 and 3 the frequent pairs and triples that it holds, of all that ``pairs`` and ``triples`` have."""
+    last = two if three is None else three
+    used = words.join(last.select(F.explode(F.array(*[c for c in _PARTS if c in last.columns])).alias("id")).distinct(), "id").select("lang", "word", "id")
+    used = F.broadcast(used) if words.count() <= WORDS_SENT else used
+    zero = F.lit(0).cast("bigint")
+    rows = shards.drop("n").join(used, ["lang", "word"]).select("shard", F.lit(1).alias("role"), "lang", "own", "id", zero.alias("next"), zero.alias("third"), "word", "bitmap")
+    for role, counted, often in ((2, pairs, two), (3, triples, three)):
+        if counted is not None:
+            here = counted.drop("n").join(often.drop("n"), list(_PARTS[:role]))
+            rows = rows.unionByName(here.select("shard", F.lit(role).alias("role"), *[F.col(c) if c in here.columns else zero.alias(c) for c in _PARTS]), allowMissingColumns=True)
+    return rows.repartition("shard").sortWithinPartitions("shard", "role", "id")
+
+
+def _sent(words: DataFrame, *levels: DataFrame):
+    """The ids of frequent pairs, and triples, by language; None if they are too many to be sent."""
+    if sum(x.count() for x in levels) > PHRASES_SENT:
+        return None
+    out = []
+    for level in levels:
+        parts = [c for c in _PARTS if c in level.columns]
+        rows = level.join(words.select("id", "lang"), "id").groupBy("lang").agg(*[F.collect_list(c).alias(c) for c in parts]).toArrow()
+        out.append({lang: tuple(x.values.to_numpy() for x in lists) for lang, *lists in zip(rows.column("lang").to_pylist(), *(rows.column(c) for c in parts))})
+    return words.sparkSession.sparkContext.broadcast((*out, {})[:2])
+
+
+def _named(level: DataFrame, words: DataFrame, many: int) -> DataFrame:
+    """lang, phrase, words and a of phrases told by ids."""
+    for k, c in enumerate(_PARTS[:many]):
+        level = level.join(words.select(F.col("id").alias(c), F.col("word").alias(f"w{k}"), *(["lang"] if not k else [])), c)
+    return level.select("lang", F.concat_ws(" ", *[f"w{k}" for k in range(many)]).alias("phrase"), F.lit(many).alias("words"), F.col("n").alias("a"))
 
 
 def _scored(found: DataFrame, words: DataFrame, total: DataFrame, within: int, reported: int | None) -> DataFrame:
