@@ -26,8 +26,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """``df`` in reliable checkpoint files, in the order and partitions it was computed in; they go when the frame does."""
+    """``df`` in reliable checkpoint files, in the order and partitions it was computed in.
+
+    The files go by ``unpin``; else, where spark.cleaner.referenceTracking.cleanCheckpoints is set, when the frame does.
+    """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
     return df.checkpoint()
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Removes the files of pinned frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
