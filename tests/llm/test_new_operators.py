@@ -95,9 +95,8 @@ def _counted(shards, least):
     out = Counter()
     for words, at, own in shards:
         ends, number, bits = phrases.bitmaps(at, len(words))
-        packed = np.stack([number, bits], axis=1).astype("<u2")
-        maps = [packed[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-        shard = phrases.Shard(own, maps)
+        assert all((x == y).all() for x, y in zip(phrases.unpack(phrases.pack(number, bits)), (number, bits)))
+        shard = phrases.Shard(own, ends, number, bits)
         for last, prefix, number, bits in shard.branches():
             name = [(words[1 + k],) for k in last.tolist()]
             for _ in range(4):

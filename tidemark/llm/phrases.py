@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import functools
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ WIDTH, SHARD = 16, 1 << 20
 HELD, SLICE = 1 << 22, 1 << 22
 #: As many frequent words, and as many frequent phrases of two or three, are broadcast; more come to their shards by a shuffle.
 WORDS_SENT, PHRASES_SENT = 1_000_000, 2_000_000
+#: Longer phrases that a task counts before it gives them out; shards that it is given at a time.
+COUNTED, SHARDS_READ = 200_000, 4
 #: Containers of prefixes that are extended together; their branch is followed to its end before the next one is begun.
 BRANCH = 1 << 15
 
@@ -107,7 +111,7 @@ def _own(number: np.ndarray, bits: np.ndarray, own: np.ndarray | int) -> np.ndar
 
 
 def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, shard, own, word, n (occurrences at own positions) and bitmap, a row for each word of a shard."""
+    """A row for each shard: lang, shard, own, its words, n (their occurrences at own positions), ends and packed bitmaps."""
     task, made = TaskContext.get().partitionId(), 0
     by_lang: dict[str, Positions] = {}
 
@@ -115,18 +119,13 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal made
         for words, at, own in shards:
             ends, number, bits = bitmaps(at, len(words))
-            if not len(bits):
-                continue
-            packed = np.stack([number, bits], axis=1).astype("<u2")
-            counts = np.add.reduceat(np.bitwise_count(_own(number, bits, own)).astype(np.int64), ends[:-1])
-            maps = pa.Array.from_buffers(pa.large_binary(), len(words) - 1, [None, pa.py_buffer((ends * 4).astype(np.int64)), pa.py_buffer(packed)]).cast(pa.binary())
-            n = len(words) - 1
-            names = pa.array(words[1:], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * n, pa.string()), pa.array(np.full(n, task << 32 | made)), pa.array(np.full(n, own, np.int32)), names, pa.array(counts), maps],
-                ["lang", "shard", "own", "word", "n", "bitmap"],
-            )
-            made += 1
+            if len(bits):
+                counts = np.add.reduceat(np.bitwise_count(_own(number, bits, own)).astype(np.int64), ends[:-1])
+                names = pa.array(words[1:], pa.binary()).cast(pa.string())
+                one = [pa.array([x], kind) for x, kind in ((lang, pa.string()), (task << 32 | made, pa.int64()), (own, pa.int32()))]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (names, pa.array(counts), pa.array(ends.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays([*one, *lists, pa.array([pack(number, bits)], pa.binary())], ["lang", "shard", "own", "words", "n", "ends", "maps"])
+                made += 1
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -140,20 +139,31 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(lang, held.rest())
 
 
+def pack(number: np.ndarray, bits: np.ndarray) -> bytes:
+    """Containers compressed: numbers as steps from the one before, low and high bytes apart."""
+    steps = np.diff(number.astype(np.uint16), prepend=np.uint16(0))
+    planes = np.stack([steps, bits.astype(np.uint16)]).astype("<u2").view(np.uint8).reshape(2, -1, 2)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes())
+
+
+def unpack(maps: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(maps), np.uint8).reshape(2, 2, -1)
+    steps, bits = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u2")[:, :, 0]
+    return np.cumsum(steps, dtype=np.uint16), bits.astype(np.uint16)
+
+
 class Shard:
     """The bitmaps of a shard's frequent words, by word and by container."""
 
-    def __init__(self, own: int, maps: list[bytes]):
-        ends = np.cumsum([0, *(len(m) // 4 for m in maps)])
-        packed = np.frombuffer(b"".join(maps), "<u2").reshape(-1, 2)
-        self.ends, self.words = ends, len(maps)
-        self.number, self.bits = packed[:, 0].astype(np.int64), packed[:, 1].astype(np.uint32)
-        word = np.repeat(np.arange(len(maps)), np.diff(ends))
+    def __init__(self, own: int, ends: np.ndarray, number: np.ndarray, bits: np.ndarray):
+        """Word k has the containers ``ends[k] : ends[k + 1]``."""
+        self.ends, self.words = ends, len(ends) - 1
+        self.first = _own(number, bits, own).astype(np.uint32)
+        self.number, self.bits = number.astype(np.int64), bits.astype(np.uint32)
+        self.word = np.repeat(np.arange(self.words), np.diff(ends))
         order = np.argsort(self.number, kind="stable")
-        self.at_word, self.at_bits = word[order], self.bits[order]
+        self.at_word, self.at_bits = self.word[order], self.bits[order]
         self.start = np.searchsorted(self.number[order], np.arange(SHARD // WIDTH + 2))
-        self.first = _own(self.number, packed[:, 1], own).astype(np.uint32)
-        self.word = word
 
     def branches(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """First words with their containers: last word of each prefix, prefix, number and bits of each container."""
@@ -198,72 +208,65 @@ def _place(codes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(codes[at] == wanted, at, -1)
 
 
-def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each shard, which stand together, one table at a time; its number is the first column."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        shard = batch.column(0).to_numpy()
-        edges = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
-        for a, b in zip(edges, edges[1:]):
-            if held and held[-1].column(0)[0].as_py() != shard[a]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, the ids of two words and how often the second follows the first, of rows (shard, own, id, bitmap)."""
-    for t in _grouped(batches):
-        own = Shard(t.column("own")[0].as_py(), t.column("bitmap").to_pylist())
-        ids = t.column("id").to_numpy()
-        shard = t.column("shard")[0].as_py()
-        for branch in own.branches():
-            parent, word, count, _ = own.extend(*branch)
-            if len(word):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), shard)), pa.array(ids[branch[0][parent]]), pa.array(ids[word]), pa.array(count)], ["shard", "id", "next", "n"])
+class _Steered:
+    """A shard with the frequent words, pairs and triples that it holds, by columns of its row or of what is sent to all.
 
+    ``sent``: by language the ids of words, and the frequent pairs and triples as arrays of ids; a part that is None is in the row,
+    as the columns ``known`` (place of a word in the shard and its id), ``pairs`` and ``triples``.
+    """
 
-class _Steered:
-    """A shard with the frequent pairs and triples of its language: sent to all, or the rows of roles 2 and 3 that came with it."""
-
-    def __init__(self, t: pa.Table, sent):
-        t = t.combine_chunks()
-        role = t.column("role").to_numpy()
-        n = int((role == 1).sum())
-        self.pairs = self.triples = np.empty(0, np.int64)
-        if not n:  # none of its words is used any more
-            return
-        self.number, self.lang = t.column("shard")[0].as_py(), t.column("lang")[0].as_py()
-        self.shard = Shard(t.column("own")[0].as_py(), t.column("bitmap").slice(0, n).to_pylist())
-        self.names = t.column("word").slice(0, n).to_pylist()
-        one, two, three = (t.column(c).to_numpy() for c in ("id", "next", "third"))
-        self.ids = one[:n]  # in order
-        none = one[:0]
-        if sent is None:
-            pairs, triples = ([x[role == k] for x in (one, two, three)[:k]] for k in (2, 3))
+    def __init__(self, row: dict, sent: dict):
+        self.number, self.lang = row["shard"], row["lang"]
+        if sent["words"] is None:
+            known = sorted((k["id"], k["at"]) for k in row["known"] or ())
         else:
-            pairs, triples = (level.get(self.lang, (none,) * k) for level, k in zip(sent.value, (2, 3)))
+            of_lang = sent["words"].get(self.lang, {})
+            known = sorted((of_lang[w], k) for k, w in enumerate(row["words"]) if w in of_lang)
+        self.ids = np.array([i for i, _ in known], np.int64)
+        place = np.array([k for _, k in known], np.int64)
+        ends, (number, bits) = np.array(row["ends"], np.int64), unpack(row["maps"])
+        size = ends[place + 1] - ends[place]
+        at = np.repeat(ends[place] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(place) else place
+        self.names = [row["words"][k] for k in place.tolist()]
+        self.shard = Shard(row["own"], np.concatenate([[0], np.cumsum(size)]), number[at], bits[at])
         words = self.shard.words
-        a, b = (_place(self.ids, x) for x in pairs)
+        a, b = (_place(self.ids, x) for x in self._level(row, sent, "pairs"))
         self.pairs = np.sort((a * words + b)[(a >= 0) & (b >= 0)])
-        a, b, c = (_place(self.ids, x) for x in triples)
+        a, b, c = (_place(self.ids, x) for x in self._level(row, sent, "triples"))
         first = _place(self.pairs, a * words + b)
         self.triples = np.sort((first * words + c)[(a >= 0) & (b >= 0) & (c >= 0) & (first >= 0)])
 
+    def _level(self, row: dict, sent: dict, name: str) -> tuple[np.ndarray, ...]:
+        parts = _PARTS[: 2 if name == "pairs" else 3]
+        if sent[name] is None:
+            held = row.get(name) or ()
+            return tuple(np.array([x[c] for x in held], np.int64) for c in parts)
+        return sent[name].get(self.lang, (np.empty(0, np.int64),) * len(parts))
+
     def pairs_of(self, branch: tuple):
         """The frequent pairs that begin with the first words of a branch."""
         parent, last, _, maps = self.shard.extend(*branch, self.pairs)
         return branch[0][parent], last, maps
 
 
+def _read(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[_Steered]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield _Steered(batch.slice(k, 1).to_pylist()[0], sent.value)
+
+
+def _pairs(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shard, the ids of two frequent words and how often the second follows the first."""
+    for own in _read(sent, batches):
+        for branch in own.shard.branches():
+            parent, word, count, _ = own.shard.extend(*branch)
+            if len(word):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), own.number)), pa.array(own.ids[branch[0][parent]]), pa.array(own.ids[word]), pa.array(count)], ["shard", "id", "next", "n"])
+
+
 def _triples(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """shard, id, next, third and n of phrases of three words whose pairs are both frequent."""
-    for t in _grouped(batches):
-        own = _Steered(t, sent)
+    for own in _read(sent, batches):
         for branch in own.shard.branches() if len(own.pairs) else ():
             first, last, maps = own.pairs_of(branch)
             parent, word, count, _ = own.shard.extend(last, *maps, own.pairs)
@@ -272,13 +275,20 @@ def _triples(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _longer(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, phrase, words and n of phrases of four words and more whose triples are all frequent, branch by branch to the end."""
-    for t in _grouped(batches):
-        own = _Steered(t, sent)
+    """lang, phrase, words and n of phrases of four words and more whose triples are all frequent, branch by branch to the end.
+
+    Counts of a task's shards are added up first.
+    """
+    total: Counter = Counter()
+
+    def rows() -> pa.RecordBatch:
+        lang, phrase, words = zip(*total)
+        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(words, pa.int32()), pa.array(list(total.values()), pa.int64())], ["lang", "phrase", "words", "n"])
+
+    for own in _read(sent, batches):
         for branch in own.shard.branches() if len(own.triples) else ():
-            first, last, maps = own.pairs_of(branch)
-            phrase = [f"{own.names[a]} {own.names[b]}" for a, b in zip(first.tolist(), last.tolist())]
-            before = first
+            before, last, maps = own.pairs_of(branch)
+            phrase = [f"{own.names[a]} {own.names[b]}" for a, b in zip(before.tolist(), last.tolist())]
             for n in range(3, longest + 1):
                 state = _place(own.pairs, before * own.shard.words + last)
                 parent, word, count, maps = own.shard.extend(state, *maps, own.triples)
@@ -287,9 +297,13 @@ def _longer(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[p
                 phrase = [f"{phrase[p]} {own.names[w]}" for p, w in zip(parent.tolist(), word.tolist())]
                 before, last = last[parent], word
                 if n > 3:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([own.lang] * len(word), pa.string()), pa.array(phrase, pa.string()), pa.array(np.full(len(word), n, np.int32)), pa.array(count)], ["lang", "phrase", "words", "n"]
-                    )
+                    for p, c in zip(phrase, count.tolist()):
+                        total[own.lang, p, n] += c
+        if len(total) > COUNTED:
+            yield rows()
+            total.clear()
+    if total:
+        yield rows()
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, within: int = 100, reported: int | None = REPORTED) -> DataFrame:
@@ -300,8 +314,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
     parts, and the score floor(1000 * a * n / (l * r)); the lowest counts. Candidates inside a longer one that has at least
     ``within`` percent of their occurrences are dropped. ``reported``: so many of each language; None: all.
 
-    1. Each task cuts its texts into shards of at most ``SHARD`` positions, a free position between pieces, and writes for each word
-       of a shard the compressed bitmap of its positions. Word counts are popcounts, summed over the shards.
+    1. Each task cuts its texts into shards of at most ``SHARD`` positions, a free position between pieces. A shard is written as one
+       row with the compressed bitmaps of its words' positions; later passes read it where it lies. Word counts are popcounts, summed.
     2. Of frequent words each shard extends each by every word that follows: the bitmap moved by one, AND, popcount. The counts of
        pairs are summed over all shards.
     3. In each shard the frequent pairs are extended by words that are frequent after their last one, and counted in the same way.
@@ -309,8 +323,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
        with its last two. Popcounts are summed over all shards.
 
     Every part of a candidate is at least as frequent as the candidate, so nothing is lost, and all counts of parts are at hand. Frequent
-    words, pairs and triples come back to their shards by a broadcast up to ``WORDS_SENT`` and ``PHRASES_SENT``, beyond by joins; bitmaps
-    of words without a frequent pair, later of those without a frequent triple, are left behind. A shard is bounded, whatever the length of a text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
+    words, pairs and triples come to the shards by a broadcast up to ``WORDS_SENT`` and ``PHRASES_SENT``, beyond by joins. A shard is
+    bounded, whatever the length of a text or piece: phrases that go past its end are read from the first words of the next, repeated at its end.
 
     Null lang: ``und``, one with a lang of that name. Null and empty texts have no words. Repeated rows and doc_ids: each row counts.
     Other columns are not read. Equal scores: the larger a, then the phrase in the order of its bytes; equal cuts: the smaller k.
@@ -319,24 +333,38 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
     if longest > LONGEST:
         raise ValueError(f"phrases have at most {LONGEST} words")  # a shard repeats no more words of the next one
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").where("length(text) > 0")
-    shards = staged(arrow_map(texts, _shards, "lang string, shard bigint, own int, word string, n bigint, bitmap binary"), "shards")
-    total = shards.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = shards.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    words = staged(frequent.withColumn("id", F.monotonically_increasing_id()), "words")
-    every = F.broadcast(words) if words.count() <= WORDS_SENT else words
-    together = shards.drop("n").join(every.drop("n"), ["lang", "word"]).select("shard", "own", "id", "bitmap")
-    pairs = arrow_map(together.repartition("shard").sortWithinPartitions("shard", "id"), _pairs, "shard bigint, id bigint, next bigint, n bigint")
+    shards = staged(arrow_map(texts, _shards, "lang string, shard bigint, own int, words array<string>, n array<bigint>, ends array<int>, maps binary"), "shards")
+    spark = docs.sparkSession
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(rows)
+    spark.conf.set(rows, str(SHARDS_READ))  # a row is a shard
+    try:
+        return _mined(shards, least, longest, within, reported)
+    finally:
+        spark.conf.set(rows, usual)
+        drop_staged(shards)
+
+
+def _mined(shards: DataFrame, least: int, longest: int, within: int, reported: int | None) -> DataFrame:
+    each = shards.select("lang", F.explode(F.arrays_zip("words", "n")).alias("w")).select("lang", F.col("w.words").alias("word"), F.col("w.n").alias("n"))
+    counted = each.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = staged(counted.where(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id()), "words")
+    total = each.groupBy("lang").agg(F.sum("n").alias("n"))
+    few = words.count() <= WORDS_SENT
+
+    held, sent = _steered(shards, words, few)
+    pairs = arrow_map(held, functools.partial(_pairs, sent), "shard bigint, id bigint, next bigint, n bigint")
     two = staged(pairs.groupBy("id", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "pairs")
-    sent = _sent(words, two)
-    triples = arrow_map(_steered(shards, words, two, None if sent else pairs), functools.partial(_triples, sent), "shard bigint, id bigint, next bigint, third bigint, n bigint")
+    held, sent = _steered(shards, words, few, (two, pairs))
+    triples = arrow_map(held, functools.partial(_triples, sent), "shard bigint, id bigint, next bigint, third bigint, n bigint")
     three = staged(triples.groupBy("id", "next", "third").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "triples")
-    sent = _sent(words, two, three)
-    longer = arrow_map(_steered(shards, words, two, None if sent else pairs, three, None if sent else triples), functools.partial(_longer, longest, sent), "lang string, phrase string, words int, n bigint")
+    held, sent = _steered(shards, words, few, (two, pairs), (three, triples))
+    longer = arrow_map(held, functools.partial(_longer, longest, sent), "lang string, phrase string, words int, n bigint")
     found = longer.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     found = staged(_named(two, words, 2).unionAll(_named(three, words, 3)).unionAll(found).where(F.col("words") <= longest), "phrases")
 
     out = staged(_scored(found, words, total, within, reported), "collocations")
-    for done in (shards, words, two, three, found):
+    for done in (words, two, three, found):
         drop_staged(done)
     return out
 
@@ -344,31 +372,28 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, wi
 _PARTS = ("id", "next", "third")
 
 
-def _steered(shards: DataFrame, words: DataFrame, two: DataFrame, pairs: DataFrame | None, three: DataFrame | None = None, triples: DataFrame | None = None) -> DataFrame:
-    """Rows (shard, role, lang, own, id, next, third, word, bitmap), those of a shard together: role 1 its words that occur in the longest
-    frequent phrases, roles 2 and 3 the frequent pairs and triples that it holds, of all that ``pairs`` and ``triples`` have."""
-    last = two if three is None else three
-    used = words.join(last.select(F.explode(F.array(*[c for c in _PARTS if c in last.columns])).alias("id")).distinct(), "id").select("lang", "word", "id")
-    used = F.broadcast(used) if words.count() <= WORDS_SENT else used
-    zero = F.lit(0).cast("bigint")
-    rows = shards.drop("n").join(used, ["lang", "word"]).select("shard", F.lit(1).alias("role"), "lang", "own", "id", zero.alias("next"), zero.alias("third"), "word", "bitmap")
-    for role, counted, often in ((2, pairs, two), (3, triples, three)):
-        if counted is not None:
-            here = counted.drop("n").join(often.drop("n"), list(_PARTS[:role]))
-            rows = rows.unionByName(here.select("shard", F.lit(role).alias("role"), *[F.col(c) if c in here.columns else zero.alias(c) for c in _PARTS]), allowMissingColumns=True)
-    return rows.repartition("shard").sortWithinPartitions("shard", "role", "id")
-
-
-def _sent(words: DataFrame, *levels: DataFrame):
-    """The ids of frequent pairs, and triples, by language; None if they are too many to be sent."""
-    if sum(x.count() for x in levels) > PHRASES_SENT:
-        return None
-    out = []
-    for level in levels:
-        parts = [c for c in _PARTS if c in level.columns]
-        rows = level.join(words.select("id", "lang"), "id").groupBy("lang").agg(*[F.collect_list(c).alias(c) for c in parts]).toArrow()
-        out.append({lang: tuple(x.values.to_numpy() for x in lists) for lang, *lists in zip(rows.column("lang").to_pylist(), *(rows.column(c) for c in parts))})
-    return words.sparkSession.sparkContext.broadcast((*out, {})[:2])
+def _steered(shards: DataFrame, words: DataFrame, few: bool, *levels: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, object]:
+    """The shards, and what is sent to all of them: ids of frequent words, frequent pairs, frequent triples (each with all that were
+    counted). What is too much to be sent is joined to the shard that holds it, a list no longer than the shard."""
+    sent = {"words": None, "pairs": {}, "triples": {}}
+    if few:
+        rows = words.select("lang", "word", "id").toArrow()
+        sent["words"] = {}
+        for lang, word, id_ in zip(*(rows.column(c).to_pylist() for c in ("lang", "word", "id"))):
+            sent["words"].setdefault(lang, {})[word] = id_
+    else:
+        each = shards.select("shard", "lang", F.posexplode("words").alias("at", "word")).join(words.select("lang", "word", "id"), ["lang", "word"])
+        shards = shards.join(each.groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("known")), "shard", "left")
+    for name, (often, counted) in zip(("pairs", "triples"), levels):
+        parts = [c for c in _PARTS if c in often.columns]
+        if often.count() <= PHRASES_SENT:
+            rows = often.join(words.select("id", "lang"), "id").groupBy("lang").agg(*[F.collect_list(c).alias(c) for c in parts]).toArrow()
+            sent[name] = {lang: tuple(x.values.to_numpy() for x in lists) for lang, *lists in zip(rows.column("lang").to_pylist(), *(rows.column(c) for c in parts))}
+        else:
+            sent[name] = None
+            held = counted.drop("n").join(often.drop("n"), parts).groupBy("shard").agg(F.collect_list(F.struct(*parts)).alias(name))
+            shards = shards.join(held, "shard", "left")
+    return shards, shards.sparkSession.sparkContext.broadcast(sent)
 
 
 def _named(level: DataFrame, words: DataFrame, many: int) -> DataFrame:
