@@ -363,6 +363,20 @@ def test_ngram_join(spark, width, num, den):
     assert got == brute_groups(rows, width, num, den)
 
 
+def test_ngram_join_takes_repeated_rows_once(spark, monkeypatch):
+    """Many equal rows, many texts under one doc_id, and near copies beside them: the rows that blocks get do not grow with the copies."""
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join([*words[:k], "other", *words[k + 1 :]]) for k in range(0, 60, 20)]
+    rows = [(5, " ".join(words))] * 20_000 + [(7, " ".join(words))] * 50 + [(9, t) for t in near] * 30 + [(None, near[0])] * 3 + [(11, "far away from all of these texts")] * 2
+    seen = []
+    verified = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda grouped, *a: seen.append(grouped.groupBy("comp", "i", "j").count().agg(F.max("count")).first()[0]) or verified(grouped, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = ngram_join.jaccard_components(df, 3, 8, 10).groupBy("doc_id", "component_id").count().collect()
+    assert {(r.doc_id, r.component_id): r["count"] for r in got} == {(5, 5): 20_000, (7, 5): 50, (9, 5): 90, (None, None): 3, (11, 11): 2}
+    assert seen == [4]
+
+
 def test_ngram_join_odd_rows_and_small_blocks(spark, odd, empty, monkeypatch):
     got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(odd, 3, 9, 10).collect()), key=str)
     assert len(got) == 9 and (2, 0, 2) in got and (3, 0, 3) in got and (8, 4, 1) in got and [g for g in got if g[0] == 0][0][2] is None

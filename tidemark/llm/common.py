@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import tempfile
 import uuid
 from pathlib import Path
 
@@ -13,7 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from tidemark.staging import checkpoint_folder as shared_dir
+from tidemark.staging import pinned, unpin
+
+__all__ = ["arrow_map", "components", "drop_staged", "only", "pinned", "shared_dir", "staged", "table", "unpin", "unused"]
+
 #: Set for Python workers: where this package is, one heap per process, large arrays returned to the system when freed.
 _WORKER = {
     "PYTHONPATH": str(Path(__file__).resolve().parents[2]),
@@ -79,39 +81,6 @@ def only(name: str, clear=None) -> None:
         _trim()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors and the driver share.
-
-    Read from ``spark.checkpoint.dir``. Only where that is unset, as in tests on a local master, a temporary folder is made;
-    on a cluster a missing setting is an error, since a machine-local folder would lose rows there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _OWN[app] = tempfile.mkdtemp(prefix="tidemark-")
-        atexit.register(_remove_own, _OWN[app])
-    return f"file://{_OWN[app]}"
-
-
-def _remove_own(path: str) -> None:
-    import shutil
-
-    shutil.rmtree(path, ignore_errors=True)
-
-
-def pinned(df: DataFrame) -> DataFrame:
-    """``df`` computed once into reliable checkpoint files: cuts lineage; the files go when the frame does."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

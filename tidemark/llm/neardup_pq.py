@@ -178,7 +178,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     exact = staged(arrow_map(met, functools.partial(_members, cosine), "a bigint, b bigint, vec_id bigint, links bigint"), "exact")
     some = exact.groupBy("vec_id").agg(F.sum("links").alias("some"))
     edges = whole.select("a", "b").unionAll(exact.select("a", "b").distinct())
-    joined = components(edges).withColumnRenamed("id", "ball")
+    labels = components(edges)
+    joined = labels.withColumnRenamed("id", "ball")
     found = (
         members.select("vec_id", "ball")
         .join(size.select("ball", "n"), "ball")
@@ -190,7 +191,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     out = base.join(found, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     out = staged(out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")), "linked")
-    for done in (placed, members, leaders, pairs, exact):
+    for done in (placed, members, leaders, pairs, exact, labels):
         drop_staged(done)
     return out
 

@@ -241,7 +241,7 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
 
     Sets of ``width``-word n-grams link at Jaccard similarity num / den or more; component_id is the smallest doc_id
     reachable by links. Equal sets (told by two 64-bit hashes and their size) are one class, named by its smallest doc_id; only
-    that document goes on, so copies, however many, give one row each and are never paired. Classes that share a signature of
+    that document goes on, once however many rows it has, so copies give one row each and are never paired. Classes that share a signature of
     ``Parts`` are candidates; the candidates that signatures connect come together in blocks of bounded size, each pair of
     blocks once, and are verified exactly through an R-tree.
 
@@ -250,35 +250,51 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     classes named by the same doc_id are one. Very long texts are hashed alone. Other columns are not read. Empty table: no rows.
     """
     slim = staged(_fingerprints(docs, width), "ngrams")
-    classes = slim.where("doc_id is not null and n > 0").groupBy("f", "g", "n").agg(F.min("doc_id").alias("id"))
+    known = slim.where("doc_id is not null and n > 0")
+    classes = known.groupBy("f", "g", "n").agg(F.min(F.struct("doc_id", "t")).alias("c")).select("f", "g", "n", F.col("c.doc_id").alias("id"), "c.t")
     classes = staged(classes, "classes")
-    texts = _beside(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id")
+    repeated = staged(known.groupBy("doc_id", "t").count().where("count > 1").drop("count"), "repeated")
+    texts = _once(docs, classes.select(F.col("id").alias("doc_id"), "t"), repeated)
     marks = staged(_signatures(docs, texts, width, num, den), "signatures")
-    groups = components(_candidates(marks), "id", "low")
-    drop_staged(marks)
+    edges = _candidates(marks)
+    groups = components(edges, "id", "low")
     # the classes of each group of candidates, with the group's size
-    sized = staged(classes.groupBy("id").agg(F.max("n").alias("n")).join(groups, "id"), "sized")
+    sized = staged(classes.select("id", "t", "n").join(groups, "id"), "sized")
     blocks = sized.groupBy("comp").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
     many = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_NGRAMS)).cast("int")
-    wanted = staged(sized.join(blocks.where("sets > 1").select("comp", many.alias("blocks")), "comp").select(F.col("id").alias("doc_id"), "comp", "blocks"), "wanted")
-    texts = _beside(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, "doc_id")
-    own = F.pmod(F.hash("doc_id"), F.col("blocks"))
+    wanted = staged(sized.join(blocks.where("sets > 1").select("comp", many.alias("blocks")), "comp").select(F.col("id").alias("doc_id"), "t", "comp", "blocks"), "wanted")
+    for done in (marks, edges, groups):
+        drop_staged(done)
+    texts = _once(docs, wanted, repeated)
+    own = F.pmod(F.hash("doc_id", "t"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    # a class lies in block ``own`` and meets every block of its group; a repeated doc_id adds a set of the same class
+    # a class lies in block ``own`` and meets every block of its group
     placed = texts.select("comp", "doc_id", "text", own.alias("own"), other).select("comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id", "text")
     grouped = placed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     edges = staged(_verified(grouped, width, num, den), "links")
-    joined = staged(components(edges), "joined")
+    joined = components(edges)
     of_class = classes.join(joined.withColumnRenamed("comp", "low"), "id", "left").select("f", "g", "n", F.coalesce("low", "id").alias("least"))
     found = slim.join(of_class, ["f", "g", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     out = staged(found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")), "groups")
-    for done in (slim, classes, sized, wanted, edges, joined):
+    for done in (slim, classes, repeated, sized, wanted, edges, joined):
         drop_staged(done)
     return out
 
 
-def _beside(docs: DataFrame, side: DataFrame, key: str) -> DataFrame:
+def _once(docs: DataFrame, wanted: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The texts of ``wanted`` (doc_id, t, a hash of the text, and what goes with them), each once; ``repeated``: those that several rows have."""
+    key = ["doc_id", "t"]
+    each = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), "text")
+    texts = _beside(each, wanted, key)
+    many = repeated.count()
+    if not many:
+        return texts
+    repeated = F.broadcast(repeated) if many <= IDS_SENT else repeated
+    return texts.join(repeated, key, "left_anti").unionByName(texts.join(repeated, key, "left_semi").dropDuplicates(key))
+
+
+def _beside(docs: DataFrame, side: DataFrame, key: list[str]) -> DataFrame:
     """``docs`` with the rows of ``side``: broadcast if they are few, else by a shuffle."""
     return docs.join(F.broadcast(side) if side.count() <= IDS_SENT else side, key)
 
@@ -344,7 +360,7 @@ def _class_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, f and g (hashes of the set) of each row."""
+    """doc_id, n, f and g (hashes of the set) and t (a hash of the text) of each row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("ngrams", forget_powers)
@@ -352,9 +368,9 @@ def _fingerprints(docs: DataFrame, width: int) -> DataFrame:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 sets = ngram_sets(batch.column(1), width)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, _class_of(sets))], ["doc_id", "n", "f", "g"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, _class_of(sets)), batch.column(2)], ["doc_id", "n", "f", "g", "t"])
 
-    return arrow_map(_texts(docs), run, "doc_id bigint, n bigint, f bigint, g bigint")
+    return arrow_map(_texts(docs).withColumn("t", F.xxhash64("text")), run, "doc_id bigint, n bigint, f bigint, g bigint, t bigint")
 
 
 def _frequent(docs: DataFrame, width: int) -> np.ndarray:
