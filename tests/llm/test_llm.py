@@ -191,8 +191,12 @@ def test_neardup(spark):
     assert neardup_pq.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_neardup_recall_with_more_lists_than_probes(spark):
-    """35 lists of which 8 are probed: groups around 1,200 centres, some tight enough for balls, links from 0.9 up."""
+@pytest.mark.parametrize("list_rows, flat", [(256, 1024), (16, 8)])
+def test_neardup_recall_with_more_lists_than_probes(spark, monkeypatch, list_rows, flat):
+    """35 lists of which 8 are probed, 576 pairs of centroids of halves of which 48 are: groups around 1,200 centres, some tight
+    enough for balls, links from 0.9 up."""
+    monkeypatch.setattr(neardup_pq, "LIST_ROWS", list_rows)
+    monkeypatch.setattr(neardup_pq, "FLAT_LISTS", flat)
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(1200, 64)) / 8
     spread = np.repeat(rng.choice([0.02, 0.1, 0.18, 0.26, 0.32], size=1200), 6)
@@ -202,12 +206,34 @@ def test_neardup_recall_with_more_lists_than_probes(spark):
     u = rows / np.linalg.norm(rows, axis=1, keepdims=True)
     links = np.concatenate([(u[a : a + 1000] @ u.T >= 0.9).sum(1) - 1 for a in range(0, len(u), 1000)])
     found = np.array([got[i] for i in range(len(u))])
-    assert len(u) // neardup_pq.LIST_ROWS > 4 * neardup_pq.PROBES and (found <= links).all() and links.sum() > 10_000
+    assert len(u) // list_rows > 4 * neardup_pq.PROBES and (found <= links).all() and links.sum() > 10_000
     recall = found.sum() / links.sum()
     print(f"recall {recall:.4f} of {links.sum() // 2} links")
     assert recall >= 0.95
 
 
+def test_neardup_lists_grow_with_the_table(monkeypatch):
+    """Beyond the flat lists, what is fitted grows with the root of their number, and the nearest pair is found first."""
+    monkeypatch.setattr(neardup_pq, "FLAT_LISTS", 8)
+    rng = np.random.default_rng(1)
+    sample = rng.normal(size=(4000, 12))
+    for lists in (64, 900):
+        q = neardup_pq.Quantiser(sample, lists)
+        a, b = q.halves
+        assert len(a) == len(b) == math.isqrt(lists)
+        whole = np.array([q.centre(k) for k in range(lists)])
+        far = ((sample[:50, None, :] - whole[None]) ** 2).sum(2)
+        got = q.near(sample[:50], 20)
+        assert (np.take_along_axis(far, got, 1) == pytest.approx(np.sort(far, 1)[:, :20]))
+
+
+def test_neardup_of_several_lengths(spark):
+    rows = [(k, [1.0, 0.1 * (k % 2)] if k < 30 else [1.0, 0.0, 0.05 * (k % 2)]) for k in range(40)] + [(90, [7.0]), (91, [5.0]), (92, [0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup_pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert {got[k] for k in range(30)} == {(29, 0)} and {got[k] for k in range(30, 40)} == {(9, 30)}
+    assert got[90] == got[91] == (1, 90) and got[92] == (0, 92)
+
+
 # 4 pieces
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, components, drop_staged, staged, table
 
-#: Rows, spread by a hash of vec_id, on which the quantiser is fitted; every row is indexed.
+#: Rows, spread by a hash of vec_id, on which the quantiser is fitted; more if lists are many; every row is indexed.
 SAMPLE = 16_384
-#: Rows that a list should hold, fewest and most lists.
-LIST_ROWS, LEAST_LISTS, MOST_LISTS = 256, 8, 1024
-#: Nearest lists that each vector probes.
-PROBES = 8
+#: Rows that a list should hold, fewest lists, most lists that have a centroid each. More lists are pairs of centroids of halves.
+LIST_ROWS, LEAST_LISTS, FLAT_LISTS = 256, 8, 1024
+#: Nearest lists that each vector probes: of lists with a centroid each, of pairs.
+PROBES, PAIR_PROBES = 8, 48
+#: As many rows of a number per list are broadcast; more are joined by a shuffle.
+LISTS_SENT = 200_000
 #: Residual subspaces, and codes in each.
 SUBSPACES, CODES = 16, 64
 #: A block of a list; larger lists are split by a hash of vec_id.
@@ -27,16 +29,51 @@ ROUNDING = 1e-9
 
 
 class Quantiser:
-    """Coarse centroids of unit vectors and, per subspace, codes of what remains."""
+    """Coarse lists of unit vectors and, per subspace, codes of what remains.
+
+    Up to ``FLAT_LISTS`` lists have a centroid each. More are the pairs of centroids of both halves of the vectors, so their number
+    grows with the table while what is fitted and sent grows with its square root.
+    """
 
     def __init__(self, sample: np.ndarray, lists: int):
         rng = np.random.default_rng(7)
-        self.centres = _kmeans(sample, lists, rng)
-        near = _nearest(sample, self.centres, 1)[:, 0]
-        rest = sample - self.centres[near]
+        self.mid = sample.shape[1] // 2 if lists > FLAT_LISTS else 0
+        if self.mid:
+            each = math.isqrt(lists - 1) + 1
+            self.halves = [_kmeans(x, each, rng) for x in (sample[:, : self.mid], sample[:, self.mid :])]
+            self.probes = PAIR_PROBES
+        else:
+            self.centres, self.probes = _kmeans(sample, lists, rng), PROBES
+        near = self.near(sample, 1)[:, 0]
+        rest = sample - np.stack([self.centre(k) for k in near.tolist()])
         self.cuts = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int)
         self.books = [_kmeans(rest[:, a:b], CODES, rng) for a, b in zip(self.cuts, self.cuts[1:])]
 
+    def centre(self, at: int) -> np.ndarray:
+        if not self.mid:
+            return self.centres[at]
+        a, b = self.halves
+        return np.concatenate([a[at // len(b)], b[at % len(b)]])
+
+    def near(self, rows: np.ndarray, many: int) -> np.ndarray:
+        """The nearest lists of each row, nearest first."""
+        if not self.mid:
+            return _nearest(rows, self.centres, many)
+        a, b = self.halves
+        many = min(many, len(a) * len(b))
+        out = np.empty((len(rows), many), np.int64)
+        for k in range(0, len(rows), 256):
+            parts = [rows[k : k + 256, : self.mid], rows[k : k + 256, self.mid :]]
+            # a pair is among the nearest ``many`` only if either part is among the nearest ``many`` of its half
+            d = [(c * c).sum(1)[None, :] - 2 * x @ c.T for x, c in zip(parts, (a, b))]
+            best = [np.argsort(x, axis=1, kind="stable")[:, :many] for x in d]
+            far = [np.take_along_axis(x, o, 1) for x, o in zip(d, best)]
+            both = (far[0][:, :, None] + far[1][:, None, :]).reshape(len(parts[0]), -1)
+            pick = np.argsort(both, axis=1, kind="stable")[:, :many]
+            width = best[1].shape[1]
+            out[k : k + 256] = np.take_along_axis(best[0], pick // width, 1) * len(b) + np.take_along_axis(best[1], pick % width, 1)
+        return out
+
     def encode(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals and the length of what the codes leave."""
         codes = np.empty((len(rest), len(self.books)), np.uint8)
@@ -116,14 +153,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
        blocks by a hash.
     2. Within a block, vectors within half the linking angle of a leader form a ball: all of them link with each other, which
        is known without testing pairs. A group of copies of any size so becomes a few balls of one list.
-    3. A ball probes the ``PROBES`` nearest lists of its leader. In a list the codes' table-lookup distance, less what the
+    3. A ball probes the ``PROBES`` (of pairs of half centroids ``PAIR_PROBES``) nearest lists of its leader. In a list the codes' table-lookup distance, less what the
        code leaves out, is a lower bound of the distance to a leader; balls whose bound allows a link are reranked by the
        exact angle of the leaders. The radii tell whether all members link, none do, or members must be compared.
     4. Links of balls give the components, and member counts the number of links.
 
     No link below ``cosine`` is reported; a link is missed only if the leaders of the two vectors' balls, the vectors themselves
-    for most, do not probe each other's list, either of them. Vectors that are null, empty, zero, hold null or non-finite
-    components or have not the most frequent length link with nothing. Rows that repeat a vec_id count as one vector (the
+    for most, do not probe each other's list, either of them. Vectors that are null, empty, zero or hold null or non-finite
+    components link with nothing, those of different length not with each other. Rows that repeat a vec_id count as one vector (the
     least embedding). Null vec_id: no links, component_id null, kept. Other columns are not read. Empty table: no rows.
     """
     spark = vectors.sparkSession
@@ -132,23 +169,31 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)
     good = ids.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
     good = good.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select("vec_id", wide.alias("v"))
-    usual = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
+    usual = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).collect()  # a row for each length
     base = ids.select("vec_id")
+    if len(usual) > 1:  # vectors of different length never link: each length is a table of its own
+        of_length = [near_duplicates(good.where(F.size("v") == r.n).select("vec_id", F.col("v").alias("embedding")), cosine) for r in usual]
+        linked = functools.reduce(DataFrame.unionAll, of_length)
+        out = base.join(linked, "vec_id", "left")
+        component = F.coalesce("component_id", "vec_id")
+        return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
     if not usual:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    good = good.where(F.size("v") == usual[0].n)
     total = usual[0]["count"]
-    share = 1.0 if total <= SAMPLE else SAMPLE / total
-    part = good.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 32)) < int(share * (1 << 32))).limit(2 * SAMPLE).toArrow()
+    lists = max(LEAST_LISTS, total // LIST_ROWS)
+    wanted = SAMPLE if lists <= FLAT_LISTS else max(SAMPLE, 16 * math.isqrt(lists))
+    share = 1.0 if total <= wanted else wanted / total
+    part = good.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 32)) < int(share * (1 << 32))).limit(2 * wanted).toArrow()
     sample = _units(_column(part, "v"), part.num_rows)
-    lists = max(1, min(MOST_LISTS, len(sample), max(LEAST_LISTS, total // LIST_ROWS)))
+    lists = max(1, min(lists, len(sample)) if lists <= FLAT_LISTS or usual[0].n < 2 else lists)
     angle = math.acos(cosine)
     sent = spark.sparkContext.broadcast(Quantiser(sample if len(sample) else np.eye(1, usual[0].n), lists))
 
     placed = arrow_map(good, functools.partial(_place, sent), "list int, vec_id bigint, v array<double>")
     placed = staged(placed, "placed")
-    counts = placed.groupBy("list").count()  # one row per list, at most MOST_LISTS
-    blocks = placed.join(F.broadcast(counts), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("count") / BLOCK)))
+    small = (lambda df: F.broadcast(df)) if lists <= LISTS_SENT else (lambda df: df)
+    counts = placed.groupBy("list").count()  # one row per list
+    blocks = placed.join(small(counts), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("count") / BLOCK)))
     blocks = blocks.select("list", "block", "vec_id", "v").repartition("list", "block").sortWithinPartitions("list", "block", "vec_id")
     members = staged(arrow_map(blocks, functools.partial(_balls, angle), "ball bigint, vec_id bigint, radius double, list int, v array<double>"), "balls")
     size = members.groupBy("ball").agg(F.count("*").alias("n"), F.max("radius").alias("radius"))
@@ -157,8 +202,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
 
     asked = arrow_map(leaders.select("ball", "v", "radius", "list"), functools.partial(_probe, sent), "list int, role int, ball bigint, v array<double>, radius double")
     spots = leaders.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    held = leaders.select("list", F.lit(0).alias("role"), "ball", "v", "radius").join(F.broadcast(spots), "list")
-    asked = asked.join(F.broadcast(spots), "list")
+    held = leaders.select("list", F.lit(0).alias("role"), "ball", "v", "radius").join(small(spots), "list")
+    asked = asked.join(small(spots), "list")
     # blocks of held leaders meet blocks of probing ones, each pair in a task of its own
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     chunk = F.pmod(F.xxhash64("ball"), F.col("blocks"))
@@ -199,7 +244,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
 def _place(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            near = _nearest(_units(batch.column(1), batch.num_rows), sent.value.centres, 1)[:, 0]
+            near = sent.value.near(_units(batch.column(1), batch.num_rows), 1)[:, 0]
             yield pa.RecordBatch.from_arrays([pa.array(near.astype(np.int32)), batch.column(0), batch.column(1)], ["list", "vec_id", "v"])
 
 
@@ -228,7 +273,7 @@ def _probe(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
         if n:
-            near = _nearest(_units(batch.column(1), n), sent.value.centres, PROBES)
+            near = sent.value.near(_units(batch.column(1), n), sent.value.probes)
             row = np.repeat(np.arange(n), near.shape[1])
             take = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
@@ -244,7 +289,7 @@ def _rerank(sent, angle: float, batches: Iterable[pa.RecordBatch]) -> Iterator[p
         held, asks = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
         if not len(held) or not len(asks):
             continue
-        centre = own.centres[at]
+        centre = own.centre(at)
         codes, left = own.encode(unit[held] - centre)
         a, b, whole = [], [], []
         for q in asks:
