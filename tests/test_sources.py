@@ -98,12 +98,6 @@ def test_store(spark, tmp_path):
     assert store.read_evolved(spark, f"file://{tmp_path}/e").columns == ["id", "more"]
     store.point_to(spark, f"file://{tmp_path}/current.json", {"file": "x"})
     assert store.pointed_at(spark, f"file://{tmp_path}/current.json") == {"file": "x"}
-    df = spark.createDataFrame([("N1", float("nan"), '[{"feature": "a"}]')], "nct_id string, x double, reasons string")
-    assert store.lookup(df, "nct_id", "N1") == {"nct_id": "N1", "x": None, "reasons": [{"feature": "a"}]} and store.lookup(df, "nct_id", "N2") is None
-    reg = store.Registry(str(tmp_path / "models"))
-    for k in (4, 10):
-        reg.save(k, doc={"k": k})
-    assert reg.latest() == 10 and reg.next() == 11 and reg.load(10, "doc") == {"k": 10}
     typed = store.typed(spark.createDataFrame([("a", "1", "x")], "NCT_ID string, Label string, other string"), "nct_id string, label int, phase string")
     assert typed.first().asDict() == {"nct_id": "a", "label": 1, "phase": None}
 

@@ -140,15 +140,3 @@ def test_too_many_levels_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(features, "MOST_LEVELS", 2)
     with pytest.raises(ValueError, match="w"):
         features.learned_levels(spark.createDataFrame([("a",), ("b",), ("c",)], "w string"), ["w"])
-
-
-def test_stream_keeps_the_latest_version(spark, tmp_path):
-    from tidemark.streaming.latest import upsert_latest
-
-    src, out = tmp_path / "in", f"file://{tmp_path}/out"
-    schema = "id string, version int, x int"
-    for k, rows in enumerate([[("a", 1, 1), ("b", 1, 2)], [("a", 2, 3)]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{src}")
-        q = spark.readStream.schema(schema).parquet(f"file://{src}").writeStream.foreachBatch(upsert_latest(out, "id", "version")).option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start()
-        q.awaitTermination()
-    assert sorted((r.id, r.version, r.x) for r in spark.read.parquet(out).collect()) == [("a", 2, 3), ("b", 1, 2)]

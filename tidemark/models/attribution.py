@@ -36,6 +36,21 @@ class Node:
     left: Node | None = None
     right: Node | None = None
 
+    def document(self) -> dict:
+        out = {"cover": self.cover, "value": self.value}
+        if self.split is not None:
+            out |= {"split": [self.split.slot, self.split.threshold, self.split.left], "left": self.left.document(), "right": self.right.document()}
+        return out
+
+    @staticmethod
+    def of(document: dict) -> Node:
+        out = Node(document["cover"], document["value"])
+        if "split" in document:
+            slot, threshold, left = document["split"]
+            out.split = Split(slot, threshold, None if left is None else tuple(left))
+            out.left, out.right = Node.of(document["left"]), Node.of(document["right"])
+        return out
+
 
 def nodes_of(model) -> Node:
     """The nodes of a fitted tree of ``pyspark.ml``."""

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, PCA, CountVectorizer, NGram, RegexTokenizer
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import PCA, NGram, RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ship_package
+from tidemark.staging import pinned, unpin
+
 #: Columns that are never inputs.
 NOT_INPUTS = frozenset("nct_id trial_id label label_enrollment label_safety split start_date end_date text status completion_date sponsor_name stop_reason brief_title sponsor".split())
 
@@ -46,6 +52,96 @@ def leveled(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     return out
 
 
+#: Vectors beyond the wanted ones that a block of the search for components has; most passes over the rows; when it ends.
+SPARE, MOST_PASSES, SETTLED = 16, 16, 1e-7
+#: Texts whose weights are spread over all components at a time.
+CHUNK = 64
+
+
+def term_weights(lists, known: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, weight) of the known terms of texts, in that order: (1 + log tf) * idf, each text of unit length."""
+    ids = [[known[t] for t in terms if t in known] for terms in lists]
+    row = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    key, tf = np.unique(row * len(idf) + np.fromiter((k for x in ids for k in x), np.int64, len(row)), return_counts=True)
+    row, term = key // len(idf), key % len(idf)
+    weight = (1.0 + np.log(tf)) * idf[term]
+    return row, term, weight / np.sqrt(np.bincount(row, weight * weight, len(ids)))[row]
+
+
+def spread(row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, v: np.ndarray) -> np.ndarray:
+    """(texts, components): weights times the rows of ``v``."""
+    out = np.zeros((texts, v.shape[1]))
+    for a in range(0, texts, CHUNK):
+        lo, hi = np.searchsorted(row, [a, a + CHUNK])
+        if hi > lo:
+            begin = np.flatnonzero(np.r_[True, row[lo + 1 : hi] != row[lo : hi - 1]])
+            out[row[lo:hi][begin]] = np.add.reduceat(weight[lo:hi, None] * v[term[lo:hi]], begin)
+    return out
+
+
+def right_vectors(rows: DataFrame, terms: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first k right singular vectors (terms x k) and singular values of sparse ``rows`` (term array<int>, weight array<double>).
+
+    A block Krylov method: every pass over the rows multiplies a block of vectors by the rows and by their transpose, in batches
+    inside the tasks; the driver holds the blocks, which depend on the vocabulary and not on the number of rows. It ends when every
+    residual is ``SETTLED`` of the largest value, so the vectors are those of an exact decomposition.
+    """
+    block = np.linalg.qr(np.random.default_rng(0).normal(size=(terms, min(terms, k + SPARE))))[0]
+    basis, images = np.empty((terms, 0)), np.empty((terms, 0))
+    for _ in range(MOST_PASSES):
+        image = _gram_times(rows, block)
+        basis, images = np.concatenate([basis, block], axis=1), np.concatenate([images, image], axis=1)
+        inner = basis.T @ images
+        values, turn = np.linalg.eigh((inner + inner.T) / 2)
+        values, turn = values[::-1][:k], turn[:, ::-1][:, :k]
+        off = np.linalg.norm(images @ turn - (basis @ turn) * values, axis=0)
+        if off.max() <= SETTLED * max(values[0], 1e-300):
+            break
+        for _ in range(2):
+            image = image - basis @ (basis.T @ image)
+        block, size = np.linalg.qr(image)
+        block = block[:, np.abs(np.diag(size)) > 1e-10 * max(values[0], 1e-300)]
+        if not block.shape[1]:  # the rows span no more
+            break
+    return basis @ turn, np.sqrt(np.maximum(values, 0))
+
+
+def _gram_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """Rows transposed, times rows, times ``block``: summed per task, then per term over the tasks."""
+    sent = ship_package(rows.sparkSession).sparkContext.broadcast(block)
+
+    def multiplied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = sent.value
+        total = np.zeros_like(v)
+        for batch in batches:
+            lists = batch.column(0)
+            row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            term, weight = lists.flatten().to_numpy(), batch.column(1).flatten().to_numpy()
+            out = spread(row, term, weight, len(lists), v)
+            order = np.argsort(term, kind="stable")
+            for a in range(0, len(order), 1 << 14):
+                at = order[a : a + (1 << 14)]
+                begin = np.flatnonzero(np.r_[True, term[at[1:]] != term[at[:-1]]])
+                total[term[at[begin]]] += np.add.reduceat(weight[at, None] * out[row[at]], begin)
+        some = np.flatnonzero(np.any(total, axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.FixedSizeListArray.from_arrays(pa.array(total[some].ravel()), v.shape[1]).cast(pa.list_(pa.float64()))], ["term", "x"])
+
+    def added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for term, x in zip(batch.column(0).to_pylist(), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)):
+                total[term] = total[term] + x if term in total else x
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([x.tolist() for x in total.values()], pa.list_(pa.float64()))], ["term", "x"])
+
+    parts = rows.mapInArrow(multiplied, "term bigint, x array<double>").repartition("term")
+    found = parts.mapInArrow(added, "term bigint, x array<double>").toArrow()  # as many rows as terms
+    out = np.zeros_like(block)
+    if found.num_rows:
+        out[found.column("term").to_numpy()] = found.column("x").combine_chunks().flatten().to_numpy().reshape(found.num_rows, -1)
+    return out
+
+
 class TextComponents:
     """TF-IDF of one- and two-word terms (sublinear, smoothed, unit length), then an exact SVD of the fitted rows."""
 
@@ -58,40 +154,40 @@ class TextComponents:
         return pairs.withColumn("terms_", F.concat("w1_", "w2_")).drop("w1_", "w2_")
 
     def fit(self, texts: DataFrame) -> TextComponents:
-        from pyspark.mllib.linalg.distributed import RowMatrix
-        from pyspark.mllib.util import MLUtils
-
-        t = self._terms(texts)
-        self.counter = CountVectorizer(inputCol="terms_", outputCol="tf_", minDF=float(self.min_df), vocabSize=self.terms).fit(t)
-        counted = self.counter.transform(t)
-        n = counted.count()
-        df = np.array(IDF(inputCol="tf_", outputCol="x_").fit(counted).docFreq)
-        self.idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
-        rows = MLUtils.convertVectorColumnsFromML(self._weighted(counted).select("v_"), "v_")
-        k = max(1, min(self.components, len(self.idf) - 1, n))
-        svd = RowMatrix(rows).computeSVD(k, computeU=False)
-        v = svd.V.toArray()
+        t = self._terms(texts.select("text"))
+        held_by = t.select(F.explode(F.array_distinct("terms_")).alias("term")).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= self.min_df)
+        often = t.select(F.explode("terms_").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+        kept = held_by.join(often, "term").orderBy(F.desc("n"), "term").limit(self.terms).collect()  # ties by the term: the same on every run
+        if not kept:
+            raise ValueError(f"no term is in {self.min_df} texts")
+        self.known = {r.term: k for k, r in enumerate(kept)}
+        self.idf = np.log((1.0 + t.count()) / (1.0 + np.array([r.df for r in kept]))) + 1.0
+        sent = ship_package(texts.sparkSession).sparkContext.broadcast((self.known, self.idf))
+
+        @F.pandas_udf("term array<int>, weight array<double>")
+        def weighted(lists: pd.Series) -> pd.DataFrame:
+            row, term, weight = term_weights(lists, *sent.value)
+            ends = np.searchsorted(row, np.arange(1, len(lists)))
+            return pd.DataFrame({"term": np.split(term.astype(np.int32), ends), "weight": np.split(weight, ends)}) if len(lists) else pd.DataFrame({"term": [], "weight": []})
+
+        rows = pinned(t.select(weighted("terms_").alias("w")).select("w.*").where(F.size("term") > 0))
+        v, self.values = right_vectors(rows, len(self.idf), max(1, min(self.components, len(self.idf) - 1)))
+        unpin(rows)
         sign = np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])  # a sign that does not depend on row order
         self.v = v * np.where(sign == 0, 1, sign)
         return self
 
-    def _weighted(self, counted: DataFrame) -> DataFrame:
-        idf = self.idf
-
-        def scale(x):
-            i = x.indices
-            w = (1.0 + np.log(np.maximum(x.values, 1.0))) * idf[i]
-            size = np.sqrt((w * w).sum())
-            return Vectors.sparse(len(idf), i, w / size if size else w)
+    def transform(self, texts: DataFrame) -> DataFrame:
+        """``texts`` with txt_0 ... txt_{k-1}, in batches: what is sent is the vocabulary and its components."""
+        sent = ship_package(texts.sparkSession).sparkContext.broadcast((self.known, self.idf, self.v))
 
-        return counted.withColumn("v_", F.udf(scale, VectorUDT())("tf_"))
+        @F.pandas_udf("array<double>")
+        def projected(lists: pd.Series) -> pd.Series:
+            known, idf, v = sent.value
+            return pd.Series(list(spread(*term_weights(lists, known, idf), len(lists), v)))
 
-    def transform(self, texts: DataFrame) -> DataFrame:
-        """``texts`` with txt_0 ... txt_{k-1}."""
-        v = self.v
-        project = F.udf(lambda x: [float(a) for a in x.values @ v[x.indices]] if len(x.indices) else [0.0] * v.shape[1], "array<double>")
-        out = self._weighted(self.counter.transform(self._terms(texts))).withColumn("p_", project("v_"))
-        return out.select(*texts.columns, *[F.col("p_")[k].alias(f"txt_{k}") for k in range(v.shape[1])])
+        out = self._terms(texts).withColumn("p_", projected("terms_"))
+        return out.select(*texts.columns, *[F.col("p_")[k].alias(f"txt_{k}") for k in range(self.v.shape[1])])
 
 
 def windows(ids: list[int], window: int = 510, most: int = 4) -> list[list[int]]:

@@ -6,18 +6,20 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.functions.percentiles import exact_percentiles
 from tidemark.functions.scalars import logit, sigmoid
 from tidemark.models.attribution import Explainer, nodes_of
 from tidemark.models.features import kinds, learned_levels, leveled
 from tidemark.session import ship_package
+from tidemark.sources.store import point_to, pointed_at
 
 
 def _prepared(df: DataFrame, numbers: list[str], levels: dict[str, list[str]]) -> DataFrame:
@@ -63,6 +65,18 @@ class Inputs:
     def transform(self, rows: DataFrame) -> DataFrame:
         return self.prepare.transform(_prepared(rows, self.numbers, self.levels))
 
+    def save_to(self, spark: SparkSession, folder: str) -> None:
+        self.prepare.write().save(f"{folder}/prepare")
+        point_to(spark, f"{folder}/inputs.json", {"columns": self.columns, "numbers": self.numbers, "levels": self.levels})
+
+    @classmethod
+    def load_from(cls, spark: SparkSession, folder: str) -> Inputs:
+        told = pointed_at(spark, f"{folder}/inputs.json")
+        out = cls(told["columns"])
+        # the order of the levels' columns is that of the vector
+        out.numbers, out.levels, out.prepare = told["numbers"], {c: told["levels"][c] for c in told["columns"] if c in told["levels"]}, PipelineModel.load(f"{folder}/prepare")
+        return out
+
     @property
     def bins(self) -> int:
         return max([32, *[len(v) + 2 for v in self.levels.values()]])
@@ -78,6 +92,17 @@ class Inputs:
         return [*range(n), *range(n), *range(n, n + len(self.levels))]
 
 
+def contributed(df: DataFrame, rows: str, explainer: Explainer, name: str = "contributions") -> DataFrame:
+    """``df`` with an array of what each player adds, for the slots in the array column ``rows``, in batches."""
+    sent = ship_package(df.sparkSession).sparkContext.broadcast(explainer)
+
+    @F.pandas_udf("array<double>")
+    def explained(slots: pd.Series) -> pd.Series:
+        return pd.Series(list(sent.value.contributions(np.stack(slots))) if len(slots) else [])
+
+    return df.withColumn(name, explained(rows))
+
+
 class RiskModel:
     """Boosted trees, one per seed; the score is the sigmoid of the members' mean log-odds.
 
@@ -112,6 +137,21 @@ class RiskModel:
         """The score to six digits, so that metrics, which sum by distinct score, see a million rows at most."""
         return self.log_odds(df, "lo_").withColumn(name, F.round(sigmoid(F.col("lo_")), 6)).drop("lo_")
 
+    def save_to(self, spark: SparkSession, folder: str) -> None:
+        """The fitted model in a folder that ``load_from`` reads."""
+        self.inputs.save_to(spark, f"{folder}/inputs")
+        for k, m in enumerate(self.members):
+            m.write().save(f"{folder}/member-{k}")
+        point_to(spark, f"{folder}/model.json", {"columns": self.columns, "seeds": list(self.seeds), "params": self.params, "trees": self.trees})
+
+    @classmethod
+    def load_from(cls, spark: SparkSession, folder: str) -> RiskModel:
+        told = pointed_at(spark, f"{folder}/model.json")
+        out = cls(told["columns"], tuple(told["seeds"]), **told["params"])
+        out.inputs, out.trees = Inputs.load_from(spark, f"{folder}/inputs"), told["trees"]
+        out.members = [GBTClassificationModel.load(f"{folder}/member-{k}") for k in range(len(out.seeds))]
+        return out
+
     @property
     def explainer(self) -> Explainer:
         """The members' trees with their weights; read from the fitted models once."""
@@ -127,14 +167,9 @@ class RiskModel:
 
     def contributions(self, df: DataFrame) -> DataFrame:
         """``df`` with contributions: array of (feature, contribution), one for each input; with ``base`` they sum to the log-odds."""
-        sent = ship_package(df.sparkSession).sparkContext.broadcast(self.explainer)
-
-        @F.pandas_udf("array<double>")
-        def explained(rows: pd.Series) -> pd.Series:
-            return pd.Series(list(sent.value.contributions(np.stack(rows))) if len(rows) else [])
-
         made = [F.struct(F.lit(p).alias("feature"), F.col("c_")[k].alias("contribution")) for k, p in enumerate(self.inputs.players)]
-        return self.inputs.transform(df).withColumn("c_", explained(vector_to_array("features"))).withColumn("contributions", F.array(*made)).select(*df.columns, "contributions")
+        out = contributed(self.inputs.transform(df).withColumn("x_", vector_to_array("features")), "x_", self.explainer, "c_")
+        return out.withColumn("contributions", F.array(*made)).select(*df.columns, "contributions")
 
 
 class LinearRisk:
@@ -214,8 +249,8 @@ def driver_directions(df: DataFrame, feature: str, contributions: str = "contrib
     own = df.select(F.col(feature).alias("value"), F.filter(contributions, lambda s: s["feature"] == feature)[0]["contribution"].alias("c"))
     if dict(df.dtypes)[feature] in ("string", "boolean"):
         return own.groupBy(F.col("value").cast("string").alias("level")).agg(F.avg("c").alias("mean_contribution"))
-    cut = own.agg(F.percentile("value", F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("q"))
-    level = F.when(F.col("value") <= F.col("q")[0], "low third").when(F.col("value") >= F.col("q")[1], "high third")
+    cut = exact_percentiles(own, [], "value", {"low_": 1 / 3, "high_": 2 / 3})
+    level = F.when(F.col("value") <= F.col("low_"), "low third").when(F.col("value") >= F.col("high_"), "high third")
     return own.crossJoin(cut).withColumn("level", level).where("level is not null").groupBy("level").agg(F.avg("c").alias("mean_contribution"))  # one row of cuts
 
 

@@ -11,14 +11,15 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.models.attribution import nodes_of, predicted
+from tidemark.models.attribution import Node, nodes_of, predicted
 from tidemark.models.risk import Inputs, ordered
 from tidemark.operators import survival as V
 from tidemark.session import ship_package
-from tidemark.staging import pinned
+from tidemark.sources.store import point_to, pointed_at
+from tidemark.staging import pinned, unpin
 
 
 class SurvivalModel:
@@ -93,14 +94,16 @@ class BoostedHazards:
             grown, seen = self._member(ready, seed, watched)
             self.members.append(grown)
             self.deviances.append(seen)
+        unpin(ready)
         return self
 
     def _member(self, ready: DataFrame, seed: int, watched: bool) -> tuple[list, list[float]]:
         state = ready.withColumn("f_", F.array(*map(F.lit, self.start)))
-        rounds, seen, held = [], [], None
+        rounds, seen, held, staged = [], [], None, []
         for n in range(self.trees):
             if n % STAGE_ROUNDS == 0 and n:
                 state = pinned(state)
+                staged.append(state)
             now = state.withColumn("p_", _softmax(F.col("f_"))).cache()
             now.count()  # before what it is made of goes
             if held is not None:
@@ -129,8 +132,23 @@ class BoostedHazards:
                 seen.append(last.agg(F.avg(-F.log(F.greatest("p", F.lit(1e-15))))).first()[0])
         if held is not None:
             held.unpersist()
+        unpin(*staged)
         return (rounds[: int(np.argmin(seen))] if watched else rounds), seen
 
+    def save_to(self, spark: SparkSession, folder: str) -> None:
+        """The fitted model in a folder that ``load_from`` reads."""
+        self.inputs.save_to(spark, f"{folder}/inputs")
+        members = [[[t.document() for t in trees] for trees in rounds] for rounds in self.members]
+        point_to(spark, f"{folder}/model.json", {"columns": self.columns, "seeds": list(self.seeds), "rate": self.rate, "start": self.start, "members": members, "deviances": self.deviances})
+
+    @classmethod
+    def load_from(cls, spark: SparkSession, folder: str) -> BoostedHazards:
+        told = pointed_at(spark, f"{folder}/model.json")
+        out = cls(told["columns"], tuple(told["seeds"]), rate=told["rate"])
+        out.inputs, out.start, out.deviances = Inputs.load_from(spark, f"{folder}/inputs"), told["start"], told["deviances"]
+        out.members = [[[Node.of(t) for t in trees] for trees in rounds] for rounds in told["members"]]
+        return out
+
     @property
     def deviance(self) -> float:
         """The least mean deviance of the watched rows, over the members."""
@@ -201,6 +219,8 @@ def train_survival(df: DataFrame, id: str, start: str, split: str, columns: list
                 alike = seen.withColumn("one_", F.lit(everyone[n]))
                 told[f"{x:g}y"] = {"observed": observed[n], "predicted": mean[n], "auc": V.time_auc(seen, n, x).first().auc, "brier": V.ipcw_brier(seen, n, x).first().brier, "brier_null": V.ipcw_brier(alike, "one_", x).first().brier}
         report["cohorts"][name] = told
+        unpin(seen)
+    unpin(fit)
     return model, report
 
 

@@ -76,14 +76,18 @@ def missing(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFr
     return found.where(F.lit(not has_null))
 
 
+def training_breaks(df: DataFrame, label: str, split: str, reasons: list[str]) -> DataFrame:
+    """``df`` with broken, a row for each rule that a row breaks: unlabeled outside the score split, or finished with a reason."""
+    rules = [F.when((F.col(split) != "score") & F.col(label).isNull(), F.lit("no label outside the score split"))]
+    rules += [F.when((F.col(label) == 0) & (F.col(r) != 0), F.lit(f"{r} is set for a finished trial")) for r in reasons]
+    return df.withColumn("broken", F.explode(F.array_compact(F.array(*rules))))
+
+
 def training_gate(df: DataFrame, label: str, split: str, reasons: list[str]) -> None:
-    """Training stops on unlabeled rows outside the score split, or on a finished trial with a reason."""
-    bad = df.where((F.col(split) != "score") & F.col(label).isNull()).limit(1).count()
-    if bad:
-        raise DataGateError("rows outside the score split have no label")
-    for r in reasons:
-        if df.where((F.col(label) == 0) & (F.col(r) != 0)).limit(1).count():
-            raise DataGateError(f"{r} is set for a finished trial")
+    """Training stops on any of ``training_breaks``."""
+    found = training_breaks(df, label, split, reasons).select("broken").distinct().orderBy("broken").collect()
+    if found:
+        raise DataGateError("; ".join(r.broken for r in found))
 
 
 def leakage_alarm(auc: float, most: float = 0.85) -> None:

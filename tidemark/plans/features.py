@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import AREAS
 from tidemark.operators import point_in_time as P
 from tidemark.plans import base as B
+from tidemark.plans import registry
+
+ATTRIBUTES = ["n_countries", "us_only", "min_age_years", "max_age_years", "healthy_volunteers", "sex", "criteria_count", "criteria_chars", "responsible_party", "n_collaborators", "n_keywords", *[f"area_{k}" for k in AREAS]]
 
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
@@ -35,6 +39,15 @@ def features(spark: SparkSession, d: str) -> DataFrame:
     return f
 
 
+def trial_features_whole(spark: SparkSession, d: str) -> DataFrame:
+    """All feature groups of the trials that the snapshot has as eligible: history, events, attributes and the text."""
+    number = F.substring("nct_id", 2, 20).cast("long").alias("trial_id")
+    attributes = registry.trial_attributes(spark, d).select(number, *[c for c in ATTRIBUTES])
+    text = registry.trial_texts(spark, d).select(number, "text")
+    f = P.feature_row(B.trials(spark, d).join(attributes.select("trial_id"), "trial_id", "left_semi"), attributes, history(spark, d), recent(spark, d), safety(spark, d), text, "trial_id", B.ENDS)
+    return f.withColumns({c: F.round(c, 6) for c in ("sponsor_prior_termination_rate", "faers_serious_share", "faers_death_share")})
+
+
 def sponsor_history(spark: SparkSession, d: str) -> DataFrame:
     return history(spark, d).withColumn("prior_rate", F.round("prior_rate", 6))
 
@@ -70,6 +83,7 @@ QUERIES = {
     "sponsor_history": sponsor_history,
     "sponsor_starts_24m": recent,
     "trial_features": features,
+    "trial_features_whole": trial_features_whole,
     "split_summary": split_summary,
     "reason_targets": reason_targets,
     "outcomes_on_clause": outcomes,
@@ -81,6 +95,7 @@ SQL = {
     "sponsor_history": f"WITH {B.TRIALS_SQL}, {B.HISTORY_SQL} SELECT trial_id, prior_n, round(prior_rate, 6) AS prior_rate FROM history",
     "sponsor_starts_24m": f"WITH {B.TRIALS_SQL}, {B.RECENT_SQL} SELECT * FROM recent",
     "trial_features": f"WITH {B.TRIALS_SQL}, {B.MONTHLY_SQL}, {B.USES_SQL}, {B.SAFETY_SQL}, {B.HISTORY_SQL}, {B.RECENT_SQL}, {B.FEATURES_SQL} SELECT * FROM features",
+    "trial_features_whole": f"WITH {B.TRIALS_SQL}, {B.MONTHLY_SQL}, {B.USES_SQL}, {B.SAFETY_SQL}, {B.HISTORY_SQL}, {B.RECENT_SQL}, {B.FEATURES_SQL} SELECT f.*, a.* EXCLUDE (nct_id), x.text FROM features f JOIN ({registry.SQL['trial_attributes']}) a ON a.nct_id = concat('T', trial_id) JOIN ({registry.SQL['trial_texts']}) x ON x.nct_id = a.nct_id",
     "split_summary": f"WITH {B.TRIALS_SQL} SELECT {B.SPLIT_SQL} AS split, count(*) AS trials, round(avg(label::DOUBLE), 6) AS rate FROM trials GROUP BY 1 ORDER BY 1",
     "reason_targets": f"WITH {B.TRIALS_SQL} SELECT trial_id, CASE WHEN label = 0 THEN 0 WHEN stop_reason = 'enrollment' THEN 1 END AS label_enrollment, CASE WHEN label = 0 THEN 0 WHEN stop_reason = 'safety' THEN 1 END AS label_safety FROM trials",
     "outcomes_on_clause": f"WITH {B.TRIALS_SQL}, o AS (SELECT l_orderkey, max(l_shipdate::DATE) AS end_date FROM lineitem GROUP BY 1) SELECT trial_id, label, start_date, end_date FROM trials LEFT JOIN o ON l_orderkey = trial_id AND label IS NOT NULL",

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import metrics as M
 from tidemark.functions import scalars as S
+from tidemark.functions.percentiles import exact_percentiles as percentiles
+from tidemark.models import audit
 from tidemark.models.risk import reasons, score_type, top_drivers
 from tidemark.operators import backtest, checks
 from tidemark.operators import registry as R
 from tidemark.plans import base as B
 from tidemark.plans.features import features
+from tidemark.staging import pinned
 
 
 def _k() -> Column:
@@ -48,7 +52,7 @@ def checks_union_having(spark: SparkSession, d: str) -> DataFrame:
     for t in ("orders", "customer", "lineitem", "part"):
         B.table(spark, d, t).createOrReplaceTempView(f"check_{t}")
     B.trials(spark, d).createOrReplaceTempView("check_trials")
-    features(spark, d).createOrReplaceTempView("check_features")
+    pinned(features(spark, d)).createOrReplaceTempView("check_features")  # worked out once for all checks
     return checks.counted(spark, CHECKS)
 
 
@@ -86,6 +90,39 @@ SELECT o_orderkey FROM check_orders WHERE o_totalprice > 400000;
 """
 
 
+class _ByPrice:
+    """A score that SQL can give, too: what the audit asks of a model."""
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("risk_score", F.round(F.least(F.col("price") / 500000 + F.col("month") / 100, F.lit(1.0)), 3))
+
+
+def _edited(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labeled orders, and what an earlier snapshot had of those with an even key: dearer if stopped, by a month off if finished."""
+    latest = B.trials(spark, d).select("trial_id", "label", F.col("price").cast("double").alias("price"), F.month("start_date").alias("month"))
+    earlier = latest.where("trial_id % 2 = 0").select("trial_id", (F.col("price") * F.when(F.col("label") == 1, 0.5).otherwise(1.0)).alias("price"), F.when(F.col("label") == 0, (F.col("month") % 12 + 1).cast("int")).otherwise(F.col("month")).alias("month"))
+    return latest, earlier
+
+
+def audit_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """AUC of one score on the latest and on the archived inputs."""
+    pairs = audit.paired(_ByPrice(), *_edited(spark, d), "trial_id", "label", ["price", "month"])
+    both = [M.auc(pairs, f"{side}_score", "label").select(F.lit(side).alias("inputs"), "n", "positives", F.round("auc", 6).alias("auc")) for side in ("latest", "archived")]
+    return both[0].unionAll(both[1])
+
+
+def audit_swaps(spark: SparkSession, d: str) -> DataFrame:
+    """The drop in AUC when one input alone is as archived."""
+    found = audit.swap_each(_ByPrice(), *_edited(spark, d), "trial_id", "label", ["price", "month"])
+    return spark.createDataFrame([(x["column"], None if x["drop"] is None else round(x["drop"], 6)) for x in found], "column string, drop double")
+
+
+def training_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that would stop a training: unlabeled outside the score split, or finished with a reason."""
+    f = features(spark, d).select("trial_id", F.when(F.col("trial_id") % 97 != 0, F.col("label")).alias("label"), "split", F.when(F.col("trial_id") % 89 == 0, 1).otherwise(F.col("label_safety")).alias("label_safety"))
+    return checks.training_breaks(f, "label", "split", ["label_safety"]).groupBy("broken").agg(F.count("*").alias("n"), F.sum("trial_id").alias("keys"))
+
+
 def dup_keys_having(spark: SparkSession, d: str) -> DataFrame:
     return checks.duplicates(B.table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"])
 
@@ -131,8 +168,15 @@ def sorted_string_agg(spark: SparkSession, d: str) -> DataFrame:
 
 
 def exact_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    q = F.percentile("l_extendedprice", F.array(*map(F.lit, (0.1, 0.5, 0.9))))
-    return B.table(spark, d, "lineitem").groupBy("l_returnflag").agg(*[F.round(q[k], 4).alias(n) for k, n in enumerate(("p10", "p50", "p90"))])
+    found = percentiles(B.table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    return found.select("l_returnflag", *[F.round(n, 4).alias(n) for n in ("p10", "p50", "p90")])
+
+
+def nested_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """The same by nested histograms, as for groups that no buffer holds."""
+    rows = B.table(spark, d, "lineitem").withColumn("discounted", F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4))
+    found = percentiles(rows, ["l_linestatus", "l_returnflag"], "discounted", {"p05": 0.05, "p50": 0.5, "p99": 0.99}, few=0)
+    return found.select("l_linestatus", "l_returnflag", *[F.round(n, 3).alias(n) for n in ("p05", "p50", "p99")])
 
 
 def null_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -205,12 +249,18 @@ def serving_view(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     latest_score, latest_numeric_version, area_case_summary, unresolved_not_in, checks_union_having, dup_keys_having, semi_join_names, union_distinct_names, set_difference,
-    latest_version_window, bool_or_pivot, bool_and_flag, sorted_string_agg, exact_percentiles, null_profile, change_rates, unseen_levels, overlay_fill, topn_global, topk_per_row, serving_view, first_scores, prospective_backtest, score_type_counts,
+    latest_version_window, bool_or_pivot, bool_and_flag, sorted_string_agg, exact_percentiles, nested_percentiles, audit_pairs, audit_swaps, training_breaks, null_profile, change_rates, unseen_levels, overlay_fill, topn_global, topk_per_row, serving_view, first_scores, prospective_backtest, score_type_counts,
 )}
 K = "json_extract_string(props, '$.k')::INT"
 _PUBLISHED = """p AS (SELECT l_orderkey AS trial_id, 'v' || l_linenumber AS model_version, l_shipdate::DATE AS scored_at, round(l_discount * 10, 4) AS risk_score FROM lineitem),
   q AS (SELECT * FROM p UNION ALL SELECT trial_id, model_version, scored_at + (trial_id % 5 - 2)::INT, round(risk_score / 2, 4) FROM p),
   f AS (SELECT trial_id, model_version, scored_at, risk_score FROM (SELECT *, row_number() OVER (PARTITION BY trial_id, model_version ORDER BY scored_at NULLS FIRST, risk_score) AS n FROM q) WHERE n = 1)"""
+#: Share of pairs of a stopped and a finished order in which the stopped one scores higher, ties half, by ranks.
+_AUC = "round((SELECT sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2.0 FROM (SELECT label, rank() OVER (ORDER BY {x}) + (count(*) OVER (PARTITION BY {x}) - 1) / 2.0 AS r FROM pairs)) / (sum(label) * sum(1 - label)), 6)"
+_SCORE = "round(least({price} / 500000 + {month} / 100, 1.0), 3)"
+_AUDIT = f"""WITH {B.TRIALS_SQL}, latest AS (SELECT trial_id, label, price::DOUBLE AS price, month(start_date) AS month FROM trials),
+      e AS (SELECT trial_id, price * CASE WHEN label = 1 THEN 0.5 ELSE 1 END AS price, CASE WHEN label = 0 THEN month % 12 + 1 ELSE month END AS month FROM latest WHERE trial_id % 2 = 0),
+      pairs AS (SELECT t.trial_id, label, {_SCORE.format(price='t.price', month='t.month')} AS a, {_SCORE.format(price='e.price', month='e.month')} AS b, {_SCORE.format(price='e.price', month='t.month')} AS p, {_SCORE.format(price='t.price', month='e.month')} AS m FROM latest t JOIN e USING (trial_id) WHERE label IS NOT NULL)"""
 SQL = {
     "latest_score": "SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1",
     "latest_numeric_version": f"SELECT user_id, event_id, model_version FROM (SELECT user_id, event_id, 'v' || {K} AS model_version, row_number() OVER (PARTITION BY user_id ORDER BY {K} DESC, event_id DESC) AS n FROM events) WHERE n = 1",
@@ -237,6 +287,12 @@ SQL = {
     "bool_or_pivot": "SELECT user_id, " + ", ".join(f"bool_or(event_type = '{t}') AS has_{t}" for t in ("view", "click", "purchase", "signup", "error")) + " FROM events GROUP BY 1",
     "bool_and_flag": "SELECT l_orderkey, count(DISTINCT l_returnflag) AS n_flags, bool_and(l_returnflag = 'N') AS none_returned FROM lineitem GROUP BY 1",
     "sorted_string_agg": "SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names FROM nation GROUP BY 1",
+    "audit_pairs": f"{_AUDIT} SELECT 'latest' AS inputs, n, positives, auc FROM (SELECT count(*) AS n, sum(label)::BIGINT AS positives, {_AUC.format(x='a')} AS auc FROM pairs) UNION ALL SELECT 'archived', n, positives, auc FROM (SELECT count(*) AS n, sum(label)::BIGINT AS positives, {_AUC.format(x='b')} AS auc FROM pairs)",
+    "audit_swaps": f"{_AUDIT} SELECT 'price' AS column, round(a - p, 6) AS drop FROM (SELECT {_AUC.format(x='a')} AS a, {_AUC.format(x='p')} AS p FROM pairs) UNION ALL SELECT 'month', round(a - m, 6) FROM (SELECT {_AUC.format(x='a')} AS a, {_AUC.format(x='m')} AS m FROM pairs)",
+    "training_breaks": f"""WITH {B.TRIALS_SQL}, f AS (SELECT trial_id, {B.SPLIT_SQL} AS split, CASE WHEN trial_id % 97 <> 0 THEN label END AS label, CASE WHEN trial_id % 89 = 0 THEN 1 WHEN label = 0 THEN 0 WHEN stop_reason = 'safety' THEN 1 END AS label_safety FROM trials),
+      b AS (SELECT trial_id, 'no label outside the score split' AS broken FROM f WHERE split <> 'score' AND label IS NULL UNION ALL SELECT trial_id, 'label_safety is set for a finished trial' FROM f WHERE label = 0 AND label_safety <> 0)
+      SELECT broken, count(*) AS n, sum(trial_id)::BIGINT AS keys FROM b GROUP BY 1""",
+    "nested_percentiles": "SELECT l_linestatus, l_returnflag, " + ", ".join(f"round(quantile_cont(round(l_extendedprice * (1 - l_discount), 4), {q}), 3) AS {n}" for q, n in ((0.05, "p05"), (0.5, "p50"), (0.99, "p99"))) + " FROM lineitem GROUP BY ALL",
     "exact_percentiles": "SELECT l_returnflag, " + ", ".join(f"round(quantile_cont(l_extendedprice, {q}), 4) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))) + " FROM lineitem GROUP BY 1",
     "null_profile": f"SELECT event_type, count(*) AS n, round(avg((nullif({K}, 1) IS NULL)::INT), 3) AS k, round(avg((value <= 10 OR value IS NULL)::INT), 3) AS v FROM events GROUP BY 1",
     "change_rates": f"""WITH {B.TRIALS_SQL}, x AS (SELECT label, (trial_id % 5 = 0)::INT::DOUBLE AS p, (trial_id % 7 = 0)::INT::DOUBLE AS q FROM trials WHERE label IS NOT NULL),

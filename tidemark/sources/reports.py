@@ -6,8 +6,10 @@ import io
 import json
 import zipfile
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ BATCH = 500
 
 
 def items(stream: io.TextIOBase, key: str = "results", chunk: int = 1 << 20) -> Iterator[dict]:
-    """The objects of the array ``key`` of one JSON document, read in chunks."""
+    """The objects of the array ``key`` of one JSON document, read in chunks: a chunk and one object are held."""
     decoder, held = json.JSONDecoder(), ""
     mark = f'"{key}"'
     while mark not in held:
@@ -37,32 +39,51 @@ def items(stream: io.TextIOBase, key: str = "results", chunk: int = 1 << 20) ->
         if not more:
             return
         held += more
-    held = held.split("[", 1)[1]
+    at = held.index("[") + 1
     while True:
-        held = held.lstrip(" \t\r\n,")
-        if held.startswith("]"):
+        while at < len(held) and held[at] in " \t\r\n,":
+            at += 1
+        if held.startswith("]", at):
             return
         try:
-            value, end = decoder.raw_decode(held)
+            value, at = decoder.raw_decode(held, at)
         except json.JSONDecodeError:
             more = stream.read(chunk)
             if not more:
                 return
-            held += more
+            held, at = held[at:] + more, 0
             continue
         yield value
-        held = held[end:]
 
 
-def read_reports(spark: SparkSession, glob: str) -> DataFrame:
-    """Reports of all zips: a task opens one file at a time and streams the JSON in it; a batch of reports is held."""
+#: File systems that a task opens by path; others come through Spark, a file in one value.
+OPENED = {"file": "file", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+def opened(path: str) -> io.IOBase:
+    """A stream of the file at a URI as Spark lists it, seekable, of which only what is read is held."""
+    scheme, _, rest = path.partition(":")
+    rest = f"/{rest.lstrip('/')}" if scheme == "file" else rest.lstrip("/")
+    files, inner = pafs.FileSystem.from_uri(f"{OPENED[scheme]}://{quote(unquote(rest))}")
+    return files.open_input_file(inner)
+
+
+def read_reports(spark: SparkSession, glob: str, by_path: bool | None = None) -> DataFrame:
+    """Reports of all zips. A task opens one file at a time and inflates it as it reads: a batch of reports is held, whatever its size.
+
+    ``by_path``: open files in the task; None: where ``OPENED`` has their file system. Otherwise Spark hands over whole files, which
+    must stay below 2 GB.
+    """
     ship_package(spark)
-    files = spark.read.format("binaryFile").load(glob).select("content")
+    files = spark.read.format("binaryFile").load(glob)
+    if by_path is None:
+        first = files.select("path").limit(1).collect()  # files are listed, not read
+        by_path = bool(first) and first[0].path.partition(":")[0] in OPENED
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z, z.open(z.namelist()[0]) as raw:
+            for one in batch.column(0):
+                with opened(one.as_py()) if by_path else io.BytesIO(one.as_py()) as file, zipfile.ZipFile(file) as z, z.open(z.namelist()[0]) as raw:
                     held = []
                     for report in items(io.TextIOWrapper(raw, "utf-8")):
                         held.append(json.dumps(report))
@@ -72,7 +93,7 @@ def read_reports(spark: SparkSession, glob: str) -> DataFrame:
                     if held:
                         yield pa.RecordBatch.from_arrays([pa.array(held)], ["report"])
 
-    lines = files.mapInArrow(unpack, "report string")
+    lines = files.select("path" if by_path else "content").mapInArrow(unpack, "report string")
     return lines.select(F.from_json("report", REPORT).alias("r")).select("r.*")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,13 +109,6 @@ def replace_version(df: DataFrame, out: str, column: str = "model_version") -> N
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(out)
 
 
-def freeze(spark: SparkSession, source: str, root: str, version: int) -> str:
-    """A copy of a table that a model version was fitted on; it is never overwritten."""
-    out = f"{root}/features_v{version}"
-    spark.read.parquet(source).write.mode("errorifexists").parquet(out)
-    return out
-
-
 def resume(df: DataFrame, out: str, key: str, compute, shards: int = 64) -> None:
     """Append computed rows for the keys that ``out`` lacks, shard by shard, so that a stopped run goes on where it was."""
     spark = df.sparkSession
@@ -125,51 +117,3 @@ def resume(df: DataFrame, out: str, key: str, compute, shards: int = 64) -> None
         if exists(spark, f"{out}/shard={k}/_SUCCESS"):
             continue
         compute(part).write.mode("overwrite").parquet(f"{out}/shard={k}")
-
-
-def lookup(df: DataFrame, key: str, value: str) -> dict | None:
-    """One row as a dictionary: dates as text, NaN as None, reasons parsed."""
-    row = df.where(F.col(key) == value).limit(1).collect()
-    if not row:
-        return None
-    out = {}
-    for k, v in row[0].asDict(recursive=True).items():
-        if isinstance(v, float) and v != v:
-            v = None
-        elif hasattr(v, "isoformat"):
-            v = v.isoformat()[:10]
-        elif k == "reasons" and isinstance(v, str):
-            v = json.loads(v)
-        out[k] = v
-    return out
-
-
-class Registry:
-    """Numbered versions of fitted models and their documents in a folder; a version is never overwritten."""
-
-    def __init__(self, root: str):
-        self.root = Path(root)
-
-    def versions(self) -> list[int]:
-        return sorted(int(p.name[1:]) for p in self.root.glob("v*") if p.name[1:].isdigit())
-
-    def next(self) -> int:
-        return max(self.versions(), default=0) + 1
-
-    def latest(self) -> int:
-        found = self.versions()
-        if not found:
-            raise FileNotFoundError(f"{self.root} has no versions")
-        return found[-1]
-
-    def save(self, version: int, model=None, **documents: dict) -> Path:
-        folder = self.root / f"v{version}"
-        folder.mkdir(parents=True, exist_ok=False)
-        if model is not None:
-            model.save(str(folder / "model"))
-        for name, doc in documents.items():
-            (folder / f"{name}.json").write_text(json.dumps(doc, indent=2, sort_keys=True))
-        return folder
-
-    def load(self, version: int, name: str) -> dict:
-        return json.loads((self.root / f"v{version}" / f"{name}.json").read_text())
