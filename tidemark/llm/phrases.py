@@ -23,8 +23,10 @@ WIDTH, SHARD = 16, 1 << 20
 HELD, SLICE = 1 << 22, 1 << 22
 #: As many frequent words, and as many frequent phrases of two or three, are broadcast; more come to their shards by a shuffle.
 WORDS_SENT, PHRASES_SENT = 1_000_000, 2_000_000
-#: Longer phrases that a task counts before it gives them out; shards that it is given at a time.
-COUNTED, SHARDS_READ = 200_000, 4
+#: Longer phrases, and pairs or triples, that a task counts before it gives them out; shards that it is given at a time.
+COUNTED, DEALT, SHARDS_READ = 200_000, 3_000_000, 4
+#: Words of the corpus for each bucket in which pairs and triples are added up.
+BUCKET = 1_000_000
 #: Containers of prefixes that are extended together; their branch is followed to its end before the next one is begun.
 BRANCH = 1 << 15
 
@@ -255,23 +257,97 @@ def _read(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[_Steered]:
             yield _Steered(batch.slice(k, 1).to_pylist()[0], sent.value)
 
 
-def _pairs(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, the ids of two frequent words and how often the second follows the first."""
-    for own in _read(sent, batches):
-        for branch in own.shard.branches():
-            parent, word, count, _ = own.shard.extend(*branch)
-            if len(word):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), own.number)), pa.array(own.ids[branch[0][parent]]), pa.array(own.ids[word]), pa.array(count)], ["shard", "id", "next", "n"])
+_PARTS = ("id", "next", "third")
+
+
+def _pairs(own: _Steered) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The ids of two frequent words and how often the second follows the first in a shard."""
+    for branch in own.shard.branches():
+        parent, word, count, _ = own.shard.extend(*branch)
+        yield [own.ids[branch[0][parent]], own.ids[word]], count
 
 
-def _triples(sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """shard, id, next, third and n of phrases of three words whose pairs are both frequent."""
+def _triples(own: _Steered) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The ids and counts of phrases of three words whose pairs are both frequent."""
+    for branch in own.shard.branches() if len(own.pairs) else ():
+        first, last, maps = own.pairs_of(branch)
+        parent, word, count, _ = own.shard.extend(last, *maps, own.pairs)
+        yield [own.ids[first[parent]], own.ids[last[parent]], own.ids[word]], count
+
+
+def _by_shard(found, parts: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shard, ids and n of what ``found`` counts."""
     for own in _read(sent, batches):
-        for branch in own.shard.branches() if len(own.pairs) else ():
-            first, last, maps = own.pairs_of(branch)
-            parent, word, count, _ = own.shard.extend(last, *maps, own.pairs)
-            if len(word):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), own.number)), *(pa.array(own.ids[k]) for k in (first[parent], last[parent], word)), pa.array(count)], ["shard", "id", "next", "third", "n"])
+        for ids, count in found(own):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(count), own.number)), *map(pa.array, ids), pa.array(count)], ["shard", *_PARTS[:parts], "n"])
+
+
+def _merged(rows: np.ndarray) -> np.ndarray:
+    """Columns (ids ..., n), those of equal ids added up, in order of the ids."""
+    rows = rows[:, np.lexsort(rows[-2::-1])]
+    first = np.ones(rows.shape[1], bool)
+    first[1:] = (rows[:-1, 1:] != rows[:-1, :-1]).any(0)
+    at = np.flatnonzero(first)
+    return np.concatenate([rows[:-1, at], np.add.reduceat(rows[-1], at)[None]]) if len(at) else rows
+
+
+def _by_bucket(found, parts: int, buckets: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """bucket and packed counts: what ``found`` counts in the shards of a task, added up and dealt by a hash of the ids."""
+    held: list[np.ndarray] = []
+
+    def dealt() -> pa.RecordBatch:
+        rows = _merged(np.concatenate(held, axis=1))
+        mixed = np.zeros(rows.shape[1], np.uint64)
+        for ids in rows[:-1]:
+            mixed = (mixed ^ ids.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        some = np.flatnonzero(np.diff(ends))
+        packer = zstandard.ZstdCompressor(level=1)
+        packed = []
+        for k in some.tolist():
+            own = rows[:, order[ends[k] : ends[k + 1]]].copy()
+            own[0] = np.diff(own[0], prepend=0)
+            packed.append(packer.compress(np.ascontiguousarray(own.astype("<i8").view(np.uint8).reshape(len(own), -1, 8).transpose(0, 2, 1)).tobytes()))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(packed, pa.binary())], ["bucket", "packed"])
+
+    for own in _read(sent, batches):
+        for ids, count in found(own):
+            if len(count):
+                held.append(np.stack([*ids, count]))
+        if sum(x.shape[1] for x in held) > DEALT:
+            yield dealt()
+    if held:
+        yield dealt()
+
+
+def _summed(parts: int, least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """ids and n of what occurs ``least`` times or more, of the buckets in a task, the rows of a bucket together."""
+    held: list[np.ndarray] = []
+    at = None
+
+    def often() -> pa.RecordBatch:
+        rows = _merged(np.concatenate(held, axis=1))
+        rows = rows[:, rows[-1] >= least]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], [*_PARTS[:parts], "n"])
+
+    for batch in batches:
+        for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if bucket != at and held:
+                yield often()
+            at = bucket
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(parts + 1, 8, -1)
+            rows = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0].astype(np.int64)
+            rows[0] = np.cumsum(rows[0])
+            held.append(rows)
+            if len(held) > 64:
+                held[:] = [_merged(np.concatenate(held, axis=1))]
+    if held:
+        yield often()
 
 
 def _longer(longest: int, sent, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,12 +428,18 @@ def _mined(shards: DataFrame, least: int, longest: int, within: int, reported: i
     total = each.groupBy("lang").agg(F.sum("n").alias("n"))
     few = words.count() <= WORDS_SENT
 
-    held, sent = _steered(shards, words, few)
-    pairs = arrow_map(held, functools.partial(_pairs, sent), "shard bigint, id bigint, next bigint, n bigint")
-    two = staged(pairs.groupBy("id", "next").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "pairs")
-    held, sent = _steered(shards, words, few, (two, pairs))
-    triples = arrow_map(held, functools.partial(_triples, sent), "shard bigint, id bigint, next bigint, third bigint, n bigint")
-    three = staged(triples.groupBy("id", "next", "third").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "triples")
+    buckets = 1 + sum(r.n for r in total.collect()) // BUCKET  # a row for each language
+
+    def frequent(found, parts: int, held: DataFrame, sent) -> tuple[DataFrame, DataFrame]:
+        """The phrases that ``found`` counts ``least`` times or more, and the counts of each shard, worked out only if they are asked for."""
+        dealt = arrow_map(held, functools.partial(_by_bucket, found, parts, buckets, sent), "bucket bigint, packed binary")
+        together = dealt.repartition("bucket").sortWithinPartitions("bucket")
+        ids = ", ".join(f"{c} bigint" for c in _PARTS[:parts])
+        often = staged(arrow_map(together, functools.partial(_summed, parts, least), f"{ids}, n bigint"), "often")
+        return often, arrow_map(held, functools.partial(_by_shard, found, parts, sent), f"shard bigint, {ids}, n bigint")
+
+    two, pairs = frequent(_pairs, 2, *_steered(shards, words, few))
+    three, triples = frequent(_triples, 3, *_steered(shards, words, few, (two, pairs)))
     held, sent = _steered(shards, words, few, (two, pairs), (three, triples))
     longer = arrow_map(held, functools.partial(_longer, longest, sent), "lang string, phrase string, words int, n bigint")
     found = longer.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
@@ -369,9 +451,6 @@ def _mined(shards: DataFrame, least: int, longest: int, within: int, reported: i
     return out
 
 
-_PARTS = ("id", "next", "third")
-
-
 def _steered(shards: DataFrame, words: DataFrame, few: bool, *levels: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, object]:
     """The shards, and what is sent to all of them: ids of frequent words, frequent pairs, frequent triples (each with all that were
     counted). What is too much to be sent is joined to the shard that holds it, a list no longer than the shard."""
