@@ -269,5 +269,6 @@ def main_text(page: str | None, turned: frozenset[str] = frozenset()) -> str:
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``extract`` of all pages, which tells what odd rows give."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -218,6 +218,7 @@ def remainder(by: int) -> Column:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``identify`` of the whole texts of all documents, with what ``train`` learns from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs.where(remainder(5) != 0))
     found = identify(docs, model, ["doc_id"])

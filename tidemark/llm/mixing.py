@@ -145,6 +145,7 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mix`` of all documents, which tells what odd rows give."""
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 

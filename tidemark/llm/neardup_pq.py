@@ -321,4 +321,5 @@ def _members(cosine: float, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Re
 
 
 def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``near_duplicates`` of all embeddings, which tells what odd rows give."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -440,4 +440,5 @@ def _verified(grouped: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``jaccard_components`` of the whole texts of all documents, three words and 0.9; it tells what odd rows give."""
     return jaccard_components(table(spark, sf_dir, "documents"), 3, 9, 10)

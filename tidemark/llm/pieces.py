@@ -284,4 +284,5 @@ def digests(tokens: DataFrame) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``tokenize`` and ``digests`` of the whole texts of all documents, which tell what odd rows give."""
     return digests(tokenize(table(spark, sf_dir, "documents")))

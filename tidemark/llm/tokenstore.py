@@ -351,6 +351,7 @@ def fetch(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, written as a store and read back; ``write_store`` and ``read_store`` tell what odd rows give."""
     path = f"{shared_dir(spark)}/tidemark/tokens-{uuid.uuid4().hex}"
     write_store(table(spark, sf_dir, "documents"), path)
     return read_store(spark, path, digest=True)

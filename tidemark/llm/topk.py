@@ -152,6 +152,7 @@ def _search(sent, k: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``top_k`` of all embeddings for the rows whose vec_id is divisible by 50; ``scaled`` and ``top_k`` tell what odd rows give."""
     rows = scaled(table(spark, sf_dir, "embeddings"))
     return top_k(rows, rows.where("vec_id % 50 = 0"))
 

@@ -341,6 +341,7 @@ def held_out() -> Column:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``assess`` of the whole texts of all documents, with what ``train`` learns from labels that are not held out; they tell what odd rows give."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     grammar = train(docs, labels.where(~held_out()))
