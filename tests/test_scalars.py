@@ -75,6 +75,13 @@ def test_longest_phrase_wins(spark):
     assert sorted(map(tuple, N.match_phrases(names, vocab, "id", "name").collect())) == [("a", "folic"), ("a", "folic acid"), ("d", "acid")]
 
 
+def test_phrases_of_five_words_are_found_if_they_are_asked_for(spark):
+    names = spark.createDataFrame([("a", "one two three four five six")], "id string, name string")
+    vocab = spark.createDataFrame([("one two three four five",), ("three four",)], "substance string")
+    found = lambda **k: sorted(r.substance for r in N.match_phrases(names, vocab, "id", "name", **k).collect())
+    assert found() == ["three four"] and found(longest=None) == found(longest=5) == ["one two three four five"]
+
+
 def brute_phrases(text, vocabulary, shortest=4):
     words, out, i = [w for w in re.split("[^a-z]+", text.lower()) if w], set(), 0
     while i < len(words):

@@ -140,3 +140,12 @@ def test_too_many_levels_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(features, "MOST_LEVELS", 2)
     with pytest.raises(ValueError, match="w"):
         features.learned_levels(spark.createDataFrame([("a",), ("b",), ("c",)], "w string"), ["w"])
+
+
+def test_published_rows_take_the_status_of_the_registry(spark):
+    scores = spark.createDataFrame([("a", 0.2, "old"), ("b", 0.4, "old"), ("c", 0.9, None)], "nct_id string, risk_score double, status string")
+    trials = spark.createDataFrame([("a", "NOT_YET_RECRUITING"), ("c", "RECRUITING"), ("c", "RECRUITING"), ("d", "x")], "nct_id string, status string")
+    assert {r.nct_id: r.status for r in report.with_status(scores, trials).collect()} == {"a": "NOT_YET_RECRUITING", "b": None, "c": "RECRUITING"}
+    full = scores.selectExpr("*", "'forward' AS score_type", "date'2020-01-01' AS start_date", "array('r') AS reasons", "0.1D AS next_2y_risk", "date'2021-01-01' AS snapshot")
+    got = {r.nct_id: r for r in report.lookup_rows(full, scores, "v1", trials).collect()}
+    assert got["a"].years_running == 0.0 and got["c"].years_running == 1.0 and got["c"].risk_percentile == 66.7

@@ -23,6 +23,7 @@ VAGUE = (
 )
 NOT_A_DRUG = ["protein", "ethyl", "water", "lactose", "dextrose", "glucose", "sucrose", "oxygen", "nitrogen", "air", "alcohol", "honey", "stem cells", "lymphocytes"]
 SHORTEST_WORD = 4
+#: Words of the longest phrase that is looked for, unless ``longest`` says otherwise.
 LONGEST_PHRASE = 4
 #: As many phrases may be broadcast; more are joined by a shuffle.
 PHRASES_SENT = 200_000
@@ -45,23 +46,27 @@ def is_specific(name: Column) -> Column:
     return ~name.isin(NOT_A_DRUG) & ~F.arrays_overlap(F.split(name, " "), F.array(*map(F.lit, VAGUE)))
 
 
-def match_phrases(names: DataFrame, vocabulary: DataFrame, id: str, name: str, phrase: str = "substance") -> DataFrame:
+def match_phrases(names: DataFrame, vocabulary: DataFrame, id: str, name: str, phrase: str = "substance", longest: int | None = LONGEST_PHRASE) -> DataFrame:
     """Distinct (id, phrase): vocabulary phrases in normalized names, longest first from the left, without overlap.
 
-    All word n-grams of the distinct names, as long as the longest phrase at most, meet the vocabulary in an equi-join, which is
-    a broadcast up to ``PHRASES_SENT`` phrases; a fold over each name's hits, ordered by place and length, keeps the leftmost
+    Phrases of more than ``longest`` words are not looked for; None: phrases of any length are. The word n-grams of the distinct names
+    that begin with the first word of a phrase meet the vocabulary in an equi-join, which is a broadcast up to ``PHRASES_SENT``
+    phrases; a fold over each name's hits, ordered by place and length, keeps the leftmost
     longest. One-word phrases need ``SHORTEST_WORD`` characters. No Python, and each distinct name is matched once. A name may
     be a whole document: rows of n-grams carry a digest of it, so the work is linear in its words.
     """
     words = names.select(id, F.unhex(F.sha2(F.col(name), 256)).alias("key_"), F.col(name).alias("name_")).where(F.col("name_") != "")
     vocab = vocabulary.select(F.col(phrase).alias("phrase")).where(F.col("phrase").isNotNull()).distinct()
-    many, longest = vocab.agg(F.count("*"), F.max(F.size(F.split("phrase", " ")))).first()
-    if many <= PHRASES_SENT:
+    many, most = vocab.agg(F.count("*"), F.max(F.size(F.split("phrase", " ")))).first()
+    sent = many <= PHRASES_SENT
+    if sent:
         vocab = F.broadcast(vocab)
     distinct = words.select("key_", "name_").distinct().select("key_", F.split("name_", " ").alias("w0"))
-    reach = range(min(LONGEST_PHRASE, longest or 1))
+    reach = range(min(longest or most or 1, most or 1))
     row = F.arrays_zip("w0", *(F.slice("w0", k + 1, F.size("w0")).alias(f"w{k}") for k in reach[1:]))
     at = distinct.select("key_", F.posexplode(row).alias("i", "w")).select("key_", "i", "w.*")
+    if sent:  # few words begin a phrase: the others go before n-grams are made
+        at = at.join(F.broadcast(vocab.select(F.split("phrase", " ")[0].alias("w0")).distinct()), "w0", "left_semi")
     spans = [F.when(F.col(f"w{k}").isNotNull(), F.struct(F.lit(k + 1).alias("n"), F.concat_ws(" ", *(f"w{j}" for j in range(k + 1))).alias("phrase"))) for k in reach]
     grams = at.select("key_", "i", F.explode(F.array(*spans)).alias("s")).select("key_", "i", "s.*").where("n is not null")
     grams = grams.where((F.col("n") > 1) | (F.length("phrase") >= SHORTEST_WORD))

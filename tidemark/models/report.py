@@ -51,11 +51,18 @@ def reason_texts(rows: DataFrame) -> DataFrame:
     return joined.withColumn("text", F.concat_ws(" ", label, F.lit("("), shown(F.coalesce("kind", F.lit("category")), F.col("value")), F.lit(")"), sign, F.lit("the risk"))).drop("kind", "label")
 
 
-def lookup_rows(scores: DataFrame, reference: DataFrame, version: str) -> DataFrame:
+def with_status(scores: DataFrame, trials: DataFrame, key: str = "nct_id") -> DataFrame:
+    """``scores`` with the status that the registry has now; null for those it no longer has."""
+    return scores.drop("status").join(trials.groupBy(key).agg(F.max("status").alias("status")), key, "left")
+
+
+def lookup_rows(scores: DataFrame, reference: DataFrame, version: str, trials: DataFrame | None = None) -> DataFrame:
     """Published rows: percentile against ``reference``'s scores, years running and the next two years' risk where they apply.
 
-    ``scores``: nct_id, risk_score, score_type, status, start_date, reasons (array), next_2y_risk, snapshot (date).
+    ``scores``: nct_id, risk_score, score_type, status, start_date, reasons (array), next_2y_risk, snapshot (date). With ``trials``
+    (nct_id, status) the status is theirs.
     """
+    scores = scores if trials is None else with_status(scores, trials)
     out = M.percentile_against(scores, reference.select(F.col("risk_score").alias("ref_")), "risk_score", "ref_").withColumnRenamed("percentile", "risk_percentile")
     years = F.when(F.col("status") == "NOT_YET_RECRUITING", 0.0).otherwise(F.greatest(F.datediff("snapshot", "start_date") / F.lit(365.25), F.lit(0.0)))
     out = out.withColumn("years_running", F.round(years, 1))

@@ -71,9 +71,9 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def missing(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     """Rows of ``df`` whose key ``other`` does not have; a null key is never missing, and a null in ``other`` hides all, as NOT IN has it."""
-    has_null = other.where(F.col(other_key).isNull()).limit(1).count()
+    hides = other.agg(F.coalesce(F.bool_or(F.col(other_key).isNull()), F.lit(False)).alias("hides_"))  # one row
     found = df.where(F.col(key).isNotNull()).join(other.select(F.col(other_key).alias("other_")), F.col(key) == F.col("other_"), "left_anti")
-    return found.where(F.lit(not has_null))
+    return found.crossJoin(F.broadcast(hides)).where("not hides_").drop("hides_")
 
 
 def training_breaks(df: DataFrame, label: str, split: str, reasons: list[str]) -> DataFrame:

@@ -106,7 +106,8 @@ def report_rows(reports: DataFrame) -> DataFrame:
     coded = F.coalesce(F.size("d.openfda.substance_name"), F.lit(0)) > 0
     active = F.nullif(F.col("d.activesubstance.activesubstancename"), F.lit(""))
     found = F.when(coded, F.col("d.openfda.substance_name")).otherwise(F.array(F.coalesce(active, F.nullif(F.col("d.medicinalproduct"), F.lit("")), F.lit(""))))
-    rows = base.withColumn("name", F.explode(found)).withColumn("substance", N.normalize(F.col("name"))).where("substance <> ''")
+    names = F.array_sort(F.array_distinct(F.filter(F.transform(found, N.normalize), lambda n: n != "")))
+    rows = base.withColumn("substance", F.explode(names))
     return rows.select(
         "safetyreportid", "version", "receivedate", "receiptdate", "serious", "death", (F.coalesce("d.drugcharacterization", F.lit("")) == "1").alias("suspect"), coded.alias("harmonized"), (~coded & active.isNotNull()).alias("active_substance"), "substance"
     )
