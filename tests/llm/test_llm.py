@@ -75,7 +75,7 @@ def test_topk(spark, monkeypatch):
     distinct = topk.scaled(spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>"))
     assert sorted(map(tuple, topk.top_k(distinct, distinct.where("vec_id % 50 = 0")).collect())) == brute_top(rows)
     assert {g[0] for g in got} == {0, 50, 100, 150}
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 1)  # a block for each query or two
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 6)  # a block for each query or two
     assert sorted(map(tuple, topk.top_k(distinct, distinct.where("vec_id % 50 = 0")).collect())) == brute_top(rows)
     none = topk.scaled(df.limit(0))
     assert topk.top_k(none, none).count() == 0

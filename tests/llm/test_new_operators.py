@@ -7,11 +7,14 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 from math import floor
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, centroids, phrases
+from tidemark import staging
+from tidemark.llm import ann, centroids, neardup_pq, ngram_join, phrases
 
 VEC = "vec_id long, embedding array<float>, label int"
 
@@ -218,3 +221,24 @@ def test_neighbours_of_odd_rows(spark):
     none = ann.usable(df.limit(0))
     assert ann.nearest(none, none).count() == 0
     assert ann.nearest(good, good.limit(0)).count() == 0
+
+
+def test_only_results_stay_in_the_shared_folder(spark):
+    """What an operator wrote in between is gone when it returns: one table is left of each."""
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(k, " ".join(words[k % 3 : 30 + k % 7]), "en") for k in range(60)], "doc_id long, text string, lang string")
+    rows = spark.createDataFrame([(i, v, 0) for i, v in vectors(4, 200)], VEC)
+    good = ann.usable(rows)
+    calls = {
+        "phrases": lambda: phrases.collocations(docs, 5),
+        "ngrams": lambda: ngram_join.jaccard_components(docs, 3, 8, 10),
+        "near": lambda: neardup_pq.near_duplicates(rows),
+        "clusters": lambda: centroids.clusters(rows),
+        "ann": lambda: ann.nearest(good, good.where("vec_id % 20 = 0")),
+    }
+    folder = Path(staging.checkpoint_folder(spark).removeprefix("file://")) / "tidemark"
+    for name, call in calls.items():
+        before = set(folder.glob("*")) if folder.exists() else set()
+        call().count()
+        left = {p.name for p in set(folder.glob("*")) - before}
+        assert len(left) == 1, (name, left)

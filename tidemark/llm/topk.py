@@ -15,8 +15,8 @@ from tidemark.llm.common import arrow_map, staged, table
 PIVOTS = 24
 #: Rows, spread by a hash of vec_id, from which pivots and first thresholds come.
 SAMPLE = 4096
-#: Queries broadcast at a time: 50,000 of 64 components take 26 MB.
-QUERY_BLOCK = 50_000
+#: Components of the queries broadcast at a time: 26 MB, 50,000 queries of 64.
+QUERY_BLOCK = 3_200_000
 CANDIDATE_BLOCK = 4096
 STEP = 256
 
@@ -68,7 +68,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS)
     product, (|q|^2 + |c|^2 - bound^2) / 2. In each block of rows the candidates of a query are evaluated in the order of
     their bounds, until the next bound is below the query's k-th score so far: exact. First thresholds come from the sample.
 
-    The queries are a stated share of the rows and grow with them, so they are taken in blocks of about ``QUERY_BLOCK``; each
+    The queries are a stated share of the rows and grow with them, so they are taken in blocks of about ``QUERY_BLOCK`` components; each
     block is broadcast, passes once over all rows, writes its k rows per query to the shared folder and is let go before the
     next one, so driver and executors hold one block at a time. A task returns at most k rows per query.
 
@@ -77,11 +77,13 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS)
     """
     spark = rows.sparkSession
     asked = queries.dropDuplicates(["vec_id", "v"])
-    n = asked.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
+    n, width = asked.agg(F.count("*"), F.max(F.size("v"))).first()
+    blocks = max(1, -(-n * (width or 1) // QUERY_BLOCK))
     total = rows.count()
     share = 1.0 if total <= SAMPLE else SAMPLE / total
     part = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 32)) < int(share * (1 << 32))).limit(2 * SAMPLE).toArrow()
+    if not part.num_rows:  # all rows share a few ids, none of them in the sample
+        part = rows.limit(2 * SAMPLE).toArrow()
     seen_ids, seen = part.column("vec_id").to_numpy(), _matrix(part.column("v").combine_chunks(), part.num_rows).astype(np.float64)
     schema = "query_id bigint, vec_id bigint, score bigint"
     if not n or not len(seen):
