@@ -149,3 +149,28 @@ def test_published_rows_take_the_status_of_the_registry(spark):
     full = scores.selectExpr("*", "'forward' AS score_type", "date'2020-01-01' AS start_date", "array('r') AS reasons", "0.1D AS next_2y_risk", "date'2021-01-01' AS snapshot")
     got = {r.nct_id: r for r in report.lookup_rows(full, scores, "v1", trials).collect()}
     assert got["a"].years_running == 0.0 and got["c"].years_running == 1.0 and got["c"].risk_percentile == 66.7
+
+
+def test_reasons_read_plainly(spark):
+    rows = [
+        ("phase", "PHASE2", 0.3, "Phase: 2 (raises risk)"),
+        ("has_dmc", "false", -0.2, "Has a data monitoring committee: No (lowers risk)"),
+        ("has_dmc", "true", 0.2, "Has a data monitoring committee: Yes (raises risk)"),
+        ("sponsor_class", "OTHER", 0.1, "Sponsor type: academic or other (raises risk)"),
+        ("sponsor_class", "NETWORK", 0.1, "Sponsor type: network (raises risk)"),
+        ("faers_serious_share", "0.25", 0.1, "Drug's FAERS reports marked serious: 25% (raises risk)"),
+        ("faers_serious_share", "0.123", 0.1, "Drug's FAERS reports marked serious: 12.3% (raises risk)"),
+        ("faers_serious_share", None, 0.1, "Drug's FAERS reports marked serious: no FAERS history (raises risk)"),
+        ("number_of_arms", "2.0", 0.1, "Number of arms: 2 (raises risk)"),
+        ("min_age_years", "0.5", 0.1, "Minimum age: 0.5 (raises risk)"),
+        ("faers_reports", "1234567", 0.1, "Drug's FAERS reports before start: 1.23457e+06 (raises risk)"),
+        ("allocation", "missing", 0.1, "Allocation: not given (raises risk)"),
+        ("masking", "DOUBLE_BLIND", -0.1, "Blinding: double blind (lowers risk)"),
+        ("area_mental", "1", -0.1, "Disease area, psychiatry: Yes (lowers risk)"),
+        ("registration_text", None, 0.4, "Wording of the registration (title, summary, criteria) (raises risk)"),
+        ("some_new_input", "A_B", 0.4, "Some new input: a b (raises risk)"),
+    ]
+    df = spark.createDataFrame([(k, f, v, c) for k, (f, v, c, _) in enumerate(rows)], "k int, feature string, value string, contribution double")
+    assert {r.k: r.text for r in report.reason_texts(df).collect()} == {k: r[3] for k, r in enumerate(rows)}
+    told = df.select("k", report.described(F.col("feature"), F.col("value")).alias("t")).collect()
+    assert {r.k: r.t for r in told if r.k in (1, 8, 7, 10, 14)} == {1: "has_dmc=No", 8: "number_of_arms=2", 7: "faers_serious_share=missing", 10: "faers_reports=1.23457e+06", 14: "registration_text (net of all text components)"}

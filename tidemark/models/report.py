@@ -10,45 +10,100 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 
-LABELS = {
-    "faers_reports": ("count", "adverse-event reports before start"),
-    "faers_reports_12m": ("count", "reports in the 12 months before start"),
-    "faers_serious_share": ("share", "share of serious reports"),
-    "faers_death_share": ("share", "share of reports with a death"),
-    "sponsor_prior_trials": ("count", "sponsor's earlier trials"),
-    "sponsor_prior_termination_rate": ("share", "sponsor's earlier termination rate"),
-    "sponsor_trials_started_2y": ("count", "sponsor's trials started in two years"),
-    "n_countries": ("count", "countries"),
-    "min_age_years": ("years", "minimum age"),
-    "max_age_years": ("years", "maximum age"),
-    "has_dmc": ("flag", "data monitoring committee"),
-    "healthy_volunteers": ("flag", "healthy volunteers"),
-    "phase": ("phase", "phase"),
-    "sponsor_class": ("category", "sponsor class"),
+# What readers see for a feature, and how its value is shown.
+AREA_LABELS = {
+    "neoplasms": "cancer",
+    "cardiovascular": "cardiovascular",
+    "nervous_system": "neurology",
+    "mental": "psychiatry",
+    "infections": "infectious disease",
+    "respiratory": "respiratory",
+    "digestive": "digestive",
+    "metabolic": "metabolic",
+    "immune": "immunology",
+    "skin": "dermatology",
+    "musculoskeletal": "musculoskeletal",
+    "urogenital": "urogenital",
+    "blood": "hematology",
+    "endocrine": "endocrine",
 }
-
-
-def shown(kind: Column, value: Column) -> Column:
+LABELS = {
+    "phase": ("Phase", "phase"),
+    "number_of_arms": ("Number of arms", "count"),
+    "allocation": ("Allocation", "category"),
+    "intervention_model": ("Design", "category"),
+    "primary_purpose": ("Primary purpose", "category"),
+    "masking": ("Blinding", "category"),
+    "sponsor_class": ("Sponsor type", "sponsor"),
+    "has_dmc": ("Has a data monitoring committee", "flag"),
+    "min_age_years": ("Minimum age", "years"),
+    "max_age_years": ("Maximum age", "years"),
+    "healthy_volunteers": ("Accepts healthy volunteers", "flag"),
+    "sex": ("Sex", "category"),
+    "responsible_party": ("Responsible party", "category"),
+    "n_collaborators": ("Collaborators", "count"),
+    "n_keywords": ("Keywords listed", "count"),
+    "sponsor_prior_trials": ("Sponsor's past trials", "count"),
+    "sponsor_prior_termination_rate": ("Sponsor's past termination rate", "share"),
+    "sponsor_trials_started_2y": ("Trials the sponsor started in the prior 2 years", "count"),
+    "n_substances": ("Drugs with FDA adverse-event history", "count"),
+    "faers_reports": ("Drug's FAERS reports before start", "count"),
+    "faers_reports_12m": ("Drug's FAERS reports in the prior 12 months", "count"),
+    "faers_serious_share": ("Drug's FAERS reports marked serious", "share"),
+    "faers_death_share": ("Drug's FAERS reports with a death", "share"),
+    "has_faers_history": ("Drug has FAERS history", "flag"),
+    "n_countries": ("Countries", "count"),
+    "us_only": ("US-only sites", "flag"),
+    "criteria_count": ("Eligibility criteria", "count"),
+    "criteria_chars": ("Length of eligibility criteria (characters)", "count"),
+} | {f"area_{k}": (f"Disease area, {v}", "flag") for k, v in AREA_LABELS.items()}
+WORDING = {"registration_text": "Wording of the registration (title, summary, criteria)"}
+SPONSOR_LABELS = {"INDUSTRY": "industry", "OTHER": "academic or other", "GOVERNMENT": "government"}
+EMPTY_LABELS = {"sponsor_prior_termination_rate": "no earlier finished trials", "faers_serious_share": "no FAERS history", "faers_death_share": "no FAERS history"}
+
+
+def plain_number(x: Column) -> Column:
+    """A number with six significant digits at most, without zeros at its end."""
+    text = F.format_string("%.6g", x)
+    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+(e|$)", "$1$2"), r"\.(e|$)", "$1")
+
+
+def shown(feature: Column, kind: Column, value: Column) -> Column:
+    """``value``, a text, as readers see it."""
+    gone = value.isNull() | (value == "missing")
     number = value.try_cast("double")
+    percent = number * 100
+    share = F.concat(F.when(percent == F.round(percent), F.format_string("%.0f", percent)).otherwise(F.format_string("%.1f", percent)), F.lit("%"))
+    of = lambda known, key, other: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), key), other)
     return (
-        F.when(value.isNull(), "not recorded")
-        .when(kind == "flag", F.when(F.lower(value).isin("true", "1", "1.0"), "yes").otherwise("no"))
-        .when(kind == "share", F.concat(F.format_string("%.0f", number * 100), F.lit("%")))
-        .when(kind == "count", F.format_number(number, 0))
-        .when(kind == "years", F.concat(F.format_string("%.0f", number), F.lit(" years")))
-        .when(kind == "phase", F.regexp_replace(F.regexp_replace(value, "PHASE", "Phase "), "/", " / "))
-        .otherwise(F.initcap(F.regexp_replace(value, "_", " ")))
+        F.when(gone, of(EMPTY_LABELS, feature, F.lit("not given")))
+        .when(kind == "flag", F.when(F.lower(value).isin("true", "yes", "1", "1.0"), "Yes").otherwise("No"))
+        .when(kind == "phase", F.regexp_replace(value, "PHASE", ""))
+        .when(kind == "sponsor", of(SPONSOR_LABELS, value, F.lower(value)))
+        .when((kind == "share") & number.isNotNull(), share)
+        .when(kind.isin("count", "years") & number.isNotNull(), plain_number(number))
+        .otherwise(F.lower(F.regexp_replace(value, "_", " ")))
     )
 
 
 def reason_texts(rows: DataFrame) -> DataFrame:
     """``rows`` (feature, value, contribution) with the reason's text; labels join as a small literal table."""
     spark = rows.sparkSession
-    known = spark.createDataFrame([(k, a, b) for k, (a, b) in LABELS.items()], "feature string, kind string, label string")
+    known = spark.createDataFrame([(k, label, kind) for k, (label, kind) in LABELS.items()], "feature string, label string, kind string")
     joined = rows.join(F.broadcast(known), "feature", "left")
-    label = F.coalesce("label", F.regexp_replace("feature", "_", " "))
-    sign = F.when(F.col("contribution") > 0, "raises").otherwise("lowers")
-    return joined.withColumn("text", F.concat_ws(" ", label, F.lit("("), shown(F.coalesce("kind", F.lit("category")), F.col("value")), F.lit(")"), sign, F.lit("the risk"))).drop("kind", "label")
+    spoken = F.regexp_replace("feature", "_", " ")
+    label = F.coalesce("label", F.concat(F.upper(F.substring(spoken, 1, 1)), F.lower(F.substring(spoken, 2, 1000))))
+    told = F.concat_ws(": ", label, shown(F.col("feature"), F.coalesce("kind", F.lit("category")), F.col("value")))
+    for feature, text in WORDING.items():
+        told = F.when(F.col("feature") == feature, text).otherwise(told)
+    way = F.when(F.col("contribution") > 0, "raises").otherwise("lowers")
+    return joined.withColumn("text", F.concat(told, F.lit(" ("), way, F.lit(" risk)"))).drop("kind", "label")
+
+
+def described(feature: Column, value: Column) -> Column:
+    """feature=value, for reports: flags as Yes and No, numbers short, null as missing; ``value`` is a text."""
+    plain = F.when(value.isNull(), "missing").when(value == "true", "Yes").when(value == "false", "No").otherwise(F.coalesce(plain_number(value.try_cast("double")), value))
+    return F.when(feature == "registration_text", "registration_text (net of all text components)").otherwise(F.concat_ws("=", feature, plain))
 
 
 def with_status(scores: DataFrame, trials: DataFrame, key: str = "nct_id") -> DataFrame:
