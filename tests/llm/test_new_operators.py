@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import staging
-from tidemark.llm import ann, centroids, neardup_pq, ngram_join, phrases
+from tidemark.llm import ann, centroids, language, neardup_pq, ngram_join, phrases
 
 VEC = "vec_id long, embedding array<float>, label int"
 
@@ -242,3 +242,45 @@ def test_only_results_stay_in_the_shared_folder(spark):
         call().count()
         left = {p.name for p in set(folder.glob("*")) - before}
         assert len(left) == 1, (name, left)
+
+
+# 10 the query against a plain reading: sets of strings in place of filters of hashes
+
+
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in (text or "").replace("\0", " ").lower())
+    kept = " " + re.sub(" +", " ", words).lstrip(" ")
+    if not kept.strip():
+        return []
+    return [kept[i : i + language.GRAM] for i in range(len(kept) - language.GRAM + 1)]
+
+
+def test_language_query_equals_a_plain_reading(spark, sample):
+    docs = spark.read.parquet(f"{sample}/documents.parquet").select("doc_id", "text", "lang", (language.remainder(5) == 0).alias("held")).collect()
+    count, many = defaultdict(Counter), Counter()
+    for d in docs:
+        if not d.held and d.lang is not None and d.text is not None:
+            count[d.lang].update(set(plain_grams(d.text)))
+            many[d.lang] += 1
+    sure = Counter()
+    for lang, c in count.items():
+        for g, n in c.items():
+            if n > 1 or many[lang] < language.FEW_DOCS:
+                sure[g] = max(sure[g], n / (many[lang] + language.FEW_DOCS))
+    own = {}
+    for lang, c in count.items():
+        fits = [(-n, g) for g, n in c.items() if (n > 1 or many[lang] < language.FEW_DOCS) and n / many[lang] >= language.OWN_SHARE * sure[g]]
+        own[lang] = {g for _, g in sorted(fits)[: language.GRAMS_KEPT]}
+    got = {r.doc_id: r for r in language.op10_language(spark, sample).collect()}
+    assert got.keys() == {d.doc_id for d in docs}
+    for d in docs:
+        grams = plain_grams(d.text)
+        hits = {lang: sum(g in own[lang] for g in grams) for lang in sorted(own)}
+        best = max(sorted(own), key=lambda k: hits[k]) if grams else "und"
+        r = got[d.doc_id]
+        assert r.held_out == d.held
+        if grams and sorted(hits.values())[-2] < 0.9 * hits[best]:  # the filter's wrong hits may turn a draw
+            assert r.lang_pred == best
+            assert r.score == pytest.approx(hits[best] / sum(hits.values()) * len(grams) / (len(grams) + 1), abs=0.05)
+        elif not grams:
+            assert r.lang_pred == "und" or any(c.isalpha() for c in d.text)
