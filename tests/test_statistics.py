@@ -22,6 +22,33 @@ def test_metrics_by_hand(spark):
     assert sorted(r.place for r in M.with_place(df, ["s", "k"]).collect()) == [1, 2, 3, 4]
 
 
+def test_scores_and_ratios_are_rounded_as_the_sql_has_them(spark):
+    import duckdb
+
+    from tidemark.functions.scalars import rounded
+
+    asked = [(10110 / 20000, 3), (10010 / 20000, 3), (41 / 640, 6), (323 / 640, 6), (333 / 640, 6), (-2.5, 0), (0.15, 1)]
+    df = spark.createDataFrame([tuple(x for x, _ in asked)], ", ".join(f"x{k} double" for k in range(len(asked))))
+    got = tuple(df.select(*[rounded(F.col(f"x{k}"), n) for k, (_, n) in enumerate(asked)]).first())
+    assert got == duckdb.sql("SELECT " + ", ".join(f"round({x!r}::DOUBLE, {n})" for x, n in asked)).fetchall()[0]
+    assert got[0] == 0.505
+
+
+def test_scores_are_those_of_the_sql(spark, tmp_path):
+    import duckdb
+
+    from tidemark.plans import statistics
+
+    docs = [(k, 10 * k) for k in range(1, 2001)]
+    spark.createDataFrame([(k, n, "x") for k, n in docs], "doc_id long, n_chars long, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, k % 2) for k, _ in docs], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    got = sorted(tuple(r) for r in statistics.percentile_vs_reference(spark, str(tmp_path)).collect())
+    assert got == sorted(con.execute(statistics.SQL["percentile_vs_reference"]).fetchall())
+
+
 def test_kaplan_meier_by_hand(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 1), (2.0, 0), (3.0, 2), (4.0, 0)], "time double, event int")
     got = {r.time: r.g for r in V.censoring_survival(df).collect()}

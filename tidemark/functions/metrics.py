@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import rounded
 from tidemark.staging import pinned
 
 
@@ -94,7 +95,7 @@ def percentile_against(df: DataFrame, reference: DataFrame, score: str, ref_scor
     both = levels.unionByName(asked).groupBy("s_").agg(F.sum("m").alias("m"))
     below = Window.orderBy("s_").rowsBetween(Window.unboundedPreceding, -1)
     run = both.select("s_", F.coalesce(F.sum("m").over(below), F.lit(0)).alias("below_"), F.sum("m").over(Window.partitionBy()).alias("all_"))
-    share = F.round(100.0 * F.col("below_") / F.col("all_"), 1)
+    share = rounded(100.0 * F.col("below_") / F.col("all_"), 1)
     return df.join(run, F.col(score) == F.col("s_"), "left").withColumn("percentile", share).drop("s_", "below_", "all_")
 
 

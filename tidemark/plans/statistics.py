@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.functions.scalars import rounded
 from tidemark.models.features import pooled
 from tidemark.operators import survival as V
 from tidemark.plans import base as B
@@ -13,7 +14,7 @@ from tidemark.plans import base as B
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, a rounded score with ties, the label and the language."""
-    doc = B.table(spark, d, "documents").select("doc_id", "lang", F.round(F.least(F.col("n_chars") / F.lit(20000.0), F.lit(1.0)), 3).alias("score"))
+    doc = B.table(spark, d, "documents").select("doc_id", "lang", rounded(F.least(F.col("n_chars") / F.lit(20000.0), F.lit(1.0)), 3).alias("score"))
     return doc.join(B.table(spark, d, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
 
 
