@@ -702,3 +702,30 @@ def test_queries_follow_their_contracts(spark, sample):
     links = (u @ u.T >= 0.9).sum(1) - 1
     got = {r.vec_id: r for r in df.collect()}
     assert set(got) == set(vectors) and all(got[k].n_links <= n and got[k].kept == (got[k].component_id == k) for k, n in zip(keys, links)) and sum(got[k].n_links for k in keys) >= 0.9 * links.sum()
+
+
+def test_beyond_the_broadcast_no_text_is_shuffled_for_its_signatures(spark, monkeypatch):
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[k % 60 : k % 60 + 30] + [f"own{k // 120}"])) for k in range(240)] + [(7, "another text under this id"), (None, "no id"), (500, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    usual = sorted(map(tuple, ngram_join.jaccard_components(docs, 5, 4, 5).collect()), key=str)
+    asked, found = [], ngram_join._signatures
+    monkeypatch.setattr(ngram_join, "IDS_SENT", 10)
+    monkeypatch.setattr(ngram_join, "_signatures", lambda docs, texts, *more: asked.append(texts) or found(docs, texts, *more))
+    assert sorted(map(tuple, ngram_join.jaccard_components(docs, 5, 4, 5).collect()), key=str) == usual
+    assert "Exchange" not in asked[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_is_likely_wanted_holds_all_that_is_and_few_others(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    wanted = docs.where("doc_id < 1000").selectExpr("doc_id", "xxhash64(text) AS t")
+    got = {r.doc_id for r in ngram_join._likely(docs, wanted).collect()}
+    assert set(range(1000)) <= got and len(got) < 1000 + 3000 / 8
+
+
+def test_training_a_language_drops_what_other_operators_hold(monkeypatch):
+    from tidemark.llm import common, language
+
+    gone = []
+    monkeypatch.setattr(common, "_HELD", {"pieces": lambda: gone.append("pieces")})
+    assert list(language._counted(iter([]))) == [] and gone == ["pieces"]

@@ -135,6 +135,35 @@ class LanguageFilter:
         return names, np.where(lettered, share, 0.0), np.where(lettered, cover, 0.0)
 
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, gram and n, the documents that hold it, of rows (lang, text)."""
+    only("language")
+    held: dict[str, list[np.ndarray]] = {}
+    size = 0
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        for lang, parts in held.items():
+            grams, times = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(times, pa.int64())], ["lang", "gram", "n"])
+        held.clear()
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            langs = np.array(batch.column(0).to_pylist(), object)
+            code, row, _ = _grams([t.replace("\0", " ") for t in batch.column(1).to_pylist()])
+            cuts = np.searchsorted(row, np.arange(len(langs) + 1))
+            for k, lang in enumerate(langs):
+                own = np.unique(code[cuts[k] : cuts[k + 1]])
+                if len(own):
+                    held.setdefault(lang, []).append(own)
+                    size += len(own)
+            if size >= HELD:
+                yield from counts()
+                size = 0
+    yield from counts()
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, grams_kept: int = GRAMS_KEPT) -> LanguageFilter:
     """A filter of the n-grams most frequent in each language of ``docs`` (text, non-null lang), by document frequency.
 
@@ -151,33 +180,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, grams_kept: int = GRA
     sample = known.select("lang", "text", spot.alias("spot")).join(F.broadcast(bounds), "lang", "left")
     sample = sample.where(F.col("bound").isNull() | (F.col("spot") < F.col("bound"))).select("lang", "text")
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
-        size = 0
-
-        def counts() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                grams, times = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(times, pa.int64())], ["lang", "gram", "n"])
-            held.clear()
-
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                langs = np.array(batch.column(0).to_pylist(), object)
-                code, row, _ = _grams([t.replace("\0", " ") for t in batch.column(1).to_pylist()])
-                cuts = np.searchsorted(row, np.arange(len(langs) + 1))
-                for k, lang in enumerate(langs):
-                    own = np.unique(code[cuts[k] : cuts[k + 1]])
-                    if len(own):
-                        held.setdefault(lang, []).append(own)
-                        size += len(own)
-                if size >= HELD:
-                    yield from counts()
-                    size = 0
-        yield from counts()
-
-    counted = arrow_map(sample, count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = arrow_map(sample, _counted, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     docs_of = sample.groupBy("lang").agg(F.count("*").alias("docs"))
     rate = counted.join(F.broadcast(docs_of), "lang").where((F.col("n") > 1) | (F.col("docs") < FEW_DOCS))  # one row per language
     rate = rate.withColumn("rate", F.col("n") / F.col("docs")).withColumn("sure", F.col("n") / (F.col("docs") + FEW_DOCS))

@@ -25,6 +25,8 @@ GROUPS, LEAF = 32, 16
 BLOCK_SETS, BLOCK_NGRAMS = 2048, 4_000_000
 #: As many rows of two or three numbers may be broadcast; more are joined by a shuffle.
 IDS_SENT = 1_000_000
+#: Places of the hash that tells, beyond that, which texts are likely to be wanted: for each that is, and as a power of two at most.
+PLACES, MOST_PLACES = 16, 30
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -254,7 +256,9 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     classes = known.groupBy("f", "g", "n").agg(F.min(F.struct("doc_id", "t")).alias("c")).select("f", "g", "n", F.col("c.doc_id").alias("id"), "c.t")
     classes = staged(classes, "classes")
     repeated = staged(known.groupBy("doc_id", "t").count().where("count > 1").drop("count"), "repeated")
-    texts = _once(docs, classes.select(F.col("id").alias("doc_id"), "t"), repeated)
+    named = classes.select(F.col("id").alias("doc_id"), "t")
+    # beyond IDS_SENT no text is shuffled for its signatures: those of a few others, copies or not, join no sets
+    texts = _once(docs, named, repeated) if classes.count() <= IDS_SENT else _likely(docs, named)
     marks = staged(_signatures(docs, texts, width, num, den), "signatures")
     edges = _candidates(marks)
     groups = components(edges, "id", "low")
@@ -265,7 +269,7 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     wanted = staged(sized.join(blocks.where("sets > 1").select("comp", many.alias("blocks")), "comp").select(F.col("id").alias("doc_id"), "t", "comp", "blocks"), "wanted")
     for done in (marks, edges, groups):
         drop_staged(done)
-    texts = _once(docs, wanted, repeated)
+    texts = _once(docs, wanted, repeated) if wanted.count() <= IDS_SENT else _once(_likely(docs, wanted), wanted, repeated)
     own = F.pmod(F.hash("doc_id", "t"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     # a class lies in block ``own`` and meets every block of its group
@@ -294,6 +298,28 @@ def _once(docs: DataFrame, wanted: DataFrame, repeated: DataFrame) -> DataFrame:
     return texts.join(repeated, key, "left_anti").unionByName(texts.join(repeated, key, "left_semi").dropDuplicates(key))
 
 
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and text of the rows of ``docs`` that are in ``wanted`` (doc_id, t), and of about a sixteenth of the others.
+
+    A projection: what is sent is a bit for each place of a hash, ``PLACES`` of them for a row of ``wanted``.
+    """
+    places = 1 << min(max(10, (wanted.count() * PLACES).bit_length()), MOST_PLACES)
+    place = F.pmod(F.xxhash64("doc_id", "t"), F.lit(places))
+    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(places >> 6, np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("ngrams", forget_powers)
+        for batch in batches:
+            p = batch.column(2).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array((sent.value[p >> 6] >> (p & 63).astype(np.uint64) & _U(1)).astype(bool)))
+
+    each = _texts(docs.where("doc_id is not null")).withColumn("t", F.xxhash64("text")).select("doc_id", "text", place.alias("p"))
+    return arrow_map(each, run, "doc_id bigint, text string")
+
+
 def _beside(docs: DataFrame, side: DataFrame, key: list[str]) -> DataFrame:
     """``docs`` with the rows of ``side``: broadcast if they are few, else by a shuffle."""
     return docs.join(F.broadcast(side) if side.count() <= IDS_SENT else side, key)
@@ -380,6 +406,7 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("ngrams", forget_powers)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 sets = ngram_sets(whole.slice(at, 512).column(1), width)
