@@ -201,3 +201,15 @@ def test_reasons_read_plainly(spark):
     assert {r.k: r.text for r in report.reason_texts(df).collect()} == {k: r[3] for k, r in enumerate(rows)}
     told = df.select("k", report.described(F.col("feature"), F.col("value")).alias("t")).collect()
     assert {r.k: r.t for r in told if r.k in (1, 8, 7, 10, 14)} == {1: "has_dmc=No", 8: "number_of_arms=2", 7: "faers_serious_share=missing", 10: "faers_reports=1.23457e+06", 14: "registration_text (net of all text components)"}
+
+
+def test_recalibration_takes_hazards_of_the_periods_themselves(spark):
+    from tidemark.models import survival
+    from tidemark.models.survival import SurvivalModel, recalibrate
+
+    rng = random.Random(3)
+    df = spark.createDataFrame([(k, f"{2010 + k % 6}-01-01", rng.uniform(0, 6), rng.randrange(3), k % 3) for k in range(600)], "id int, start string, time double, event int, x int").withColumn("start", F.to_date("start"))
+    m = SurvivalModel(["x"]).fit(df)
+    joined = survival.window_rows(V.person_periods(df), "start", "2014-04-20").select("id", "period", "y").join(m.hazards(df, "id"), ["id", "period"])
+    assert recalibrate(m, df, "id", "start", "2016-01-01") == pytest.approx(fit_recalibration(joined), abs=1e-6)
+    assert "Join" not in m.hazards_of(V.person_periods(df), ["y"])._jdf.queryExecution().executedPlan().toString()

@@ -44,10 +44,14 @@ class SurvivalModel:
     def hazards(self, df: DataFrame, id: str, periods: int = V.PERIODS) -> DataFrame:
         """id, period, p_run, p_term, p_comp for every period of every row."""
         rows = df.withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(periods - 1))))
+        return self.hazards_of(rows, [id, "period"])
+
+    def hazards_of(self, rows: DataFrame, keep: list[str]) -> DataFrame:
+        """``keep``, p_run, p_term, p_comp of rows that have a period: a projection, nothing is joined."""
         p = vector_to_array("probability")
         out = self.model.transform(self._rows(rows))
         at = lambda k: F.coalesce(F.get(p, F.lit(k)), F.lit(0.0))
-        return out.select(id, "period", at(0).alias("p_run"), at(1).alias("p_term"), at(2).alias("p_comp"))
+        return out.select(*keep, at(0).alias("p_run"), at(1).alias("p_term"), at(2).alias("p_comp"))
 
 
 CLASSES = 3
@@ -269,8 +273,7 @@ def recalibrate(model: SurvivalModel, df: DataFrame, id: str, start: str, date:
     import datetime
 
     end = (datetime.date.fromisoformat(date) - datetime.timedelta(days=round(lag_years * 365.25))).isoformat()
-    rows = window_rows(V.person_periods(df), start, end).select(id, "period", "y")
-    return fit_recalibration(rows.join(model.hazards(df, id), [id, "period"]))
+    return fit_recalibration(model.hazards_of(window_rows(V.person_periods(df), start, end), ["y"]))
 
 
 def landmark_backtest(model: SurvivalModel, df: DataFrame, id: str, start: str, dates: list[str], horizon: float = 2.0) -> list[dict]:
