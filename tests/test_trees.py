@@ -127,6 +127,14 @@ def test_boosted_hazards_recover_a_known_world(ending):
     assert early[1] == pytest.approx([0.25, 0.05], abs=0.05) and early[2] == pytest.approx([0.04, 0.15], abs=0.05)
 
 
+def test_hazards_send_a_subject_once(spark):
+    df = spark.createDataFrame([(k, k % 2 * 1.0, float(k % 9), k % 3) for k in range(300)], "id int, x double, time double, event int")
+    m = BoostedHazards(["x"], trees=2, depth=1, least_rows=5).fit(df)
+    out = m.hazards(df, "id", 4)
+    assert out.count() == 1200 and out.select("id", "period").distinct().count() == 1200
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tuning_takes_the_best_of_the_grid(ending):
     grid = [{"depth": 1, "rate": 0.02}, {"depth": 2, "rate": 0.4}]
     chosen, tried = tune_hazards(ending, "start", "2014-01-01", ["kind"], grid, trees=5, patience=2)

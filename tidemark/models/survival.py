@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -13,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tidemark.models.attribution import Node, nodes_of, predicted
 from tidemark.models.risk import Inputs, ordered
@@ -57,6 +59,8 @@ class SurvivalModel:
 CLASSES = 3
 #: Rounds after which the scores so far are written to the shared folder, so that a lost executor costs no more of them.
 STAGE_ROUNDS = 10
+#: Rows whose periods are scored at a time.
+SCORED = 1000
 
 
 def _softmax(scores: Column) -> Column:
@@ -159,24 +163,36 @@ class BoostedHazards:
         return sum(min(seen) for seen in self.deviances) / len(self.deviances)
 
     def hazards(self, df: DataFrame, id: str, periods: int = V.PERIODS) -> DataFrame:
-        """id, period, p_run, p_term, p_comp for every period of every row."""
+        """id, period, p_run, p_term, p_comp for every period of every row.
+
+        A row is sent to Python once, and its periods are made there: arrays in, arrays out.
+        """
         sent = ship_package(df.sparkSession).sparkContext.broadcast((self.members, self.start, self.rate))
+        spot = self.inputs.numbers.index("period")
+        rows = df.select(id, *[c for c in self.columns if c != id]).withColumn("period", F.lit(0))
+        ready = self.inputs.transform(rows).select(id, vector_to_array("features").alias("x_"))
+        schema = StructType([ready.schema[0], StructField("period", IntegerType()), *[StructField(c, DoubleType()) for c in ("p_run", "p_term", "p_comp")]])
 
-        @F.pandas_udf("array<double>")
-        def scored(rows: pd.Series) -> pd.Series:
+        def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             members, start, rate = sent.value
-            x = np.stack(rows) if len(rows) else np.empty((0, 0))
-            total = np.tile(np.array(start), (len(x), 1))
-            for rounds in members:
-                for trees in rounds:
-                    for k, tree in enumerate(trees):
-                        total[:, k] += rate * predicted(tree, x) / len(members)
-            raised = np.exp(total - total.max(1, keepdims=True))
-            return pd.Series(list(raised / raised.sum(1, keepdims=True)))
-
-        rows = df.select(id, *[c for c in self.columns if c != id]).withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(periods - 1))))
-        out = self.inputs.transform(rows).withColumn("s_", scored(vector_to_array("features")))
-        return out.select(id, F.col("period").cast("int").alias("period"), *[F.get("s_", F.lit(k)).alias(c) for k, c in enumerate(("p_run", "p_term", "p_comp"))])
+            for whole in batches:
+                for a in range(0, whole.num_rows, SCORED):
+                    batch = whole.slice(a, SCORED)
+                    n = batch.num_rows
+                    x = np.repeat(batch.column(1).flatten().to_numpy().reshape(n, -1), periods, axis=0)
+                    period = np.tile(np.arange(periods, dtype=np.int32), n)
+                    x[:, spot] = period
+                    total = np.tile(np.array(start), (len(x), 1))
+                    for rounds in members:
+                        for trees in rounds:
+                            for k, tree in enumerate(trees):
+                                total[:, k] += rate * predicted(tree, x) / len(members)
+                    raised = np.exp(total - total.max(1, keepdims=True))
+                    p = raised / raised.sum(1, keepdims=True)
+                    own = batch.column(0).take(pa.array(np.repeat(np.arange(n), periods)))
+                    yield pa.RecordBatch.from_arrays([own, pa.array(period), *[pa.array(p[:, k]) for k in range(CLASSES)]], schema.names)
+
+        return ready.mapInArrow(scored, schema)
 
 
 def tune_hazards(df: DataFrame, date: str, cut: str, columns: list[str], grid: list[dict], least_trees: int = 1, **params) -> tuple[dict, list[dict]]:
