@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.models import features
@@ -60,3 +61,31 @@ def test_windows_and_principal_components(spark):
     got = np.array([[r.emb_0, r.emb_1] for r in out.orderBy("id").collect()])
     _, _, axes = np.linalg.svd(x - x.mean(0))
     assert np.abs(got) == pytest.approx(np.abs(x @ axes[:2].T), abs=1e-3)
+
+
+def test_a_pass_over_the_rows_hands_on_as_many_sums_as_tasks_run_at_once(spark):
+    rng = np.random.default_rng(3)
+    held = [np.sort(rng.choice(100, rng.integers(1, 20), replace=False)).astype(np.int32) for _ in range(300)]
+    weights = [rng.normal(size=len(x)) for x in held]
+    rows = spark.createDataFrame([(bytearray(t.tobytes()), bytearray(w.tobytes())) for t, w in zip(held, weights)], "term binary, weight binary").repartition(40)
+    a = np.zeros((300, 100))
+    for i, (t, w) in enumerate(zip(held, weights)):
+        a[i, t] = w
+    block = rng.normal(size=(100, 3))
+    spark.sparkContext.setJobGroup("passes", "")
+    assert features._gram_times(rows.localCheckpoint(), block) == pytest.approx(a.T @ a @ block)
+    told = spark.sparkContext.statusTracker()
+    last = told.getJobInfo(max(told.getJobIdsForGroup("passes")))
+    assert max(told.getStageInfo(k).numTasks for k in last.stageIds) < 40
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_terms_are_counted_in_batches_as_one_by_one():
+    texts = [["aa", "bb", "aa", "bb"], [], ["bb"], ["aa", "bb", "cc"], ["cc"], ["dd", "aa"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.string()))], ["w"]) for x in (texts[:3], texts[3:])]
+    got = pa.Table.from_batches(features.counted_terms(batches)).to_pylist()
+    every = [[*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))] for w in texts]
+    n, df = Counter(t for x in every for t in x), Counter(t for x in every for t in set(x))
+    assert {r["term"]: (r["n"], r["df"]) for r in got} == {t: (n[t], df[t]) for t in n} and len(got) == len(n)
+    row, term = features.Vocabulary(["bb", "aa bb", "cc"]).found(texts)
+    assert Counter(zip(row.tolist(), term.tolist())) == Counter((i, k) for i, x in enumerate(every) for t in x for k, y in enumerate(["bb", "aa bb", "cc"]) if t == y)
