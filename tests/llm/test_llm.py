@@ -716,6 +716,22 @@ def test_beyond_the_broadcast_no_text_is_shuffled_for_its_signatures(spark, monk
     assert "Exchange" not in asked[0]._jdf.queryExecution().executedPlan().toString()
 
 
+def test_signatures_of_one_text_alone_are_not_shuffled(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "PACKED", 500)  # a signature that is met again lies in different parcels
+    rows = [(k, " ".join(f"a{k}x{j}" for j in range(120))) for k in range(200)]
+    rows += [(1000 + k, " ".join(f"b{k // 2}x{j}" for j in range(120)) + f" end{k}") for k in range(200)]
+    every = [(k, s) for (k, t) in rows for s in ngram_join.Parts(4, 5).signatures(ngram_join.ngram_sets(pa.array([t]), 5)[0]).view(np.int64).tolist()]
+    many = Counter(s for _, s in every)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for grams in (400 * 117, 1 << 40):  # few buckets, and as many as there can be
+        got = {(r.id, s) for r in ngram_join._signatures(docs, docs, 5, 4, 5, grams).collect() for s in r.signatures}
+        assert {(k, s) for k, s in every if many[s] > 1} <= got <= set(every)
+        alone = [e for e in every if many[e[1]] == 1]
+        assert len(alone) > 1000 and len(got & set(alone)) < len(alone) / 8
+
+
 def test_what_is_likely_wanted_holds_all_that_is_and_few_others(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
     wanted = docs.where("doc_id < 1000").selectExpr("doc_id", "xxhash64(text) AS t")

@@ -123,3 +123,18 @@ def test_stages_take_an_empty_table(spark, docs):
 
 def test_run(spark, sample):
     assert P.run(spark, sample).count() > 0 and P.ORACLE_SQL is None
+
+
+def test_many_ids_that_go_shuffle_no_text(spark, monkeypatch):
+    monkeypatch.setattr(P, "IDS_SENT", 100)
+    docs = spark.range(-3000, 3000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "id AS word__").unionByName(spark.createDataFrame([(None, "no id", 0)], "doc_id long, text string, word__ long"))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for gone, shuffled in ((spark.range(-3000, 3000).where("id % 3 = 0"), False), (spark.range(0, 3000).selectExpr("id * 1000003 AS id"), True)):
+            kept = P._without(docs, gone.withColumnRenamed("id", "gone__"), "gone__")
+            lost = {r.id for r in gone.collect()}
+            assert sorted(map(tuple, kept.collect()), key=str) == sorted((tuple(r) for r in docs.collect() if r.doc_id not in lost), key=str)
+            assert ("SortMergeJoin" in kept._jdf.queryExecution().executedPlan().toString()) == shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)

@@ -27,6 +27,9 @@ BLOCK_SETS, BLOCK_NGRAMS = 2048, 4_000_000
 IDS_SENT = 1_000_000
 #: Places of the hash that tells, beyond that, which texts are likely to be wanted: for each that is, and as a power of two at most.
 PLACES, MOST_PLACES = 16, 30
+#: Signatures of a task that are packed together; bits of each that are written, and that their bucket adds for so many n-grams; a map
+#: of signatures has two to this power of places at most.
+PACKED, PACKED_BITS, SPARE_BITS, MOST_MET = 1 << 20, 24, 6, 28
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -259,7 +262,8 @@ def jaccard_components(docs: DataFrame, width: int, num: int, den: int) -> DataF
     named = classes.select(F.col("id").alias("doc_id"), "t")
     # beyond IDS_SENT no text is shuffled for its signatures: those of a few others, copies or not, join no sets
     texts = _once(docs, named, repeated) if classes.count() <= IDS_SENT else _likely(docs, named)
-    marks = staged(_signatures(docs, texts, width, num, den), "signatures")
+    grams = classes.agg(F.sum("n")).first()[0] or 0
+    marks = staged(_signatures(docs, texts, width, num, den, grams), "signatures")
     edges = _candidates(marks)
     groups = components(edges, "id", "low")
     # the classes of each group of candidates, with the group's size
@@ -305,10 +309,7 @@ def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     places = 1 << min(max(10, (wanted.count() * PLACES).bit_length()), MOST_PLACES)
     place = F.pmod(F.xxhash64("doc_id", "t"), F.lit(places))
-    words = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
-    bits = np.zeros(places >> 6, np.uint64)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sent = docs.sparkSession.sparkContext.broadcast(_bits(wanted.select(place.alias("p")), places))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only("ngrams", forget_powers)
@@ -320,6 +321,14 @@ def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return arrow_map(each, run, "doc_id bigint, text string")
 
 
+def _bits(rows: DataFrame, places: int) -> np.ndarray:
+    """A bit for each of ``places``, set where ``rows`` (p) has it."""
+    words = rows.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(places >> 6, np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return bits
+
+
 def _beside(docs: DataFrame, side: DataFrame, key: list[str]) -> DataFrame:
     """``docs`` with the rows of ``side``: broadcast if they are few, else by a shuffle."""
     return docs.join(F.broadcast(side) if side.count() <= IDS_SENT else side, key)
@@ -418,22 +427,90 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
-def _signatures(docs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """id and the signatures of each of ``texts``, of documents that stand for a class of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(_frequent(docs.where("doc_id is not null"), width))
+def _signatures(docs: DataFrame, texts: DataFrame, width: int, num: int, den: int, grams: int) -> DataFrame:
+    """id and the signatures of each of ``texts``, of documents that stand for a class of ``docs``; those with ``grams`` n-grams in all.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Most signatures are of one text and connect nothing, so they are worked out twice: first some bits of each are shuffled, packed,
+    to tell which are met again; then those, and the few others that share their place in a map of bits, go on with their ids.
+    """
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast(_frequent(docs.where("doc_id is not null"), width))
+    texts = _texts(texts)
+    spread = min(max((grams << SPARE_BITS).bit_length() - PACKED_BITS, 0), 16)
+
+    def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
         only("ngrams", forget_powers)
         parts = Parts(num, den, sent.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                signs = [parts.signatures(s) for s in ngram_sets(batch.column(1), width)]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in signs])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "signatures"])
+                yield batch.column(0), [parts.signatures(s) for s in ngram_sets(batch.column(1), width)]
+
+    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for _, signs in signed(batches):
+            held += signs
+            n += sum(map(len, signs))
+            if n >= PACKED:
+                yield from _packed(np.concatenate(held), spread)
+                held, n = [], 0
+        if n:
+            yield from _packed(np.concatenate(held), spread)
+
+    parcels = arrow_map(texts, packed, "bucket int, parcel binary").repartition("bucket").sortWithinPartitions("bucket")
+    met = staged(arrow_map(parcels, _met_again, "p bigint"), "met")
+    places = 1 << min(max(10, (met.count() * PLACES).bit_length()), MOST_MET)
+    bits = context.broadcast(_bits(met.select(F.col("p").bitwiseAND(F.lit(places - 1)).alias("p")), places))
+    drop_staged(met)
 
-    return arrow_map(_texts(texts), run, "id bigint, signatures array<bigint>")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, signs in signed(batches):
+            every = np.concatenate(signs)
+            p = _mix(every >> _U(64 - PACKED_BITS - spread)) & _U(places - 1)
+            again = (bits.value[p >> _U(6)] >> (p & _U(63)) & _U(1)).astype(bool)
+            upto = np.concatenate([[0], np.cumsum(again)])
+            ends = upto[np.concatenate([[0], np.cumsum([len(x) for x in signs])])].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(every[again].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([ids, lists], ["id", "signatures"])
+
+    return arrow_map(texts, run, "id bigint, signatures array<bigint>").where(F.size("signatures") > 0)
+
+
+def _packed(signs: np.ndarray, spread: int) -> Iterator[pa.RecordBatch]:
+    """The leading bits of ``signs``, each at most twice: ``spread`` of them name the bucket, three bytes stand in its parcel."""
+    keys = np.sort(signs >> _U(64 - PACKED_BITS - spread))
+    keys = keys[np.concatenate([np.ones(min(2, len(keys)), bool), keys[2:] != keys[:-2]])]
+    each = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PACKED_BITS // 8].tobytes()
+    buckets, starts = np.unique(keys >> _U(PACKED_BITS), return_index=True)
+    ends = np.concatenate([starts, [len(keys)]]).astype(np.int32) * (PACKED_BITS // 8)
+    parcels = pa.Array.from_buffers(pa.binary(), len(buckets), [None, pa.py_buffer(ends), pa.py_buffer(each)])
+    whole = pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), parcels], ["bucket", "parcel"])
+    for at in range(0, len(buckets), 2048):
+        yield whole.slice(at, 2048)
+
+
+def _met_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of parcels that stand together by bucket: hashes of what occurs more than once in a bucket."""
+    key, held = None, []
+
+    def told() -> Iterator[pa.RecordBatch]:
+        each = np.frombuffer(b"".join(held), np.uint8).reshape(-1, PACKED_BITS // 8)
+        values = np.zeros((len(each), 4), np.uint8)
+        values[:, : PACKED_BITS // 8] = each
+        values = np.sort(values.view("<u4").ravel())
+        again = np.unique(values[1:][values[1:] == values[:-1]]).astype(np.uint64)
+        if len(again):
+            yield pa.RecordBatch.from_arrays([pa.array(_mix(again | _U(key << PACKED_BITS)).view(np.int64))], ["p"])
+
+    for batch in batches:
+        for bucket, parcel in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if bucket != key and held:
+                yield from told()
+                held.clear()
+            key = bucket
+            held.append(parcel)
+    if held:
+        yield from told()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
