@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.models.attribution import Explainer, Node, Split, predicted
 from tidemark.models.risk import RiskModel, importance, reasons, top_drivers
+from tidemark.models import survival
 from tidemark.models.survival import BoostedHazards, train_survival, tune_hazards
 from tidemark.operators import survival as V
 
@@ -135,6 +136,34 @@ def test_hazards_send_a_subject_once(spark):
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hazards_of_counted_rows_are_those_of_all_rows(ending, monkeypatch):
+    """Different rows with their numbers give the trees that Spark gives for all rows, if each round takes them all; also watched ones."""
+    df = ending.withColumn("x", F.when(F.col("id") % 10 > 0, (F.col("id") % 4).cast("double")))
+    asked = df.sparkSession.createDataFrame([(1, "fast", 0.0), (2, "slow", 3.0), (3, None, None)], "id int, kind string, x double")
+    got = []
+    for most in (survival.CELL_VALUES, 0):
+        monkeypatch.setattr(survival, "CELL_VALUES", most)
+        m = BoostedHazards(["kind", "x"], (0,), trees=4, depth=3, rate=0.3, share=1.0).fit(df, F.col("id") % 5 == 0)
+        got.append(([tuple(r)[2:] for r in m.hazards(asked, "id").orderBy("id", "period").collect()], m.deviances[0], m.start))
+    for a, b in zip(*got):
+        assert np.array(a) == pytest.approx(np.array(b), abs=1e-9)
+
+
+def test_time_of_hazards_does_not_grow_with_equal_rows(spark):
+    """As many Spark jobs for one round as for 200, and parts of rows drawn: about the same hazards as without drawing."""
+    df = spark.range(3000).selectExpr("id", "double(id % 3) AS x", "double(id % 17) / 2 AS time", "int(id % 5 % 3) AS event")
+    jobs = []
+    for k, trees in enumerate((1, 200)):
+        spark.sparkContext.setJobGroup(f"hazards {k}", "")
+        m = BoostedHazards(["x"], trees=trees).fit(df)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"hazards {k}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] and len(m.members[0]) == 200
+    whole = BoostedHazards(["x"], trees=200, share=1.0).fit(df)
+    a, b = (np.array([tuple(r)[2:] for r in x.hazards(df.where("id < 3"), "id").orderBy("id", "period").collect()]) for x in (m, whole))
+    assert 0 < np.abs(a - b).max() < 0.1 and np.abs(a - b).mean() < 0.01
+
+
 def test_tuning_takes_the_best_of_the_grid(ending):
     grid = [{"depth": 1, "rate": 0.02}, {"depth": 2, "rate": 0.4}]
     chosen, tried = tune_hazards(ending, "start", "2014-01-01", ["kind"], grid, trees=5, patience=2)

@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from tidemark.models.attribution import Node, nodes_of, predicted
+from tidemark.models.attribution import Node, Split, nodes_of, predicted
 from tidemark.models.risk import Inputs, ordered
 from tidemark.operators import survival as V
 from tidemark.session import ship_package
@@ -59,8 +60,12 @@ class SurvivalModel:
 CLASSES = 3
 #: Rounds after which the scores so far are written to the shared folder, so that a lost executor costs no more of them.
 STAGE_ROUNDS = 10
-#: Rows whose periods are scored at a time.
-SCORED = 1000
+#: Rows whose periods are scored at a time; as many different ones are remembered in a task.
+SCORED, REMEMBERED = 1000, 10_000
+#: Different rows times slots of their vectors up to which they are fitted in the driver, with their numbers.
+CELL_VALUES = 1 << 20
+#: Equal rows are written out in runs of at most so many.
+RUN = 50_000
 
 
 def _softmax(scores: Column) -> Column:
@@ -70,12 +75,78 @@ def _softmax(scores: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
 
 
+def softmax(scores: np.ndarray) -> np.ndarray:
+    raised = np.exp(scores - scores.max(1, keepdims=True))
+    return raised / raised.sum(1, keepdims=True)
+
+
+class Bins:
+    """Different rows cut into bins, for regression trees as those of ``pyspark.ml``: the same splits, gains and limits.
+
+    A number of few values is split between any two of them, one of more at ``most`` - 1 places of about equal numbers of rows;
+    levels are split in the order of their means.
+    """
+
+    def __init__(self, x: np.ndarray, n: np.ndarray, most: int, levels: Iterable[int]):
+        self.levels, self.cuts, self.bins = set(levels), [], np.empty(x.shape, np.int64)
+        for slot in range(x.shape[1]):
+            values, at = np.unique(x[:, slot], return_inverse=True)
+            between = (values[1:] + values[:-1]) / 2
+            if slot not in self.levels and len(between) >= most:
+                upto = np.cumsum(np.bincount(at, n))
+                stride, kept, goal = upto[-1] / most, [], upto[-1] / most
+                for k in range(1, len(values)):
+                    if abs(upto[k - 1] - goal) < abs(upto[k] - goal):
+                        kept.append(k - 1)
+                        goal += stride
+                between = between[kept]
+            self.cuts.append(values if slot in self.levels else between)
+            self.bins[:, slot] = at if slot in self.levels else np.searchsorted(between, x[:, slot])
+
+    def tree(self, drawn: np.ndarray, weight: np.ndarray, goal: np.ndarray, depth: int, least_rows: int) -> Node:
+        """Fitted to ``goal`` by the squared error: each row counts ``drawn`` times and weighs ``weight`` each time."""
+        w = drawn * weight
+        wg = w * goal
+
+        def grow(rows: np.ndarray, left: int) -> Node:
+            total, sum_ = w[rows].sum(), wg[rows].sum()
+            node = Node(float(total), float(sum_ / total) if total else 0.0)
+            best = (1e-12 * max(total, 1.0) * max(node.value**2, 1e-9), None) if left else None
+            for slot, cuts in enumerate(self.cuts) if left else ():
+                levels = slot in self.levels
+                size = len(cuts) + (not levels)
+                if size < 2:
+                    continue
+                at = self.bins[rows, slot]
+                c, a, b = (np.bincount(at, v[rows], size) for v in (drawn, w, wg))
+                order = np.argsort(np.where(a > 0, b / np.where(a > 0, a, 1), np.inf), kind="stable") if levels else np.arange(size)
+                c, a, b = (np.cumsum(v[order])[:-1] for v in (c, a, b))
+                good = (c >= least_rows) & (drawn[rows].sum() - c >= least_rows) & (a > 0) & (total - a > 0)
+                if good.any():
+                    rest = np.where(good, total - a, 1)
+                    gain = np.where(good, b**2 / np.where(good, a, 1) + (sum_ - b) ** 2 / rest - sum_**2 / total, -np.inf)
+                    k = int(np.argmax(gain))
+                    if gain[k] > best[0]:
+                        split = Split(slot, 0.0, tuple(float(v) for v in cuts[order[: k + 1]])) if levels else Split(slot, float(cuts[k]))
+                        best = (gain[k], split, np.isin(at, order[: k + 1]))
+            if best and best[1]:
+                node.split, side = best[1:]
+                node.left, node.right = grow(rows[side], left - 1), grow(rows[~side], left - 1)
+            return node
+
+        return grow(np.arange(len(w)), depth)
+
+
 class BoostedHazards:
     """Three-way hazards per half-year period by boosted trees: one sum of trees for each outcome, put through a softmax.
 
     Each round fits a regression tree for each outcome to the Newton step of the multinomial loss: the residual over its
     curvature, weighted by the curvature. Members differ in their seed, which decides the rows of each round, and are averaged as
-    log-odds. Rows are numbered in an order of what they hold, so a fit doesn't depend on the order they come in.
+    log-odds. A fit doesn't depend on the order that rows come in.
+
+    Rows that are equal in inputs, period and outcome get the same steps, so they are counted first. Where few are different, the
+    fit is over those with their numbers, of which each round draws from a binomial, so its time doesn't grow with the rows; else
+    rows are numbered in an order of what they hold and Spark fits the trees.
     """
 
     def __init__(self, columns: list[str], seeds: tuple[int, ...] = (0,), trees: int = 200, depth: int = 4, rate: float = 0.05, share: float = 0.8, least_rows: int = 20, patience: int = 50):
@@ -87,24 +158,77 @@ class BoostedHazards:
         its least deviance there and stops ``patience`` rounds after it."""
         held = F.lit(False) if held is None else F.coalesce(held, F.lit(False))
         slim = df.select("time", "event", *self.columns, held.alias("held_"))
-        rows = V.person_periods(slim).select(*self.columns, "period", "held_", F.col("y").cast("int").alias("y"))
-        rows = ordered(rows, ["held_", "y", "period", *self.columns])
+        cells = pinned(self._cells(slim))
+        slots = 2 * (1 + len(self.columns))
+        few = cells.count() * slots <= CELL_VALUES
+        if few:
+            names = ["held_", "y", "period", *self.columns]
+            runs = cells.withColumn("run_", F.explode(F.sequence(F.lit(0), F.expr(f"(n_ - 1) div {RUN}"))))
+            runs = runs.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64("run_", *names)).sortWithinPartitions("run_", *names)
+            rows = runs.withColumn("each_", F.explode(F.sequence(F.lit(1), F.least(F.lit(RUN), F.col("n_") - F.col("run_") * RUN).cast("int")))).drop("each_", "run_", "n_")
+        else:
+            rows = V.person_periods(slim).select(*self.columns, "period", "held_", F.col("y").cast("int").alias("y"))
+            rows = ordered(rows, ["held_", "y", "period", *self.columns])
         self.inputs = Inputs([*self.columns, "period"]).fit(rows, rows.where("not held_"))
-        ready = self.inputs.transform(rows).select("features", "y", "held_", F.monotonically_increasing_id().alias("key_"))
-        ready = pinned(ready)
-        count = ready.where("not held_").groupBy("y").count().collect()
-        total = sum(r["count"] for r in count)
-        share = {r.y: r["count"] / total for r in count}
-        self.start = [math.log(max(share.get(k, 0.0), 1e-9)) for k in range(CLASSES)]
-        watched = ready.where("held_").limit(1).count() > 0
+        if few:
+            ready = self.inputs.transform(cells).select(vector_to_array("features").alias("x"), "y", "held_", "n_").toPandas()
+            n = {k: int(ready.n_[~ready.held_ & (ready.y == k)].sum()) for k in range(CLASSES)}
+        else:
+            ready = self.inputs.transform(rows).select("features", "y", "held_", F.monotonically_increasing_id().alias("key_"))
+            ready = pinned(ready)
+            n = {r.y: r["count"] for r in ready.where("not held_").groupBy("y").count().collect()}
+            watched = ready.where("held_").limit(1).count() > 0
+        total = sum(n.values())
+        self.start = [math.log(max(n.get(k, 0) / total, 1e-9)) for k in range(CLASSES)]
         self.members, self.deviances = [], []
         for seed in self.seeds:
-            grown, seen = self._member(ready, seed, watched)
+            grown, seen = self._counted_member(ready, seed) if few else self._member(ready, seed, watched)
             self.members.append(grown)
             self.deviances.append(seen)
-        unpin(ready)
+        unpin(cells, *([] if few else [ready]))
         return self
 
+    def _cells(self, slim: DataFrame) -> DataFrame:
+        """The different rows of columns, period, held_ and y, and their number n_; subjects are counted before they have periods."""
+        k = F.least(F.floor(F.col("time") / V.WIDTH).cast("int"), F.lit(V.PERIODS))
+        alike = slim.select(*self.columns, "held_", (k * V.WIDTH).alias("time"), "event").groupBy(*self.columns, "held_", "time", "event").agg(F.count("*").alias("n_"))
+        rows = V.person_periods(alike).select(*self.columns, "period", "held_", F.col("y").cast("int").alias("y"), "n_")
+        return rows.groupBy(*self.columns, "period", "held_", "y").agg(F.sum("n_").alias("n_"))
+
+    def _counted_member(self, cells: pd.DataFrame, seed: int) -> tuple[list, list[float]]:
+        """``_member`` over different rows (x, y, held_) and their number n_."""
+        x, y, held, n = np.stack(cells.x), cells.y.to_numpy(), cells.held_.to_numpy(bool), cells.n_.to_numpy(np.int64)
+        order = np.lexsort([*x.T, y, held])
+        x, y, held, n = x[order], y[order], held[order], n[order]
+        learn = np.flatnonzero(~held)
+        bins = Bins(x[learn], n[learn], self.inputs.bins, range(2 * len(self.inputs.numbers), x.shape[1]))
+        share = min(max(int(self.share * (1 << 20)) / (1 << 20), 0.0), 1.0)
+        f = np.tile(np.array(self.start), (len(x), 1))
+        rounds, seen = [], []
+
+        def watch(p: np.ndarray) -> None:
+            seen.append(float(np.average(-np.log(np.maximum(p[held, y[held]], 1e-15)), weights=n[held])))
+
+        for at in range(self.trees):
+            p = softmax(f)
+            if held.any():
+                watch(p)
+                if at - int(np.argmin(seen)) >= self.patience:
+                    break
+            drawn = np.random.default_rng([seed & 0xFFFFFFFFFFFFFFFF, at]).binomial(n[learn], share)
+            grown = []
+            for k in range(CLASSES):
+                own = p[learn, k]
+                curve = np.maximum(own * (1 - own), 1e-6) * CLASSES / (CLASSES - 1)
+                grown.append(bins.tree(drawn, curve, ((y[learn] == k) - own) / curve, self.depth, self.least_rows))
+            rounds.append(grown)
+            for k, tree in enumerate(grown):
+                f[:, k] += self.rate * predicted(tree, x)
+        else:
+            if held.any():
+                watch(softmax(f))
+        return (rounds[: int(np.argmin(seen))] if held.any() else rounds), seen
+
     def _member(self, ready: DataFrame, seed: int, watched: bool) -> tuple[list, list[float]]:
         state = ready.withColumn("f_", F.array(*map(F.lit, self.start)))
         rounds, seen, held, staged = [], [], None, []
@@ -162,10 +286,10 @@ class BoostedHazards:
         """The least mean deviance of the watched rows, over the members."""
         return sum(min(seen) for seen in self.deviances) / len(self.deviances)
 
-    def hazards(self, df: DataFrame, id: str, periods: int = V.PERIODS) -> DataFrame:
-        """id, period, p_run, p_term, p_comp for every period of every row.
+    def hazards(self, df: DataFrame, id: str, periods: int = V.PERIODS, digits: int | None = None) -> DataFrame:
+        """id, period, p_run, p_term, p_comp for every period of every row, rounded to ``digits``.
 
-        A row is sent to Python once, and its periods are made there: arrays in, arrays out.
+        A row is sent to Python once, and its periods are made there: arrays in, arrays out. Rows of equal inputs are scored once.
         """
         sent = ship_package(df.sparkSession).sparkContext.broadcast((self.members, self.start, self.rate))
         spot = self.inputs.numbers.index("period")
@@ -175,22 +299,36 @@ class BoostedHazards:
 
         def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             members, start, rate = sent.value
+            known: dict[bytes, np.ndarray] = {}
+
+            def score(rows: np.ndarray) -> np.ndarray:
+                x = np.repeat(rows, periods, axis=0)
+                x[:, spot] = np.tile(np.arange(periods), len(rows))
+                total = np.tile(np.array(start), (len(x), 1))
+                for rounds in members:
+                    for trees in rounds:
+                        for k, tree in enumerate(trees):
+                            total[:, k] += rate * predicted(tree, x) / len(members)
+                p = softmax(total)
+                return (p if digits is None else np.round(p, digits)).reshape(len(rows), periods, CLASSES)
+
             for whole in batches:
                 for a in range(0, whole.num_rows, SCORED):
                     batch = whole.slice(a, SCORED)
                     n = batch.num_rows
-                    x = np.repeat(batch.column(1).flatten().to_numpy().reshape(n, -1), periods, axis=0)
-                    period = np.tile(np.arange(periods, dtype=np.int32), n)
-                    x[:, spot] = period
-                    total = np.tile(np.array(start), (len(x), 1))
-                    for rounds in members:
-                        for trees in rounds:
-                            for k, tree in enumerate(trees):
-                                total[:, k] += rate * predicted(tree, x) / len(members)
-                    raised = np.exp(total - total.max(1, keepdims=True))
-                    p = raised / raised.sum(1, keepdims=True)
+                    x = np.ascontiguousarray(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, -1))
+                    alike, at = np.unique(x.view(f"V{8 * x.shape[1]}").ravel(), return_inverse=True)
+                    rows = alike.view(np.float64).reshape(len(alike), -1)
+                    keys = [r.tobytes() for r in rows]
+                    new = [k for k, key in enumerate(keys) if key not in known]
+                    if len(known) + len(new) > REMEMBERED:
+                        known, new = {}, list(range(len(keys)))
+                    if new:
+                        known |= zip((keys[k] for k in new), score(rows[new]))
+                    p = np.stack([known[key] for key in keys])[at.ravel()].reshape(-1, CLASSES)
                     own = batch.column(0).take(pa.array(np.repeat(np.arange(n), periods)))
-                    yield pa.RecordBatch.from_arrays([own, pa.array(period), *[pa.array(p[:, k]) for k in range(CLASSES)]], schema.names)
+                    period = pa.array(np.tile(np.arange(periods, dtype=np.int32), n))
+                    yield pa.RecordBatch.from_arrays([own, period, *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(CLASSES)]], schema.names)
 
         return ready.mapInArrow(scored, schema)
 
