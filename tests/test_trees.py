@@ -164,6 +164,16 @@ def test_time_of_hazards_does_not_grow_with_equal_rows(spark):
     assert 0 < np.abs(a - b).max() < 0.1 and np.abs(a - b).mean() < 0.01
 
 
+def test_query_of_hazards_runs_all_rounds(spark, monkeypatch):
+    from tidemark.plans import models
+
+    fitted, fit = [], BoostedHazards.fit
+    monkeypatch.setattr(BoostedHazards, "fit", lambda self, *more: fitted.append(fit(self, *more)) or fitted[-1])
+    out = models.boosted_hazards(spark, "/root/testdata/sf0.001")
+    assert out.columns == ["trial_id", "period", "p_run", "p_term", "p_comp"] and out.count() == 16 * spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert [len(m) for m in fitted[0].members] == [200] * 3 and fitted[0].depth == 4 and fitted[0].rate == 0.05
+
+
 def test_tuning_takes_the_best_of_the_grid(ending):
     grid = [{"depth": 1, "rate": 0.02}, {"depth": 2, "rate": 0.4}]
     chosen, tried = tune_hazards(ending, "start", "2014-01-01", ["kind"], grid, trees=5, patience=2)
