@@ -27,9 +27,9 @@ BLOCK_SETS, BLOCK_NGRAMS = 2048, 4_000_000
 IDS_SENT = 1_000_000
 #: Places of the hash that tells, beyond that, which texts are likely to be wanted: for each that is, and as a power of two at most.
 PLACES, MOST_PLACES = 16, 30
-#: Signatures of a task that are packed together; bits of each that are written, and that their bucket adds for so many n-grams; a map
-#: of signatures has two to this power of places at most.
-PACKED, PACKED_BITS, SPARE_BITS, MOST_MET = 1 << 20, 24, 6, 28
+#: Signatures of a task that are packed together at most, and for each bucket; bits of each that are written, and that their bucket adds
+#: for so many n-grams; a map of signatures has two to this power of places at most.
+PACKED, PARCEL, PACKED_BITS, SPARE_BITS, MOST_MET = 1 << 20, 256, 24, 6, 28
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -437,6 +437,7 @@ def _signatures(docs: DataFrame, texts: DataFrame, width: int, num: int, den: in
     sent = context.broadcast(_frequent(docs.where("doc_id is not null"), width))
     texts = _texts(texts)
     spread = min(max((grams << SPARE_BITS).bit_length() - PACKED_BITS, 0), 16)
+    enough = min(PACKED, max(PARCEL << spread, 1 << 14))
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
         only("ngrams", forget_powers)
@@ -449,13 +450,13 @@ def _signatures(docs: DataFrame, texts: DataFrame, width: int, num: int, den: in
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for _, signs in signed(batches):
-            held += signs
-            n += sum(map(len, signs))
-            if n >= PACKED:
-                yield from _packed(np.concatenate(held), spread)
+            held.append(np.concatenate(signs) >> _U(64 - PACKED_BITS - spread))
+            n += len(held[-1])
+            if n >= enough:
+                yield from _packed(np.concatenate(held))
                 held, n = [], 0
         if n:
-            yield from _packed(np.concatenate(held), spread)
+            yield from _packed(np.concatenate(held))
 
     parcels = arrow_map(texts, packed, "bucket int, parcel binary").repartition("bucket").sortWithinPartitions("bucket")
     met = staged(arrow_map(parcels, _met_again, "p bigint"), "met")
@@ -476,17 +477,17 @@ def _signatures(docs: DataFrame, texts: DataFrame, width: int, num: int, den: in
     return arrow_map(texts, run, "id bigint, signatures array<bigint>").where(F.size("signatures") > 0)
 
 
-def _packed(signs: np.ndarray, spread: int) -> Iterator[pa.RecordBatch]:
-    """The leading bits of ``signs``, each at most twice: ``spread`` of them name the bucket, three bytes stand in its parcel."""
-    keys = np.sort(signs >> _U(64 - PACKED_BITS - spread))
+def _packed(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The leading bits of signatures, each at most twice: the last three bytes stand in a parcel, those before them name its bucket."""
+    keys.sort()
     keys = keys[np.concatenate([np.ones(min(2, len(keys)), bool), keys[2:] != keys[:-2]])]
     each = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : PACKED_BITS // 8].tobytes()
     buckets, starts = np.unique(keys >> _U(PACKED_BITS), return_index=True)
     ends = np.concatenate([starts, [len(keys)]]).astype(np.int32) * (PACKED_BITS // 8)
     parcels = pa.Array.from_buffers(pa.binary(), len(buckets), [None, pa.py_buffer(ends), pa.py_buffer(each)])
     whole = pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), parcels], ["bucket", "parcel"])
-    for at in range(0, len(buckets), 2048):
-        yield whole.slice(at, 2048)
+    for at in range(0, len(buckets), 512):
+        yield whole.slice(at, 512)
 
 
 def _met_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
